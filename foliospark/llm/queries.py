@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from foliospark.llm.neardup import op2_minhash_near_dedup
 from foliospark.llm.quality import op1_quality_rules
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
