@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from foliospark.llm import mixing
+from foliospark.llm.mixing import op6_mix_sources
 from foliospark.llm.neardup import op2_minhash_near_dedup
 from foliospark.llm.quality import op1_quality_rules
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op6_mix_sources": op6_mix_sources,
+}
+ORACLES: dict[str, str] = {
+    "op6_mix_sources": mixing.ORACLE,
 }
-ORACLES: dict[str, str] = {}
