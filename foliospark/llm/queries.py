@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from foliospark.llm import licences, mixing
+from foliospark.llm.bpe import op5_byte_bpe
 from foliospark.llm.licences import op9_licence_scan
 from foliospark.llm.mixing import op6_mix_sources
 from foliospark.llm.neardup import op2_minhash_near_dedup
 from foliospark.llm.pii import op8_pii_pseudonyms
 from foliospark.llm.quality import op1_quality_rules
+from foliospark.llm.tokenstore import op4_token_store
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_token_store": op4_token_store,
+    "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_licence_scan": op9_licence_scan,
