@@ -10,10 +10,12 @@ from foliospark.llm.neardup import op2_minhash_near_dedup
 from foliospark.llm.pii import op8_pii_pseudonyms
 from foliospark.llm.quality import op1_quality_rules
 from foliospark.llm.tokenstore import op4_token_store
+from foliospark.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_token_store": op4_token_store,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
