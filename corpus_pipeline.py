@@ -1,12 +1,58 @@
-"""The training-data pipeline: documents through stages, each written as Parquet and reread as the next one's input."""
+"""The training-data pipeline: documents through five stages, each written as Parquet and reread as the next one's input.
+
+Toxic documents go, one document of each near-duplicate group stays, personal data become pseudonyms, sources are mixed to
+their target weights (a document appears as often as the mix takes it), and every text becomes token ids.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from foliospark.llm import bpe, mixing, neardup, pii, toxicity
 from foliospark.session import table, written
 
-STAGES: list = []
+TOXIC_FROM = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs without those that score as toxic; the scorer learns from the labels of docs that aren't held out."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(docs, model).filter(F.col("score") < TOXIC_FROM).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: shingles of 5 words, similarity of 0.8 or more."""
+    kept = neardup.near_duplicates(docs, width=5, percent=80).filter("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
+def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs with pseudonyms for personal data; n_chars follows the text."""
+    return pii.pseudonymise(docs, key="foliospark").withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix of sources takes it."""
+    sized = written(mixing.sized_documents(docs), "mix-sizes")
+    taken = mixing.mix_sources(sized).filter("repeats > 0").groupBy("doc_id").agg(F.max("repeats").alias("__repeats"))
+    rows = docs.join(taken, "doc_id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats"))))
+    return rows.select(docs.columns)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
+    return bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("pii", pseudonymise),
+    ("mixing", mix),
+    ("byte_bpe", tokenise),
+]
 ORACLE_SQL = None
 
 

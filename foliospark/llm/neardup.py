@@ -3,8 +3,8 @@
 Documents are sets of word shingles. Rows with equal sets become one class, represented by its smallest doc_id. Several
 independent trees then branch the representatives: a node sends each of its members to the child of the minwise token
 that it has at a coordinate chosen by the node. Nodes of at most `limit` members are compared exhaustively; larger ones
-compare each member with one pivot and branch on, until all are small or hold only members already linked to one
-pivot. Sketches only nominate pairs. Every link is confirmed on the full shingle sets.
+compare each member with one pivot and branch on. Once all but a few members of a node are linked by a pivot, those few are
+compared with all of the node. Sketches only nominate pairs; every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ _rng = np.random.Generator(np.random.PCG64(7))
 _MULTIPLIERS = _rng.integers(1, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _rng.integers(1, 2**63, 1024, dtype=np.uint64)
 ROWS = "node long, rep long, n long, sig binary, label long"
+#: (coordinates that a child is chosen by, children) at each level, the last for all deeper ones: a linked pair is expected
+#: in about one child at least, a pair of lower similarity in ever fewer.
+STEPS = ((1, 1), (4, 2), (8, 4))
 
 
 @contextmanager
@@ -133,69 +136,99 @@ def _exhaustive(rows: DataFrame, percent: int, limit: int, least: int) -> DataFr
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _branch(rows: DataFrame, percent: int, least: int, sure: int) -> DataFrame:
-    """Large nodes: each member against its node's pivot, its label after that, and the children that it goes to."""
+def _against(rows: DataFrame, percent: int, least: int) -> DataFrame:
+    """Pairs of a member and an outsider of its node (other, other_n, other_sig) whose signatures agree at `least` coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, rep, n, pivot, pivot_n = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("node", "rep", "n", "pivot", "pivot_n"))
-            label = batch.column("label").fill_null(-1).to_numpy(zero_copy_only=False)
-            sig = _tokens(batch.column("sig"))
-            matches = (sig == _tokens(batch.column("pivot_sig"))).sum(axis=1)
-            hit = _near_enough(matches, n, pivot_n, percent, least)
-            label = np.where(hit & (matches >= sure), pivot, label)
-            seed = node.astype(np.uint64)
-            with np.errstate(over="ignore"):
-                c1 = mix(seed + _ADDENDS[1])
-                c2 = mix(seed + _ADDENDS[2])
-                second = (c2 >> np.uint64(40)) % np.uint64(100) < 20  # 1 + 0.2 children for each member
-                kids, counts = [], 1 + second.astype(np.int64)
-                for c in (c1, c2):
-                    at = (c % np.uint64(COORDINATES)).astype(np.int64)
-                    token = sig[np.arange(len(sig)), at].astype(np.uint64)
-                    kids.append(mix(seed * _MULTIPLIERS[3] + token * _MULTIPLIERS[4] + at.astype(np.uint64) * _MULTIPLIERS[5]))
-            flat = np.stack(kids, axis=1)[np.stack([np.ones_like(second), second], axis=1)].astype(np.int64)
-            children = pa.ListArray.from_arrays(np.r_[0, np.cumsum(counts)].astype(np.int32), pa.array(flat))
+            rep, n, other, other_n = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "other", "other_n"))
+            matches = (_tokens(batch.column("sig")) == _tokens(batch.column("other_sig"))).sum(axis=1)
+            near = np.flatnonzero(_near_enough(matches, n, other_n, percent, least) & (rep != other))
+            a, b = rep[near], other[near]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _compare(rows: DataFrame, percent: int, least: int, sure: int) -> DataFrame:
+    """Members of large nodes against their node's pivot: hit (a pair to confirm) and sure (linked, as far as sketches tell)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep, n, pivot, pivot_n = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "pivot", "pivot_n"))
+            matches = (_tokens(batch.column("sig")) == _tokens(batch.column("pivot_sig"))).sum(axis=1)
+            near = _near_enough(matches, n, pivot_n, percent, least)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rep), pa.array(n), batch.column("sig"), pa.array(label, mask=label < 0), pa.array(pivot), pa.array(hit & (rep != pivot)), children],
-                ["rep", "n", "sig", "label", "pivot", "hit", "children"],
+                [*(batch.column(k) for k in ("node", "rep", "n", "sig", "label", "pivot")), pa.array(near & (rep != pivot)), pa.array(near & (matches >= sure))],
+                ["node", "rep", "n", "sig", "label", "pivot", "hit", "sure"],
             )
 
-    return rows.mapInArrow(run, "rep long, n long, sig binary, label long, pivot long, hit boolean, children array<long>")
+    return rows.mapInArrow(run, f"{ROWS}, pivot long, hit boolean, sure boolean")
+
+
+def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
+    """Members of large nodes at their children: a child is chosen by the tokens at `step` coordinates that the node selects."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seed = batch.column("node").to_numpy(zero_copy_only=False).astype(np.uint64)
+            sig = _tokens(batch.column("sig"))
+            each = np.arange(len(sig))
+            with np.errstate(over="ignore"):
+                for child in range(children):
+                    node = mix(seed + _ADDENDS[10 + child])
+                    at = node
+                    for _ in range(step):
+                        at = mix(at + _ADDENDS[1])
+                        coordinate = (at % np.uint64(COORDINATES)).astype(np.int64)
+                        node = mix(node * _MULTIPLIERS[3] + sig[each, coordinate].astype(np.uint64))
+                    yield pa.RecordBatch.from_arrays([pa.array(node.astype(np.int64)), *(batch.column(k) for k in ("rep", "n", "sig", "label"))], ["node", "rep", "n", "sig", "label"])
+
+    return rows.select("node", "rep", "n", "sig", "label").mapInArrow(run, ROWS)
 
 
 def candidate_pairs(reps: DataFrame, percent: int, limit: int) -> DataFrame:
     """Distinct pairs (a, b) that a tree nominates among reps (rep, n, nodes, sig)."""
     spread = math.sqrt(COORDINATES * percent * (100 - percent)) / 100
     least = max(1, math.floor(COORDINATES * percent / 100 - 4 * spread))
-    sure = min(COORDINATES, math.ceil(COORDINATES * percent / 100 + 1.7 * spread))
+    sure = min(COORDINATES, math.ceil(COORDINATES * percent / 100 + 0.7 * spread))
     roots = reps.select("rep", F.explode("nodes").alias("node"))
     shared = roots.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node")
     hits = roots.join(shared, "node", "left_semi")
     rows = written(hits.join(reps.select("rep", "n", "sig"), "rep").select("node", "rep", "n", "sig", F.lit(None).cast("long").alias("label")), "near-nodes")
-    small, links, level = [], [], 0
+    small, crowds, links, level = [], [], [], 0
     while True:
         order = F.struct(F.col("label").isNotNull(), F.xxhash64("rep", F.lit(level)))
-        nodes = rows.groupBy("node").agg(
-            F.count("*").alias("members"),
-            F.count("label").alias("labelled"),
-            F.min("label").alias("first"),
-            F.max("label").alias("last"),
-            F.min(F.struct(order.alias("o"), "rep")).alias("pivot"),
+        nodes = rows.groupBy("node", "label").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("o"), "rep")).alias("pivot"))
+        nodes = nodes.groupBy("node").agg(
+            F.sum("n").alias("members"),
+            F.max(F.when(F.col("label").isNotNull(), F.struct("n", "label"))).alias("crowd"),
+            F.min("pivot").alias("pivot"),
         )
-        open_nodes = nodes.filter("members > 1 and not (labelled = members and first = last)")
-        few = open_nodes.filter(F.col("members") <= limit).select("node")
+        nodes = nodes.withColumn("outside", F.col("members") - F.coalesce("crowd.n", F.lit(0))).filter("members > 1 and outside > 0")
+        few = nodes.filter(F.col("members") <= limit).select("node")
         small.append(rows.join(few, "node", "left_semi"))
-        many = open_nodes.filter(F.col("members") > limit).select("node", F.col("pivot.rep").alias("pivot"))
+        # all but a few members are linked by one label: those few are compared with everyone in the node
+        crowded = nodes.filter((F.col("members") > limit) & (F.col("outside") <= limit)).select("node", F.col("crowd.label").alias("crowd"))
+        inside = rows.join(crowded, "node")
+        others = inside.filter("label is null or label <> crowd").select("node", F.col("rep").alias("other"), F.col("n").alias("other_n"), F.col("sig").alias("other_sig"))
+        crowds.append(inside.join(others, "node").select("rep", "n", "sig", "other", "other_n", "other_sig"))
+        many = nodes.filter((F.col("members") > limit) & (F.col("outside") > limit)).select("node", F.col("pivot.rep").alias("pivot"))
         many = many.join(reps.select(F.col("rep").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sig").alias("pivot_sig")).dropDuplicates(["pivot"]), "pivot")
-        done = written(_branch(rows.join(many, "node"), percent, least, sure), "near-branches")
-        links.append(done.filter("hit").select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")))
-        rows = done.select(F.explode("children").alias("node"), "rep", "n", "sig", "label")
-        level += 1
-        if done.isEmpty():
+        seen = written(_compare(rows.join(many, "node"), percent, least, sure), "near-pivots")
+        if seen.isEmpty():
             break
+        links.append(seen.filter("hit").select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")))
+        # what the pivot reaches, and all that earlier pivots had joined to it, now bears the pivot's label; a node has no more labels than levels
+        joined = seen.filter("sure").groupBy("node").agg(F.collect_set("label").alias("labels"))
+        relabelled = seen.join(joined, "node", "left")
+        same = F.col("sure") | F.coalesce(F.array_contains("labels", F.col("label")), F.lit(False))
+        relabelled = relabelled.withColumn("label", F.when(same, F.col("pivot")).otherwise(F.col("label")))
+        step, children = STEPS[min(level, len(STEPS) - 1)]
+        rows = written(_branch(relabelled, step, children), "near-branches")
+        level += 1
     pairs = _exhaustive(_union(small), percent, limit, least)
-    return _union([pairs, *links]).distinct()
+    return _union([pairs, _against(_union(crowds), percent, least), *links]).distinct()
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

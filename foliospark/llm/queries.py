@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from foliospark.llm import licences, mixing
+from foliospark.llm.ann import op10_ann_prefix_forest
 from foliospark.llm.bpe import op5_byte_bpe
 from foliospark.llm.licences import op9_licence_scan
 from foliospark.llm.mixing import op6_mix_sources
 from foliospark.llm.neardup import op2_minhash_near_dedup
 from foliospark.llm.pii import op8_pii_pseudonyms
 from foliospark.llm.quality import op1_quality_rules
+from foliospark.llm.quotes import op7_quote_threads
 from foliospark.llm.tokenstore import op4_token_store
 from foliospark.llm.toxicity import op3_toxicity
 
@@ -19,8 +21,10 @@ QUERIES = {
     "op4_token_store": op4_token_store,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
+    "op7_quote_threads": op7_quote_threads,
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_licence_scan": op9_licence_scan,
+    "op10_ann_prefix_forest": op10_ann_prefix_forest,
 }
 ORACLES: dict[str, str] = {
     "op6_mix_sources": mixing.ORACLE,
