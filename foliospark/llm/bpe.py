@@ -22,8 +22,10 @@ from foliospark.llm.units import UnitCache, words_with_space
 from foliospark.session import table
 
 BUCKETS = (4, 6, 8, 12, 16, 24, 32, 48, 64)  # then powers of two
+DECODED_AT_ONCE = 1 << 18  # ids
+PIECES = 100_000  # whose ids a task keeps, at most
 NO_RANK = np.int32(2**31 - 1)
-CELLS = 1 << 20  # of one matrix at most, but for a single longer piece
+CELLS = 1 << 18  # of one matrix at most, but for a single longer piece
 #: White space that isn't ASCII, and controls that regular expressions count as white space: such texts are split as a whole.
 OTHER_SPACE = regex.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -87,8 +89,7 @@ class Vocabulary:
         self.token_starts = np.cumsum(self.token_lens) - self.token_lens
         self.token_bytes = np.frombuffer(b"".join(by_id), np.uint8)
         self.pieces: dict[bytes, np.ndarray] = {}
-        self.cache = UnitCache(self._encode_units)
-        self.whole = UnitCache(self._encode_units, most=1)
+        self.cache = UnitCache(self._encode_units, most=150_000)
 
     @classmethod
     @lru_cache(maxsize=2)
@@ -149,7 +150,7 @@ class Vocabulary:
 
     def _encode_units(self, units: list[bytes]) -> list[np.ndarray]:
         split = [[p.encode() for p in self.pattern.findall(u.decode())] for u in units]
-        if len(self.pieces) > 500_000:
+        if len(self.pieces) > PIECES:
             self.pieces.clear()
         self.encode_pieces(list({p for ps in split for p in ps if p not in self.pieces}))
         get = self.pieces.__getitem__
@@ -181,22 +182,34 @@ class Vocabulary:
         return self.token_bytes[np.repeat(self.token_starts[ids] - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def _binary(vocabulary: Vocabulary, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The decoded bytes of each text, whose ids stand one after the other in flat."""
+    sizes = np.r_[0, np.cumsum(vocabulary.token_lens[flat])]
+    ends = sizes[np.r_[0, np.cumsum(counts)]]
+    decoded = b"".join(vocabulary.decode(flat[k : k + DECODED_AT_ONCE]).tobytes() for k in range(0, len(flat), DECODED_AT_ONCE))
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(decoded)])
+
+
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
     """docs' doc_id and ids (array<int>) of the whole text, for every row. A null text is empty and has no ids. Other columns are ignored.
 
     path: a file of ranks (base64 bytes and rank in each line) that every executor has. Ids are those of tiktoken's
     encode_ordinary: a piece that is a token is that token, any other is merged by rank. Units are told apart by 64-bit hashes.
+    decoded: adds the column `decoded`, the bytes that the ids stand for, in the same pass.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.load(path, pattern)
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column("text")):
+            for lo, hi, data, offsets in slices(batch.column("text"), 2 << 20):
                 flat, counts = vocabulary.encode_slice(data, offsets)
                 ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], ids], ["doc_id", "ids"])
+                columns = {"doc_id": batch.column("doc_id")[lo:hi], "ids": ids}
+                if decoded:
+                    columns["decoded"] = _binary(vocabulary, flat, counts)
+                yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -208,12 +221,8 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
                 ids = part.column("ids")
-                counts = np.diff(ids.offsets.to_numpy())
                 flat = ids.values.to_numpy(zero_copy_only=False)[ids.offsets[0].as_py() : ids.offsets[-1].as_py()]
-                sizes = np.r_[0, np.cumsum(vocabulary.token_lens[flat])]
-                ends = sizes[np.r_[0, np.cumsum(counts)]]
-                decoded = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(vocabulary.decode(flat))])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, decoded], ["doc_id", "ids", "decoded"])
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "ids": ids, "decoded": _binary(vocabulary, flat, np.diff(ids.offsets.to_numpy()))})
 
     filled = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     return filled.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
@@ -221,7 +230,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by spaces) and decoded_sha256 (of the decoded bytes) for every row of docs."""
-    out = decode(encode(docs, path, pattern), path, pattern)
+    out = encode(docs, path, pattern, decoded=True)
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
