@@ -57,7 +57,7 @@ QUERIES = {
     "a10_edges": (lambda s, d: L.edges(_cites(s, d)), "SELECT DISTINCT l_orderkey AS citing, unnest([l_suppkey, l_partkey]) AS cited, l_partkey || ' Rep' AS cite FROM lineitem"),
     "a11_pagerank": (
         lambda s, d: L.attach_pagerank(cases(s, d).select("case_id"), table(s, d, "customer").select(F.col("c_custkey").alias("case_id"), F.col("c_acctbal").alias("raw"), F.lit(0.5).alias("percentile"))),
-        "SELECT doc_id AS case_id, c_acctbal AS raw, CASE WHEN c_custkey IS NOT NULL THEN 0.5 END AS percentile FROM documents LEFT JOIN customer ON c_custkey = doc_id",
+        "SELECT doc_id AS case_id, c_acctbal AS raw, CASE WHEN c_custkey IS NOT NULL THEN 0.5::DOUBLE END AS percentile FROM documents LEFT JOIN customer ON c_custkey = doc_id",
     ),
     "a12_not_loaded": (
         lambda s, d: L.not_loaded(table(s, d, "orders").select(F.col("o_orderkey").alias("zip_key")), table(s, d, "lineitem").select(F.col("l_orderkey").alias("zip_key"), F.col("l_linenumber").alias("norm_version")), 4),

@@ -46,10 +46,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """df written once as Parquet into the shared folder and read back: lineage ends here, and a lost executor only rereads it."""
+ROWS_A_FILE = 50_000
+
+
+def written(df: DataFrame, label: str, rows: int | None = None, **options: str) -> DataFrame:
+    """df written once as Parquet into the shared folder and read back: lineage ends here, and a lost executor only rereads it.
+
+    rows: about how many rows there are at most, where that is known; small tables of iterations then get few files.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(8, rows // ROWS_A_FILE + 1))
     df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
