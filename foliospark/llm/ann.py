@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from foliospark.session import table
 
 TREES, BITS = 64, 32
-SHARD_ROWS = 2048  # about; the number of shards grows with the table
+SHARD_ROWS = 4096  # about; the number of shards grows with the table
 QUERY_ROWS = 8192  # of a block that meets a shard, about
 #: Candidates wanted, as a share of a shard's distinct vectors counted once a tree, and at least so many. Vectors without any
-#: structure (as the synthetic ones) need about 0.4 of all rows for a recall of 0.9, and this gives about 0.97; clustered ones need far less.
+#: structure (as the synthetic ones) need about 0.4 of all rows for a recall of 0.9, and this gives about 0.95; clustered ones need far less.
 SHARE, LEAST = 0.8, 2000
 
 

@@ -13,24 +13,24 @@ def _state(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(id, component) of every vertex that is not the smallest of its component; component is that smallest id.
 
     edges: columns a, b (long). Loops, nulls and repeated edges change nothing; no edges give no rows. Each round is two
     aggregates and two joins, written into the shared folder; a vertex with very many edges only meets sums and joins
-    that Spark can split. The number of rounds grows with the logarithm of the size of a component.
+    that Spark can split. rows: about how many edges there are at most, if known. The number of rounds grows with the logarithm of the size of a component.
     """
     start = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    now = written(start, "components")
+    now = written(start, "components", rows)
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "components")
+        large = written(large, "components", 2 * state[0])
         first = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(first, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = written(small.unionByName(first.select("u", F.col("m").alias("v"))).distinct(), "components")
+        now = written(small.unionByName(first.select("u", F.col("m").alias("v"))).distinct(), "components", 2 * state[0])
         after = _state(now)
         if after == state:
             break

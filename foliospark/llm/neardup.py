@@ -3,8 +3,8 @@
 Documents are sets of word shingles. Rows with equal sets become one class, represented by its smallest doc_id. Several
 independent trees then branch the representatives: a node sends each of its members to the child of the minwise token
 that it has at a coordinate chosen by the node. Nodes of at most `limit` members are compared exhaustively; larger ones
-compare each member with one pivot and branch on. Once all but a few members of a node are linked by a pivot, those few are
-compared with all of the node. Sketches only nominate pairs; every link is confirmed on the full shingle sets.
+compare each member with a few pivots and branch on. Once all but a few members of a node are linked by pivots, those few
+are compared with all of the node. Sketches only nominate pairs; every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.graph import connected_components
 from foliospark.llm.textbytes import Texts, mix, shingles, slices
-from foliospark.session import table, written
+from foliospark.session import discard, table, written
 
 COORDINATES = 128
 ROOTS_PER_TREE = 2
@@ -28,6 +28,8 @@ _rng = np.random.Generator(np.random.PCG64(7))
 _MULTIPLIERS = _rng.integers(1, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _rng.integers(1, 2**63, 1024, dtype=np.uint64)
 ROWS = "node long, rep long, n long, sig binary, label long"
+PIVOTS = 6  # that the members of a large node are compared with
+PAIRS = "a long, b long, matches int"
 #: (coordinates that a child is chosen by, children) at each level, the last for all deeper ones: a linked pair is expected
 #: in about one child at least, a pair of lower similarity in ever fewer.
 STEPS = ((1, 1), (4, 2), (8, 4))
@@ -125,15 +127,14 @@ def _exhaustive(rows: DataFrame, percent: int, limit: int, least: int) -> DataFr
                     a, b = i[k : k + 20000], j[k : k + 20000]
                     matches = (sig[a] == sig[b]).sum(axis=1)
                     good = _near_enough(matches, n[a], n[b], percent, least)
-                    found.append((rep[a[good]], rep[b[good]]))
+                    found.append((rep[a[good]], rep[b[good]], matches[good]))
             keep = slice(max(0, len(node) - limit), None)
             tail = [x[keep].copy() for x in parts]
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                yield _pairs(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
     dealt = rows.repartition("node").sortWithinPartitions("node", "rep")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, PAIRS)
 
 
 def _against(rows: DataFrame, percent: int, least: int) -> DataFrame:
@@ -144,26 +145,78 @@ def _against(rows: DataFrame, percent: int, least: int) -> DataFrame:
             rep, n, other, other_n = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "other", "other_n"))
             matches = (_tokens(batch.column("sig")) == _tokens(batch.column("other_sig"))).sum(axis=1)
             near = np.flatnonzero(_near_enough(matches, n, other_n, percent, least) & (rep != other))
-            a, b = rep[near], other[near]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            yield _pairs(rep[near], other[near], matches[near])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, PAIRS)
+
+
+def _pairs(a: np.ndarray, b: np.ndarray, matches: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(matches.astype(np.int32))], ["a", "b", "matches"])
 
 
 def _compare(rows: DataFrame, percent: int, least: int, sure: int) -> DataFrame:
-    """Members of large nodes against their node's pivot: hit (a pair to confirm) and sure (linked, as far as sketches tell)."""
+    """Members of large nodes against their node's pivots: the pairs to confirm, and `mask`: the pivots that each seems linked to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rep, n, pivot, pivot_n = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "pivot", "pivot_n"))
-            matches = (_tokens(batch.column("sig")) == _tokens(batch.column("pivot_sig"))).sum(axis=1)
-            near = _near_enough(matches, n, pivot_n, percent, least)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in ("node", "rep", "n", "sig", "label", "pivot")), pa.array(near & (rep != pivot)), pa.array(near & (matches >= sure))],
-                ["node", "rep", "n", "sig", "label", "pivot", "hit", "sure"],
-            )
+            rep, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("rep", "n"))
+            sig = _tokens(batch.column("sig"))
+            pivots = batch.column("pivots")
+            at, of = pivots.offsets.to_numpy(), np.repeat(np.arange(len(rep)), np.diff(pivots.offsets.to_numpy()))
+            flat = pivots.values.slice(at[0], at[-1] - at[0])
+            p_rep, p_n = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "n"))
+            order = np.arange(len(of)) - (at[:-1] - at[0])[of]
+            matches = np.concatenate([(sig[of[k : k + 20000]] == _tokens(flat.field("sig").slice(k, 20000))).sum(axis=1) for k in range(0, len(of), 20000)] or [np.zeros(0, int)])
+            near = _near_enough(matches, n[of], p_n, percent, least)
+            mask = np.zeros(len(rep), np.int64)
+            np.bitwise_or.at(mask, of, np.where(near & (matches >= sure), np.int64(1) << order, 0))
+            pick = np.flatnonzero(near & (rep[of] != p_rep))
+            counts = np.bincount(of[pick], minlength=len(rep))
+            hits = pa.StructArray.from_arrays([pa.array(p_rep[pick]), pa.array(matches[pick].astype(np.int32))], ["pivot", "matches"])
+            hits = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), hits)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("node", "rep", "n", "sig", "label")), pa.array(mask), hits], ["node", "rep", "n", "sig", "label", "mask", "hits"])
+
+    return rows.mapInArrow(run, f"{ROWS}, mask long, hits array<struct<pivot:long,matches:int>>")
+
+
+def _merged_labels(seen: DataFrame) -> DataFrame:
+    """node, by_pivot (the new label of each pivot) and by_label (old label -> new): pivots and labels that share a member are one.
+
+    A node has at most 2**PIVOTS masks and no more labels than levels, so a node's row is small whatever its members.
+    """
 
-    return rows.mapInArrow(run, f"{ROWS}, pivot long, hit boolean, sure boolean")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pivots, labels = [], []
+            for seen_ in batch.column("seen").to_pylist():
+                root: dict = {}
+
+                def find(x, root=root):
+                    while root.setdefault(x, x) != x:
+                        x = root[x]
+                    return x
+
+                for s in seen_:
+                    linked = [("p", i) for i in range(PIVOTS) if s["mask"] >> i & 1] + ([("l", s["label"])] if s["label"] is not None else [])
+                    for x in linked:
+                        root[find(x)] = find(linked[0])
+                names: dict = {}
+                for s in seen_:  # a merged group is named by its smallest old or new name
+                    if s["label"] is not None:
+                        r = find(("l", s["label"]))
+                        names[r] = min(names.get(r, s["label"]), s["label"])
+                    for i in range(PIVOTS):
+                        if s["mask"] >> i & 1:
+                            r = find(("p", i))
+                            names[r] = min(names.get(r, s["least"]), s["least"])
+                pivots.append([names[find(("p", i))] if ("p", i) in root else None for i in range(PIVOTS)])
+                labels.append([(s["label"], names[find(("l", s["label"]))]) for s in seen_ if s["label"] is not None])
+            labels = [list(dict(x).items()) for x in labels]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(pivots, pa.list_(pa.int64())), pa.array(labels, pa.map_(pa.int64(), pa.int64()))], ["node", "by_pivot", "by_label"])
+
+    kinds = seen.filter("mask <> 0 or label is not null").groupBy("node", "mask", "label").agg(F.min("rep").alias("least"))
+    nodes = kinds.groupBy("node").agg(F.collect_list(F.struct("mask", "label", "least")).alias("seen"))
+    return nodes.mapInArrow(run, "node long, by_pivot array<long>, by_label map<long,long>")
 
 
 def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
@@ -187,48 +240,63 @@ def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
     return rows.select("node", "rep", "n", "sig", "label").mapInArrow(run, ROWS)
 
 
-def candidate_pairs(reps: DataFrame, percent: int, limit: int) -> DataFrame:
-    """Distinct pairs (a, b) that a tree nominates among reps (rep, n, nodes, sig)."""
+def candidate_pairs(sk: DataFrame, chosen: DataFrame, percent: int, limit: int) -> DataFrame:
+    """Distinct pairs (a, b, matches) that a tree nominates among the representatives (chosen: doc_id) with sketches sk.
+
+    matches: at how many of the COORDINATES the two signatures agree.
+    """
     spread = math.sqrt(COORDINATES * percent * (100 - percent)) / 100
     least = max(1, math.floor(COORDINATES * percent / 100 - 4 * spread))
-    sure = min(COORDINATES, math.ceil(COORDINATES * percent / 100 + 0.7 * spread))
-    roots = reps.select("rep", F.explode("nodes").alias("node"))
+    sure = min(COORDINATES, math.ceil(COORDINATES * percent / 100))
+    roots = sk.filter("n_shingles > 0").select("doc_id", "nodes").join(chosen, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), F.explode("nodes").alias("node")).distinct()
     shared = roots.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node")
-    hits = roots.join(shared, "node", "left_semi")
-    rows = written(hits.join(reps.select("rep", "n", "sig"), "rep").select("node", "rep", "n", "sig", F.lit(None).cast("long").alias("label")), "near-nodes")
-    small, crowds, links, level = [], [], [], 0
+    rows = first = written(roots.join(shared, "node", "left_semi").select("node", "rep", F.lit(None).cast("long").alias("label")), "near-roots")
+    sigs = sk.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig").join(first.select("rep").distinct(), "rep", "left_semi")
+    sigs = written(sigs.groupBy("rep").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "near-signatures")
+    levels, links, level = [], [], 0
     while True:
-        order = F.struct(F.col("label").isNotNull(), F.xxhash64("rep", F.lit(level)))
-        nodes = rows.groupBy("node", "label").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("o"), "rep")).alias("pivot"))
-        nodes = nodes.groupBy("node").agg(
-            F.sum("n").alias("members"),
-            F.max(F.when(F.col("label").isNotNull(), F.struct("n", "label"))).alias("crowd"),
-            F.min("pivot").alias("pivot"),
-        )
+        size = rows.count()
+        nodes = rows.groupBy("node", "label").agg(F.count("*").alias("n"))
+        nodes = nodes.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.when(F.col("label").isNotNull(), F.struct("n", "label"))).alias("crowd"))
         nodes = nodes.withColumn("outside", F.col("members") - F.coalesce("crowd.n", F.lit(0))).filter("members > 1 and outside > 0")
-        few = nodes.filter(F.col("members") <= limit).select("node")
-        small.append(rows.join(few, "node", "left_semi"))
-        # all but a few members are linked by one label: those few are compared with everyone in the node
-        crowded = nodes.filter((F.col("members") > limit) & (F.col("outside") <= limit)).select("node", F.col("crowd.label").alias("crowd"))
-        inside = rows.join(crowded, "node")
-        others = inside.filter("label is null or label <> crowd").select("node", F.col("rep").alias("other"), F.col("n").alias("other_n"), F.col("sig").alias("other_sig"))
-        crowds.append(inside.join(others, "node").select("rep", "n", "sig", "other", "other_n", "other_sig"))
-        many = nodes.filter((F.col("members") > limit) & (F.col("outside") > limit)).select("node", F.col("pivot.rep").alias("pivot"))
-        many = many.join(reps.select(F.col("rep").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sig").alias("pivot_sig")).dropDuplicates(["pivot"]), "pivot")
-        seen = written(_compare(rows.join(many, "node"), percent, least, sure), "near-pivots")
+        kind = F.when(F.col("members") <= limit, "few").when(F.col("outside") <= 2 * limit, "crowded").otherwise("many")
+        nodes = nodes.select("node", kind.alias("kind"), F.col("crowd.label").alias("crowd"), "members")
+        tagged = rows.join(nodes, "node")
+        tagged = tagged.join(sigs, "rep") if level == 0 else tagged
+        tagged = written(tagged.select("node", "rep", "n", "sig", "label", "kind", "crowd", "members"), "near-levels", size)
+        levels.append(tagged)
+        many = tagged.filter("kind = 'many'")
+        # a keyed share of the members, unlabelled ones likelier, are tried as pivots; about PIVOTS of them stay
+        draw = F.pmod(F.xxhash64("rep", "node", F.lit(level)), F.lit(1 << 30)) / (1 << 30) * F.when(F.col("label").isNull(), 1.0).otherwise(4.0)
+        tried = many.withColumn("draw", draw).filter(F.col("draw") * F.col("members") < 3 * PIVOTS)
+        place = F.row_number().over(Window.partitionBy("node").orderBy("draw", "rep"))
+        pivots = tried.withColumn("place", place).filter(F.col("place") <= PIVOTS).groupBy("node").agg(F.collect_list(F.struct("rep", "n", "sig")).alias("pivots"))
+        with arrow_rows(sk.sparkSession, 2000):
+            none = F.array().cast("array<struct<rep:bigint,n:bigint,sig:binary>>")
+            met = many.select("node", "rep", "n", "sig", "label").join(pivots, "node", "left").withColumn("pivots", F.coalesce("pivots", none))
+            seen = written(_compare(met, percent, least, sure), "near-pivots", size)
+        if level:
+            discard(rows)
         if seen.isEmpty():
             break
-        links.append(seen.filter("hit").select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")))
-        # what the pivot reaches, and all that earlier pivots had joined to it, now bears the pivot's label; a node has no more labels than levels
-        joined = seen.filter("sure").groupBy("node").agg(F.collect_set("label").alias("labels"))
-        relabelled = seen.join(joined, "node", "left")
-        same = F.col("sure") | F.coalesce(F.array_contains("labels", F.col("label")), F.lit(False))
-        relabelled = relabelled.withColumn("label", F.when(same, F.col("pivot")).otherwise(F.col("label")))
+        hits = seen.select("rep", F.explode("hits").alias("h"))
+        links.append(hits.select(F.least("rep", "h.pivot").alias("a"), F.greatest("rep", "h.pivot").alias("b"), "h.matches"))
+        # what pivots reach bears one label now, with all that earlier labels had joined to it
+        bit = F.length(F.regexp_extract(F.reverse(F.bin("mask")), "^0*", 0))
+        fresh = F.when(F.col("mask") != 0, F.get("by_pivot", bit)).otherwise(F.element_at("by_label", F.col("label")))
+        relabelled = seen.drop("hits").join(_merged_labels(seen), "node", "left").withColumn("label", F.coalesce(fresh, "label"))
         step, children = STEPS[min(level, len(STEPS) - 1)]
-        rows = written(_branch(relabelled, step, children), "near-branches")
+        rows = written(_branch(relabelled, step, children), "near-branches", size * children)
         level += 1
-    pairs = _exhaustive(_union(small), percent, limit, least)
-    return _union([pairs, _against(_union(crowds), percent, least), *links]).distinct()
+    tagged = _union(levels)
+    # all but a few members of a crowded node bear one label: those few are compared with everyone in it
+    crowded = tagged.filter("kind = 'crowded'")
+    others = crowded.filter("label is null or label <> crowd").select("node", F.col("rep").alias("other"), F.col("n").alias("other_n"), F.col("sig").alias("other_sig"))
+    found = [_exhaustive(tagged.filter("kind = 'few'").select("node", "rep", "n", "sig", "label"), percent, limit, least)]
+    found.append(_against(crowded.select("node", "rep", "n", "sig").join(others, "node").drop("node"), percent, least))
+    pairs = written(_union([*found, *links]).groupBy("a", "b").agg(F.max("matches").alias("matches")), "near-pairs")
+    discard(*levels, first)
+    return pairs
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -239,57 +307,107 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id and the sorted shingle hashes, 48 bits each: the upper 32 of all, then the lower 16 of all."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in slices(batch.column("text")):
                 values, bounds = _distinct_shingles(data, offsets, width)
-                sets = pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer((bounds * 8).astype(np.int64)), pa.py_buffer(values.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], sets.cast(pa.binary())], ["doc_id", "members"])
+                upper, lower = (values >> np.uint64(32)).astype("<u4"), (values >> np.uint64(16)).astype("<u2")
+                sets = [upper[a:b].tobytes() + lower[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], pa.array(sets, pa.binary())], ["doc_id", "members"])
 
     return docs.mapInArrow(run, "doc_id long, members binary")
 
 
-def confirmed_links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
+def _members(raw: pa.Buffer) -> np.ndarray:
+    n = len(raw) // 6
+    return (np.frombuffer(raw, "<u4", n).astype(np.uint64) << np.uint64(16)) | np.frombuffer(raw, "<u2", n, 4 * n)
+
+
+FILTER_BITS = 26  # of the filter that keeps texts without a candidate pair from being shuffled: 8 MB whatever the table
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is in ids. A bitmap of hashed ids, of fixed size, goes to all tasks first and holds back most other texts."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
+    bitmap = ids.select(place("doc_id").alias("x")).groupBy(F.bitmap_bucket_number("x").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits"))
+    x = docs.select("doc_id", "text").withColumn("x", place("doc_id"))
+    x = x.withColumn("bucket", F.bitmap_bucket_number("x")).join(F.broadcast(bitmap), "bucket").withColumn("at", F.bitmap_bit_position("x"))
+    byte = F.conv(F.hex(F.substr("bits", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    x = x.filter(F.expr("1") == F.floor(byte / F.pow(F.lit(2), F.col("at") % 8)) % 2)
+    return x.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+
+
+def confirmed_links(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets (doc_id, members) have 100 * intersection >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = _members(x.as_buffer()), _members(y.as_buffer())
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 good.append(bool(common) and 100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    joined = pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x")), "a")
+    joined = joined.join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
+    with arrow_rows(pairs.sparkSession, 100):
+        return written(joined.mapInArrow(run, "a long, b long"), "near-links")
+
+
+def linked_components(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, component) of the graph of the confirmed pairs (a, b, matches), as connected_components gives it.
+
+    Likelier pairs are confirmed first, two of each document, then all others; a pair whose ends are joined already can't change
+    anything and isn't looked at. No other pair is left out.
+    """
     spark = docs.sparkSession
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     with arrow_rows(spark, 500):
-        sets = written(_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width), "near-sets")
-    joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x")), "a")
-    joined = joined.join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
-    with arrow_rows(spark, 100):
-        return written(joined.mapInArrow(run, "a long, b long"), "near-links")
+        sets = written(_sets(_texts_of(docs, ids), width), "near-sets")
+    links, found, todo, n_pairs = None, None, pairs, pairs.count()
+    for first in (2, None):
+        if found is not None:
+            ends = [found.select(F.col("id").alias(k), F.col("component").alias(f"{k}_in")) for k in "ab"]
+            todo = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+            todo = todo.filter(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b", "matches")
+        if first is not None:
+            sides = todo.select(F.col("a").alias("id"), "a", "b", "matches").unionByName(todo.select(F.col("b").alias("id"), "a", "b", "matches"))
+            best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("matches"), "a", "b"))
+            todo = sides.withColumn("place", best).filter(F.col("place") <= first).select("a", "b").distinct()
+        todo = written(todo.select("a", "b"), "near-round", n_pairs)
+        if todo.isEmpty():
+            break
+        new = confirmed_links(sets, todo, percent)
+        links = new if links is None else links.unionByName(new)
+        found = connected_components(links, n_pairs)
+        # a pair that failed stays out: its two sets won't change
+        pairs = pairs.join(todo, ["a", "b"], "left_anti")
+    discard(sets)
+    return found if found is not None else connected_components(pairs)
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 8, limit: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 5, limit: int = 16) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text); other columns are ignored.
 
     Words are runs outside 0x20 and 0x09-0x0D with A-Z in lower case. A document's set holds its distinct shingles of
     `width` words; with fewer words the whole sequence is its only member; without words (or with a null text) the set is
     empty and linked with nothing. Documents with 100 * intersection >= percent * union are linked; component_id is the
     smallest doc_id reachable, kept is doc_id = component_id. Repeated rows stay repeated and count as one document.
-    Rows with a null doc_id are linked with nothing. An empty table gives no rows. Shingles are compared by 64-bit hashes.
+    Rows with a null doc_id are linked with nothing. An empty table gives no rows. Shingles are told
+    apart by hashes of 64 bits, in confirmed pairs of 48.
     """
     sk = written(sketches(docs, width, trees), "near-sketches")
     classes = sk.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     members = written(sk.select("doc_id", "n_shingles", "h1", "h2").join(classes, ["h1", "h2", "n_shingles"], "left").select("doc_id", "n_shingles", "rep"), "near-members")
     chosen = members.filter("doc_id = rep").select("doc_id").distinct()
-    reps = sk.join(chosen, "doc_id", "left_semi").filter("n_shingles > 0").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "nodes", "sig")
-    reps = written(reps, "near-reps")
-    pairs = written(candidate_pairs(reps, percent, limit), "near-pairs")
-    found = connected_components(confirmed_links(docs, pairs, width, percent))
+    pairs = candidate_pairs(sk, chosen, percent, limit)
+    discard(sk)
+    found = linked_components(docs, pairs, width, percent)
     out = members.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     out = out.withColumn("component_id", F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))

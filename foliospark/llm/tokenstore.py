@@ -64,13 +64,63 @@ def cut_points(ids: np.ndarray) -> list[int]:
     return cuts
 
 
+class WordEncoder:
+    """Ids of white-space-free units by a tokenizers file, for tokenizers that drop white space.
+
+    Where tokens mark the ends of words and letters are always one word, units of letters (and trailing marks) are encoded
+    many at a time in one text and told apart by those ends. All other units are encoded alone.
+    """
+
+    MARKS = ".,!?;:%$&#*|"  # never part of a word with letters
+    AT_ONCE, MOST = 4000, 200_000
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        alone = lambda x: self._many([x])[0].tolist()
+        probe = "Spark, cluster. Data"
+        parts = ["Spark", ",", "cluster", ".", "Data"]
+        self.split = bool(self.ends.any()) and alone(probe) == sum(map(alone, parts), []) and all(self.ends[alone(x)[-1]] for x in parts)
+        self.folds = all(alone(chr(c)) == alone(chr(c + 32)) for c in range(65, 91))
+        self.words: dict[str, np.ndarray] = {"": np.zeros(0, np.int32)}
+
+    def _many(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add_words(self, words: list[str]) -> None:
+        for k in range(0, len(words), self.AT_ONCE):
+            part = words[k : k + self.AT_ONCE]
+            ids = self._many([" ".join(part)])[0]
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                self.words.update(zip(part, np.split(ids, ends[:-1]), strict=True))
+            else:
+                self.words.update(zip(part, self._many(part), strict=True))
+
+    def __call__(self, units: list[bytes]) -> list[np.ndarray]:
+        texts = [(u.lower() if self.folds else u).decode() for u in units]
+        if not self.split:
+            return self._many(texts)
+        cores = [x.rstrip(self.MARKS) for x in texts]
+        plain = [c.isalpha() or not c for c in cores]
+        tails = [x[len(c) :] for x, c in zip(texts, cores, strict=True)]
+        if len(self.words) > self.MOST:
+            self.words = {"": self.words[""]}
+        self._add_words(list({c for c, ok in zip(cores, plain, strict=True) if ok and c not in self.words}))
+        other = list({x for x, ok in zip(texts, plain, strict=True) if not ok} | {t for t, ok in zip(tails, plain, strict=True) if ok and t and t not in self.words})
+        self.words.update(zip(other, self._many(other), strict=True))
+        get = self.words.__getitem__
+        return [(np.concatenate([get(c), get(t)]) if t else get(c)) if ok else get(x) for x, c, t, ok in zip(texts, cores, tails, plain, strict=True)]
+
+
 @lru_cache(maxsize=2)
 def _cache(path: str) -> UnitCache:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    return UnitCache(lambda units: [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)])
+    return UnitCache(WordEncoder(path), most=400_000)
 
 
 def encode(docs: DataFrame, path: str, end_id: int, id_bytes: int = 2) -> DataFrame:
