@@ -3,8 +3,9 @@
 Documents are sets of word shingles. Rows with equal sets become one class, represented by its smallest doc_id. Several
 independent trees then branch the representatives: a node sends each of its members to the child of the minwise token
 that it has at a coordinate chosen by the node. Nodes of at most `limit` members are compared exhaustively; larger ones
-compare each member with a few pivots and branch on. Once all but a few members of a node are linked by pivots, those few
-are compared with all of the node. Sketches only nominate pairs; every link is confirmed on the full shingle sets.
+compare each member with a few pivots and branch on. Members whose links to a pivot are confirmed on the full shingle sets
+share a label; once all but a few members of a node bear one label, those few are compared with all of the node. Sketches only
+nominate pairs; every link is confirmed on the full shingle sets, and no pair is left out on the word of a sketch.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ PAIRS = "a long, b long, matches int"
 #: (coordinates that a child is chosen by, children) at each level, the last for all deeper ones: a linked pair is expected
 #: in about one child at least, a pair of lower similarity in ever fewer.
 STEPS = ((1, 1), (4, 2), (8, 4))
+DEEPEST = 12  # level of nodes whose members can't be told apart by branching: those are compared in full
 
 
 @contextmanager
@@ -155,7 +157,10 @@ def _pairs(a: np.ndarray, b: np.ndarray, matches: np.ndarray) -> pa.RecordBatch:
 
 
 def _compare(rows: DataFrame, percent: int, least: int, sure: int) -> DataFrame:
-    """Members of large nodes against their node's pivots: the pairs to confirm, and `mask`: the pivots that each seems linked to."""
+    """Members of large nodes against their node's pivots.
+
+    hits: the pairs to confirm, with `likely` where the link may give a label. mask: the pivots that a member is joined to already, itself included.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,18 +170,21 @@ def _compare(rows: DataFrame, percent: int, least: int, sure: int) -> DataFrame:
             at, of = pivots.offsets.to_numpy(), np.repeat(np.arange(len(rep)), np.diff(pivots.offsets.to_numpy()))
             flat = pivots.values.slice(at[0], at[-1] - at[0])
             p_rep, p_n = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "n"))
+            label, p_label = (x.fill_null(-1).to_numpy(zero_copy_only=False) for x in (batch.column("label"), flat.field("label")))
             order = np.arange(len(of)) - (at[:-1] - at[0])[of]
             matches = np.concatenate([(sig[of[k : k + 20000]] == _tokens(flat.field("sig").slice(k, 20000))).sum(axis=1) for k in range(0, len(of), 20000)] or [np.zeros(0, int)])
             near = _near_enough(matches, n[of], p_n, percent, least)
             mask = np.zeros(len(rep), np.int64)
-            np.bitwise_or.at(mask, of, np.where(near & (matches >= sure), np.int64(1) << order, 0))
-            pick = np.flatnonzero(near & (rep[of] != p_rep))
+            joined = (rep[of] == p_rep) | ((p_label >= 0) & (label[of] == p_label))
+            np.bitwise_or.at(mask, of, np.where(joined, np.int64(1) << order, 0))
+            pick = np.flatnonzero(near & ~joined)
             counts = np.bincount(of[pick], minlength=len(rep))
-            hits = pa.StructArray.from_arrays([pa.array(p_rep[pick]), pa.array(matches[pick].astype(np.int32))], ["pivot", "matches"])
+            hits = [p_rep[pick], matches[pick].astype(np.int32), order[pick].astype(np.int32), matches[pick] >= sure]
+            hits = pa.StructArray.from_arrays([pa.array(x) for x in hits], ["pivot", "matches", "place", "likely"])
             hits = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), hits)
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("node", "rep", "n", "sig", "label")), pa.array(mask), hits], ["node", "rep", "n", "sig", "label", "mask", "hits"])
 
-    return rows.mapInArrow(run, f"{ROWS}, mask long, hits array<struct<pivot:long,matches:int>>")
+    return rows.mapInArrow(run, f"{ROWS}, mask long, hits array<struct<pivot:long,matches:int,place:int,likely:boolean>>")
 
 
 def _merged_labels(seen: DataFrame) -> DataFrame:
@@ -240,9 +248,18 @@ def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
     return rows.select("node", "rep", "n", "sig", "label").mapInArrow(run, ROWS)
 
 
-def candidate_pairs(sk: DataFrame, chosen: DataFrame, percent: int, limit: int) -> DataFrame:
-    """Distinct pairs (a, b, matches) that a tree nominates among the representatives (chosen: doc_id) with sketches sk.
+def _confirmed_masks(seen: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """node, rep and mask: the pivots whose likely link to the member holds on the full sets. A failed pair gives no label."""
+    likely = seen.select("node", "rep", F.explode("hits").alias("h")).filter("h.likely")
+    likely = likely.select("node", "rep", F.least("rep", "h.pivot").alias("a"), F.greatest("rep", "h.pivot").alias("b"), "h.place")
+    links = confirmed_links(sets, likely.select("a", "b").distinct(), percent)
+    return likely.join(links.distinct(), ["a", "b"]).groupBy("node", "rep").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("linked"))
+
+
+def candidate_pairs(sk: DataFrame, chosen: DataFrame, docs: DataFrame, width: int, percent: int, limit: int) -> DataFrame:
+    """Distinct pairs (a, b, matches) that a tree nominates among the representatives (chosen: doc_id) with sketches sk of docs.
 
+    A pair that is nominated by no tree for having one label is joined by confirmed links of other pairs that are returned.
     matches: at how many of the COORDINATES the two signatures agree.
     """
     spread = math.sqrt(COORDINATES * percent * (100 - percent)) / 100
@@ -253,13 +270,13 @@ def candidate_pairs(sk: DataFrame, chosen: DataFrame, percent: int, limit: int)
     rows = first = written(roots.join(shared, "node", "left_semi").select("node", "rep", F.lit(None).cast("long").alias("label")), "near-roots")
     sigs = sk.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig").join(first.select("rep").distinct(), "rep", "left_semi")
     sigs = written(sigs.groupBy("rep").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "near-signatures")
-    levels, links, level = [], [], 0
+    levels, links, level, sets = [], [], 0, None
     while True:
         size = rows.count()
         nodes = rows.groupBy("node", "label").agg(F.count("*").alias("n"))
         nodes = nodes.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.when(F.col("label").isNotNull(), F.struct("n", "label"))).alias("crowd"))
         nodes = nodes.withColumn("outside", F.col("members") - F.coalesce("crowd.n", F.lit(0))).filter("members > 1 and outside > 0")
-        kind = F.when(F.col("members") <= limit, "few").when(F.col("outside") <= 2 * limit, "crowded").otherwise("many")
+        kind = F.when(F.col("members") <= limit, "few").when((F.col("outside") <= 2 * limit) | F.lit(level >= DEEPEST), "crowded").otherwise("many")
         nodes = nodes.select("node", kind.alias("kind"), F.col("crowd.label").alias("crowd"), "members")
         tagged = rows.join(nodes, "node")
         tagged = tagged.join(sigs, "rep") if level == 0 else tagged
@@ -270,9 +287,9 @@ def candidate_pairs(sk: DataFrame, chosen: DataFrame, percent: int, limit: int)
         draw = F.pmod(F.xxhash64("rep", "node", F.lit(level)), F.lit(1 << 30)) / (1 << 30) * F.when(F.col("label").isNull(), 1.0).otherwise(4.0)
         tried = many.withColumn("draw", draw).filter(F.col("draw") * F.col("members") < 3 * PIVOTS)
         place = F.row_number().over(Window.partitionBy("node").orderBy("draw", "rep"))
-        pivots = tried.withColumn("place", place).filter(F.col("place") <= PIVOTS).groupBy("node").agg(F.collect_list(F.struct("rep", "n", "sig")).alias("pivots"))
+        pivots = tried.withColumn("place", place).filter(F.col("place") <= PIVOTS).groupBy("node").agg(F.collect_list(F.struct("rep", "n", "sig", "label")).alias("pivots"))
         with arrow_rows(sk.sparkSession, 2000):
-            none = F.array().cast("array<struct<rep:bigint,n:bigint,sig:binary>>")
+            none = F.array().cast("array<struct<rep:bigint,n:bigint,sig:binary,label:bigint>>")
             met = many.select("node", "rep", "n", "sig", "label").join(pivots, "node", "left").withColumn("pivots", F.coalesce("pivots", none))
             seen = written(_compare(met, percent, least, sure), "near-pivots", size)
         if level:
@@ -281,10 +298,15 @@ def candidate_pairs(sk: DataFrame, chosen: DataFrame, percent: int, limit: int)
             break
         hits = seen.select("rep", F.explode("hits").alias("h"))
         links.append(hits.select(F.least("rep", "h.pivot").alias("a"), F.greatest("rep", "h.pivot").alias("b"), "h.matches"))
-        # what pivots reach bears one label now, with all that earlier labels had joined to it
+        if sets is None:  # members of large nodes below come from the large ones here
+            with arrow_rows(sk.sparkSession, 500):
+                sets = written(_sets(_texts_of(docs, seen.select(F.col("rep").alias("doc_id")).distinct()), width), "near-node-sets")
+        linked = F.col("mask").bitwiseOR(F.coalesce("linked", F.lit(0)))
+        seen = written(seen.drop("hits").join(_confirmed_masks(seen, sets, percent), ["node", "rep"], "left").withColumn("mask", linked).drop("linked"), "near-labels", size)
+        # what pivots are linked to bears one label now, with all that earlier labels had joined to it
         bit = F.length(F.regexp_extract(F.reverse(F.bin("mask")), "^0*", 0))
         fresh = F.when(F.col("mask") != 0, F.get("by_pivot", bit)).otherwise(F.element_at("by_label", F.col("label")))
-        relabelled = seen.drop("hits").join(_merged_labels(seen), "node", "left").withColumn("label", F.coalesce(fresh, "label"))
+        relabelled = seen.join(_merged_labels(seen), "node", "left").withColumn("label", F.coalesce(fresh, "label"))
         step, children = STEPS[min(level, len(STEPS) - 1)]
         rows = written(_branch(relabelled, step, children), "near-branches", size * children)
         level += 1
@@ -295,7 +317,7 @@ def candidate_pairs(sk: DataFrame, chosen: DataFrame, percent: int, limit: int)
     found = [_exhaustive(tagged.filter("kind = 'few'").select("node", "rep", "n", "sig", "label"), percent, limit, least)]
     found.append(_against(crowded.select("node", "rep", "n", "sig").join(others, "node").drop("node"), percent, least))
     pairs = written(_union([*found, *links]).groupBy("a", "b").agg(F.max("matches").alias("matches")), "near-pairs")
-    discard(*levels, first)
+    discard(*levels, first, *([sets] if sets is not None else []))
     return pairs
 
 
@@ -405,7 +427,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
     classes = sk.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     members = written(sk.select("doc_id", "n_shingles", "h1", "h2").join(classes, ["h1", "h2", "n_shingles"], "left").select("doc_id", "n_shingles", "rep"), "near-members")
     chosen = members.filter("doc_id = rep").select("doc_id").distinct()
-    pairs = candidate_pairs(sk, chosen, percent, limit)
+    pairs = candidate_pairs(sk, chosen, docs, width, percent, limit)
     discard(sk)
     found = linked_components(docs, pairs, width, percent)
     out = members.join(found.withColumnRenamed("id", "rep"), "rep", "left")
