@@ -31,12 +31,34 @@ _ADDENDS = _rng.integers(1, 2**63, 1024, dtype=np.uint64)
 ROWS = "node long, rep long, n long, sig binary, label long"
 PIVOTS = 6  # that the members of a large node are compared with
 PAIRS = "a long, b long, matches int"
-#: (coordinates that a child is chosen by, children) at each level, the last for all deeper ones: a linked pair is expected
-#: in about one child at least, a pair of lower similarity in ever fewer.
-STEPS = ((1, 1), (4, 2), (8, 4))
+COORDINATES_OF_LEVEL = (1, 4, 8)  # that a child is chosen by, the last for all deeper levels
+EXPECTED_CHILDREN = 1.05  # in which a pair at the limit meets again, at least: above 1, so that it may meet at any depth
+RECALL = 0.99  # chance that the trees nominate a pair at the limit, whatever depth its nodes reach
+LEAST_TREES = 8
 DEEPEST = 12  # level of nodes whose members can't be told apart by branching: those are compared in full
 
 
+def steps(percent: int) -> list[tuple[int, int]]:
+    """(coordinates, children) of each level, the last for all deeper ones."""
+    return [(k, math.ceil(EXPECTED_CHILDREN / (percent / 100) ** k)) for k in COORDINATES_OF_LEVEL]
+
+
+def meeting_chance(percent: int, depth: int = DEEPEST) -> float:
+    """Chance that a pair at the limit shares a root node and a line of nodes from it down to `depth`: the survival of a branching process."""
+    plan, s, alive = steps(percent), percent / 100, 1.0
+    for level in reversed(range(depth)):
+        k, children = plan[min(level, len(plan) - 1)]
+        alive = 1 - (1 - s**k * alive) ** children
+    return s * alive
+
+
+def needed_trees(percent: int) -> int:
+    """Independent trees for the target RECALL at DEEPEST, where nodes are compared in full."""
+    alone = 1 - meeting_chance(percent)
+    roots = math.ceil(math.log(1 - RECALL) / math.log(alone)) if alone > 0 else 1
+    return max(LEAST_TREES, -(-roots // ROOTS_PER_TREE))
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Smaller Arrow batches for the jobs inside, whose rows are large."""
@@ -307,7 +329,7 @@ def candidate_pairs(sk: DataFrame, chosen: DataFrame, docs: DataFrame, width: in
         bit = F.length(F.regexp_extract(F.reverse(F.bin("mask")), "^0*", 0))
         fresh = F.when(F.col("mask") != 0, F.get("by_pivot", bit)).otherwise(F.element_at("by_label", F.col("label")))
         relabelled = seen.join(_merged_labels(seen), "node", "left").withColumn("label", F.coalesce(fresh, "label"))
-        step, children = STEPS[min(level, len(STEPS) - 1)]
+        step, children = steps(percent)[min(level, len(COORDINATES_OF_LEVEL) - 1)]
         rows = written(_branch(relabelled, step, children), "near-branches", size * children)
         level += 1
     tagged = _union(levels)
@@ -413,7 +435,7 @@ def linked_components(docs: DataFrame, pairs: DataFrame, width: int, percent: in
     return found if found is not None else connected_components(pairs)
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 5, limit: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int | None = None, limit: int = 16) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text); other columns are ignored.
 
     Words are runs outside 0x20 and 0x09-0x0D with A-Z in lower case. A document's set holds its distinct shingles of
@@ -421,8 +443,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
     empty and linked with nothing. Documents with 100 * intersection >= percent * union are linked; component_id is the
     smallest doc_id reachable, kept is doc_id = component_id. Repeated rows stay repeated and count as one document.
     Rows with a null doc_id are linked with nothing. An empty table gives no rows. Shingles are told
-    apart by hashes of 64 bits, in confirmed pairs of 48.
+    apart by hashes of 64 bits, in confirmed pairs of 48. trees: as many as needed_trees(percent) if not given.
     """
+    trees = needed_trees(percent) if trees is None else trees
     sk = written(sketches(docs, width, trees), "near-sketches")
     classes = sk.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     members = written(sk.select("doc_id", "n_shingles", "h1", "h2").join(classes, ["h1", "h2", "n_shingles"], "left").select("doc_id", "n_shingles", "rep"), "near-members")

@@ -44,3 +44,34 @@ def test_a_crowd_just_below_the_limit_hides_no_link(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 3, 85).collect()}
     assert got == want
+
+
+def test_trees_reach_their_recall_at_every_depth():
+    for percent in (60, 70, 80, 85, 90):
+        for k, children in neardup.steps(percent):
+            assert children * (percent / 100) ** k >= 1
+        roots = neardup.needed_trees(percent) * neardup.ROOTS_PER_TREE
+        assert roots >= 16
+        assert all(1 - (1 - neardup.meeting_chance(percent, depth)) ** roots >= neardup.RECALL for depth in range(neardup.DEEPEST + 1))
+
+
+def test_recall_in_a_deep_family(spark):
+    """Documents that share most of a template: pairs just above the limit in nodes that only branching divides."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(800)]
+    texts = []
+    for i in range(200):
+        places = rng.sample(range(6, 790, 3), 26)
+        for name, own in (("x", places[10:18]), ("y", places[18:])):
+            words = list(base)
+            for k in places[:10] + own:
+                words[k] = f"{name if k in own else 'c'}{i}_{k}"
+            for k in range(790, 790 + 9):  # and no common end
+                words[k] = f"{name}{i}_{k}"
+            texts.append(" ".join(words))
+    linked, want = components(texts, 5, 80)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 5, 80).collect()}
+    assert all(got[i] >= want[i] for i in got)  # nothing is linked that isn't
+    met = sum(got[i] == got[j] for i, j in linked)
+    assert len(linked) >= 60 and met >= neardup.RECALL * len(linked) - 1, (met, len(linked))
