@@ -23,9 +23,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: shingles of 5 words, similarity of 0.8 or more."""
+    """One document of each group of near-duplicates: shingles of 5 words, similarity of 0.8 or more. Rows with a null doc_id are linked with nothing and stay."""
     kept = neardup.near_duplicates(docs, width=5, percent=80).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    named = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return named.unionByName(docs.filter("doc_id is null"))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +35,11 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix of sources takes it."""
-    sized = written(mixing.sized_documents(docs), "mix-sizes")
-    taken = mixing.mix_sources(sized).filter("repeats > 0").groupBy("doc_id").agg(F.max("repeats").alias("__repeats"))
-    rows = docs.join(taken, "doc_id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats"))))
+    """Each document as many times as the mix of sources takes it. Rows with a null doc_id are told apart by a hash of source and text."""
+    keyed = docs.withColumn("__id", F.coalesce("doc_id", F.xxhash64(F.lit("no id"), "source", "text")))
+    sized = written(mixing.sized_documents(keyed.withColumn("doc_id", F.col("__id"))), "mix-sizes")
+    taken = mixing.mix_sources(sized).filter("repeats > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("repeats").alias("__repeats"))
+    rows = keyed.join(taken, "__id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats"))))
     return rows.select(docs.columns)
 
 

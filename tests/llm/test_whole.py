@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from foliospark.llm import neardup
 
 
@@ -75,3 +77,15 @@ def test_recall_in_a_deep_family(spark):
     assert all(got[i] >= want[i] for i in got)  # nothing is linked that isn't
     met = sum(got[i] == got[j] for i, j in linked)
     assert len(linked) >= 60 and met >= neardup.RECALL * len(linked) - 1, (met, len(linked))
+
+
+def test_stages_keep_documents_without_id(spark, small):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rows = [(None, f"text number {i} of a source that lacks ids", "en", "a", 9) for i in range(6)] + [(i, f"named text {i} is here", "en", "b", 9) for i in range(6)]
+    docs = spark.createDataFrame([*rows, (7, "named text 1 is here", "en", "b", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, small)
+    assert out.columns == docs.columns
+    assert sorted(r.text for r in out.collect()) == sorted(r[1] for r in rows)
+    mixed = corpus_pipeline.mix(spark, docs.filter("doc_id is null"), small)
+    assert mixed.columns == docs.columns
+    assert {r.text for r in mixed.collect()} == {r[1] for r in rows if r[0] is None}
