@@ -4,7 +4,8 @@ Every rule is an integer per-mille statistic of a whole text ("high is bad") and
 strict. Labelled good documents are the holdout. In each stratum a cutoff is accepted while an exact binomial
 (Clopper-Pearson) bound shows that it rejects at most `alpha / rules` of the good documents; tests inside a grid run in
 fixed order and stop at the first failure, and the level `delta` is split over strata and rules (Bonferroni). So with
-probability 1 - delta, in every stratum at once, at most `alpha` of the good documents are rejected by any rule.
+probability 1 - delta, in every stratum at once, at most `alpha` of the good documents are rejected by any rule. A stratum
+with too few labels to show that gets no cutoff and loses nothing to these rules.
 """
 
 from __future__ import annotations
@@ -123,22 +124,22 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def risk_controlled_cutoffs(
-    good: DataFrame, rules: list[str], grid: tuple[int, ...] = GRID, alpha: float = 0.1, delta: float = 0.1, least: int = 1000
+    good: DataFrame, rules: list[str], grid: tuple[int, ...] = GRID, alpha: float = 0.1, delta: float = 0.1
 ) -> DataFrame:
     """(stratum, rule, cutoff, n, k): the strictest cutoff of each rule and stratum that holds the risk; no row where none does.
 
-    good: labelled good rows with `stratum` and a column r_<rule> for each rule. Strata with fewer than `least` good rows are
-    pooled as '*' (tested as one stratum), so at most n / least + 1 strata exist and only their counts reach the driver.
-    An empty holdout gives no cutoffs: nothing may be rejected then.
+    good: labelled good rows with `stratum` and a column r_<rule> for each rule. Every stratum is tested by itself. One whose
+    bound would fail with no rejection at all, by its number of rows, isn't tested and takes no share of delta; so only counts of strata
+    of some hundred rows reach the driver. An empty holdout gives no cutoffs: nothing may be rejected then.
     """
-    spark = good.sparkSession
-    sizes = good.groupBy("stratum").count()
-    large = [r[0] for r in sizes.filter(F.col("count") >= least).collect()]
-    pooled = good.withColumn("stratum", F.when(F.col("stratum").isin(large), F.col("stratum")).otherwise("*"))
-    counts = pooled.groupBy("stratum").agg(
+    spark, p = good.sparkSession, alpha / len(rules)
+    counts = good.groupBy("stratum").agg(
         F.count("*").alias("n"), *(F.count_if(F.col(f"r_{r}") > c).alias(f"{r}:{c}") for r in rules for c in grid)
     )
-    rows = counts.collect()
+    can_pass = lambda n, strata: binomial_tail(0, n, p) <= delta / (strata * len(rules))
+    rows = counts.filter(F.col("n") >= math.floor(math.log(delta / len(rules)) / math.log1p(-p))).collect()
+    rows.sort(key=lambda r: (-r["n"], r["stratum"]))
+    rows = rows[: max((i for i, r in enumerate(rows, 1) if can_pass(r["n"], i)), default=0)]
     level = delta / max(1, len(rows) * len(rules))
     found = []
     for row in rows:
@@ -146,7 +147,7 @@ def risk_controlled_cutoffs(
             best = None
             for c in grid:
                 k = row[f"{rule}:{c}"]
-                if binomial_tail(k, row["n"], alpha / len(rules)) > level:
+                if binomial_tail(k, row["n"], p) > level:
                     break
                 best = (row["stratum"], rule, c, row["n"], k)
             if best:
@@ -167,13 +168,8 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, alpha: float = 0.1, del
     good = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
     cutoffs = risk_controlled_cutoffs(stats.filter(~F.col("base_failed")).join(good, "doc_id", "left_semi"), list(RULES), alpha=alpha, delta=delta)
     by_stratum = cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts"))
-    known = F.broadcast(by_stratum)  # at most one row a stratum, as bounded above
-    pooled = F.broadcast(by_stratum.filter("stratum = '*'").select(F.col("cuts").alias("pooled_cuts")))
-    joined = stats.join(known, "stratum", "left").join(pooled, F.lit(True), "left")
-    large = F.broadcast(cutoffs.filter("stratum <> '*'").select("stratum", F.lit(True).alias("own")).distinct())
-    joined = joined.join(large, "stratum", "left")
-    cut = lambda rule: F.when(F.col("own"), F.col("cuts")[rule]).otherwise(F.col("pooled_cuts")[rule])
-    failed = F.array_compact(F.array(*(F.when(F.col(f"r_{r}") > cut(r), F.lit(r)) for r in RULES)))
+    joined = stats.join(F.broadcast(by_stratum), "stratum", "left")  # one row a stratum that was tested; others have no cutoff
+    failed = F.array_compact(F.array(*(F.when(F.col(f"r_{r}") > F.col("cuts")[r], F.lit(r)) for r in RULES)))
     joined = joined.withColumn("failed", failed)
     return joined.withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0)).select("doc_id", "stratum", *STATS, "base_failed", "failed", "kept")
 

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from foliospark.llm import neardup
+from foliospark.llm import neardup, quality
 
 
 def shingle_set(text, width):
@@ -89,3 +89,22 @@ def test_stages_keep_documents_without_id(spark, small):
     mixed = corpus_pipeline.mix(spark, docs.filter("doc_id is null"), small)
     assert mixed.columns == docs.columns
     assert {r.text for r in mixed.collect()} == {r[1] for r in rows if r[0] is None}
+
+
+def test_small_strata_take_no_cutoff_from_others(spark):
+    plain = " ".join(f"word{k}" for k in range(30))
+    docs = [(i, plain, "en") for i in range(1200)] + [(i, plain, "de") for i in range(1200, 2200)]
+    docs += [(i, plain.upper(), "xx") for i in range(3000, 3040)]  # good, but unlike the others
+    docs += [(i, plain.upper(), lang) for i, lang in enumerate(("en", "de", "zz", None), 4000)]
+    labels = spark.createDataFrame([(i, 1) for i in [*range(2200), *range(3000, 3040)]], "doc_id long, quality int")
+    rows = quality.quality_verdicts(spark.createDataFrame(docs, "doc_id long, text string, lang string"), labels).collect()
+    dropped = {r.doc_id for r in rows if not r.kept}
+    assert len(rows) == len(docs) and dropped == {4000, 4001}
+
+
+def test_a_pool_of_small_strata_has_no_cutoff(spark):
+    plain = " ".join(f"word{k}" for k in range(30))
+    docs = [(100 * g + i, plain, f"l{g}") for g in range(12) for i in range(100)] + [(9000, plain.upper(), "l0"), (9001, plain.upper(), "zz")]
+    labels = spark.createDataFrame([(i, 1) for i in range(1200)], "doc_id long, quality int")
+    rows = quality.quality_verdicts(spark.createDataFrame(docs, "doc_id long, text string, lang string"), labels).collect()
+    assert len(rows) == len(docs) and all(r.kept for r in rows)
