@@ -213,6 +213,21 @@ def write_manifest(spark: SparkSession, folder: str) -> None:
     manifest_nodes(spark.read.parquet(f"{folder}/recipes")).write.parquet(f"{folder}/manifest")
 
 
+def verify_recipes(spark: SparkSession, folder: str) -> None:
+    """Fails unless the recipes give the stored manifest, node by node, and each start is the sum of the lengths before it."""
+    recipes = spark.read.parquet(f"{folder}/recipes").select("doc_id", "start", "n_tokens", "root")
+    found = manifest_nodes(recipes).select("level", "node", F.struct("n_docs", "root").alias("found"))
+    stored = spark.read.parquet(f"{folder}/manifest").select("level", "node", F.struct("n_docs", "root").alias("stored"))
+    wrong = found.join(stored, ["level", "node"], "full").filter(~F.col("found").eqNullSafe(F.col("stored")))
+    first = wrong.select("level", "node").first()
+    if first:
+        raise ValueError(f"the recipes aren't what the manifest says, at level {first['level']}, node {first['node']}")
+    rows = recipes.withColumn("tie", F.struct("root", "start")).withColumnRenamed("start", "was")
+    first = with_starts(rows, "doc_id", "n_tokens", "tie").filter("start is distinct from was").select("doc_id").first()
+    if first:
+        raise ValueError(f"the start of document {first['doc_id']} isn't the sum of the lengths before it")
+
+
 def _zero_tables() -> np.ndarray:
     """For each k, the effect on a CRC-32 of 2**k zero bytes, by the four bytes of its value."""
     basis = [np.uint32(1 << i) for i in range(32)]
@@ -244,8 +259,10 @@ def shifted_crc(crc: np.ndarray, tail: np.ndarray, tables: np.ndarray) -> np.nda
 def read_store(spark: SparkSession, folder: str, id_bytes: int = 2) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 (of the ids as unsigned 32-bit little-endian numbers) of each document, verified.
 
-    Fails if a chunk is missing, isn't what its digest says, or a document's root or length differs.
+    Fails if a chunk is missing, isn't what its digest says, or a document's root or length differs; and at once if the recipes
+    differ from the manifest or their starts aren't running sums.
     """
+    verify_recipes(spark, folder)
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,8 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from foliospark.llm import neardup, quality
+from foliospark.llm import neardup, quality, tokenstore
 
 
 def shingle_set(text, width):
@@ -108,3 +109,27 @@ def test_a_pool_of_small_strata_has_no_cutoff(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(1200)], "doc_id long, quality int")
     rows = quality.quality_verdicts(spark.createDataFrame(docs, "doc_id long, text string, lang string"), labels).collect()
     assert len(rows) == len(docs) and all(r.kept for r in rows)
+
+
+def test_a_changed_recipe_is_refused(spark, tmp_path):
+    import public_tokenizers
+
+    texts = [(i, " ".join(f"word{k}" for k in range(i + 1))) for i in range(8)]
+    docs = spark.createDataFrame([*texts, texts[3]], "doc_id long, text string")
+    whole = str(tmp_path / "whole")
+    tokenstore.write_store(docs, whole, public_tokenizers.path("word_bpe_49k.json"), 1)
+    assert tokenstore.read_store(spark, whole).count() == 9
+    recipes = spark.read.parquet(f"{whole}/recipes")
+    moved = F.when(F.col("doc_id") == 5, F.col("start") + 1).otherwise(F.col("start"))
+    changes = {
+        "missing": recipes.filter("doc_id <> 2"),
+        "repeated": recipes.unionByName(recipes.filter("doc_id = 2")),
+        "moved": recipes.withColumn("start", moved),
+    }
+    for name, changed in changes.items():
+        folder = str(tmp_path / name)
+        changed.write.parquet(f"{folder}/recipes")
+        for part in ("chunks", "manifest"):
+            spark.read.parquet(f"{whole}/{part}").write.parquet(f"{folder}/{part}")
+        with pytest.raises(ValueError):
+            tokenstore.read_store(spark, folder).collect()
