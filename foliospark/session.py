@@ -37,13 +37,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_local: dict[str, str] = {}  # application -> folder of a session in one process
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """This application's folder below spark.checkpoint.dir, which driver and executors share.
+
+    Where that is unset, a session whose master is local gets a temporary folder; any other is refused, as its executors would
+    not see such a folder.
+    """
+    name = spark.sparkContext.applicationId
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="folio-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
+        found = _local.get(name) or _local.setdefault(name, "file://" + tempfile.mkdtemp(prefix="folio-"))
+    return f"{found.rstrip('/')}/foliospark-{name}"
 
 
 ROWS_A_FILE = 50_000
@@ -52,7 +62,8 @@ ROWS_A_FILE = 50_000
 def written(df: DataFrame, label: str, rows: int | None = None, **options: str) -> DataFrame:
     """df written once as Parquet into the shared folder and read back: lineage ends here, and a lost executor only rereads it.
 
-    rows: about how many rows there are at most, where that is known; small tables of iterations then get few files.
+    rows: about how many rows there are at most, where that is known; small tables of iterations then get few files. Tables stay
+    until discard() or clear_scratch() removes them, as a returned DataFrame may still read them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
@@ -64,8 +75,17 @@ def written(df: DataFrame, label: str, rows: int | None = None, **options: str)
     return out
 
 
+def _delete(spark: SparkSession, where: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Removes tables that written() made and nothing reads any more."""
     for df in frames:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, df._written_at)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes all that this application has written into the shared folder; call it once its results are saved elsewhere."""
+    _delete(spark, shared_dir(spark))
