@@ -2,12 +2,14 @@
 
 The distinct pieces of a batch are bucketed by length and laid out as matrix rows. Every round each row merges its leftmost
 pair of minimum rank, found in a matrix of pair ranks that a hash table of pairs fills; then every row is one shorter, so the
-matrix is compacted by one column. Rows without a mergeable pair leave the matrix.
+matrix is compacted by one column. Rows without a mergeable pair leave the matrix. A piece of more than LONGEST bytes, for which a row
+would need as many rounds as bytes, merges the same pairs in the same order by a heap.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,12 +19,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.textbytes import Texts, slices
+from foliospark.llm.textbytes import Texts, freed, slices
 from foliospark.llm.units import UnitCache, words_with_space
 from foliospark.session import table
 
-BUCKETS = (4, 6, 8, 12, 16, 24, 32, 48, 64)  # then powers of two
+BUCKETS = (4, 6, 8, 12, 16, 24, 32, 48, 64)  # then powers of two, up to LONGEST
 DECODED_AT_ONCE = 1 << 18  # ids
+LONGEST = 1024  # bytes of a matrix row
 PIECES = 100_000  # whose ids a task keeps, at most
 NO_RANK = np.int32(2**31 - 1)
 CELLS = 1 << 18  # of one matrix at most, but for a single longer piece
@@ -82,7 +85,7 @@ class Vocabulary:
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         size = max(ranks.values()) + 1
         self.token_lens = np.zeros(size, np.int64)
-        by_id = [b""] * size
+        self.by_id = by_id = [b""] * size
         for t, r in ranks.items():
             by_id[r] = t
             self.token_lens[r] = len(t)
@@ -132,6 +135,32 @@ class Vocabulary:
                 ok = np.flatnonzero((side >= 0) & (side < width - 2))
                 ranks[ok, side[ok]] = self.pairs.get(ids[ok, side[ok]], ids[ok, side[ok] + 1])
 
+    def merge_long(self, piece: bytes) -> np.ndarray:
+        """Ids of one long piece: always its leftmost pair of minimum rank, kept in a heap."""
+        ids = self.byte_ids[np.frombuffer(piece, np.uint8)]
+        n = len(ids)
+        ranks = self.pairs.get(ids[:-1], ids[1:])
+        ids, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(int(ranks[i]), int(i), int(i) + 1, ids[i], ids[i + 1]) for i in np.flatnonzero(ranks < NO_RANK)]
+        heapq.heapify(heap)
+
+        def look(i: int, j: int) -> None:
+            rank = self.ranks.get(self.by_id[ids[i]] + self.by_id[ids[j]])
+            if rank is not None:
+                heapq.heappush(heap, (rank, i, j, ids[i], ids[j]))
+
+        while heap:
+            rank, i, j, left, right = heapq.heappop(heap)
+            if ids[i] != left or after[i] != j or ids[j] != right:
+                continue
+            ids[i], ids[j], after[i] = rank, -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                look(i, after[i])
+            if before[i] >= 0:
+                look(before[i], i)
+        return np.array([x for x in ids if x >= 0], np.int32)
+
     def encode_pieces(self, pieces: list[bytes]) -> None:
         """Adds the ids of pieces to self.pieces."""
         buckets: dict[int, list[bytes]] = {}
@@ -139,6 +168,8 @@ class Vocabulary:
             whole = self.ranks.get(p)
             if whole is not None:
                 self.pieces[p] = np.array([whole], np.int32)
+            elif len(p) > LONGEST:
+                self.pieces[p] = self.merge_long(p)
             else:
                 width = next((b for b in BUCKETS if len(p) <= b), 1 << (len(p) - 1).bit_length())
                 buckets.setdefault(width, []).append(p)
@@ -148,13 +179,16 @@ class Vocabulary:
                 part = group[k : k + rows]
                 self.pieces.update(zip(part, self.merge_matrix(part), strict=True))
 
-    def _encode_units(self, units: list[bytes]) -> list[np.ndarray]:
+    def _encode_units(self, units: list[bytes], _: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         split = [[p.encode() for p in self.pattern.findall(u.decode())] for u in units]
         if len(self.pieces) > PIECES:
             self.pieces.clear()
         self.encode_pieces(list({p for ps in split for p in ps if p not in self.pieces}))
         get = self.pieces.__getitem__
-        return [get(ps[0]) if len(ps) == 1 else np.concatenate(list(map(get, ps))) if ps else np.zeros(0, np.int32) for ps in split]
+        found = [get(p) for ps in split for p in ps]
+        sizes = np.r_[0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))]
+        lens = np.diff(sizes[np.r_[0, np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]])
+        return np.concatenate(found) if found else np.zeros(0, np.int32), lens
 
     def encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, number of ids of each)."""
@@ -201,7 +235,7 @@ def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.load(path, pattern)
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column("text"), 2 << 20):
+            for lo, hi, data, offsets in slices(batch.column("text")):
                 flat, counts = vocabulary.encode_slice(data, offsets)
                 ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(flat))
                 columns = {"doc_id": batch.column("doc_id")[lo:hi], "ids": ids}
@@ -209,7 +243,7 @@ def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> D
                     columns["decoded"] = _binary(vocabulary, flat, counts)
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>" + ", decoded binary" * decoded)
+    return docs.select("doc_id", "text").mapInArrow(freed(run), "doc_id long, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -225,7 +259,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "ids": ids, "decoded": _binary(vocabulary, flat, np.diff(ids.offsets.to_numpy()))})
 
     filled = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    return filled.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return filled.mapInArrow(freed(run), "doc_id long, ids array<int>, decoded binary")
 
 
 def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -6,7 +6,8 @@ Hashes are polynomials modulo 2**64 over random byte codes, then mixed; equal by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ _inverses = np.ones(1, np.uint64)
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < n:
-        size = 1 << max(20, n.bit_length())
+        size = 1 << max(18, n.bit_length())
         with np.errstate(over="ignore"):
             _powers = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, BASE, np.uint64)], dtype=np.uint64)
             _inverses = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, BASE_INVERSE, np.uint64)], dtype=np.uint64)
@@ -45,7 +46,21 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(32))
 
 
-def slices(column: pa.Array, most: int = 3 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, giving the memory that its arrays took back to the system after a task's last row: Python workers live on for other tasks."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # a C library without it
+            pass
+
+    return whole
+
+
+def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) of runs of whole texts of at most `most` bytes, or of one longer text. A null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.textbytes import Texts, mix, slices, windows
+from foliospark.llm.textbytes import Texts, freed, mix, slices, windows
 from foliospark.llm.units import UnitCache
 from foliospark.session import shared_dir, table
 
@@ -43,38 +43,61 @@ def merkle_root(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
-def cut_points(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of one document's ids, the last being its length."""
-    n, cuts, at = len(ids), [], 0
-    if n > LEAST:
-        h = windows(mix(_ID_CODES[ids & 0xFFFF] + ids.astype(np.uint64)), SPAN)
-        ends = np.flatnonzero((h >> np.uint64(64 - MEAN_BITS)) == 0) + SPAN
-        for e in ends.tolist():
-            while e - at > MOST:
+def cut_points(flat: np.ndarray, counts: np.ndarray) -> list[list[int]]:
+    """Ends of the chunks of each text's ids, counted from its first; the last is its length. The ids of all texts stand in flat."""
+    h = windows(mix(_ID_CODES[flat & 0xFFFF] + flat.astype(np.uint64)), SPAN)
+    marks = np.flatnonzero((h >> np.uint64(64 - MEAN_BITS)) == 0) + SPAN  # the id after each window that says so
+    stops = np.cumsum(counts)
+    starts = stops - counts
+    lo, hi = np.searchsorted(marks, starts + SPAN), np.searchsorted(marks, stops, "right")
+    out = []
+    for first, n, a, b in zip(starts.tolist(), counts.tolist(), lo.tolist(), hi.tolist(), strict=True):
+        cuts, at = [], 0
+        if n > LEAST:
+            for e in (marks[a:b] - first).tolist():
+                while e - at > MOST:
+                    at += MOST
+                    cuts.append(at)
+                if e - at >= LEAST:
+                    cuts.append(e)
+                    at = e
+            while n - at > MOST:
                 at += MOST
                 cuts.append(at)
-            if e - at >= LEAST:
-                cuts.append(e)
-                at = e
-        while n - at > MOST:
-            at += MOST
-            cuts.append(at)
-    if at < n or not cuts:
-        cuts.append(n)
-    return cuts
+        if at < n or not cuts:
+            cuts.append(n)
+        out.append(cuts)
+    return out
+
+
+IS_MARK = np.zeros(256, bool)
+IS_MARK[list(b".,!?;:%$&#*|")] = True  # never part of a word with letters
+IS_UPPER = np.zeros(256, bool)
+IS_UPPER[65:91] = True
+
+
+def _is_letter(data: np.ndarray) -> np.ndarray:
+    """Bytes of ASCII letters and of the letters U+00C0 to U+024F."""
+    out = np.zeros(len(data), bool)
+    lower = data | 0x20
+    out[(lower >= 97) & (lower <= 122)] = True
+    lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC9))
+    sign = (data[lead] == 0xC3) & ((data[lead + 1] == 0x97) | (data[lead + 1] == 0xB7))  # multiplication and division
+    lead = lead[~sign]
+    out[lead] = out[lead + 1] = True
+    return out
 
 
 class WordEncoder:
-    """Ids of white-space-free units by a tokenizers file, for tokenizers that drop white space.
+    """Ids of whole texts by a tokenizers file, for tokenizers that drop white space.
 
-    Where tokens mark the ends of words and letters are always one word, units of letters (and trailing marks) are encoded
-    many at a time in one text and told apart by those ends. All other units are encoded alone.
+    Where tokens mark the ends of words and letters are always one word, a word of letters with marks after it is two pieces, and
+    new pieces of letters are encoded many at a time in one text and told apart by those ends. Any other word is a piece encoded alone.
     """
 
-    MARKS = ".,!?;:%$&#*|"  # never part of a word with letters
-    AT_ONCE, MOST = 4000, 200_000
+    AT_ONCE = 4000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -82,45 +105,71 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        alone = lambda x: self._many([x])[0].tolist()
-        probe = "Spark, cluster. Data"
+        alone = lambda x: self._alone([x])[0].tolist()
         parts = ["Spark", ",", "cluster", ".", "Data"]
-        self.split = bool(self.ends.any()) and alone(probe) == sum(map(alone, parts), []) and all(self.ends[alone(x)[-1]] for x in parts)
+        self.split = bool(self.ends.any()) and alone("Spark, cluster. Data") == sum(map(alone, parts), []) and all(self.ends[alone(x)[-1]] for x in parts)
         self.folds = all(alone(chr(c)) == alone(chr(c + 32)) for c in range(65, 91))
-        self.words: dict[str, np.ndarray] = {"": np.zeros(0, np.int32)}
+        self.cache = UnitCache(self._encode, most)
 
-    def _many(self, texts: list[str]) -> list[np.ndarray]:
+    def _alone(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _add_words(self, words: list[str]) -> None:
-        for k in range(0, len(words), self.AT_ONCE):
-            part = words[k : k + self.AT_ONCE]
-            ids = self._many([" ".join(part)])[0]
+    def _encode(self, units: list[bytes], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lens = np.zeros(len(units), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []  # (units, their ids in a row)
+        at = np.flatnonzero(letters)
+        single = [np.flatnonzero(~letters)]
+        for k in range(0, len(at), self.AT_ONCE):
+            some = at[k : k + self.AT_ONCE]
+            text = b" ".join([units[i] for i in some.tolist()]).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(part) and ends[-1] == len(ids):
-                self.words.update(zip(part, np.split(ids, ends[:-1]), strict=True))
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                lens[some] = np.diff(ends, prepend=0)
+                parts.append((some, ids))
             else:
-                self.words.update(zip(part, self._many(part), strict=True))
-
-    def __call__(self, units: list[bytes]) -> list[np.ndarray]:
-        texts = [(u.lower() if self.folds else u).decode() for u in units]
-        if not self.split:
-            return self._many(texts)
-        cores = [x.rstrip(self.MARKS) for x in texts]
-        plain = [c.isalpha() or not c for c in cores]
-        tails = [x[len(c) :] for x, c in zip(texts, cores, strict=True)]
-        if len(self.words) > self.MOST:
-            self.words = {"": self.words[""]}
-        self._add_words(list({c for c, ok in zip(cores, plain, strict=True) if ok and c not in self.words}))
-        other = list({x for x, ok in zip(texts, plain, strict=True) if not ok} | {t for t, ok in zip(tails, plain, strict=True) if ok and t and t not in self.words})
-        self.words.update(zip(other, self._many(other), strict=True))
-        get = self.words.__getitem__
-        return [(np.concatenate([get(c), get(t)]) if t else get(c)) if ok else get(x) for x, c, t, ok in zip(texts, cores, tails, plain, strict=True)]
-
-
-@lru_cache(maxsize=2)
-def _cache(path: str) -> UnitCache:
-    return UnitCache(WordEncoder(path), most=400_000)
+                single.append(some)
+        rest = np.concatenate(single)
+        for k in range(0, len(rest), self.AT_ONCE):
+            some = rest[k : k + self.AT_ONCE]
+            found = self._alone([units[i].decode() for i in some.tolist()])
+            lens[some] = [len(x) for x in found]
+            parts.append((some, np.concatenate(found)))
+        starts = np.cumsum(lens) - lens
+        flat = np.zeros(int(lens.sum()), np.int32)
+        for some, ids in parts:
+            n = lens[some]
+            flat[np.repeat(starts[some] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return flat, lens
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, how many each has)."""
+        t = Texts(data, offsets)
+        if not self.split or not len(t.start):
+            return self.cache.ids(t, t.start, t.end, t.doc)
+        last = np.maximum.accumulate(np.where(IS_MARK[data], -1, np.arange(len(data))))[t.end - 1] + 1
+        core = np.maximum(last, t.start)  # where the marks at a word's end begin
+        odd = np.r_[0, np.cumsum(~_is_letter(data))]
+        plain = odd[core] == odd[t.start]
+        core[~plain] = t.end[~plain]
+        if self.folds:
+            inside = np.zeros(len(data) + 1, np.int8)
+            inside[t.start[plain]] += 1
+            inside[core[plain]] -= 1
+            t.data = data + (IS_UPPER[data] & (np.cumsum(inside[:-1], dtype=np.int8) > 0)).astype(np.uint8) * np.uint8(32)
+        head, tail = core > t.start, t.end > core
+        n = head.astype(np.int64) + tail
+        place = np.cumsum(n) - n
+        start, end, kind = np.empty(int(n.sum()), np.int64), np.empty(int(n.sum()), np.int64), np.zeros(int(n.sum()), bool)
+        start[place[head]], end[place[head]], kind[place[head]] = t.start[head], core[head], plain[head]
+        second = (place + head)[tail]
+        start[second], end[second] = core[tail], t.end[tail]
+        return self.cache.ids(t, start, end, np.repeat(t.doc, n), kind)
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
 
 
 def encode(docs: DataFrame, path: str, end_id: int, id_bytes: int = 2) -> DataFrame:
@@ -132,18 +181,17 @@ def encode(docs: DataFrame, path: str, end_id: int, id_bytes: int = 2) -> DataFr
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(path)
+        encoder = _encoder(path)
         for batch in batches:
             for lo, hi, data, offsets in slices(batch.column("text")):
-                t = Texts(data, offsets)
-                flat, counts = cache.ids(t, t.start, t.end, t.doc)
+                flat, counts = encoder(data, offsets)
                 flat = np.insert(flat, np.cumsum(counts), end_id)
                 counts = counts + 1
-                ends = np.cumsum(counts)
+                all_cuts = cut_points(flat, counts)
+                everything = memoryview(flat.astype(kind).tobytes())
                 rows: tuple[list, ...] = ([], [], [], [])
-                for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):
-                    ids = flat[a:b]
-                    raw, cuts = ids.astype(kind).tobytes(), cut_points(ids)
+                for a, cuts in zip(((np.cumsum(counts) - counts) * id_bytes).tolist(), all_cuts, strict=True):
+                    raw = everything[a : a + cuts[-1] * id_bytes]
                     digests = [hashlib.blake2b(raw[x * id_bytes : y * id_bytes], digest_size=DIGEST).digest() for x, y in zip([0, *cuts], cuts, strict=False)]
                     for out, value in zip(rows, (raw, cuts, b"".join(digests), merkle_root(digests)), strict=True):
                         out.append(value)
@@ -152,7 +200,7 @@ def encode(docs: DataFrame, path: str, end_id: int, id_bytes: int = 2) -> DataFr
                     ["doc_id", "n_tokens", "ids", "cuts", "digests", "root"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, cuts array<int>, digests binary, root binary")
+    return docs.select("doc_id", "text").mapInArrow(freed(run), "doc_id long, n_tokens long, ids binary, cuts array<int>, digests binary, root binary")
 
 
 def with_starts(rows: DataFrame, order: str, value: str, tie: str) -> DataFrame:

@@ -1,64 +1,111 @@
 """Token ids of whole texts by way of their distinct units.
 
-A unit is a run of ASCII white space with the word after it (or without one, at a text's end). Where a tokenizer's pieces
-never cross from a word into the white space after it, a text's ids are those of its units in order, so each distinct unit is encoded once.
+A unit is a byte range of a text that a tokenizer encodes by itself: a run of white space with the word after it, or a word, or
+a part of one. A text's ids are those of its units in order, so each distinct unit is encoded once while it stays in the cache.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 import numpy as np
 
 from foliospark.llm.textbytes import Texts
 
 
+class HashIndex:
+    """Open-addressing table from well-mixed 64-bit hashes to whole numbers from 0, probed for whole arrays at once."""
+
+    def __init__(self, bits: int = 16):
+        self.used = 0
+        self._make(bits)
+
+    def _make(self, bits: int) -> None:
+        self.bits = bits
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where there is none."""
+        slot = self._slot(h)
+        out = self.values[slot]
+        todo = np.flatnonzero((self.keys[slot] != h) & (out >= 0))
+        while len(todo):
+            at = (slot[todo] + 1) & ((1 << self.bits) - 1)
+            slot[todo] = at
+            out[todo] = held = self.values[at]
+            todo = todo[(self.keys[at] != h[todo]) & (held >= 0)]
+        return out
+
+    def add(self, h: np.ndarray, values: np.ndarray) -> None:
+        """Distinct hashes that the table doesn't hold yet."""
+        self.used += len(h)
+        if 2 * self.used > 1 << self.bits:
+            old = self.values >= 0
+            h, values = np.r_[self.keys[old], h], np.r_[self.values[old], values]
+            self._make(int(2 * self.used).bit_length() + 1)
+        slot = self._slot(h)
+        while len(h):
+            free = np.flatnonzero(self.values[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            win = free[first]
+            self.keys[slot[win]], self.values[slot[win]] = h[win], values[win]
+            rest = np.ones(len(h), bool)
+            rest[win] = False
+            h, values, slot = h[rest], values[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
+
+
 class UnitCache:
-    """Ids of units by their 64-bit hash. It starts anew when it holds `most` units, so its memory is bounded; results don't depend on it."""
+    """Ids of units by their 64-bit hash. It starts anew when it holds `most` units, so its memory is bounded; results don't depend on it.
+
+    encode(units, kinds) gives the ids of all units in one array and how many each has.
+    """
 
-    def __init__(self, encode: Callable[[list[bytes]], Sequence[np.ndarray]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray]], most: int = 400_000):
         self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
-        self.at: dict[int, int] = {}
+        self.index, self.n, self.used = HashIndex(), 0, 0
         self.flat = np.zeros(1 << 16, np.int32)
-        self.used = 0
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.lens = np.zeros(1 << 14, np.int64)
-
-    def _add(self, hashes: list[int], ids: Sequence[np.ndarray]) -> None:
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        total, first = int(lens.sum()), len(self.at)
-        if self.used + total > len(self.flat):
-            self.flat = np.r_[self.flat[: self.used], np.zeros(max(total, self.used), np.int32)]
-        if first + len(ids) > len(self.starts):
-            grow = np.zeros(first + len(ids), np.int64)
-            self.starts, self.lens = np.r_[self.starts[:first], grow], np.r_[self.lens[:first], grow]
-        if total:
-            self.flat[self.used : self.used + total] = np.concatenate(ids)
-        self.starts[first : first + len(ids)] = self.used + np.cumsum(lens) - lens
-        self.lens[first : first + len(ids)] = lens
-        self.used += total
-        self.at.update(zip(hashes, range(first, first + len(ids)), strict=True))
-
-    def ids(self, t: Texts, start: np.ndarray, end: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in order, number of ids of each text) for units [start, end) of the texts `doc`."""
+        self.starts, self.lens = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+
+    def _add(self, hashes: np.ndarray, flat: np.ndarray, lens: np.ndarray) -> None:
+        if self.used + len(flat) > len(self.flat):
+            self.flat = np.r_[self.flat[: self.used], np.zeros(max(len(flat), self.used), np.int32)]
+        if self.n + len(lens) > len(self.starts):
+            grow = max(len(lens), self.n)
+            self.starts, self.lens = np.r_[self.starts[: self.n], np.zeros(grow, np.int64)], np.r_[self.lens[: self.n], np.zeros(grow, np.int32)]
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.starts[self.n : self.n + len(lens)] = self.used + np.cumsum(lens) - lens
+        self.lens[self.n : self.n + len(lens)] = lens
+        self.index.add(hashes, np.arange(self.n, self.n + len(lens), dtype=np.int32))
+        self.used, self.n = self.used + len(flat), self.n + len(lens)
+
+    def ids(self, t: Texts, start: np.ndarray, end: np.ndarray, doc: np.ndarray, kind: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, number of ids of each text) for units [start, end) of the texts `doc`; kind goes to encode."""
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(t.n, np.int64)
-        keys, first, inverse = np.unique(t.hashes(start, end), return_index=True, return_inverse=True)
-        if len(self.at) + len(keys) > self.most:
-            self._clear()
-        names = keys.tolist()
-        missing = [i for i, k in enumerate(names) if k not in self.at]
-        if missing:
-            at = first[missing]
+        hashes = t.hashes(start, end)
+        where = self.index.find(hashes)
+        new = np.flatnonzero(where < 0)
+        if len(new):
+            keys, first = np.unique(hashes[new], return_index=True)
+            if self.n + len(keys) > self.most and self.n:
+                self._clear()
+                new = np.arange(len(hashes))
+                keys, first = np.unique(hashes, return_index=True)
+            at = new[first]
             raw = t.data.tobytes()
-            self._add([names[i] for i in missing], self.encode([raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]))
-        where = np.fromiter((self.at[k] for k in names), np.int64, len(names))[inverse]
+            units = [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+            self._add(keys, *self.encode(units, kind[at] if kind is not None else np.zeros(len(at), bool)))
+            where = self.index.find(hashes)
         lens = self.lens[where]
-        ends = np.cumsum(lens)
-        take = np.repeat(self.starts[where] - (ends - lens), lens) + np.arange(ends[-1])
+        ends = np.cumsum(lens, dtype=np.int64)
+        take = np.arange(ends[-1])
+        take += np.repeat(self.starts[where] - (ends - lens), lens)
         return self.flat[take], np.bincount(doc, weights=lens, minlength=t.n).astype(np.int64)
 
 
