@@ -1,28 +1,32 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree over blocks.
 
 Every source's documents fall by a keyed hash into blocks of a permuted order. A source's target is met by whole passes over
-all its blocks and one partial pass over the first blocks of that order (the last of them in part). The exact block quotas
-of each pass are then split among the output shards by a binary tree: each node draws how many blocks of every source go
-left from the multivariate hypergeometric distribution, so every block lands on one shard and the shards' compositions are
-those of a random deal. A shard's documents finally get a keyed position inside the shard.
+all its blocks and one partial pass over the first blocks of that order (the last of them in part): these are its exact block quotas.
+A binary tree splits all quotas among the output shards: each node draws how many blocks of every source and pass go left from the
+multivariate hypergeometric distribution. A shard then draws as many blocks as it was given, disjointly, from a keyed permutation of each
+pass's blocks; what no shard draws isn't taken. Inside a shard documents are shuffled by a keyed order. Every level of the tree is one
+grouped step over sources, passes and nodes, whatever the rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliospark.operators.numbering import numbered
 from foliospark.session import table, written
 
 #: The weights that sources in code-point order take in turn.
 WEIGHTS = (5, 2, 1)
 WORD = "[^ \\t-\\r]+"
 BLOCK_BITS = 10  # a source has 2**bits blocks: the most that leave 64 documents in a block, and at most 2**10, so blocks grow with large sources
-ROUNDS = 4  # of filling the block in which a partial pass ends
 MOST = 3  # times a source or document may be taken
+SHARD_WORDS, LEAST_SHARDS = 1 << 26, 8  # shards are a power of two, of so many words at most where there are more than the least
 
 
 def unit_key(seed: int, *columns: Column) -> Column:
@@ -53,93 +57,106 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return d.select("rank", "source", "source_size", "n_docs", "weight", target.cast("double").alias("target"))
 
 
-def split_quotas(quotas: dict[int, int], shards: int, seed: int) -> list[dict[int, int]]:
-    """Deals exact quotas (key -> blocks) among shards by a binary tree of multivariate hypergeometric draws.
+def split_node(counts: np.ndarray, lo: int, hi: int, seed: int) -> tuple[np.ndarray, int]:
+    """(blocks of each quota that go left, first shard of the right half) at the node of the shards lo to hi - 1. The draw is without replacement and keyed by the node."""
+    mid, total = (lo + hi) // 2, int(counts.sum())
+    left = round(total * (mid - lo) / (hi - lo))
+    rng = np.random.Generator(np.random.PCG64(int.from_bytes(hashlib.sha256(f"{seed}:{lo}:{hi}".encode()).digest()[:8], "big")))
+    return (rng.multivariate_hypergeometric(counts, left, method="marginals") if total else counts * 0), mid
 
-    Both halves of a node get block numbers in proportion to their shards; what goes left is drawn without replacement.
-    """
-    keys = sorted(quotas)
 
-    def split(counts: np.ndarray, lo: int, hi: int) -> list[np.ndarray]:
-        if hi - lo == 1:
-            return [counts]
-        mid, total = (lo + hi) // 2, int(counts.sum())
-        left = round(total * (mid - lo) / (hi - lo))
-        rng = np.random.Generator(np.random.PCG64(int.from_bytes(hashlib.sha256(f"{seed}:{lo}:{hi}".encode()).digest()[:8], "big")))
-        taken = rng.multivariate_hypergeometric(counts, left, method="marginals") if total else counts * 0
-        return split(taken, lo, mid) + split(counts - taken, mid, hi)
+def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(shard, rank, pass, n) of exact quotas (rank, pass, n), by the splitting tree: both halves of a node get blocks in proportion to their shards."""
+
+    def halves(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("rank", "ascending"), ("pass", "ascending")])
+        lo, hi = rows.column("lo")[0].as_py(), rows.column("hi")[0].as_py()
+        counts = rows.column("n").to_numpy()
+        left, mid = split_node(counts, lo, hi, seed)
+        parts = [rows.select(["rank", "pass"]).append_column("n", pa.array(n, pa.int64())).append_column("lo", pa.array([a] * len(n), pa.int32())).append_column("hi", pa.array([b] * len(n), pa.int32())) for n, a, b in ((left, lo, mid), (counts - left, mid, hi))]
+        return pa.concat_tables(parts)
+
+    nodes = quotas.select("rank", "pass", F.col("n").cast("long").alias("n"), F.lit(0).alias("lo"), F.lit(shards).alias("hi"))
+    for _ in range(math.ceil(math.log2(shards))):
+        done = nodes.filter("hi - lo = 1")
+        split = nodes.filter("hi - lo > 1").groupBy("lo", "hi").applyInArrow(halves, "rank int, pass int, n long, lo int, hi int").filter("n > 0")
+        nodes = split if math.log2(shards) % 1 == 0 else split.unionByName(done)
+    return nodes.select(F.col("lo").alias("shard"), "rank", "pass", "n")
 
-    parts = split(np.array([quotas[k] for k in keys], np.int64), 0, shards)
-    return [dict(zip(keys, map(int, p), strict=True)) for p in parts]
 
+def drawn_blocks(units: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(rank, pass, block, shard): every block of units (rank, pass, block), each once, at the shard that draws it. Its size is sources * blocks * passes."""
+    by_pass = units.groupBy("rank", "pass").agg(F.count("*").alias("n"))
+    dealt = split_quotas(by_pass, shards, seed)
+    upto = F.sum("n").over(Window.partitionBy("rank", "pass").orderBy("shard"))  # one row a shard
+    places = dealt.withColumn("upto", upto).select("rank", "pass", "shard", F.explode(F.sequence(F.col("upto") - F.col("n") + 1, F.col("upto"))).alias("place"))
+    order = Window.partitionBy("rank", "pass").orderBy(unit_key(seed + 1, F.col("rank"), F.col("pass"), F.col("block")), "block")  # 2**BLOCK_BITS rows at most
+    return units.withColumn("place", F.row_number().over(order).cast("long")).join(places, ["rank", "pass", "place"]).select("rank", "pass", "block", "shard")
 
-def mix_sources(sized: DataFrame, seed: int = 17, shards: int = 64) -> DataFrame:
-    """One row for each row of sized (doc_id, source, size) that adds source_size, target, repeats, taken, block and shards.
 
-    repeats: how often the mix takes the document (0 to 3, at most `most` passes); taken = repeats * size. shards: the output
-    shard of each repeat, drawn block by block. In the block where a partial pass ends, documents that still fit are taken in keyed
-    order, so a source's taken words miss its target by less than a small document. Equal inputs give equal mixes. Documents without words have size 0 and are never repeated more than their source. Null sources
-    are one source, last in order. Repeated rows are separate documents that share a doc_id, and may be taken alike.
-    An empty table gives no rows.
+def fitted(edge: DataFrame) -> DataFrame:
+    """edge (rank, key, doc_id, size, left) with `fits`: in keyed order, documents that fit what is left of their source's target after those before.
+
+    Each round takes the longest beginning of those that still fit; rounds end when nothing more fits, so the target is missed by less
+    than the smallest document that is left out.
+    """
+    block = Window.partitionBy("rank")
+    inside = block.orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    now = written(edge.withColumn("fits", F.lit(False)), "mix-edge")
+    while not now.filter("not fits and size <= left").isEmpty():
+        may = ~F.col("fits") & (F.col("size") <= F.col("left"))
+        upto = now.withColumn("upto", F.sum(F.when(may, F.col("size")).otherwise(0)).over(inside))
+        new = upto.withColumn("new", may & (F.col("upto") <= F.col("left")))
+        new = new.withColumn("left", F.col("left") - F.coalesce(F.sum(F.when(F.col("new"), F.col("size"))).over(block), F.lit(0)))
+        now = written(new.withColumn("fits", F.col("fits") | F.col("new")).drop("upto", "new"), "mix-edge")
+    return now
+
+
+def mix_sources(sized: DataFrame, seed: int = 17, shards: int | None = None) -> DataFrame:
+    """One row for each row of sized (doc_id, source, size) that adds source_size, target, repeats, taken, block and draws.
+
+    repeats: how often the mix takes the document (0 to 3); taken = repeats * size. draws: for each time, the output shard whose share of
+    the splitting tree drew the document's block, and its position (from 1) in the shard's shuffled order. In the block where a partial
+    pass ends, documents that still fit are taken in keyed order, so a source's taken words miss its target by less than a small document.
+    Equal inputs give equal mixes. Documents without words have size 0 and come as often as their block. Null sources are one source, last in order. Repeated
+    rows are separate documents that share a doc_id, and may be taken alike. An empty table gives no rows. shards: as many as
+    hold SHARD_WORDS each (a power of two, LEAST_SHARDS at least) if not given.
     """
     targets = written(source_targets(sized), "mix-targets")
+    if shards is None:
+        words = targets.agg(F.sum("target")).first()[0] or 0
+        shards = max(LEAST_SHARDS, 1 << math.ceil(math.log2(max(1, words / SHARD_WORDS))))
     key = unit_key(seed, F.col("doc_id"), F.col("source"))
     bits = sum((F.col("n_docs") >= 64 << k).cast("int") for k in range(1, BLOCK_BITS + 1))
-    rank = targets.select(F.col("source").alias("s"), "rank", "source_size", "target", bits.alias("bits"))  # one row a source
-    keyed = sized.withColumn("key", key).join(F.broadcast(rank), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    keyed = keyed.withColumn("block", F.expr("shiftright(key, 48 - bits)").cast("int"))
-    joined = keyed.groupBy("rank", "block").agg(F.sum("size").alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+    rank = targets.select(F.col("source").alias("s"), "rank", "source_size", "target", bits.alias("bits"))
+    keyed = sized.select("doc_id", "source", "size").withColumn("key", key).join(rank, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    keyed = written(keyed.withColumn("block", F.expr("shiftright(key, 48 - bits)").cast("int")), "mix-keyed")
+    blocks = keyed.groupBy("rank", "block").agg(F.sum("size").alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
     # a pass is whole while words remain; `rest` words are left for the partial pass
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
-    joined = joined.withColumn("passes", passes).withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
-    before = Window.partitionBy("rank").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    dealt = joined.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))  # at most 2**10 rows a source
-    dealt = written(dealt.select("rank", "block", "words", "before", "passes", "rest"), "mix-blocks")
-    whole = (F.col("before") + F.col("words")) <= F.col("rest")
-    cut = ~whole & (F.col("before") < F.col("rest"))
-    blocks_of = dealt.select("rank", "block", "passes", (F.col("rest") - F.col("before")).alias("left"), whole.alias("whole"), cut.alias("cut"))
-    blocks_of = blocks_of.join(block_shards(dealt, seed, shards), ["rank", "block"], "left")
-    rows = keyed.join(F.broadcast(blocks_of), ["rank", "block"])  # sources * 2**10 rows at most
-    # only each source's one block that is cut needs its documents in order
-    edge = rows.filter("cut").withColumn("more", F.lit(0))
-    block = Window.partitionBy("rank", "block")
-    inside = block.orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    for _ in range(ROUNDS):
-        fits = (F.col("more") == 0) & (F.col("size") <= F.col("left"))
-        edge = edge.withColumn("upto", F.sum(F.when(fits, F.col("size")).otherwise(0)).over(inside))
-        edge = edge.withColumn("new", (fits & (F.col("upto") <= F.col("left"))).cast("int"))
-        edge = edge.withColumn("left", F.col("left") - F.sum(F.col("new") * F.col("size")).over(block)).withColumn("more", F.col("more") + F.col("new"))
-    rest = rows.filter("not cut").withColumn("more", F.col("whole").cast("int"))
-    out = rest.unionByName(edge.drop("upto", "new"))
-    repeats = F.col("passes") + F.col("more")
-    of = F.when(repeats > 0, F.slice("block_shards", 1, repeats)).otherwise(F.array().cast("array<int>"))
-    out = out.withColumn("shards", of).withColumn("repeats", F.size("shards"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).alias("taken"), "block", "shards")
-
-
-def block_shards(dealt: DataFrame, seed: int, shards: int) -> DataFrame:
-    """(rank, block, block_shards): the output shard of each pass of each block. Its size is sources * blocks * passes, whatever the rows.
-
-    Quotas are blocks of each (source, pass); the splitting tree deals them, and each shard draws its blocks disjointly from
-    a keyed permutation of the source's blocks.
-    """
-    spark = dealt.sparkSession
-    passes = dealt.select("rank", "block", F.explode(F.sequence(F.lit(0), F.col("passes"))).alias("pass"))
-    quotas = {r["rank"] * 8 + r["pass"]: r["n"] for r in passes.groupBy("rank", "pass").agg(F.count("*").alias("n")).collect()}  # sources * passes rows
-    parts = split_quotas(quotas, shards, seed)
-    bounds, start = [], dict.fromkeys(quotas, 0)
-    for shard, part in enumerate(parts):
-        for k, n in part.items():
-            if n:
-                bounds.append((k, start[k], start[k] + n, shard))
-                start[k] += n
-    edges = spark.createDataFrame(bounds, "k int, lo int, hi int, shard int")
-    per_key = edges.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "shard"))).alias("cuts"))
-    place = F.row_number().over(Window.partitionBy("k").orderBy(unit_key(seed + 1, F.col("k"), F.col("block")), "block")) - 1
-    placed = passes.withColumn("k", (F.col("rank") * 8 + F.col("pass")).cast("int")).withColumn("place", place).join(F.broadcast(per_key), "k")
-    shard = F.filter("cuts", lambda c: (c["lo"] <= F.col("place")) & (F.col("place") < c["hi"]))[0]["shard"]
-    listed = placed.select("rank", "block", "pass", shard.alias("shard")).groupBy("rank", "block")
-    return listed.agg(F.transform(F.sort_array(F.collect_list(F.struct("pass", "shard"))), lambda x: x["shard"]).alias("block_shards"))
+    before = Window.partitionBy("rank").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # 2**BLOCK_BITS rows at most
+    blocks = blocks.withColumn("passes", passes).withColumn("left", F.col("target") - F.col("passes") * F.col("source_size") - F.coalesce(F.sum("words").over(before), F.lit(0)))
+    blocks = written(blocks.select("rank", "block", "words", "passes", "left"), "mix-blocks")
+    times = F.col("passes") + (F.col("left") > 0).cast("int")
+    units = blocks.filter(times > 0).select("rank", "block", F.explode(F.sequence(F.lit(0), times - 1)).alias("pass"))
+    draws = drawn_blocks(units, shards, seed).groupBy("rank", "block").agg(F.collect_list(F.struct("pass", "shard")).alias("drawn"))
+    cut = (F.col("left") > 0) & (F.col("words") > F.col("left"))
+    ends = blocks.filter(cut).select("rank", "block", "passes", "left")
+    edge = fitted(keyed.select("rank", "block", "key", "doc_id", "size").join(ends.select("rank", "block", "left"), ["rank", "block"])).filter("not fits")
+    # what doesn't fit the end of the partial pass isn't in it; rows that repeat a document do as the first of them does
+    out = edge.groupBy("rank", "key", "doc_id", "size").agg(F.lit(True).alias("out"))
+    rows = keyed.join(draws, ["rank", "block"], "left").join(ends.select("rank", "block", "passes"), ["rank", "block"], "left")
+    rows = rows.join(out.select("rank", "key", F.col("doc_id").alias("o"), F.col("size").alias("o_size"), "out"), (rows["rank"] == out["rank"]) & (rows["key"] == out["key"]) & rows["doc_id"].eqNullSafe(F.col("o")) & (rows["size"] == F.col("o_size")), "left").select(rows["*"], "out")
+    none = F.array().cast("array<struct<pass:int,shard:int>>")
+    kept = F.when(F.col("out"), F.filter("drawn", lambda x: x["pass"] < F.col("passes"))).otherwise(F.col("drawn"))
+    rows = rows.withColumn("drawn", F.array_sort(F.coalesce(kept, none))).withColumn("row", F.monotonically_increasing_id())
+    rows = written(rows.select("row", "doc_id", "source", "key", "size", "source_size", "target", "block", "drawn"), "mix-rows")
+    copies = rows.select("row", "doc_id", "key", F.explode("drawn").alias("d")).select("row", "doc_id", "key", "d.pass", "d.shard")
+    order = unit_key(seed + 2, F.col("key"), F.col("doc_id"), F.col("pass"))
+    placed = numbered(copies.withColumn("shuffled", order), ["shard"], [F.col("shuffled"), F.col("doc_id"), F.col("pass"), F.col("row")], "position")
+    draws = placed.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pass", "shard", "position"))).alias("draws"))
+    rows = rows.join(draws, "row", "left").withColumn("draws", F.coalesce("draws", F.array().cast(draws.schema["draws"].dataType)))
+    return rows.select("doc_id", "source", "size", "source_size", "target", F.size("draws").alias("repeats"), (F.size("draws") * F.col("size")).alias("taken"), "block", "draws")
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
@@ -150,63 +167,5 @@ def sized_documents(docs: DataFrame) -> DataFrame:
 def op6_mix_sources(spark, sf_dir: str) -> DataFrame:
     sized = written(sized_documents(table(spark, sf_dir, "documents")), "mix-sizes")
     out = mix_sources(sized)
-    return out.select("doc_id", "source", "size", "source_size", "target", "taken", "repeats", "block")
-
-
-ORACLE = r"""
-WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+')) AS BIGINT) AS size FROM documents
-), s AS (
-  SELECT source, sum(size)::BIGINT AS source_size, list_sum(list_transform(range(1, 11), lambda i: (count(*) >= 64 * 2 ** i)::INT))::INT AS bits, row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS rank FROM sized GROUP BY source
-), w AS (
-  SELECT *, [5, 2, 1][rank % 3 + 1] AS weight, 3 * source_size AS lim FROM s
-), f AS (
-  SELECT *, lim / weight AS level,
-    coalesce(sum(lim) OVER (ORDER BY lim / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_,
-    coalesce(sum(weight) OVER (ORDER BY lim / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
-    sum(source_size) OVER () AS total, sum(weight) OVER () AS weights FROM w
-), c AS (
-  SELECT *, max(CASE WHEN level >= (total - full_) / (weights - spent) THEN (total - full_) / (weights - spent) END) OVER () AS common FROM f
-), t AS (
-  SELECT rank, source, source_size, bits, least(lim::DOUBLE, weight * coalesce(common, level))::DOUBLE AS target FROM c
-), k AS (
-  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.rank, t.bits,
-    ('0x' || substr(md5(concat_ws('|', '17', d.doc_id::VARCHAR, d.source)), 1, 12))::BIGINT AS key
-  FROM sized d JOIN t ON d.source IS NOT DISTINCT FROM t.source
-), r AS (
-  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::INT AS passes, (key >> (48 - bits))::INT AS block FROM k
-), b AS (
-  SELECT rank, block, sum(size) AS words FROM r GROUP BY rank, block
-), b2 AS (
-  SELECT *, coalesce(sum(words) OVER (PARTITION BY rank ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM b
-), m0 AS (
-  SELECT r.*, target - passes * source_size - before AS left0, words FROM r JOIN b2 USING (rank, block)
-), c0 AS (
-  SELECT *, left0 > 0 AND words > left0 AS cut, CASE WHEN words <= left0 THEN 1 ELSE 0 END AS more0 FROM m0
-), u1 AS (
-  SELECT *, sum(CASE WHEN more0 = 0 AND size <= left0 THEN size ELSE 0 END) OVER (PARTITION BY rank, block ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto1 FROM c0
-), n1 AS (
-  SELECT *, CASE WHEN cut AND more0 = 0 AND size <= left0 AND upto1 <= left0 THEN 1 ELSE 0 END AS new1 FROM u1
-), c1 AS (
-  SELECT *, left0 - sum(new1 * size) OVER (PARTITION BY rank, block) AS left1, more0 + new1 AS more1 FROM n1
-), u2 AS (
-  SELECT *, sum(CASE WHEN more1 = 0 AND size <= left1 THEN size ELSE 0 END) OVER (PARTITION BY rank, block ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto2 FROM c1
-), n2 AS (
-  SELECT *, CASE WHEN cut AND more1 = 0 AND size <= left1 AND upto2 <= left1 THEN 1 ELSE 0 END AS new2 FROM u2
-), c2 AS (
-  SELECT *, left1 - sum(new2 * size) OVER (PARTITION BY rank, block) AS left2, more1 + new2 AS more2 FROM n2
-), u3 AS (
-  SELECT *, sum(CASE WHEN more2 = 0 AND size <= left2 THEN size ELSE 0 END) OVER (PARTITION BY rank, block ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto3 FROM c2
-), n3 AS (
-  SELECT *, CASE WHEN cut AND more2 = 0 AND size <= left2 AND upto3 <= left2 THEN 1 ELSE 0 END AS new3 FROM u3
-), c3 AS (
-  SELECT *, left2 - sum(new3 * size) OVER (PARTITION BY rank, block) AS left3, more2 + new3 AS more3 FROM n3
-), u4 AS (
-  SELECT *, sum(CASE WHEN more3 = 0 AND size <= left3 THEN size ELSE 0 END) OVER (PARTITION BY rank, block ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto4 FROM c3
-), n4 AS (
-  SELECT *, CASE WHEN cut AND more3 = 0 AND size <= left3 AND upto4 <= left3 THEN 1 ELSE 0 END AS new4 FROM u4
-), c4 AS (
-  SELECT *, left3 - sum(new4 * size) OVER (PARTITION BY rank, block) AS left4, more3 + new4 AS more4 FROM n4
-)
-SELECT doc_id, source, size, source_size, target, (passes + more4) * size AS taken, (passes + more4)::INT AS repeats, block FROM c4
-"""
+    listed = lambda k: F.array_join(F.transform("draws", lambda x: x[k].cast("string")), ",").alias(f"{k}s")
+    return out.select("doc_id", "source", "size", "source_size", "target", "taken", "repeats", "block", listed("shard"), listed("position"))

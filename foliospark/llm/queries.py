@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliospark.llm import licences, mixing, oracles
+from foliospark.llm import licences, oracles
 from foliospark.llm.ann import op10_ann_prefix_forest
 from foliospark.llm.bpe import op5_byte_bpe
 from foliospark.llm.licences import op9_licence_scan
@@ -28,6 +28,5 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op2_minhash_near_dedup": oracles.NEAR_DUPLICATES,
-    "op6_mix_sources": mixing.ORACLE,
     "op9_licence_scan": licences.ORACLE,
 }
