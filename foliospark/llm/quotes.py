@@ -1,8 +1,8 @@
 """Conversations without quotations, in reply order.
 
-A message's lines are parsed into passages by their nested quote marks ('>'). Quoted passages are normalised and hashed, and
-joined to the passages that other messages say themselves: first to the latest earlier message of the conversation, else to
-the first message anywhere. Links make replies; replies make threads.
+A message's lines are parsed into passages by their nested quote marks ('>'). Quoted passages and each of their lines are normalised
+and hashed, and joined to the passages and lines that other messages say themselves: first to the latest earlier message of the
+conversation, else to the first message anywhere. Links make replies; replies make threads, in whose order a conversation is given.
 """
 
 from __future__ import annotations
@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliospark.llm.textbytes import freed
+from foliospark.operators.numbering import numbered
 from foliospark.session import table, written
 
 MARKS = re.compile(r"^[ \t]*((?:>[ \t]?)+)(.*)$", re.DOTALL)
 #: A line that introduces a quotation and is dropped with it.
-INTRODUCTION = re.compile(r"^[ \t]*(?:on .{0,120} wrote|am .{0,120} schrieb.*|le .{0,120} a écrit|el .{0,120} escribió)[ \t]*:[ \t]*$", re.IGNORECASE)
+INTRODUCTION = re.compile(r"^[ \t]*(?:on .* wrote|am .* schrieb.*|le .* a écrit|el .* escribió)[ \t]*:[ \t]*$", re.IGNORECASE)
 NOT_WORD = re.compile(r"[\W_]+")
-LEAST_CHARS = 12  # of a normalised passage, for it to be looked for
+FAR_CHARS = 12  # of a normalised passage, for it to be looked for in other conversations: shorter ones are said everywhere
 
 
 def passages(text: str) -> list[tuple[int, str]]:
@@ -53,65 +55,72 @@ def normalised(passage: str) -> str:
 
 
 def _hash(passage: str) -> str | None:
+    """Of a passage with a letter or digit; those too short to be looked for elsewhere begin with '-'."""
     n = normalised(passage)
-    return hashlib.sha256(n.encode()).hexdigest()[:32] if len(n) >= LEAST_CHARS else None
+    return (hashlib.sha256(n.encode()).hexdigest()[:32] if len(n) >= FAR_CHARS else "-" + hashlib.sha256(n.encode()).hexdigest()[:31]) if n else None
+
+
+def _hashes(passage: str) -> list[str]:
+    """The hash of the whole passage, then those of its lines."""
+    return list(dict.fromkeys(h for h in map(_hash, [passage, *passage.split("\n")]) if h))
 
 
 def parsed_messages(messages: DataFrame) -> DataFrame:
-    """messages with body (what they say themselves), said (hashes of its passages, and of the whole) and quoted (level, hash). A null text says nothing."""
+    """messages with body (what they say themselves), said (hashes of its passages, their lines, and the whole) and quoted (level, passage, hash, whole). A null text says nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quoted_type = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.string())]))
+        quoted_type = pa.list_(pa.struct([("level", pa.int32()), ("passage", pa.string()), ("hash", pa.string()), ("whole", pa.bool_())]))
         for batch in batches:
             bodies, said, quoted = [], [], []
             for text in batch.column("text"):
                 found = passages(text.as_py() or "")
                 own = [p for level, p in found if level == 0 and p]
                 bodies.append("\n".join(own))
-                said.append(sorted({h for h in map(_hash, [*own, bodies[-1]]) if h}))
-                quoted.append([{"level": level, "hash": h} for level, p in found if level and (h := _hash(p))])
+                said.append(sorted({h for p in [*own, bodies[-1]] for h in _hashes(p)}))
+                quoted.append([{"level": level, "passage": hs[0], "hash": h, "whole": h == hs[0]} for level, p in found if level and (hs := _hashes(p)) for h in hs])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array(bodies, pa.string()), pa.array(said, pa.list_(pa.string())), pa.array(quoted, quoted_type)],
                 ["conv_id", "turn", "role", "body", "said", "quoted"],
             )
 
     picked = messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
-    return picked.mapInArrow(run, "conv_id long, turn long, role string, body string, said array<string>, quoted array<struct<level:int,hash:string>>")
+    return picked.mapInArrow(freed(run), "conv_id long, turn long, role string, body string, said array<string>, quoted array<struct<level:int,passage:string,hash:string,whole:boolean>>")
 
 
 def linked_quotes(parsed: DataFrame) -> DataFrame:
-    """conv_id, turn, level, hash, linked_conv, linked_turn: every distinct quoted passage with the message it comes from, or nulls.
+    """conv_id, turn, level, passage, linked_conv, linked_turn: every distinct quoted passage with the message it comes from, or nulls.
 
-    Within a conversation that is the latest earlier message that says it; else the first (conv_id, turn) anywhere but in the message
-    itself and later ones of its conversation. Hashes are reduced to one row a conversation turn and one row overall before they are joined, so a
+    Within a conversation that is the latest earlier message that says it; else, for passages of FAR_CHARS or more, the first (conv_id, turn)
+    anywhere but in the message itself and later ones of its conversation. Where nobody says the whole passage, its lines are looked for alike, and the latest
+    of the messages in the conversation, else the first elsewhere, has it. Hashes are reduced to one row a conversation turn and one row overall before they are joined, so a
     passage that is said and quoted everywhere makes no pairs.
     """
-    quoted = parsed.select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.hash", "q.level")
-    quoted = quoted.groupBy("conv_id", "turn", "hash").agg(F.min("level").alias("level"))
+    quoted = parsed.select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*")
+    quoted = quoted.groupBy("conv_id", "turn", "passage", "hash").agg(F.min("level").alias("level"), F.max("whole").alias("whole"))
     said = parsed.select("conv_id", "turn", F.explode("said").alias("hash")).join(quoted.select("hash").distinct(), "hash", "left_semi").distinct()
-    none = F.lit(None).cast("int")
-    timeline = quoted.select("conv_id", "turn", "hash", "level", F.lit(True).alias("asks")).unionByName(
-        said.select("conv_id", "turn", "hash", none.alias("level"), F.lit(False).alias("asks"))
-    )
+    asked = quoted.select("conv_id", "turn", "hash").distinct()
+    timeline = asked.withColumn("asks", F.lit(True)).unionByName(said.select("conv_id", "turn", "hash", F.lit(False).alias("asks")))
     earlier = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     here = timeline.withColumn("here", F.max(F.when(~F.col("asks"), F.col("turn"))).over(earlier)).filter("asks").drop("asks")
     # a conversation's own later turns don't answer, so the first two conversations that say a passage are enough
-    firsts = said.groupBy("hash", "conv_id").agg(F.min("turn").alias("t")).groupBy("hash").agg(
-        F.min(F.struct("conv_id", "t")).alias("first"), F.max(F.struct("conv_id", "t")).alias("last")
-    )
+    far = said.filter(~F.col("hash").startswith("-")).groupBy("hash", "conv_id").agg(F.min("turn").alias("t"))
+    firsts = far.groupBy("hash").agg(F.min(F.struct("conv_id", "t")).alias("first"), F.max(F.struct("conv_id", "t")).alias("last"))
     joined = here.join(firsts, "hash", "left")
     away = F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).when(F.col("last.conv_id") != F.col("conv_id"), F.col("last"))
     linked = F.when(F.col("here").isNotNull(), F.struct("conv_id", F.col("here").alias("t"))).otherwise(away)
-    return joined.select("conv_id", "turn", "level", "hash", linked["conv_id"].alias("linked_conv"), linked["t"].alias("linked_turn"))
+    each = quoted.join(joined.select("conv_id", "turn", "hash", linked.alias("to")), ["conv_id", "turn", "hash"])
+    inside = F.col("to.conv_id") == F.col("conv_id")
+    rank = F.struct(F.col("whole").cast("int"), inside.cast("int"), F.when(inside, F.col("to.t")).otherwise(-F.col("to.t")), F.when(inside, F.col("to.conv_id")).otherwise(-F.col("to.conv_id")))
+    best = each.groupBy("conv_id", "turn", "passage").agg(F.min("level").alias("level"), F.max_by("to", F.when(F.col("to").isNotNull(), rank)).alias("to"))
+    return best.select("conv_id", "turn", "level", "passage", F.col("to.conv_id").alias("linked_conv"), F.col("to.t").alias("linked_turn"))
 
 
 def reply_threads(messages: DataFrame) -> DataFrame:
-    """One row for every row of messages (conv_id, turn, role, text; other columns are ignored), in no order:
+    """One row for every row of messages (conv_id, turn, role, text; other columns are ignored):
 
-    body (the text without quotations and their introductions), n_quotes (distinct quoted passages), n_linked, quote_depth (deepest level),
+    place (from 1, of the message in its conversation in reply order: thread after thread, replies after what they answer), body (the text without quotations and their introductions), n_quotes (distinct quoted passages), n_linked, quote_depth (deepest level),
     linked_conv and linked_turn (of the shallowest linked passage, the latest of them), reply_to (its turn, if in the conversation),
-    thread_root (the turn at the end of the replies) and depth (replies until there). Sorting by conv_id, thread_root, turn gives
-    the conversation in reply order. Rows that repeat a (conv_id, turn) share its links, and are joined by all of its texts. Null keys stay and link nothing.
+    thread_root (the turn at the end of the replies) and depth (replies until there). Rows that repeat a (conv_id, turn) share its links, and are joined by all of its texts. Null keys stay and link nothing.
     Replies always go to earlier turns, so threads end; they are followed by doubling, in rounds of the logarithm of the deepest thread.
     """
     parsed = written(parsed_messages(messages), "quotes-parsed")
@@ -135,12 +144,14 @@ def reply_threads(messages: DataFrame) -> DataFrame:
             break
     out = parsed.drop("said", "quoted").join(per, ["conv_id", "turn"], "left").join(hops, ["conv_id", "turn"], "left")
     zero = lambda c, kind="long": F.coalesce(F.col(c), F.lit(0)).cast(kind).alias(c)
+    out = out.withColumn("thread_root", F.coalesce("root", "turn"))
+    last = lambda c: F.col(c).asc_nulls_last()
+    out = numbered(out, ["conv_id"], [last("thread_root"), last("turn"), last("role"), last("body")])
     return out.select(
-        "conv_id", "turn", "role", "body", zero("n_quotes"), zero("n_linked"), zero("quote_depth", "int"), "linked_conv", "linked_turn", "reply_to",
-        F.coalesce("root", "turn").alias("thread_root"), zero("depth"),
+        "conv_id", "place", "turn", "role", "body", zero("n_quotes"), zero("n_linked"), zero("quote_depth", "int"), "linked_conv", "linked_turn", "reply_to",
+        "thread_root", zero("depth"),
     )
 
 
 def op7_quote_threads(spark, sf_dir: str) -> DataFrame:
-    out = reply_threads(table(spark, sf_dir, "conversations"))
-    return out.withColumn("body_sha256", F.sha2("body", 256)).drop("body")
+    return reply_threads(table(spark, sf_dir, "conversations"))
