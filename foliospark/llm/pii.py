@@ -9,9 +9,10 @@ they get keyed digests, which keep equal values linked too. Numbers that fail va
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.session import table
@@ -20,7 +21,7 @@ KINDS = ("secret", "iban", "email", "card", "ssn", "phone", "ip", "date")
 #: What each kind looks like; the first kind that matches at a place has it.
 PATTERNS = {
     "secret": r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}+|\bsk-[A-Za-z0-9]{20,}+|(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)\"? ?[=:] ?\"?[^\s\"',;]{6,}+\"?",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "iban": r"\b[A-Za-z]{2}\d{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,3})?\b",
     "email": r"(?<![\w.+%-])[\w.+%-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}+",
     "card": r"(?<![\d.+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -32,7 +33,8 @@ ANY = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
 #: A text without any of these holds none of the patterns: a cheap first test.
 HINT = r"[0-9]{3}|@|[0-9][./-][0-9]|(?i:password|passwd|pwd|secret|token|api[_-]?key)|AKIA|sk-|gh[pousr]_"
 ROUNDS = 8
-FIRST_DAY, DAY_ROOT = "1900-01-01", 270  # the permuted dates are the 270 * 270 days from FIRST_DAY
+FIRST_DAY, DAY_ROOT = "1900-01-01", 270  # dates are permuted inside spans of 270 * 270 days, one of which begins with FIRST_DAY
+KEY_SETTING = "spark.foliospark.pii.key"
 
 
 def _digest(key: str, kind: str, value: Column, length: int) -> Column:
@@ -58,7 +60,7 @@ def feistel(x: Column, a: Column, b: Column, key: str, kind: str, inverse: bool
 
     rounds = F.array(*map(F.lit, range(ROUNDS)[:: -1 if inverse else 1]))
     start = F.struct(F.expr("0L").alias("l"), F.expr("0L").alias("r"))
-    halves = F.struct(F.floor(x / b).cast("long").alias("l"), F.pmod(x, b).cast("long").alias("r"))
+    halves = F.struct(F.round((x - F.pmod(x, b)) / b).cast("long").alias("l"), F.pmod(x, b).cast("long").alias("r"))
     return F.aggregate(rounds, F.coalesce(halves, start), step, lambda acc: acc["l"] * b + acc["r"])
 
 
@@ -67,13 +69,30 @@ def _power(n: Column) -> Column:
 
 
 def permuted_digits(digits: Column, key: str, kind: str) -> Column:
-    """A string of 2 to 18 digits permuted among all strings of as many digits."""
+    """A string of 1 to 18 digits permuted among all strings of as many digits."""
     n = F.length(digits)
     low = F.floor(n / 2)
     value = F.floor(digits.cast("decimal(20,0)") / _power(low)).cast("long") * _power(low) + F.right(digits, low).cast("long")
     return F.lpad(feistel(value, _power(n - low), _power(low), key, kind).cast("string"), n, F.lit("0"))
 
 
+def permuted_letters(letters: Column, key: str, kind: str) -> Column:
+    """A string of up to 11 capital letters permuted among all strings of as many."""
+    n = F.length(letters)
+    low = F.floor(n / 2)
+    power = lambda k: F.round(F.pow(F.lit(26), k)).cast("long")
+    value = F.aggregate(F.split(letters, ""), F.expr("0L"), lambda acc, c: acc * 26 + F.ascii(c) - 65)
+    new = feistel(value, power(n - low), power(low), key, kind)
+    back = F.transform(F.sequence(n - 1, F.lit(0)), lambda i: F.char(65 + F.pmod(F.round((new - F.pmod(new, power(i))) / power(i)).cast("long"), F.lit(26).cast("long"))))
+    return F.when(n > 0, F.array_join(back, "")).otherwise("")
+
+
+def _in_parts(text: Column, size: int, parts: int, permuted: Callable[[Column, str], Column], kind: str) -> Column:
+    """text with each part of `size` characters, from its start, permuted by itself."""
+    part = lambda i: F.substring(text, i * size + 1, size)
+    return F.concat(*(F.when(part(i) != "", permuted(part(i), f"{kind}{i}")).otherwise("") for i in range(parts)))
+
+
 def _laid_out(pattern: Column, digits: Column) -> Column:
     """The digits of `pattern` replaced in order by `digits`; everything else stays."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
@@ -115,17 +134,39 @@ def mod97(account: Column) -> Column:
 
 
 def _iban(value: Column, key: str) -> Column:
-    plain = F.replace(value, F.lit(" "), F.lit(""))
+    """Digits and letters of the account are permuted apart, in parts, and the check digits follow; spaces and small letters stay where they are."""
+    plain = F.upper(F.replace(value, F.lit(" "), F.lit("")))
     body = F.substr(plain, F.lit(5))
-    digits = _digits(body)
-    tail = F.right(digits, F.least(F.length(digits), F.lit(18)))
-    new_digits = F.concat(F.left(digits, F.length(digits) - F.length(tail)), permuted_digits(tail, key, "iban"))
-    moved = F.when(F.length(tail) >= 2, _laid_out(body, new_digits)).otherwise(body)
+    digits = _in_parts(_digits(body), 18, 2, lambda x, kind: permuted_digits(x, key, kind), "iban")
+    letters = _in_parts(F.regexp_replace(body, "[0-9]", ""), 11, 3, lambda x, kind: permuted_letters(x, key, kind), "iban-letters")
+    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("d"), F.lit(1).alias("l"))
+    digit = lambda c: c.between("0", "9")
+    step = lambda acc, c: F.struct(
+        F.concat(acc["out"], F.when(digit(c), F.substr(digits, acc["d"], F.lit(1))).otherwise(F.substr(letters, acc["l"], F.lit(1)))).alias("out"),
+        (acc["d"] + digit(c).cast("int")).alias("d"),
+        (acc["l"] + (~digit(c)).cast("int")).alias("l"),
+    )
+    moved = F.aggregate(F.split(body, ""), start, step, lambda acc: acc["out"])
     check = F.lpad((98 - mod97(F.concat(moved, F.left(plain, F.lit(2)), F.lit("00")))).cast("string"), 2, "0")
     fresh = F.concat(F.left(plain, F.lit(2)), check, moved)
-    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
-    step = lambda acc, c: F.struct(F.concat(acc["out"], F.when(c == " ", c).otherwise(F.substr(fresh, acc["i"], F.lit(1)))).alias("out"), (acc["i"] + (c != " ").cast("int")).alias("i"))
-    return F.aggregate(F.split(value, ""), start, step, lambda acc: acc["out"])
+    begin = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
+    lay = lambda acc, c: F.struct(F.concat(acc["out"], F.when(c == " ", c).when(c.rlike("[a-z]"), F.lower(F.substr(fresh, acc["i"], F.lit(1)))).otherwise(F.substr(fresh, acc["i"], F.lit(1)))).alias("out"), (acc["i"] + (c != " ").cast("int")).alias("i"))
+    return F.aggregate(F.split(value, ""), begin, lay, lambda acc: acc["out"])
+
+
+def _ssn(value: Column, key: str) -> Column:
+    """Permuted among the valid numbers: areas 001 to 899 but 666, groups 01 to 99, serials 0001 to 9999."""
+    area, group, serial = (F.substring(value, a, n).cast("long") for a, n in ((1, 3), (5, 2), (8, 4)))
+    place = area - 1 - (area > 666).cast("long")
+    left, right = F.lit(898 * 99).cast("long"), F.lit(9999).cast("long")
+    new = feistel((place * 99 + group - 1) * right + serial - 1, left, right, key, "ssn")
+    serial = F.pmod(new, right)
+    rest = F.round((new - serial) / right).cast("long")
+    group = F.pmod(rest, F.lit(99).cast("long"))
+    place = F.round((rest - group) / 99).cast("long")
+    area = place + 1 + (place >= 665).cast("long")
+    pad = lambda x, n: F.lpad(x.cast("string"), n, "0")
+    return F.concat_ws("-", pad(area, 3), pad(group + 1, 2), pad(serial + 1, 4))
 
 
 def _octets(value: Column) -> Column:
@@ -145,23 +186,34 @@ def _date(value: Column) -> Column:
     return F.when(value.rlike(r"^\d{4}-"), write(part[0], part[1], part[2])).otherwise(F.coalesce(write(part[2], part[1], part[0]), write(part[2], part[0], part[1])))
 
 
-def _day(value: Column) -> Column:
-    day = F.date_diff(_date(value), F.lit(FIRST_DAY).cast("date")).cast("long")
-    return F.when(day.between(0, DAY_ROOT * DAY_ROOT - 1), day)
-
-
 def _moved_date(value: Column, key: str) -> Column:
+    """Another date of the same span of days, written as the first is: order of day and month, separators, and zeros before single digits.
+
+    A month-first date is known by a day above 12; its pseudonym keeps that order, and may look like a day-first one.
+    """
+    first, span = F.lit(FIRST_DAY).cast("date"), DAY_ROOT * DAY_ROOT
+    day = F.date_diff(_date(value), first).cast("long")
+    lowest, highest = F.date_diff(F.lit("0001-01-01").cast("date"), first).cast("long"), F.date_diff(F.lit("9999-12-31").cast("date"), first).cast("long")
+    begin = F.greatest(day - F.pmod(day, F.lit(span).cast("long")), lowest)
+    days = F.least(day - F.pmod(day, F.lit(span).cast("long")) + span, highest + 1) - begin
     root = F.lit(DAY_ROOT).cast("long")
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), feistel(_day(value), root, root, key, "date").cast("int"))
-    layout = lambda f: F.date_format(new, f)
-    return F.when(value.contains("-"), layout("yyyy-MM-dd")).when(value.contains("/"), layout("dd/MM/yyyy")).otherwise(layout("dd.MM.yyyy"))
+    whole = days == span  # the spans at both ends of the calendar are shorter: their days turn by a keyed number
+    new = F.date_add(first, (begin + feistel(day - begin, F.when(whole, root).otherwise(F.lit(1).cast("long")), F.when(whole, root).otherwise(days), key, "date")).cast("int"))
+    part = F.split(value, "[-/.]")
+    pad = lambda x, old: F.when(F.length(old) > 1, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
+    year, month, dom = F.lpad(F.year(new).cast("string"), 4, "0"), F.month(new), F.dayofmonth(new)
+    sep = F.regexp_extract(value, "[-/.]", 0)
+    day_first = F.month(_date(value)) == part[1].cast("int")
+    return F.when(value.rlike(r"^\d{4}-"), F.concat_ws("-", year, F.lpad(month.cast("string"), 2, "0"), F.lpad(dom.cast("string"), 2, "0"))).when(
+        day_first, F.concat(pad(dom, part[0]), sep, pad(month, part[1]), sep, year)
+    ).otherwise(F.concat(pad(month, part[0]), sep, pad(dom, part[1]), sep, year))
 
 
 def kind_of(value: Column) -> Column:
     """The kind of a match that is validated; null for one that is to be left alone."""
     digits = _digits(value)
     fits = lambda k: value.rlike(f"^(?:{PATTERNS[k]})$")
-    plain = F.replace(value, F.lit(" "), F.lit(""))
+    plain = F.upper(F.replace(value, F.lit(" "), F.lit("")))
     valid_iban = mod97(F.concat(F.substr(plain, F.lit(5)), F.left(plain, F.lit(4)))) == 1
     return (
         F.when(fits("secret"), "secret")
@@ -170,7 +222,7 @@ def kind_of(value: Column) -> Column:
         .when(fits("card"), F.when(luhn_sum(digits, 1) % 10 == 0, "card"))
         .when(fits("ssn"), F.when(~digits.rlike(r"^(?:000|666|9)|^...00|0000$"), "ssn"))
         .when(fits("ip"), F.when(F.forall(_octets(value), lambda o: o <= 255), "ip"))
-        .when(fits("date"), F.when(_day(value).isNotNull(), "date"))
+        .when(fits("date"), F.when(_date(value).isNotNull(), "date"))
         .when(fits("phone"), "phone")
     )
 
@@ -186,7 +238,7 @@ def pseudonym(kind: Column, value: Column, key: str) -> Column:
         .when(kind == "email", F.concat(F.lit("user."), _digest(key, "email", F.lower(value), 16), F.lit("@pseudonym.invalid")))
         .when(kind == "iban", _iban(value, key))
         .when(kind == "card", _card(value, key))
-        .when(kind == "ssn", _laid_out(value, permuted_digits(digits, key, "ssn")))
+        .when(kind == "ssn", _ssn(value, key))
         .when(kind == "ip", _ip(value, key))
         .when(kind == "date", _moved_date(value, key))
         .when(kind == "phone", _laid_out(value, phone))
@@ -194,25 +246,33 @@ def pseudonym(kind: Column, value: Column, key: str) -> Column:
     )
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The key that the session's setting KEY_SETTING holds; without it a random one, so that pseudonyms of different runs have nothing in common and nobody can undo them."""
+    return spark.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+
+
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """docs with the personal data in `text` replaced, and an array column `private` of (kind, old, new) in text order.
 
     Every other column stays as it is (a column named `private` is replaced). A null text stays null and an empty one empty, with
-    no matches. Texts are handled whole, whatever their length; repeated rows get equal results.
+    no matches. Texts are handled whole, whatever their length; repeated rows get equal results. key: a secret; who has it can undo the numbers.
     """
+    if not key:
+        raise ValueError("pseudonyms need a key")
     text = F.col("text")
     found = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
-    kinds = F.transform("__found", lambda m: F.struct(kind_of(m).alias("kind"), m.alias("old")))
-    news = F.transform("__kinds", lambda m: F.struct(m["kind"].alias("kind"), m["old"].alias("old"), pseudonym(m["kind"], m["old"], key).alias("new")))
-    ends = F.concat(F.transform("__all", lambda m: m["new"]), F.array(F.lit("")))
+    one, two, three = (next(f"__{k}{i}" for i in range(99) if f"__{k}{i}" not in docs.columns) for k in ("found", "kinds", "all"))
+    kinds = F.transform(one, lambda m: F.struct(kind_of(m).alias("kind"), m.alias("old")))
+    news = F.transform(two, lambda m: F.struct(m["kind"].alias("kind"), m["old"].alias("old"), pseudonym(m["kind"], m["old"], key).alias("new")))
+    ends = F.concat(F.transform(three, lambda m: m["new"]), F.array(F.lit("")))
     parts = F.zip_with(F.split(text, ANY, -1), ends, lambda gap, new: F.concat(gap, new))
-    out = docs.withColumn("__found", found).withColumn("__kinds", kinds).withColumn("__all", news)
-    changed = F.exists("__all", lambda m: m["kind"].isNotNull())
-    out = out.withColumn("private", F.filter("__all", lambda m: m["kind"].isNotNull()))
-    return out.withColumn("text", F.when(changed, F.array_join(parts, "")).otherwise(text)).drop("__found", "__kinds", "__all")
+    out = docs.withColumn(one, found).withColumn(two, kinds).withColumn(three, news)
+    changed = F.exists(three, lambda m: m["kind"].isNotNull())
+    out = out.withColumn("private", F.filter(three, lambda m: m["kind"].isNotNull()))
+    return out.withColumn("text", F.when(changed, F.array_join(parts, "")).otherwise(text)).drop(one, two, three)
 
 
 def op8_pii_pseudonyms(spark, sf_dir: str) -> DataFrame:
-    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="foliospark")
+    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonym_key(spark))
     count = lambda k: F.size(F.filter("private", lambda m: m["kind"] == k)).cast("long").alias(f"n_{k}")
     return out.select("doc_id", "text", *map(count, KINDS))
