@@ -1,8 +1,8 @@
 """Licence scan by canonical digests.
 
 A text is canonical once its copyright lines are gone, equivalent spellings are one, and only lower-case words remain. Texts
-with the same canonical SHA-256 are the same licence. Whole documents and each of their lines are looked up by one hash
-join with the digests of known licence texts and notices.
+with the same canonical SHA-256 are the same licence. Whole documents, each of their lines and short runs of their paragraphs
+(lines between blank ones) are looked up by one hash join with the digests of known licence texts and notices.
 """
 
 from __future__ import annotations
@@ -31,19 +31,8 @@ SPELLINGS = (
     ("http ", "https "),
 )
 
-#: Known notices and short licence texts, (identifier, text).
-KNOWN = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "This project is licensed under the MIT License."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Released under the Apache License, Version 2.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "Released under the GNU General Public License, version 3."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC0-1.0", "Released under CC0 1.0."),
+#: Short licence texts, (identifier, text).
+TEXTS = (
     ("reserved", "All rights reserved."),
     (
         "MIT",
@@ -64,18 +53,67 @@ KNOWN = (
         "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
         "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
+    (
+        "0BSD",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS "
+        'PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY '
+        "AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER "
+        "RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising "
+        "from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must "
+        "not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be "
+        "appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original "
+        "software. 3. This notice may not be removed or altered from any source distribution.",
+    ),
 )
+#: Names by which notices call licences, by identifier.
+NAMES = {
+    "MIT": ("MIT License", "MIT"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache-2.0"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU GPL version 2", "GPL-2.0"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU GPL version 3", "GPL-3.0"),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "LGPL-2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "LGPL-3.0"),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "AGPL-3.0"),
+    "BSD-2-Clause": ("2-Clause BSD License", "BSD 2-Clause License", "BSD-2-Clause"),
+    "BSD-3-Clause": ("3-Clause BSD License", "BSD 3-Clause License", "BSD-3-Clause"),
+    "ISC": ("ISC License", "ISC"),
+    "MPL-2.0": ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL-2.0"),
+    "EPL-2.0": ("Eclipse Public License, version 2.0", "Eclipse Public License 2.0", "EPL-2.0"),
+    "BSL-1.0": ("Boost Software License, Version 1.0", "BSL-1.0"),
+    "Unlicense": ("Unlicense",),
+    "CC0-1.0": ("CC0 1.0", "CC0 1.0 Universal", "CC0-1.0"),
+    **{f"CC-{x.replace(' ', '-')}-{v}": (f"CC {x} {v}", f"CC-{x.replace(' ', '-')}-{v}", f"Creative Commons {x} {v}") for x in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND") for v in ("3.0", "4.0")},
+}
+#: How notices name a licence.
+NOTICES = ("Licensed under the {}.", "Licensed under {}.", "Released under the {}.", "Released under {}.", "Distributed under the {}.", "This work is licensed under the {}.", "This work is licensed under {}.", "This project is licensed under the {}.", "This software is licensed under the {}.", "SPDX-License-Identifier: {}", "License: {}")
 #: A line that is only a copyright statement.
-COPYRIGHT_LINE = r"(?im)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*$"
-NOT_WORD = r"[^a-z0-9]+"
-#: Words that every listed notice holds one of, so that other lines need no digest.
-NOTICE = r"(?i)licen[cs]|reserved|released|permission"
+COPYRIGHT_LINE = r"(?im)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*\n?"
+PARAGRAPHS = 4  # in a row that may be one licence text
+NOT_WORD = r"[^a-z0-9\n]+"
+#: The texts and every notice of every name.
+KNOWN = (*TEXTS, *((k, n.format(name)) for k, names in NAMES.items() for name in names for n in NOTICES))
+
+
+def words_of(text: Column) -> Column:
+    """The text's lines without copyright lines, each of lower-case ASCII words and digits with single spaces between them and none at the ends."""
+    words = F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINE, "")), NOT_WORD, " ")
+    return F.trim(F.regexp_replace(words, " *\n *", "\n"))
+
+
+def spelled(words: Column) -> Column:
+    """Words in a row with equal spellings made one."""
+    return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, F.trim(F.regexp_replace(words, "\n+", " ")))
 
 
 def canonical(text: Column) -> Column:
     """Copyright lines removed, lower-case ASCII words and digits joined by single spaces, equal spellings made one; null stays null."""
-    words = F.trim(F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINE, " ")), NOT_WORD, " "))
-    return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, words)
+    return spelled(words_of(text))
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
@@ -88,16 +126,21 @@ def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOW
 def scan_licences(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, digest (of the whole canonical text), licence (of the whole text, or null), line_licences (sorted, distinct) and n_lines for every row.
 
-    known: (digest, licence), any number of rows. The whole text and each of its lines that hold a word of NOTICE are hash-joined
-    with it by their digests; n_lines counts the lines found. A null text has a null digest and no licences; a text without
+    known: (digest, licence), any number of rows. The whole text, each of its lines and each run of up to PARAGRAPHS paragraphs that has several lines are
+    hash-joined with it by their digests; n_lines counts the lines and runs found. A null text has a null digest and no licences; a text without
     ASCII words has the digest of the empty string and matches nothing. Rows that repeat a doc_id share their lines. A null
     doc_id has no lines. Other columns of docs are ignored. Texts never travel: only ids and digests are shuffled.
     """
     known = known.filter(F.col("digest") != F.sha2(F.lit(""), 256))
-    whole = docs.select("doc_id", F.sha2(canonical(F.col("text")), 256).alias("digest")).join(known, "digest", "left")
-    lines = docs.select("doc_id", F.explode(F.filter(F.split("text", "\n"), lambda x: x.rlike(NOTICE))).alias("line"))
-    digests = lines.select("doc_id", F.sha2(canonical(F.col("line")), 256).alias("digest"))
-    hits = digests.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("licence")).alias("line_licences"), F.count("*").alias("n_lines"))
+    words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
+    whole = words.select("doc_id", F.sha2(spelled(F.col("words")), 256).alias("digest")).join(known, "digest", "left")
+    lines = F.filter(F.split("words", "\n"), lambda x: x != "")
+    split = F.split("words", "\n\n+")
+    runs = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(PARAGRAPHS), F.size(split) - i + 1)), lambda k: F.array_join(F.slice(split, i, k), "\n"))
+    passages = F.filter(F.flatten(F.transform(F.sequence(F.lit(1), F.size(split)), runs)), lambda x: F.contains(x, F.lit("\n")))
+    parts = F.when(F.contains("words", F.lit("\n")), F.concat(lines, passages)).otherwise(lines)
+    pieces = words.filter("doc_id is not null").select("doc_id", F.explode(F.transform(parts, lambda x: F.sha2(spelled(x), 256))).alias("digest"))
+    hits = pieces.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("licence")).alias("line_licences"), F.count("*").alias("n_lines"))
     none = F.array().cast("array<string>")
     out = whole.join(hits, "doc_id", "left")
     return out.select("doc_id", "digest", "licence", F.coalesce("line_licences", none).alias("line_licences"), F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
@@ -106,20 +149,24 @@ def scan_licences(docs: DataFrame, known: DataFrame) -> DataFrame:
 def _oracle() -> str:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
 
-    def canon(c: str) -> str:
-        words = f"trim(regexp_replace(lower(regexp_replace({c}, {quoted(COPYRIGHT_LINE)}, ' ', 'g')), {quoted(NOT_WORD)}, ' ', 'g'))"
+    def words(c: str) -> str:
+        return f"trim(regexp_replace(regexp_replace(lower(regexp_replace({c}, {quoted(COPYRIGHT_LINE)}, '', 'g')), {quoted(NOT_WORD)}, ' ', 'g'), ' *\n *', chr(10), 'g'))"
+
+    def spelt(c: str) -> str:
+        out = f"trim(regexp_replace({c}, '\n+', ' ', 'g'))"
         for old, new in SPELLINGS:
-            words = f"replace({words}, {quoted(old)}, {quoted(new)})"
-        return words
+            out = f"replace({out}, {quoted(old)}, {quoted(new)})"
+        return out
 
     values = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in KNOWN)
     return f"""
-WITH known AS (SELECT sha256({canon("t")}) AS digest, min(n) AS licence FROM (VALUES {values}) v(n, t) GROUP BY 1),
-whole AS (SELECT d.doc_id, sha256({canon("d.text")}) AS digest FROM documents d),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+WITH known AS (SELECT sha256({spelt(words("t"))}) AS digest, min(n) AS licence FROM (VALUES {values}) v(n, t) GROUP BY 1),
+w AS (SELECT doc_id, {words("text")} AS w FROM documents),
+whole AS (SELECT doc_id, sha256({spelt("w")}) AS digest FROM w),
+pieces AS (SELECT doc_id, unnest(string_split(w, chr(10))) AS p FROM w UNION ALL SELECT doc_id, p FROM (SELECT doc_id, unnest(flatten(list_transform(range(1, len(s) + 1), lambda i: list_transform(range(1, least({PARAGRAPHS}, len(s) - i + 1) + 1), lambda k: array_to_string(list_slice(s, i, i + k - 1), chr(10)))))) AS p FROM (SELECT doc_id, regexp_split_to_array(w, '\n\n+') AS s FROM w)) WHERE p LIKE '%' || chr(10) || '%'),
 hits AS (
   SELECT doc_id, string_agg(DISTINCT k.licence, ',' ORDER BY k.licence) AS line_licences, count(*) AS n_lines
-  FROM (SELECT doc_id, sha256({canon("line")}) AS digest FROM lines WHERE regexp_matches(line, {quoted(NOTICE)})) x JOIN known k USING (digest) GROUP BY doc_id
+  FROM (SELECT doc_id, sha256({spelt("p")}) AS digest FROM pieces WHERE p <> '') x JOIN known k USING (digest) GROUP BY doc_id
 )
 SELECT w.doc_id, w.digest, k.licence, coalesce(h.line_licences, '') AS line_licences, coalesce(h.n_lines, 0) AS n_lines
 FROM whole w LEFT JOIN known k USING (digest) LEFT JOIN hits h ON w.doc_id = h.doc_id
