@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.textbytes import IS_SEPARATOR, Texts, slices, windows
+from foliospark.llm.textbytes import IS_SEPARATOR, Texts, freed, slices, windows
 from foliospark.session import table, written
 
 #: The characters that count as symbols.
@@ -104,7 +104,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
                 )
 
     schema = "doc_id long, stratum string, " + ", ".join(f"{k} long" for k in STATS)
-    return docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("stratum")).mapInArrow(run, schema)
+    return docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("stratum")).mapInArrow(freed(run), schema)
 
 
 def with_rules(stats: DataFrame) -> DataFrame:

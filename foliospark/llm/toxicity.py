@@ -18,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.llm.textbytes import freed
 from foliospark.session import table, written
 
 WORD = re.compile(r"[^\W\d_]+")
-QUOTED = re.compile(r"“[^”]{1,400}”|«[^»]{1,400}»|„[^“”]{1,400}[“”]|\"[^\"\n]{1,400}\"|^[ \t]*>.*$", re.MULTILINE)
+QUOTED = re.compile(r"“[^“”]+”|«[^«»]+»|„[^„“”]+[“”]|\"[^\"\n]+\"|^[ \t]*>.*$", re.MULTILINE)
 BEGINNINGS = range(4, 9)
 SAMPLE = 20_000  # labelled documents that the model is fitted on, at most (about: a keyed share of the labels is taken)
-CANDIDATES = 50_000  # terms of toxic sample documents that are counted in the clean ones, at most: the most frequent
+LEAST_DOCUMENTS = 3  # toxic sample documents that a term stands in: fewer can't reach the least precision
+WORDS_KEPT, STATES_KEPT = 100_000, 20_000  # of an automaton, before it starts anew; results don't depend on them
 Z, LEAST_PRECISION = 3.0, 0.35  # a term's toxic share, at the lower Wilson bound
 STRONG = 0.45  # bound from which a term's misspellings are looked for
 WINDOW, QUOTE_FACTOR = 8, 0.4
@@ -43,9 +45,8 @@ def features_of(text: str) -> set[str]:
     """The terms of a text: whole words (with a final '$') and word beginnings."""
     out = set()
     for w in set(WORD.findall(text.lower())):
-        if len(w) < 60:
-            out.add(w + "$")
-            out.update(w[:k] for k in BEGINNINGS if len(w) >= k)
+        out.add(w + "$")
+        out.update(w[:k] for k in BEGINNINGS if len(w) >= k)
     return out
 
 
@@ -68,6 +69,10 @@ class Automaton:
                 node = self.next[node][c]
                 self.most[node] = max(self.most[node], edits)
             self.ends.setdefault(node, []).append((term, whole, exact, fuzzy, edits))
+        self._restart()
+
+    def _restart(self) -> None:
+        """Without states and words seen so far."""
         self.states: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
         self.sets: list[frozenset] = []
@@ -118,6 +123,8 @@ class Automaton:
         """(weight, edits, term) of the best hit of a word, or ()."""
         found = self.words.get(word)
         if found is None:
+            if len(self.words) > WORDS_KEPT or len(self.sets) > STATES_KEPT:
+                self._restart()
             state, found = self.start, ()
             for c in word:
                 to = self.steps[state].get(c)
@@ -128,8 +135,6 @@ class Automaton:
                     found = self.begin_hits[state]
             else:
                 found = max(found, self.end_hits[state])
-            if len(self.words) > 300_000:
-                self.words.clear()
             self.words[word] = found
         return found
 
@@ -256,7 +261,7 @@ def _counted(sample: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
                         c.clear()
         yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in emit()], schema)
 
-    return sample.select("text", "fold").mapInArrow(run, "term string, fold int, n long").groupBy("term", "fold").agg(F.sum("n").alias("n"))
+    return sample.select("text", "fold").mapInArrow(freed(run), "term string, fold int, n long").groupBy("term", "fold").agg(F.sum("n").alias("n"))
 
 
 def _by_fold(rows: list) -> dict[str, dict[int, int]]:
@@ -266,10 +271,10 @@ def _by_fold(rows: list) -> dict[str, dict[int, int]]:
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE, candidates: int = CANDIDATES) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
     """The model of `toxic` labels of documents whose crc32(doc_id as text) modulo 3 isn't 1.
 
-    About `sample_rows` labelled documents at most, a keyed share of them, are used, exact copies once. Without labels of both kinds the
+    About `sample_rows` labelled documents at most, a keyed share of them, are used; exact copies count once, as toxic if one of them is, in the least of their folds. Without labels of both kinds the
     model has no terms and gives everything the labels' share.
     """
     fold = (F.crc32(F.col("doc_id").cast("string")) % 3).cast("int")
@@ -279,13 +284,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE, candida
     share = min(1.0, sample_rows / max(1, n))
     known = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * share))
     rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(known), "doc_id")  # about sample_rows at most
-    sample = written(rows.dropDuplicates(["text"]), "toxic-sample")
+    sample = written(rows.groupBy("text").agg(F.max("toxic").alias("toxic"), F.min("fold").alias("fold")), "toxic-sample")
     sizes = {(r["fold"], r["toxic"]): r["count"] for r in sample.groupBy("fold", "toxic").count().collect()}
     if not any(t for _, t in sizes) or all(t for _, t in sizes):
         return Model({}, fit_logistic(np.zeros((sum(sizes.values()), FEATURES)), np.array([t for (_, t), k in sizes.items() for _ in range(k)], float)))
     toxic = _counted(sample.filter("toxic = 1"), None)
-    frequent = toxic.groupBy("term").agg(F.sum("n").alias("all")).filter("all >= 3").orderBy(F.desc("all"), "term").limit(candidates).select("term")
-    toxic_counts = _by_fold(toxic.join(F.broadcast(frequent), "term").collect())
+    frequent = toxic.groupBy("term").agg(F.sum("n").alias("all")).filter(F.col("all") >= LEAST_DOCUMENTS).select("term")
+    toxic_counts = _by_fold(toxic.join(frequent, "term").collect())  # terms of a bounded sample
     clean_counts = _by_fold(_counted(sample.filter("toxic = 0"), frozenset(toxic_counts)).collect())
 
     def terms(folds: tuple[int, ...]) -> dict[str, tuple[float, float, int]]:
@@ -317,7 +322,7 @@ def fuzzy_counts(sample: DataFrame, terms: dict[str, tuple[float, float, int]])
         keys = list(out)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([out[k] for k in keys], pa.int64())], ["term", "toxic", "n"])
 
-    rows = sample.select("text", "toxic").mapInArrow(run, "term string, toxic int, n long").groupBy("term", "toxic").agg(F.sum("n").alias("n")).collect()
+    rows = sample.select("text", "toxic").mapInArrow(freed(run), "term string, toxic int, n long").groupBy("term", "toxic").agg(F.sum("n").alias("n")).collect()
     out: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     for r in rows:
         out[r["term"]][1 - r["toxic"]] = r["n"]
@@ -341,7 +346,7 @@ def sample_features(sample: DataFrame, halves: dict[int, dict]) -> list:
             x = [text_features(text, automata[f]) for text, f in zip(_texts(batch), batch.column("fold").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
 
-    return sample.select("text", "fold", "toxic").mapInArrow(run, "toxic int, x array<double>").collect()  # about SAMPLE short rows
+    return sample.select("text", "fold", "toxic").mapInArrow(freed(run), "toxic int, x array<double>").collect()  # about SAMPLE short rows
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -356,7 +361,7 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
             columns = [c for c in batch.schema.names if c != "score"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(model.scores(x))], [*columns, "score"])
 
-    return docs.drop("score").mapInArrow(run, type(schema)([f for f in schema.fields if f.name != "score"] + [schema["score"]]))
+    return docs.drop("score").mapInArrow(freed(run), type(schema)([f for f in schema.fields if f.name != "score"] + [schema["score"]]))
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
