@@ -54,30 +54,12 @@ def plain_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), 0)
 
 
-def shingles(words: Column, width: int) -> Column:
-    """Distinct runs of `width` words, joined by spaces; none if there are fewer words."""
-    starts = F.when(F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - width + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, width), " ")))
-
-
-def containment(a: Column, b: Column) -> Column:
-    """|a and b| / the smaller size; 0 where one is empty."""
-    small = F.least(F.size(a), F.size(b))
-    return F.when(small > 0, F.size(F.array_intersect(a, b)) / small).otherwise(0.0)
-
-
 def dates_compatible(a: Column, b: Column) -> Column:
     """True if both date texts are non-empty and one begins with the other."""
     a, b = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
     return (a != "") & (b != "") & (F.startswith(a, b) | F.startswith(b, a))
 
 
-def snippet(text: Column, at: Column, width: int) -> Column:
-    """Up to `width` characters on both sides of the 1-based place `at` and what is there."""
-    first = F.greatest(at - width, F.lit(1))
-    return F.substr(text, first, at + width - first)
-
-
 def group_name(name: Column) -> Column:
     """Lower-case words and digits of a name with single spaces."""
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), "[^a-z0-9 ]+", " "), " +", " "))

@@ -22,12 +22,12 @@ def citation_duplicates(citations: DataFrame, official: DataFrame) -> DataFrame:
     """
     rows = citations.select("case_id", "cite_norm").distinct().join(official.select("case_id", F.lit(True).alias("off")).distinct(), "case_id", "left")
     rows = rows.withColumn("off", F.coalesce("off", F.lit(False)))
-    key = Window.partitionBy("cite_norm").orderBy("case_id")
-    below, above = key.rowsBetween(Window.unboundedPreceding, -1), key.rowsBetween(1, Window.unboundedFollowing)
-    official_id = F.when(F.col("off"), F.col("case_id"))
-    # a smaller id beats b if b isn't official, or if it is itself official
-    beaten = F.when(F.col("off"), F.min(official_id).over(below)).otherwise(F.min("case_id").over(below))
-    by_later = F.when(~F.col("off"), F.min(official_id).over(above))
+    least = rows.groupBy("cite_norm").agg(F.min("case_id").alias("least"), F.min(F.when(F.col("off"), F.col("case_id"))).alias("least_off"))
+    rows = rows.join(least, "cite_norm")
+    # a smaller id beats b if b isn't official, or if it is itself official; the smallest of a key is as good as any
+    beaten = F.when(F.col("off"), F.when(F.col("least_off") < F.col("case_id"), F.col("least_off"))).otherwise(F.when(F.col("least") < F.col("case_id"), F.col("least")))
+    # looked at only for the smallest id of all its keys: every official one is above it then
+    by_later = F.when(~F.col("off") & (F.col("least_off") > F.col("case_id")), F.col("least_off"))
     marks = rows.select("case_id", beaten.alias("smaller"), by_later.alias("larger")).groupBy("case_id").agg(F.min("smaller").alias("smaller"), F.min("larger").alias("larger"))
     # pairs in order of (a, b): one with a smaller partner comes before any with this case as a
     return marks.select(F.col("case_id").alias("loser"), F.coalesce("smaller", "larger").alias("winner")).filter("winner is not null")
@@ -130,18 +130,30 @@ def ledger_winner(members: DataFrame, ledger: DataFrame) -> DataFrame:
     return d.groupBy("group").agg(F.min_by("case_id", key).alias("winner"))
 
 
-def reconcile(members: DataFrame, ledger: DataFrame, human: DataFrame) -> DataFrame:
-    """What the ledger must do for each loser that has a record: group, case_id, winner, action ('patch' or 'for-user') and reason.
+def reconcile(members: DataFrame, ledger: DataFrame, values: DataFrame) -> DataFrame:
+    """winner, case_id (null for a group), action ('patch' or 'for-user') and reason: what the ledger must do about merged groups.
 
-    members: group, case_id, winner. ledger: case_id, relevant, in_file. human: case_id with a value that a person set. A relevant loser goes to the user if the
-    winner isn't counted ('winner-not-counted') or a person set its values ('human-value'); another relevant loser is patched ('relevant').
+    members: case_id, winner (winners as members too). ledger: case_id, relevant, duplicate_of. values: case_id, field, value, human (a person set it). Groups with two records or more count.
+    Disagreeing readings are for the user ('relevant'), and end the group unless the winner reads relevant. With two relevant records or more, a winner that isn't one of them is for the user
+    ('winner-not-counted'), and so is, unless readings disagree, a copy whose person-set value isn't the winner's ('human-value'). Otherwise every other relevant copy without such a value becomes the winner's duplicate.
     """
-    state = ledger.select("case_id", "relevant", "in_file")
-    d = members.filter("case_id <> winner").join(state, "case_id")
-    w = state.select(F.col("case_id").alias("winner"), (F.col("relevant") & F.col("in_file")).alias("counted"))
-    d = d.join(w, "winner", "left").join(human.select("case_id", F.lit(True).alias("human")).distinct(), "case_id", "left").filter("relevant")
-    reason = F.when(~F.coalesce("counted", F.lit(False)), "winner-not-counted").when(F.col("human"), "human-value").otherwise("relevant")
-    return d.select("group", "case_id", "winner", F.when(reason == "relevant", "patch").otherwise("for-user").alias("action"), reason.alias("reason"))
+    d = members.select("case_id", "winner").join(ledger.select("case_id", "relevant", "duplicate_of"), "case_id")
+    own = values.filter("human").select("case_id", "field", "value").join(members.select("case_id", "winner"), "case_id").filter("case_id <> winner")
+    theirs = values.select(F.col("case_id").alias("winner"), "field", F.col("value").alias("winner_value"))
+    differs = own.join(theirs, ["winner", "field"], "left").filter(~F.col("value").eqNullSafe(F.col("winner_value"))).select("case_id", F.lit(True).alias("differs")).distinct()
+    d = d.join(differs, "case_id", "left").withColumn("differs", F.coalesce("differs", F.lit(False)))
+    is_winner, other = F.col("case_id") == F.col("winner"), (F.col("case_id") != F.col("winner")) & F.col("relevant")
+    g = d.groupBy("winner").agg(
+        F.count("*").alias("n"), F.coalesce(F.bool_or("relevant"), F.lit(False)).alias("yes"), F.coalesce(F.bool_or(~F.col("relevant")), F.lit(False)).alias("no"), F.coalesce(F.bool_or(is_winner & F.col("relevant")), F.lit(False)).alias("counted"),
+        F.count_if("relevant").alias("n_counted"), F.coalesce(F.bool_or(other & F.col("differs")), F.lit(False)).alias("differing"),
+    ).filter("n >= 2")
+    g = g.withColumn("disagree", F.col("yes") & F.col("no"))
+    goes_on = (~F.col("disagree") | F.col("counted")) & (F.col("n_counted") >= 2)
+    g = g.withColumn("patched", goes_on & F.col("counted") & (F.col("disagree") | ~F.col("differing")))
+    reason = F.when(F.col("disagree"), "relevant").when(goes_on & ~F.col("counted"), "winner-not-counted").when(goes_on & F.col("differing"), "human-value")
+    asked = g.withColumn("reason", reason).filter("reason is not null").select("winner", F.lit(None).cast("long").alias("case_id"), F.lit("for-user").alias("action"), "reason")
+    copies = d.filter(other & ~F.col("differs") & ~F.col("duplicate_of").eqNullSafe(F.col("winner"))).join(g.filter("patched").select("winner"), "winner", "left_semi")
+    return asked.unionByName(copies.select("winner", "case_id", F.lit("patch").alias("action"), F.lit(None).cast("string").alias("reason")))
 
 
 def calibration_crosstab(labelled: DataFrame, vocabulary: list[str]) -> DataFrame:

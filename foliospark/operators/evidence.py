@@ -1,98 +1,11 @@
-"""Checking quotes against texts, gating records, agreement and accuracy measures, answers."""
+"""Gating records, agreement and accuracy measures, answers."""
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.functions import text as T
-
 Z95 = 1.959963984540054
-FUZZY = 92.0
-
-
-def page_for_offset(page_map: Column, offset: Column) -> Column:
-    """The label of the last page that starts at or before the offset, the first page's for earlier ones."""
-    before = F.filter(page_map, lambda p: p["offset"] <= offset)
-    return F.coalesce(F.try_element_at(before, F.lit(-1))["label"], F.try_element_at(page_map, F.lit(1))["label"])
-
-
-def lcs_length(masks: dict[str, int], n: int, other: str) -> int:
-    """Length of the longest common subsequence of a text, given as the bits of its letters' places, and another; one addition a letter."""
-    full = (1 << n) - 1
-    state = full
-    for c in other:
-        hit = state & masks.get(c, 0)
-        state = ((state + hit) | (state - hit)) & full
-    return n - state.bit_count()
-
-
-def partial_ratio(needle: str, hay: str) -> float:
-    """100 * the best indel similarity of the shorter text with a window of its length in the longer, or a shorter one at its ends."""
-    if len(needle) > len(hay):
-        needle, hay = hay, needle
-    n = len(needle)
-    if not n:
-        return 0.0
-    masks: dict[str, int] = {}
-    for i, c in enumerate(needle):
-        masks[c] = masks.get(c, 0) | 1 << i
-    bounds = [(s, s + n) for s in range(len(hay) - n + 1)] + [(0, k) for k in range(1, n)] + [(len(hay) - k, len(hay)) for k in range(1, n)]
-    best = 0.0
-    for lo, hi in bounds:
-        if 200.0 * (hi - lo) / (n + hi - lo) > best:
-            best = max(best, 200.0 * lcs_length(masks, n, hay[lo:hi]) / (n + hi - lo))
-            if best == 100.0:
-                break
-    return best
-
-
-def _trigrams(text: str) -> Counter:
-    return Counter(text[i : i + 3] for i in range(len(text) - 2))
-
-
-def fuzzy_quote(quote: str, text: str) -> tuple[float, int]:
-    """(best score, its place) over windows of the quote's length and a step more, in steps of a quarter of the quote (20 at least); the first best stays, 100 ends the search.
-
-    A window that shares too few runs of three letters to reach FUZZY isn't scored: 8 % of letters lost and as many added spoil at most three runs each.
-    """
-    n = len(quote)
-    step, best, place = max(20, n // 4), 0.0, -1
-    own, least = _trigrams(quote), n - 2 - 3 * 2 * math.ceil((100 - FUZZY) / 100 * n + 1)
-    for at in range(0, max(1, len(text) - n + 1), step):
-        window = text[at : at + n + step]
-        if least > 0 and (own & _trigrams(window)).total() < least:
-            continue
-        score = partial_ratio(quote, window)
-        if score > best:
-            best, place = score, at
-            if score == 100.0:
-                break
-    return best, place
-
-
-def checked_quotes(quotes: DataFrame, cases: DataFrame) -> DataFrame:
-    """quotes (case_id, quote_id, text) with status (verified, verified-fuzzy, failed), place (from 0, in the normalised text) and score.
-
-    Only quotes that aren't verbatim reach the fuzzy batch function.
-    """
-    d = quotes.withColumn("q", T.normalise(F.col("text"))).join(cases.select("case_id", "norm_text"), "case_id", "left")
-    d = d.withColumn("at", F.when(F.col("q") != "", F.expr("locate(q, norm_text)")).otherwise(0))
-    exact = d.filter("at > 0").select("case_id", "quote_id", F.lit("verified").alias("status"), (F.col("at") - 1).cast("int").alias("place"), F.lit(100.0).alias("score"))
-    rest = d.filter("at = 0 or at is null").select("case_id", "quote_id", F.coalesce("q", F.lit("")).alias("q"), F.coalesce("norm_text", F.lit("")).alias("t"))
-
-    def run(batches):
-        for pdf in batches:
-            found = [fuzzy_quote(q, t) if q and t else (0.0, -1) for q, t in zip(pdf["q"], pdf["t"], strict=True)]
-            ok = [s >= FUZZY for s, _ in found]
-            yield pd.DataFrame({"case_id": pdf["case_id"], "quote_id": pdf["quote_id"], "status": ["verified-fuzzy" if x else "failed" for x in ok], "place": [p if x else -1 for x, (_, p) in zip(ok, found, strict=True)], "score": [s for s, _ in found]})
-
-    fuzzy = rest.mapInPandas(run, "case_id long, quote_id long, status string, place int, score double")
-    return exact.unionByName(fuzzy).withColumn("place", F.when(F.col("place") >= 0, F.col("place")))
 
 
 def gated(records: DataFrame, quotes: DataFrame, fields: list[str]) -> DataFrame:
@@ -166,18 +79,6 @@ def field_scores(pairs: DataFrame) -> DataFrame:
     return pairs.filter("ref is not null").groupBy("field").agg(F.count("*").alias("n"), F.avg(both.cast("double")).alias("decided"), F.avg(F.when(both, (F.col("ref") == F.col("got")).cast("double"))).alias("agreement"))
 
 
-def queue_reasons() -> Column:
-    """Why a relevant record goes to review, in order of priority."""
-    return F.array_compact(F.array(F.when(F.col("extraction_status") != "ok", "gate"), F.when(F.col("n_fuzzy") > 0, "fuzzy-quote"), F.when(F.col("disagrees"), "disagreement"), F.when(F.col("polarity").isNull(), "undecided")))
-
-
-def review_queue(records: DataFrame, cap: int) -> DataFrame:
-    """case_id, section (first reason), deferred and place of relevant records with a reason and without review: the first `cap` by (section, case_id) are shown."""
-    d = records.filter("relevant and not reviewed").withColumn("reasons", queue_reasons()).filter(F.size("reasons") > 0).withColumn("section", F.col("reasons")[0])
-    shown = d.select("case_id", "section").orderBy("section", "case_id").limit(cap)
-    return d.select("case_id", "section").join(shown.select("case_id", F.lit(True).alias("s")), "case_id", "left").select("case_id", "section", F.col("s").isNull().alias("deferred"))
-
-
 def answer_records(records: DataFrame, population: dict[str, list], any_of: list[dict[str, list]]) -> DataFrame:
     """Records that meet all of population and all of one of any_of (values listed by field)."""
     every = lambda spec: [F.col(k).isin(v) for k, v in spec.items()]
@@ -212,6 +113,3 @@ def all_citations(citations: DataFrame, preference: dict[str, int]) -> DataFrame
     d = d.groupBy("case_id", "c").agg(F.min("rank").alias("rank"))
     return d.groupBy("case_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "c"))), lambda x: x["c"]).alias("cites"))
 
-
-def running_place(rows: DataFrame, by: str, *order: Column) -> DataFrame:
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy(by).orderBy(*order)))

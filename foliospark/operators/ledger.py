@@ -1,20 +1,15 @@
-"""The append-only patch log: ids, sequence numbers, folding into records, tallies.
+"""The append-only patch log: ids, sequence numbers, tallies. Folding is in `folding`.
 
 A patch has seq, case_id, cycle, op (admit, set, append, drop_quote, migrate), field, new (JSON text), reviewer, model, prompt_version, run_id and rule_id.
 """
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The judged fields, and which of them a quote must support by the version of the admitting prompt.
-JUDGED = ("relevant", "polarity", "who_was_letting", "duration_of_occupancy", "characterization", "restriction_nature")
-SUPPORTED = {"": ("polarity", "who_was_letting", "duration_of_occupancy"), "mapper-v1": ("polarity", "who_was_letting", "duration_of_occupancy"), "mapper-v3": JUDGED[1:]}
-PROTECTION_FROM_SEQ = 42984
+from foliospark.operators.numbering import numbered
+
 CONTENT = ("case_id", "cycle", "op", "field", "new", "reviewer", "model", "prompt_version", "run_id", "rule_id")
 
 
@@ -29,12 +24,9 @@ def new_patches(patches: DataFrame, log: DataFrame) -> DataFrame:
     return d.join(log.select(patch_id().alias("patch_id")), "patch_id", "left_anti")
 
 
-def numbered(patches: DataFrame, head: int, *order: str) -> DataFrame:
-    """patches with seq from head + 1 on in the order; places come from sorted partitions, not from one window."""
-    spark = patches.sparkSession
-    rows = patches.orderBy(*order)
-    schema = rows.withColumn("seq", F.lit(0).cast("long")).schema
-    return spark.createDataFrame(rows.rdd.zipWithIndex().map(lambda x: (*x[0], head + 1 + x[1])), schema)
+def numbered_patches(patches: DataFrame, head: int, *order: str) -> DataFrame:
+    """patches with seq from head + 1 on in the order."""
+    return numbered(patches, [], [F.col(c) for c in order], "seq").withColumn("seq", F.col("seq") + head)
 
 
 def log_faults(log: DataFrame) -> DataFrame:
@@ -64,126 +56,15 @@ def protection_applies(log: DataFrame) -> DataFrame:
     return d.filter("human_before = 1 and reviewer is null").select("case_id", "field").distinct()
 
 
-def _supports(quote: dict) -> tuple:
-    s = quote.get("supports")
-    return (s,) if isinstance(s, str) and s else tuple(x for x in s or () if isinstance(x, str) and x) if not isinstance(s, str) else ()
-
-
-def fold_case(patches: list[dict], protect_from: int = PROTECTION_FROM_SEQ) -> dict:
-    """The state of one case after its patches in order of seq: record, cycle, provenance, conflicts, admit_seq, in_file and errors.
-
-    A person's value stands against later writes that aren't a person's (recorded as a conflict; applied only up to `protect_from`). Writing
-    an equal value is nothing. A re-admission replaces the record in its cycle. Dropping a quote empties fields that no remaining quote supports.
-    Patches that can't apply are listed in errors and change nothing.
-    """
-    rec, cycle, prompt, admit_seq, in_file = None, None, "", None, False
-    provenance: dict = {}
-    conflicts, errors = [], []
-
-    def speaks(p):
-        return "human" if p["reviewer"] else "reader" if p["model"] else "rule" if p["rule_id"] else "reader"
-
-    def note(field, p):
-        if provenance.get(field) != "human":
-            provenance[field] = speaks(p)
-
-    def may_write(field, value, standing, p, target):
-        if provenance.get(field) != "human" or p["reviewer"]:
-            return True
-        if standing == value:
-            return False
-        old = p["seq"] <= protect_from
-        conflicts.append({"field": field, "attempted": json.dumps(value), "standing": json.dumps(standing), "seq": p["seq"], "historical": old})
-        if not old:
-            flags = target.setdefault("review", {"status": None, "flags": [], "notes": []}).setdefault("flags", [])
-            if f"conflict:{field}" not in flags:
-                flags.append(f"conflict:{field}")
-        return old
-
-    for p in sorted(patches, key=lambda x: x["seq"]):
-        new, op, field = (json.loads(p["new"]) if p["new"] is not None else None), p["op"], p["field"]
-        if op == "admit":
-            body = dict(new or {})
-            body.setdefault("review", {"status": None, "flags": [], "notes": []})
-            if rec is not None:
-                if cycle != p["cycle"]:
-                    errors.append(f"{p['seq']}: admitted in {cycle} already")
-                    continue
-                for f in JUDGED:
-                    if f in body:
-                        if not may_write(f, body[f], rec.get(f), p, body):
-                            body[f] = rec.get(f)
-                    elif not p["reviewer"] and p["seq"] > protect_from and f in rec and provenance.get(f) == "human":
-                        body[f] = rec[f]
-            else:
-                cycle, admit_seq = p["cycle"], p["seq"]
-            rec, in_file = body, bool(body.get("relevant"))
-            for f in JUDGED:
-                if f in rec:
-                    note(f, p)
-            prompt = p["prompt_version"] or prompt
-        elif rec is None:
-            errors.append(f"{p['seq']}: unknown case")
-        elif op == "set":
-            if field in JUDGED:
-                if new is not None and not (p["reviewer"] or (p["model"] and p["prompt_version"] and p["run_id"])):
-                    errors.append(f"{p['seq']}: {field} needs a basis")
-                    continue
-                prompt = prompt or p["prompt_version"] or ""
-                if not may_write(field, new, rec.get(field), p, rec):
-                    continue
-                note(field, p)
-            if field.startswith("review."):
-                rec.setdefault("review", {"status": None, "flags": [], "notes": []})[field[7:]] = new
-            else:
-                rec[field] = new
-        elif op == "append":
-            target, key = (rec.setdefault("review", {"status": None, "flags": [], "notes": []}), field[7:]) if field.startswith("review.") else (rec, field)
-            if not isinstance(target.setdefault(key, []), list):
-                errors.append(f"{p['seq']}: {field} is no list")
-                continue
-            target[key].append(new)
-        elif op == "drop_quote":
-            rec["quotes"] = [q for q in rec.get("quotes", []) if q.get("text") != new]
-            supported = {f for q in rec["quotes"] for f in _supports(q)}
-            for f in SUPPORTED.get(str(prompt).split(":", 1)[0], SUPPORTED[""]):
-                if rec.get(f) is not None and f not in supported:
-                    rec[f] = None
-                    rec.setdefault("nulled_fields", []).append(f)
-        elif op == "migrate":
-            rec["schema_version"] = new["schema_version"]
-            for k, v in new.items():
-                rec.setdefault(k, v)
-        else:
-            errors.append(f"{p['seq']}: unknown op {op}")
-    return {"record": json.dumps(rec, sort_keys=True) if rec is not None else None, "cycle": cycle, "provenance": provenance, "conflicts": conflicts, "admit_seq": admit_seq, "in_file": in_file, "errors": errors}
-
-
-FOLDED = (
-    "case_id long, record string, cycle string, provenance map<string,string>, conflicts array<struct<field:string,attempted:string,standing:string,seq:bigint,historical:boolean>>, "
-    "admit_seq long, in_file boolean, errors array<string>"
-)
-
-
-def fold(log: DataFrame, protect_from: int = PROTECTION_FROM_SEQ) -> DataFrame:
-    """The state of every case of the log. A patch touches its own case only, so cases fold apart; one case's history is short."""
-    columns = ["seq", "case_id", "cycle", "op", "field", "new", "reviewer", "model", "prompt_version", "run_id", "rule_id"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
-        state = fold_case(rows, protect_from)
-        return pd.DataFrame([{"case_id": rows[0]["case_id"], **state}])
-
-    return log.select(columns).groupBy("case_id").applyInPandas(run, FOLDED)
-
-
-def conflict_rows(folded: DataFrame, refused_only: bool = True) -> DataFrame:
-    d = folded.select("case_id", F.explode("conflicts").alias("c")).select("case_id", "c.*")
-    return d.filter("not historical") if refused_only else d
+def conflict_rows(conflicts: DataFrame, refused_only: bool = True) -> DataFrame:
+    """The conflicts of a fold, those that were refused only, unless all are asked for."""
+    return conflicts.filter("not historical") if refused_only else conflicts
 
 
 def reviewed_ids(log: DataFrame) -> DataFrame:
     """Cases on which a person set or appended a judged field or the review's status."""
+    from foliospark.operators.folding import JUDGED
+
     return log.filter(F.col("reviewer").isNotNull() & F.col("op").isin("set", "append") & F.col("field").isin(*JUDGED, "review.status")).select("case_id").distinct()
 
 

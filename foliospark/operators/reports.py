@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.operators.evidence import kappa, wilson
+from foliospark.operators.numbering import running_sums
 from foliospark.operators.search import cell_counts, matching, rate_per_thousand
 from foliospark.operators.selection import average_precision
 
@@ -15,9 +16,11 @@ from foliospark.operators.selection import average_precision
 
 
 def run_manifest(rows: DataFrame) -> DataFrame:
-    """One row: n, partitions present and a hash of the distinct excluded ids by way of sorted hashes of their buckets, so no list of all ids is built."""
+    """One row: n rows, n_cases, the partitions present (sorted era|jurisdiction) and a digest of the distinct case ids by way of sorted hashes of 4,096 buckets, so no list of all ids is built."""
+    cells = rows.agg(F.count("*").alias("n"), F.count_distinct("case_id").alias("n_cases"), F.array_sort(F.collect_set(F.concat_ws("|", "era", "jurisdiction"))).alias("partitions"))
     buckets = rows.groupBy((F.col("case_id") % 4096).alias("b")).agg(F.sha2(F.array_join(F.array_sort(F.collect_set(F.col("case_id").cast("string"))), ","), 256).alias("h"))
-    return buckets.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), ","), 256).alias("digest"), F.count("*").alias("n_buckets"))
+    digest = buckets.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), ","), 256).alias("digest"))
+    return cells.crossJoin(digest)  # one row each
 
 
 def gold_ids(gold: DataFrame) -> DataFrame:
@@ -106,16 +109,18 @@ def suspects(records: DataFrame, pattern: str) -> DataFrame:
 
 def last_human_decision(conflicts: DataFrame, decisions: DataFrame) -> DataFrame:
     """conflicts (case_id, field, seq) with the value of the last decision before them: on the field, else on any field of the case."""
-    d = conflicts.join(decisions.select("case_id", F.col("field").alias("f"), F.col("value").alias("v"), F.col("seq").alias("s")), "case_id", "left").filter("s is null or s < seq")
-    best = d.groupBy("case_id", "field", "seq").agg(F.max(F.when(F.col("f") == F.col("field"), F.struct("s", "v"))).alias("own"), F.max(F.struct("s", "v")).alias("any"))
-    return best.select("case_id", "field", "seq", F.coalesce("own.v", "any.v").alias("value"))
+    d = conflicts.select("case_id", "field", "seq", F.lit(None).cast("string").alias("value"), F.lit(True).alias("asks"))
+    d = d.unionByName(decisions.select("case_id", "field", "seq", F.col("value").cast("string").alias("value"), F.lit(False).alias("asks")))
+    last = lambda *by: F.last(F.when(~F.col("asks"), F.struct("value")), ignorenulls=True).over(Window.partitionBy(*by).orderBy("seq").rangeBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("own", last("case_id", "field")).withColumn("any", last("case_id")).filter("asks")
+    return d.select("case_id", "field", "seq", F.when(F.col("own").isNotNull(), F.col("own.value")).otherwise(F.col("any.value")).alias("value"))
 
 
 def balanced_parts(cards: DataFrame, n: int) -> DataFrame:
-    """cards (card_id, size) with `part` 0 to n - 1: contiguous parts of about equal size. Sums run over the list of cards only."""
-    before = Window.orderBy("card_id").rowsBetween(Window.unboundedPreceding, -1)
-    total = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return cards.withColumn("part", F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) * n / F.sum("size").over(total)).cast("int"))
+    """cards (card_id, size) with `part` 0 to n - 1: contiguous parts of about equal size, in order of card_id."""
+    total = cards.agg(F.sum("size").alias("total"))  # one row
+    d = running_sums(cards, [], [F.col("card_id")], {"upto": F.col("size")}).crossJoin(F.broadcast(total))
+    return d.withColumn("part", F.floor((F.col("upto") - F.col("size")) * n / F.col("total")).cast("int")).drop("upto", "total")
 
 
 # Evaluation

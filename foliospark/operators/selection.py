@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.operators.numbering import numbered, running_sums
+
 # Planning
 
 
@@ -55,19 +57,19 @@ def packed(signals: DataFrame, gold: DataFrame, size: int, scores: DataFrame | N
 
     signals: case_id, era, jurisdiction, selector_id. Without scores, a cell's cases go by distinct selectors (most first), then id, and batches by gold cases
     and the densest case (most first), then cell order; with scores (case_id, score) by score, then id, and batches by gold, mean score, cell key.
-    restrict applies before exclude. Numbering batches orders the table of batches only.
+    restrict applies before exclude.
     """
     d = signals.join(restrict, "case_id", "left_semi") if restrict is not None else signals
     d = d.join(exclude, "case_id", "left_anti") if exclude is not None else d
     cases = d.groupBy("era", "jurisdiction", "case_id").agg(F.count_distinct("selector_id").alias("density"))
     cases = cases.join(gold.select("case_id", F.lit(1).alias("gold")).distinct(), "case_id", "left")
     cases = cases.join(scores.select("case_id", "score"), "case_id", "left") if scores is not None else cases.withColumn("score", F.col("density").cast("double"))
-    cell = Window.partitionBy("era", "jurisdiction").orderBy(F.desc("score"), "case_id")
-    rows = cases.withColumn("rn", F.row_number().over(cell) - 1).withColumn("chunk", F.floor(F.col("rn") / size).cast("int"))
-    batches = rows.groupBy("era", "jurisdiction", "chunk").agg(F.count("gold").alias("g"), (F.avg("score") if scores is not None else F.max("score")).alias("m"))
-    order = Window.orderBy(F.desc("g"), F.desc("m"), *(F.col(c).asc_nulls_last() for c in ("era", "jurisdiction", "chunk")))
-    numbered = batches.withColumn("batch_id", F.row_number().over(order)).select("era", "jurisdiction", "chunk", "batch_id")
-    return rows.join(numbered, ["era", "jurisdiction", "chunk"]).select("case_id", "batch_id", (F.col("rn") % size).cast("int").alias("place"))
+    cell = ["era", "jurisdiction"]
+    rows = numbered(cases, cell, [F.desc("score"), F.col("case_id")], "rn").withColumn("rn", F.col("rn") - 1).withColumn("chunk", F.floor(F.col("rn") / size).cast("int"))
+    batches = rows.groupBy(*cell, "chunk").agg(F.count("gold").alias("g"), (F.avg("score") if scores is not None else F.max("score")).alias("m"))
+    order = [F.desc("g"), F.desc("m"), *(F.col(c).asc_nulls_last() for c in (*cell, "chunk"))]
+    ids = numbered(batches, [], order, "batch_id").select(*cell, "chunk", "batch_id")
+    return rows.join(ids, [*cell, "chunk"]).select("case_id", "batch_id", (F.col("rn") % size).cast("int").alias("place"))
 
 
 # Ranking
@@ -102,8 +104,7 @@ def logistic_score(features: DataFrame, layout: list[str], model_layout: list[st
 
 def average_precision(rows: DataFrame, by: list[str]) -> DataFrame:
     """ap of score, label, weight and idx (which breaks ties) for each group; 0 without positives."""
-    w = Window.partitionBy(*by).orderBy(F.desc("score"), "idx").rowsBetween(Window.unboundedPreceding, 0)
-    d = rows.withColumn("tp", F.sum(F.col("label") * F.col("weight")).over(w)).withColumn("seen", F.sum("weight").over(w))
+    d = running_sums(rows, by, [F.desc("score"), F.col("idx")], {"tp": F.col("label") * F.col("weight"), "seen": F.col("weight")})
     total = F.sum(F.col("label") * F.col("weight"))
     ap = F.sum(F.col("label") * F.col("weight") * F.col("tp") / F.col("seen")) / total
     return d.groupBy(*by).agg(F.when(total > 0, ap).otherwise(0.0).alias("ap"))
@@ -123,9 +124,9 @@ def labelled_reads(positives: DataFrame, negatives: DataFrame) -> DataFrame:
 
 def held_out(rows: DataFrame, share: float, seed: str) -> DataFrame:
     """The rows held out: of each (era, jurisdiction, label) ceil(n * share) in keyed md5 order, none where n < 2."""
-    stratum = Window.partitionBy("era", "jurisdiction", "label")
-    d = rows.withColumn("r", F.row_number().over(stratum.orderBy(F.md5(F.concat_ws("|", F.lit(seed), "case_id")), "case_id"))).withColumn("n", F.count("*").over(stratum))
-    return d.filter((F.col("n") >= 2) & (F.col("r") <= F.ceil(F.col("n") * share))).drop("r", "n")
+    stratum = ["era", "jurisdiction", "label"]
+    d = numbered(rows, stratum, [F.md5(F.concat_ws("|", F.lit(seed), "case_id")), F.col("case_id")], "r").join(rows.groupBy(*stratum).agg(F.count("*").alias("n")), stratum)
+    return d.filter((F.col("n") >= 2) & (F.col("r") <= F.ceil(F.col("n") * share))).select(rows.columns)
 
 
 def strata_report(frame: DataFrame, held: DataFrame) -> DataFrame:
@@ -139,28 +140,24 @@ def strata_report(frame: DataFrame, held: DataFrame) -> DataFrame:
 def capped_cells(batches: DataFrame, depth: dict[str, float]) -> DataFrame:
     """batches (cell, era, batch_id, score) with rank in the cell, cap = max(1, ceil(depth of the era * n of the cell / n of the era)) and the mean of the capped head; an era without depth fails the job."""
     known = F.create_map(*(x for k, v in depth.items() for x in (F.lit(k), F.lit(v))))
-    cell = Window.partitionBy("cell")
-    d = batches.withColumn("score", F.coalesce("score", F.lit(0.0))).withColumn("n_cell", F.count("*").over(cell))
-    eras = batches.groupBy("era").agg(F.count("*").alias("n_era"))
-    d = d.join(F.broadcast(eras), "era")  # one row an era
+    d = batches.withColumn("score", F.coalesce("score", F.lit(0.0))).join(batches.groupBy("cell").agg(F.count("*").alias("n_cell")), "cell")
+    d = d.join(batches.groupBy("era").agg(F.count("*").alias("n_era")), "era")
     deep = F.coalesce(F.element_at(known, F.col("era")), F.raise_error(F.concat(F.lit("no depth for era "), "era")).cast("double"))
     d = d.withColumn("cap", F.greatest(F.lit(1), F.ceil(deep * F.col("n_cell") / F.col("n_era"))).cast("int"))
-    d = d.withColumn("rank", F.row_number().over(cell.orderBy(F.desc("score"), "batch_id")))
-    head = F.avg(F.when(F.col("rank") <= F.col("cap"), F.col("score"))).over(cell)
-    return d.withColumn("head_mean", head)
+    d = numbered(d, ["cell"], [F.desc("score"), F.col("batch_id")], "rank")
+    heads = d.groupBy("cell").agg(F.avg(F.when(F.col("rank") <= F.col("cap"), F.col("score"))).alias("head_mean"))
+    return d.join(heads, "cell")
 
 
 def walk_order(batches: DataFrame, floor: int) -> DataFrame:
     """batch_id, class (0 read, 1 floor, 2 rest) and position of batches (cell, batch_id, score, read).
 
-    Floor picks are a cell's best unread batches until it has `floor` read. The last ordering is of the table of batches only.
+    Floor picks are a cell's best unread batches until it has `floor` read.
     """
-    cell = Window.partitionBy("cell")
-    d = batches.withColumn("n_read", F.count_if(F.col("read")).over(cell))
-    d = d.withColumn("r", F.row_number().over(Window.partitionBy("cell", "read").orderBy(F.desc("score"), "batch_id")))
-    kind = F.when(F.col("read"), 0).when(F.col("r") <= floor - F.col("n_read"), 1).otherwise(2)
-    d = d.withColumn("class", kind)
-    return d.select("batch_id", "class", F.row_number().over(Window.orderBy("class", F.desc("score"), "batch_id")).alias("position"))
+    d = batches.join(batches.groupBy("cell").agg(F.count_if(F.col("read")).alias("n_read")), "cell")
+    d = numbered(d, ["cell", "read"], [F.desc("score"), F.col("batch_id")], "r")
+    d = d.withColumn("class", F.when(F.col("read"), 0).when(F.col("r") <= floor - F.col("n_read"), 1).otherwise(2))
+    return numbered(d.select("batch_id", "class", "score"), [], [F.col("class"), F.desc("score"), F.col("batch_id")], "position").drop("score")
 
 
 def completed_batches(units: DataFrame) -> DataFrame:
@@ -170,20 +167,22 @@ def completed_batches(units: DataFrame) -> DataFrame:
 
 def yield_stops(units: DataFrame, cap: int, window: int = 3, least: int = 2) -> DataFrame:
     """cell, stop_at (number of the completed unit at which reading stops) and reason, where it stops: 'cap', else 'yield' once the last `window` completed units gave at most `least`."""
-    done = units.filter("completed").withColumn("rn", F.row_number().over(Window.partitionBy("cell").orderBy("seq")))
-    w = Window.partitionBy("cell").orderBy("seq").rowsBetween(-(window - 1), 0)
-    d = done.withColumn("gain", F.sum("relevant").over(w))
+    done = numbered(units.filter("completed").select("cell", "seq", "relevant"), ["cell"], [F.col("seq")], "rn")
+    # each unit gives its own number and the `window` - 1 after it what it gained
+    gains = done.select("cell", F.explode(F.sequence(F.col("rn"), F.col("rn") + window - 1)).alias("rn"), "relevant", F.col("rn").alias("own"))
+    d = gains.groupBy("cell", "rn").agg(F.sum("relevant").alias("gain"), F.max("own").alias("last")).filter(F.col("rn") == F.col("last"))
     reason = F.when(F.col("rn") >= cap, "cap").when((F.col("rn") >= window) & (F.col("gain") <= least), "yield")
     return d.withColumn("reason", reason).filter("reason is not null").groupBy("cell").agg(F.min(F.struct("rn", "reason")).alias("s")).select("cell", F.col("s.rn").alias("stop_at"), F.col("s.reason").alias("reason"))
 
 
-def budget_walk(walk: DataFrame, budget: int) -> DataFrame:
-    """Batches of walk (batch_id, position, cases) that are read: those before which fewer than `budget` cases have been. A sum over the table of batches only."""
-    before = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    return walk.withColumn("before", F.coalesce(F.sum("cases").over(before), F.lit(0))).filter(F.col("before") < budget)
+def budget_walk(walk: DataFrame, budget: int, stops: DataFrame) -> DataFrame:
+    """Batches of walk (batch_id, cell, position, cases) that are read: of a cell that stops (cell, stop_at) the first so many, and those before which fewer than `budget` cases have been."""
+    d = numbered(walk, ["cell"], [F.col("position")], "rn").join(stops.select("cell", "stop_at"), "cell", "left")
+    d = running_sums(d.filter("stop_at is null or rn <= stop_at"), [], [F.col("position")], {"upto": F.col("cases")})
+    return d.filter(F.col("upto") - F.col("cases") < budget).select(walk.columns)
 
 
 def retry_units(lost: DataFrame, size: int = 18) -> DataFrame:
     """Lost cases (cell, case_id) in new units of one cell: unit_id and case_id."""
-    rn = F.row_number().over(Window.partitionBy("cell").orderBy("case_id")) - 1
-    return lost.withColumn("unit_id", F.concat("cell", F.lit("-retry-"), (F.floor(rn / size) + 1).cast("string"))).select("unit_id", "case_id")
+    d = numbered(lost, ["cell"], [F.col("case_id")], "rn")
+    return d.select(F.concat("cell", F.lit("-retry-"), (F.floor((F.col("rn") - 1) / size) + 1).cast("string")).alias("unit_id"), "case_id")

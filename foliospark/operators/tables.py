@@ -8,10 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Elements that end a line of text, and those that never hold any or are never closed.
-BLOCKS = frozenset("p div section article h1 h2 h3 h4 h5 h6 li ul ol blockquote br tr table header footer nav aside main".split())
-SILENT = frozenset(("script", "style"))
-VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
+#: Elements that end with a line end.
+BLOCKS = frozenset("p h1 h2 h3 h4 h5 blockquote section article aside div tr".split())
 
 
 def admitted(rows: DataFrame, jurisdictions: list[str], slugs: list[str]) -> DataFrame:
@@ -27,7 +25,6 @@ class _Text(HTMLParser):
         self.out: list[str] = []
         self.length = 0
         self.pages: list[tuple[int, str]] = []
-        self.silent = 0
         self.label: list[str] | None = None
 
     def emit(self, s: str) -> None:
@@ -36,32 +33,26 @@ class _Text(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
-        if tag in SILENT:
-            self.silent += 1
-        elif tag == "a" and "page-label" in (a.get("class") or ""):
+        if tag == "a" and "page-label" in (a.get("class") or ""):
             self.pages.append((self.length, a.get("data-label") or ""))
             self.label = []
-        elif tag in VOID and tag in BLOCKS:
-            self.emit("\n")
 
     def handle_startendtag(self, tag, attrs):
         if tag in BLOCKS:
             self.emit("\n")
 
     def handle_endtag(self, tag):
-        if tag in SILENT:
-            self.silent = max(0, self.silent - 1)
-        elif tag == "a" and self.label is not None:
+        if tag == "a" and self.label is not None:
             at, label = self.pages[-1]
             self.pages[-1] = (at, label or "".join(self.label).strip("*"))
             self.label = None
-        elif tag in BLOCKS and tag not in VOID:
+        elif tag in BLOCKS:
             self.emit("\n")
 
     def handle_data(self, data):
         if self.label is not None:
             self.label.append(data)
-        elif not self.silent:
+        else:
             self.emit(data)
 
 
@@ -103,9 +94,11 @@ def not_loaded(archives: DataFrame, log: DataFrame, version: int) -> DataFrame:
 
 
 def edges(cites: DataFrame) -> DataFrame:
-    """citing, cited, cite of cites (case_id, ord, cites_to: array of cite and case_ids); one row a key."""
-    rows = cites.select(F.col("case_id").alias("citing"), F.explode("cites_to").alias("c")).select("citing", F.col("c.cite").alias("cite"), F.explode("c.case_ids").alias("cited"))
-    return rows.dropDuplicates(["citing", "cited", "cite"])
+    """citing, cited, cite and the citation's category, reporter, year, weight and opinion_index, of cites (case_id, cites_to); of rows with one key the first in the list stays."""
+    more = [f.name for f in cites.schema["cites_to"].dataType.elementType.fields if f.name not in ("cite", "case_ids")]
+    rows = cites.select(F.col("case_id").alias("citing"), F.posexplode("cites_to").alias("ord", "c")).select("citing", "ord", F.col("c.cite").alias("cite"), *(F.col(f"c.{k}").alias(k) for k in more), F.posexplode("c.case_ids").alias("ord2", "cited"))
+    rest = F.struct("ord", "ord2", *more)
+    return rows.groupBy("citing", "cited", "cite").agg(F.min_by(rest, F.struct("ord", "ord2")).alias("r")).select("citing", "cited", "cite", *(F.col(f"r.{k}").alias(k) for k in more))
 
 
 def attach_pagerank(cases: DataFrame, ranks: DataFrame) -> DataFrame:

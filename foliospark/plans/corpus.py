@@ -82,8 +82,9 @@ QUERIES = {
         SELECT case_id, seq, md5(array_to_string(list_slice(t, seq * 80 + 1, least(seq * 80 + 100, len(t))), ' ')) AS m FROM w""",
     ),
     "d2_embedding_input": (
-        lambda s, d: cases(s, d).select("case_id", V.embedding_input(["jurisdiction", "year"], F.substring("norm_text", 1, 30)).alias("x")),
-        f"WITH {CASES} SELECT case_id, coalesce(jurisdiction, '') || ' | ' || coalesce(year::VARCHAR, '') || ' | ' || substr(norm_text, 1, 30) AS x FROM cases",
+        lambda s, d: V.chunks(cases(s, d), 100, 20).join(cases(s, d).select("case_id", "jurisdiction", "year"), "case_id").select("case_id", "seq", F.md5(V.embedding_input(["jurisdiction", "year"], F.col("text"))).alias("x")),
+        f"""WITH {CASES}, t AS (SELECT case_id, jurisdiction, year, list_filter(string_split(norm_text, ' '), lambda x: x <> '') AS t FROM cases), w AS (SELECT *, unnest(range(0, greatest(ceil((len(t) - 100) / 80.0)::INT, 0) + 1)) AS seq FROM t WHERE len(t) > 0)
+        SELECT case_id, seq, md5(coalesce(jurisdiction, '') || ' | ' || coalesce(year::VARCHAR, '') || ' | ' || array_to_string(list_slice(t, seq * 80 + 1, least(seq * 80 + 100, len(t))), ' ')) AS x FROM w""",
     ),
     "d3_quantised": (
         lambda s, d: table(s, d, "embeddings").select("vec_id", V.quantised(F.col("embedding")).alias("z")).select("vec_id", F.round("z.scale", 8).alias("scale"), F.aggregate("z.q", F.lit(0), lambda a, x: a + x).alias("total")),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foliospark.functions import text as T
 from foliospark.operators import duplicates as D
 from foliospark.plans.base import CASES, cases
+from foliospark.session import table
 
 OFFICIAL = "(case_id % 3 = 0)"
 
@@ -52,11 +53,18 @@ def _marks(s, d):
 
 
 def _ledger(s, d):
-    from foliospark.session import table
-
+    
     return table(s, d, "labels").select(F.col("doc_id").alias("case_id"), (F.col("quality") == 1).alias("relevant"), (F.col("doc_id") % 5 != 0).alias("in_file"), (F.col("toxic") == 1).alias("reviewed"), (F.col("doc_id") % 4).alias("quotes"))
 
 
+B16_LEDGER = ("doc_id AS case_id", "CASE WHEN doc_id % 6 = 0 THEN NULL ELSE doc_id % 4 < 3 END AS relevant", "CASE WHEN doc_id % 9 = 0 THEN doc_id - 1 END AS duplicate_of")
+B16_VALUES = ("doc_id AS case_id", "'polarity' AS field", "CASE WHEN doc_id % 7 = 0 THEN 'against' ELSE 'for' END AS value", "doc_id % 2 = 0 AS human")
+
+
+def _merged(s, d):
+    return D.candidate_groups(_cases(s, d)).select("case_id", "winner")
+
+
 LEDGER = "ledger AS (SELECT doc_id AS case_id, quality = 1 AS relevant, doc_id % 5 <> 0 AS in_file, toxic = 1 AS reviewed, doc_id % 4 AS quotes FROM labels)"
 
 QUERIES = {
@@ -103,10 +111,13 @@ QUERIES = {
         f"WITH {PAIRS}, {MARKS} SELECT case_id FROM cases WHERE case_id IN (SELECT loser FROM marks)",
     ),
     "b16_reconcile": (
-        lambda s, d: D.reconcile(D.candidate_groups(_cases(s, d)).select(F.col("winner").alias("group"), "case_id", "winner"), _ledger(s, d), _ledger(s, d).filter("reviewed").select("case_id")),
-        f"""WITH {PAIRS}, {LEDGER}, x AS (SELECT m.winner AS "group", m.case_id, m.winner, CASE WHEN NOT coalesce(w.relevant AND w.in_file, false) THEN 'winner-not-counted' WHEN l.reviewed THEN 'human-value' ELSE 'relevant' END AS reason
-          FROM mem m JOIN ledger l ON l.case_id = m.case_id LEFT JOIN ledger w ON w.case_id = m.winner WHERE m.case_id <> m.winner AND l.relevant)
-        SELECT "group", case_id, winner, CASE WHEN reason = 'relevant' THEN 'patch' ELSE 'for-user' END AS action, reason FROM x""",
+        lambda s, d: D.reconcile(_merged(s, d), table(s, d, "labels").selectExpr(*B16_LEDGER), table(s, d, "labels").selectExpr(*B16_VALUES)),
+        f"""WITH {PAIRS}, m AS (SELECT case_id, winner FROM mem), l AS (SELECT {", ".join(B16_LEDGER)} FROM labels), v AS (SELECT {", ".join(B16_VALUES)} FROM labels),
+        d AS (SELECT m.case_id, m.winner, relevant, duplicate_of, m.case_id <> m.winner AND a.human AND a.value IS DISTINCT FROM b.value AS differs FROM m JOIN l USING (case_id) LEFT JOIN v a ON a.case_id = m.case_id LEFT JOIN v b ON b.case_id = m.winner),
+        g AS (SELECT winner, count(*) AS n, bool_or(relevant) AND bool_or(NOT relevant) AS dis, coalesce(bool_or(case_id = winner AND relevant), false) AS counted, count(*) FILTER (WHERE relevant) AS k, coalesce(bool_or(case_id <> winner AND relevant AND differs), false) AS dif FROM d GROUP BY winner HAVING count(*) > 1),
+        r AS (SELECT *, CASE WHEN dis THEN 'relevant' WHEN k >= 2 AND NOT counted THEN 'winner-not-counted' WHEN k >= 2 AND dif THEN 'human-value' END AS reason, (NOT dis OR counted) AND k >= 2 AND counted AND (dis OR NOT dif) AS patched FROM g)
+        SELECT winner, NULL::BIGINT AS case_id, 'for-user' AS action, reason FROM r WHERE reason IS NOT NULL UNION ALL
+        SELECT d.winner, d.case_id, 'patch', NULL FROM d JOIN r USING (winner) WHERE patched AND d.case_id <> d.winner AND relevant AND NOT coalesce(differs, false) AND duplicate_of IS DISTINCT FROM d.winner""",
     ),
     "b17_calibration_crosstab": (
         lambda s, d: D.calibration_crosstab(_labelled(s, d), ["same", "different", "unsure"]),

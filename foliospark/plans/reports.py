@@ -21,7 +21,11 @@ def _decisions(s, d):
 
 
 QUERIES = {
-    "f18_run_manifest": (lambda s, d: R.run_manifest(_orders(s, d, "o_custkey as case_id")), "WITH b AS (SELECT o_custkey % 4096 AS b, sha256(string_agg(DISTINCT o_custkey::VARCHAR, ',' ORDER BY o_custkey::VARCHAR)) AS h FROM orders GROUP BY 1) SELECT sha256(string_agg(h, ',' ORDER BY b)) AS digest, count(*) AS n_buckets FROM b"),
+    "f18_run_manifest": (
+        lambda s, d: R.run_manifest(_orders(s, d, "o_custkey as case_id", "o_orderstatus as era", "o_orderpriority as jurisdiction")).withColumn("partitions", F.array_join("partitions", ",")),
+        """WITH b AS (SELECT o_custkey % 4096 AS b, sha256(string_agg(DISTINCT o_custkey::VARCHAR, ',' ORDER BY o_custkey::VARCHAR)) AS h FROM orders GROUP BY 1)
+        SELECT (SELECT count(*) FROM orders) AS n, (SELECT count(DISTINCT o_custkey) FROM orders) AS n_cases, (SELECT string_agg(DISTINCT o_orderstatus || '|' || o_orderpriority, ',' ORDER BY o_orderstatus || '|' || o_orderpriority) FROM orders) AS partitions, sha256(string_agg(h, ',' ORDER BY b)) AS digest FROM b""",
+    ),
     "f19_gold_ids": (lambda s, d: R.gold_ids(_orders(s, d, "if(o_orderkey % 2 = 0, o_custkey, null) as case_id")), "SELECT DISTINCT o_custkey AS case_id FROM orders WHERE o_orderkey % 2 = 0"),
     "h1_mean_scores": (
         lambda s, d: R.mean_scores(table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("batch_id")).agg(F.collect_list(F.expr("if(l_linenumber = 2, 0.0D, l_quantity)")).alias("scores"))).select("batch_id", F.round("mean", 6).alias("mean")),
@@ -47,7 +51,7 @@ QUERIES = {
     "j22_admitted_by_cell": (lambda s, d: R.admitted_by_cell(_orders(s, d, "o_orderstatus as era", "o_orderpriority as jurisdiction", "o_custkey % 3 = 0 as relevant")), "SELECT o_orderstatus AS era, o_orderpriority AS jurisdiction, count(*) FILTER (WHERE o_custkey % 3 = 0) AS relevant, count(*) FILTER (WHERE o_custkey % 3 <> 0) AS irrelevant FROM orders GROUP BY ALL"),
     "k5_last_human_decision": (
         lambda s, d: R.last_human_decision(_orders(s, d, "o_custkey as case_id", "o_orderstatus as field", "o_orderkey as seq").filter("seq % 3 = 0"), _orders(s, d, "o_custkey as case_id", "o_orderstatus as field", "o_orderkey as seq", "o_orderpriority as value").filter("seq % 3 = 1")),
-        """WITH c AS (SELECT o_custkey AS k, o_orderstatus AS f, o_orderkey AS s, o_orderpriority AS v FROM orders), j AS (SELECT a.k, a.f, a.s AS seq, b.f AS bf, b.s, b.v FROM c a LEFT JOIN c b ON a.k = b.k AND b.s % 3 = 1 WHERE a.s % 3 = 0 AND (b.s IS NULL OR b.s < a.s))
+        """WITH c AS (SELECT o_custkey AS k, o_orderstatus AS f, o_orderkey AS s, o_orderpriority AS v FROM orders), j AS (SELECT a.k, a.f, a.s AS seq, b.f AS bf, b.s, b.v FROM c a LEFT JOIN c b ON a.k = b.k AND b.s % 3 = 1 AND b.s < a.s WHERE a.s % 3 = 0)
         SELECT k AS case_id, f AS field, seq, coalesce(arg_max(v, s) FILTER (WHERE bf = f), arg_max(v, s)) AS value FROM j GROUP BY k, f, seq""",
     ),
     "k6_admitted_in_order": (lambda s, d: R.admitted_in_order(_orders(s, d, "o_custkey as case_id", "o_orderkey as seq", "o_orderstatus as run_id"), "F"), "SELECT o_custkey AS case_id, min(o_orderkey) AS seq FROM orders WHERE o_orderstatus = 'F' GROUP BY 1"),

@@ -8,11 +8,11 @@ from foliospark.operators import selection as S
 from foliospark.session import table
 
 SIGNALS = """sig AS (SELECT l_orderkey AS case_id, l_returnflag AS era, l_linestatus AS jurisdiction, 's' || l_partkey % 5 AS selector_id, l_linenumber % 2 + 1 AS version,
-  l_discount * 10 AS cosine, l_suppkey AS chunk_id, 'r' || l_suppkey % 3 AS run_id FROM lineitem WHERE l_orderkey % 4 = 0)"""
+  l_discount * 10 AS cosine, l_suppkey AS chunk_id, 'r' || l_suppkey % 3 AS run_id FROM lineitem)"""
 
 
 def _signals(s, d):
-    li = table(s, d, "lineitem").filter("l_orderkey % 4 = 0")
+    li = table(s, d, "lineitem")
     return li.selectExpr("l_orderkey as case_id", "l_returnflag as era", "l_linestatus as jurisdiction", "concat('s', l_partkey % 5) as selector_id", "l_linenumber % 2 + 1 as version", "l_discount * 10 as cosine", "l_suppkey as chunk_id", "concat('r', l_suppkey % 3) as run_id")
 
 
@@ -21,16 +21,20 @@ def _ids(s, d, where):
 
 
 def _batches(s, d):
-    return table(s, d, "orders").filter("o_orderkey % 20 = 0").selectExpr("o_orderpriority as cell", "o_orderstatus as era", "o_orderkey as batch_id", "round(o_totalprice / 1000, 2) as score", "o_custkey % 4 = 0 as read", "o_custkey % 19 as cases")
+    return table(s, d, "orders").selectExpr("o_orderpriority as cell", "o_orderstatus as era", "o_orderkey as batch_id", "round(o_totalprice / 1000, 2) as score", "o_custkey % 4 = 0 as read", "o_custkey % 19 as cases")
 
 
-BATCHES = "b AS (SELECT o_orderpriority AS cell, o_orderstatus AS era, o_orderkey AS batch_id, round(o_totalprice / 1000, 2) AS score, o_custkey % 4 = 0 AS read, o_custkey % 19 AS cases FROM orders WHERE o_orderkey % 20 = 0)"
+BATCHES = "b AS (SELECT o_orderpriority AS cell, o_orderstatus AS era, o_orderkey AS batch_id, round(o_totalprice / 1000, 2) AS score, o_custkey % 4 = 0 AS read, o_custkey % 19 AS cases FROM orders)"
 
 
 def _units(s, d):
     return table(s, d, "lineitem").selectExpr("concat(l_returnflag, l_linestatus, l_suppkey % 40) as cell", "l_orderkey * 10 + l_linenumber as seq", "l_partkey as seq2", "l_quantity > 5 as completed", "cast(l_tax * 100 as int) % 4 as relevant").groupBy("cell", "seq").agg(F.min("completed").alias("completed"), F.max("relevant").alias("relevant"))
 
 
+def _walk_units(s, d):
+    return table(s, d, "orders").selectExpr("o_orderpriority as cell", "o_orderkey as seq", "true as completed", "o_custkey % 3 as relevant")
+
+
 UNITS = "u AS (SELECT l_returnflag || l_linestatus || l_suppkey % 40 AS cell, l_orderkey * 10 + l_linenumber AS seq, bool_and(l_quantity > 5) AS completed, max(trunc(l_tax * 100)::INT % 4) AS relevant FROM lineitem GROUP BY 1, 2)"
 
 
@@ -79,8 +83,8 @@ QUERIES = {
         "SELECT DISTINCT o_orderkey AS case_id FROM orders WHERE o_orderkey % 9 <> 0 UNION SELECT c_custkey + 20000 FROM customer",
     ),
     "f11_attribution": (
-        lambda s, d: S.attribution(_ids(s, d, "o_orderkey < 2000"), _signals(s, d)).select("case_id", F.size(F.coalesce("hits", F.array())).alias("n")),
-        f"WITH {SIGNALS} SELECT o_orderkey AS case_id, (SELECT count(DISTINCT (selector_id, run_id, cosine)) FROM sig WHERE sig.case_id = o_orderkey)::INT AS n FROM orders WHERE o_orderkey < 2000",
+        lambda s, d: S.attribution(_ids(s, d, "true"), _signals(s, d)).select("case_id", F.size(F.coalesce("hits", F.array())).alias("n")),
+        f"WITH {SIGNALS}, n AS (SELECT case_id, count(DISTINCT (selector_id, run_id, cosine))::INT AS n FROM sig GROUP BY 1) SELECT o_orderkey AS case_id, coalesce(n, 0) AS n FROM orders LEFT JOIN n ON case_id = o_orderkey",
     ),
     "f13_packed": (lambda s, d: S.packed(_signals(s, d), _ids(s, d, "o_orderkey % 3 = 0"), 18), _pack_sql("density", "max(score)", "era, jurisdiction, chunk")),
     "f14_packed_ranked": (
@@ -138,13 +142,16 @@ QUERIES = {
         SELECT cell, min(rn) AS stop_at, arg_min(reason, rn) AS reason FROM x WHERE reason IS NOT NULL GROUP BY cell""",
     ),
     "h10_budget_walk": (
-        lambda s, d: S.budget_walk(S.walk_order(_batches(s, d), 60).join(_batches(s, d).select("batch_id", "cases"), "batch_id"), 2000).select("batch_id", "position"),
+        lambda s, d: S.budget_walk(S.walk_order(_batches(s, d), 60).join(_batches(s, d).select("batch_id", "cell", "cases"), "batch_id"), 20000, S.yield_stops(_walk_units(s, d), 900, least=0)).select("batch_id", "position"),
         f"""WITH {BATCHES}, k AS (SELECT *, CASE WHEN read THEN 0 WHEN row_number() OVER (PARTITION BY cell, read ORDER BY score DESC, batch_id) <= 60 - count(*) FILTER (WHERE read) OVER (PARTITION BY cell) THEN 1 ELSE 2 END AS class FROM b),
-        w AS (SELECT batch_id, cases, row_number() OVER (ORDER BY class, score DESC, batch_id) AS position FROM k), q AS (SELECT *, coalesce(sum(cases) OVER (ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM w)
-        SELECT batch_id, position FROM q WHERE before < 2000""",
+        w AS (SELECT batch_id, cell, cases, row_number() OVER (ORDER BY class, score DESC, batch_id) AS position FROM k), n AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY position) AS rn FROM w),
+        y AS (SELECT o_orderpriority AS cell, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS rn, sum(o_custkey % 3) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey ROWS 2 PRECEDING) AS gain FROM orders),
+        t AS (SELECT cell, min(rn) AS stop_at FROM y WHERE rn >= 900 OR (rn >= 3 AND gain <= 0) GROUP BY cell),
+        q AS (SELECT n.*, coalesce(sum(cases) OVER (ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n LEFT JOIN t USING (cell) WHERE stop_at IS NULL OR rn <= stop_at)
+        SELECT batch_id, position FROM q WHERE before < 20000""",
     ),
     "h15_retry_units": (
-        lambda s, d: S.retry_units(table(s, d, "orders").filter("o_custkey % 7 = 0").selectExpr("o_orderstatus as cell", "o_orderkey as case_id")),
-        "SELECT o_orderstatus || '-retry-' || ((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 18 + 1) AS unit_id, o_orderkey AS case_id FROM orders WHERE o_custkey % 7 = 0",
+        lambda s, d: S.retry_units(table(s, d, "orders").selectExpr("o_orderstatus as cell", "o_orderkey as case_id")),
+        "SELECT o_orderstatus || '-retry-' || ((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 18 + 1) AS unit_id, o_orderkey AS case_id FROM orders",
     ),
 }
