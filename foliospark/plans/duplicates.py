@@ -112,12 +112,12 @@ QUERIES = {
     ),
     "b16_reconcile": (
         lambda s, d: D.reconcile(_merged(s, d), table(s, d, "labels").selectExpr(*B16_LEDGER), table(s, d, "labels").selectExpr(*B16_VALUES)),
-        f"""WITH {PAIRS}, m AS (SELECT case_id, winner FROM mem), l AS (SELECT {", ".join(B16_LEDGER)} FROM labels), v AS (SELECT {", ".join(B16_VALUES)} FROM labels),
-        d AS (SELECT m.case_id, m.winner, relevant, duplicate_of, m.case_id <> m.winner AND a.human AND a.value IS DISTINCT FROM b.value AS differs FROM m JOIN l USING (case_id) LEFT JOIN v a ON a.case_id = m.case_id LEFT JOIN v b ON b.case_id = m.winner),
-        g AS (SELECT winner, count(*) AS n, bool_or(relevant) AND bool_or(NOT relevant) AS dis, coalesce(bool_or(case_id = winner AND relevant), false) AS counted, count(*) FILTER (WHERE relevant) AS k, coalesce(bool_or(case_id <> winner AND relevant AND differs), false) AS dif FROM d GROUP BY winner HAVING count(*) > 1),
-        r AS (SELECT *, CASE WHEN dis THEN 'relevant' WHEN k >= 2 AND NOT counted THEN 'winner-not-counted' WHEN k >= 2 AND dif THEN 'human-value' END AS reason, (NOT dis OR counted) AND k >= 2 AND counted AND (dis OR NOT dif) AS patched FROM g)
-        SELECT winner, NULL::BIGINT AS case_id, 'for-user' AS action, reason FROM r WHERE reason IS NOT NULL UNION ALL
-        SELECT d.winner, d.case_id, 'patch', NULL FROM d JOIN r USING (winner) WHERE patched AND d.case_id <> d.winner AND relevant AND NOT coalesce(differs, false) AND duplicate_of IS DISTINCT FROM d.winner""",
+        f"""WITH {PAIRS}, mm AS (SELECT case_id, winner FROM mem), ll AS (SELECT {", ".join(B16_LEDGER)} FROM labels), vv AS (SELECT {", ".join(B16_VALUES)} FROM labels),
+        dd AS (SELECT m.case_id, m.winner, relevant, duplicate_of, m.case_id <> m.winner AND a.human AND a.value IS DISTINCT FROM b.value AS differs FROM mm m JOIN ll l USING (case_id) LEFT JOIN vv a ON a.case_id = m.case_id LEFT JOIN vv b ON b.case_id = m.winner),
+        gg AS (SELECT winner, count(*) AS n, bool_or(relevant) AND bool_or(NOT relevant) AS dis, coalesce(bool_or(case_id = winner AND relevant), false) AS counted, count(*) FILTER (WHERE relevant) AS k, coalesce(bool_or(case_id <> winner AND relevant AND differs), false) AS dif FROM dd GROUP BY winner HAVING count(*) > 1),
+        rr AS (SELECT *, CASE WHEN dis THEN 'relevant' WHEN k >= 2 AND NOT counted THEN 'winner-not-counted' WHEN k >= 2 AND dif THEN 'human-value' END AS reason, (NOT dis OR counted) AND k >= 2 AND counted AND (dis OR NOT dif) AS patched FROM gg)
+        SELECT winner, NULL::BIGINT AS case_id, 'for-user' AS action, reason FROM rr WHERE reason IS NOT NULL UNION ALL
+        SELECT d.winner, d.case_id, 'patch', NULL FROM dd d JOIN rr USING (winner) WHERE patched AND d.case_id <> d.winner AND relevant AND NOT coalesce(differs, false) AND duplicate_of IS DISTINCT FROM d.winner""",
     ),
     "b17_calibration_crosstab": (
         lambda s, d: D.calibration_crosstab(_labelled(s, d), ["same", "different", "unsure"]),
