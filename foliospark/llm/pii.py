@@ -37,6 +37,11 @@ FIRST_DAY, DAY_ROOT = "1900-01-01", 270  # dates are permuted inside spans of 27
 KEY_SETTING = "spark.foliospark.pii.key"
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with the value worked out once however often `then` names it."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _digest(key: str, kind: str, value: Column, length: int) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), value), 256), 1, length)
 
@@ -60,7 +65,7 @@ def feistel(x: Column, a: Column, b: Column, key: str, kind: str, inverse: bool
 
     rounds = F.array(*map(F.lit, range(ROUNDS)[:: -1 if inverse else 1]))
     start = F.struct(F.expr("0L").alias("l"), F.expr("0L").alias("r"))
-    halves = F.struct(F.round((x - F.pmod(x, b)) / b).cast("long").alias("l"), F.pmod(x, b).cast("long").alias("r"))
+    halves = let(x, lambda v: F.struct(F.round((v - F.pmod(v, b)) / b).cast("long").alias("l"), F.pmod(v, b).cast("long").alias("r")))
     return F.aggregate(rounds, F.coalesce(halves, start), step, lambda acc: acc["l"] * b + acc["r"])
 
 
@@ -70,27 +75,39 @@ def _power(n: Column) -> Column:
 
 def permuted_digits(digits: Column, key: str, kind: str) -> Column:
     """A string of 1 to 18 digits permuted among all strings of as many digits."""
-    n = F.length(digits)
-    low = F.floor(n / 2)
-    value = F.floor(digits.cast("decimal(20,0)") / _power(low)).cast("long") * _power(low) + F.right(digits, low).cast("long")
-    return F.lpad(feistel(value, _power(n - low), _power(low), key, kind).cast("string"), n, F.lit("0"))
+
+    def moved(d: Column) -> Column:
+        n = F.length(d)
+        low = F.floor(n / 2)
+        halves = F.struct(_power(n - low).alias("a"), _power(low).alias("b"))
+        return let(halves, lambda h: F.lpad(feistel(d.cast("decimal(20,0)").cast("long"), h["a"], h["b"], key, kind).cast("string"), n, F.lit("0")))
+
+    return let(digits, moved)
 
 
 def permuted_letters(letters: Column, key: str, kind: str) -> Column:
     """A string of up to 11 capital letters permuted among all strings of as many."""
-    n = F.length(letters)
-    low = F.floor(n / 2)
     power = lambda k: F.round(F.pow(F.lit(26), k)).cast("long")
-    value = F.aggregate(F.split(letters, ""), F.expr("0L"), lambda acc, c: acc * 26 + F.ascii(c) - 65)
-    new = feistel(value, power(n - low), power(low), key, kind)
-    back = F.transform(F.sequence(n - 1, F.lit(0)), lambda i: F.char(65 + F.pmod(F.round((new - F.pmod(new, power(i))) / power(i)).cast("long"), F.lit(26).cast("long"))))
-    return F.when(n > 0, F.array_join(back, "")).otherwise("")
+
+    def moved(word: Column) -> Column:
+        n = F.length(word)
+        low = F.floor(n / 2)
+        value = F.aggregate(F.split(word, ""), F.expr("0L"), lambda acc, c: acc * 26 + F.ascii(c) - 65)
+        sizes = F.struct(power(n - low).alias("a"), power(low).alias("b"))
+        new = let(sizes, lambda z: feistel(value, z["a"], z["b"], key, kind))
+        back = lambda y: F.transform(F.sequence(n - 1, F.lit(0)), lambda i: let(power(i), lambda q: F.char(65 + F.pmod(F.round((y - F.pmod(y, q)) / q).cast("long"), F.lit(26).cast("long")))))
+        return F.when(n > 0, let(new, lambda y: F.array_join(back(y), ""))).otherwise("")
+
+    return let(letters, moved)
 
 
 def _in_parts(text: Column, size: int, parts: int, permuted: Callable[[Column, str], Column], kind: str) -> Column:
     """text with each part of `size` characters, from its start, permuted by itself."""
-    part = lambda i: F.substring(text, i * size + 1, size)
-    return F.concat(*(F.when(part(i) != "", permuted(part(i), f"{kind}{i}")).otherwise("") for i in range(parts)))
+
+    def part(i: int) -> Callable[[Column], Column]:
+        return lambda x: F.when(x != "", permuted(x, f"{kind}{i}")).otherwise("")
+
+    return let(text, lambda t: F.concat(*(let(F.substring(t, i * size + 1, size), part(i)) for i in range(parts))))
 
 
 def _laid_out(pattern: Column, digits: Column) -> Column:
@@ -119,11 +136,9 @@ def luhn_sum(digits: Column, doubled: int) -> Column:
 
 
 def _card(value: Column, key: str) -> Column:
-    digits = _digits(value)
-    n = F.length(digits)
-    body = F.concat(F.left(digits, F.lit(1)), permuted_digits(F.substr(digits, F.lit(2), n - 2), key, "card"))
-    check = F.pmod(10 - luhn_sum(body, 0) % 10, F.lit(10))
-    return _laid_out(value, F.concat(body, check.cast("string")))
+    body = lambda d: F.concat(F.left(d, F.lit(1)), permuted_digits(F.substr(d, F.lit(2), F.length(d) - 2), key, "card"))
+    whole = lambda x: F.concat(x, F.pmod(10 - luhn_sum(x, 0) % 10, F.lit(10)).cast("string"))
+    return let(let(let(_digits(value), body), whole), lambda new: _laid_out(value, new))
 
 
 def mod97(account: Column) -> Column:
@@ -135,23 +150,35 @@ def mod97(account: Column) -> Column:
 
 def _iban(value: Column, key: str) -> Column:
     """Digits and letters of the account are permuted apart, in parts, and the check digits follow; spaces and small letters stay where they are."""
-    plain = F.upper(F.replace(value, F.lit(" "), F.lit("")))
-    body = F.substr(plain, F.lit(5))
-    digits = _in_parts(_digits(body), 18, 2, lambda x, kind: permuted_digits(x, key, kind), "iban")
-    letters = _in_parts(F.regexp_replace(body, "[0-9]", ""), 11, 3, lambda x, kind: permuted_letters(x, key, kind), "iban-letters")
-    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("d"), F.lit(1).alias("l"))
     digit = lambda c: c.between("0", "9")
-    step = lambda acc, c: F.struct(
-        F.concat(acc["out"], F.when(digit(c), F.substr(digits, acc["d"], F.lit(1))).otherwise(F.substr(letters, acc["l"], F.lit(1)))).alias("out"),
-        (acc["d"] + digit(c).cast("int")).alias("d"),
-        (acc["l"] + (~digit(c)).cast("int")).alias("l"),
-    )
-    moved = F.aggregate(F.split(body, ""), start, step, lambda acc: acc["out"])
-    check = F.lpad((98 - mod97(F.concat(moved, F.left(plain, F.lit(2)), F.lit("00")))).cast("string"), 2, "0")
-    fresh = F.concat(F.left(plain, F.lit(2)), check, moved)
-    begin = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
-    lay = lambda acc, c: F.struct(F.concat(acc["out"], F.when(c == " ", c).when(c.rlike("[a-z]"), F.lower(F.substr(fresh, acc["i"], F.lit(1)))).otherwise(F.substr(fresh, acc["i"], F.lit(1)))).alias("out"), (acc["i"] + (c != " ").cast("int")).alias("i"))
-    return F.aggregate(F.split(value, ""), begin, lay, lambda acc: acc["out"])
+
+    def moved(body: Column) -> Column:
+        parts = F.struct(
+            _in_parts(_digits(body), 18, 2, lambda x, kind: permuted_digits(x, key, kind), "iban").alias("digits"),
+            _in_parts(F.regexp_replace(body, "[0-9]", ""), 11, 3, lambda x, kind: permuted_letters(x, key, kind), "iban-letters").alias("letters"),
+        )
+        start = F.struct(F.lit("").alias("out"), F.lit(1).alias("d"), F.lit(1).alias("l"))
+
+        def step(p: Column) -> Callable[[Column, Column], Column]:
+            return lambda acc, c: F.struct(
+                F.concat(acc["out"], F.when(digit(c), F.substr(p["digits"], acc["d"], F.lit(1))).otherwise(F.substr(p["letters"], acc["l"], F.lit(1)))).alias("out"),
+                (acc["d"] + digit(c).cast("int")).alias("d"),
+                (acc["l"] + (~digit(c)).cast("int")).alias("l"),
+            )
+
+        return let(parts, lambda p: F.aggregate(F.split(body, ""), start, step(p), lambda acc: acc["out"]))
+
+    def laid_out(fresh: Column) -> Column:
+        begin = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
+        letter = lambda acc: F.substr(fresh, acc["i"], F.lit(1))
+        lay = lambda acc, c: F.struct(F.concat(acc["out"], F.when(c == " ", c).when(c.rlike("[a-z]"), F.lower(letter(acc))).otherwise(letter(acc))).alias("out"), (acc["i"] + (c != " ").cast("int")).alias("i"))
+        return F.aggregate(F.split(value, ""), begin, lay, lambda acc: acc["out"])
+
+    def whole(plain: Column) -> Column:
+        check = lambda m: F.lpad((98 - mod97(F.concat(m, F.left(plain, F.lit(2)), F.lit("00")))).cast("string"), 2, "0")
+        return let(let(moved(F.substr(plain, F.lit(5))), lambda m: F.concat(F.left(plain, F.lit(2)), check(m), m)), laid_out)
+
+    return let(F.upper(F.replace(value, F.lit(" "), F.lit(""))), whole)
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -160,13 +187,10 @@ def _ssn(value: Column, key: str) -> Column:
     place = area - 1 - (area > 666).cast("long")
     left, right = F.lit(898 * 99).cast("long"), F.lit(9999).cast("long")
     new = feistel((place * 99 + group - 1) * right + serial - 1, left, right, key, "ssn")
-    serial = F.pmod(new, right)
-    rest = F.round((new - serial) / right).cast("long")
-    group = F.pmod(rest, F.lit(99).cast("long"))
-    place = F.round((rest - group) / 99).cast("long")
-    area = place + 1 + (place >= 665).cast("long")
     pad = lambda x, n: F.lpad(x.cast("string"), n, "0")
-    return F.concat_ws("-", pad(area, 3), pad(group + 1, 2), pad(serial + 1, 4))
+    places = lambda y: F.struct(F.pmod(y, right).alias("serial"), F.round((y - F.pmod(y, right)) / right).cast("long").alias("rest"))
+    area = lambda z: let(F.floor(z["rest"] / 99), lambda p: pad(p + 1 + (p >= 665).cast("long"), 3))
+    return let(let(new, places), lambda z: F.concat_ws("-", area(z), pad(F.pmod(z["rest"], F.lit(99).cast("long")) + 1, 2), pad(z["serial"] + 1, 4)))
 
 
 def _octets(value: Column) -> Column:
@@ -176,7 +200,8 @@ def _octets(value: Column) -> Column:
 def _ip(value: Column, key: str) -> Column:
     x = F.aggregate(_octets(value), F.expr("0L"), lambda acc, o: acc * 256 + o)
     y = feistel(x, F.lit(65536).cast("long"), F.lit(65536).cast("long"), key, "ip")
-    return F.array_join(F.transform(F.array(*map(F.lit, (24, 16, 8, 0))), lambda s: F.expr("cast(1 as long)") * F.floor(y / F.pow(F.lit(2), s)).cast("long") % 256).cast("array<string>"), ".")
+    octets = lambda v: F.transform(F.array(*map(F.lit, (24, 16, 8, 0))), lambda s: F.expr("cast(1 as long)") * F.floor(v / F.pow(F.lit(2), s)).cast("long") % 256)
+    return let(y, lambda v: F.array_join(octets(v).cast("array<string>"), "."))
 
 
 def _date(value: Column) -> Column:
@@ -191,22 +216,28 @@ def _moved_date(value: Column, key: str) -> Column:
 
     A month-first date is known by a day above 12; its pseudonym keeps that order, and may look like a day-first one.
     """
-    first, span = F.lit(FIRST_DAY).cast("date"), DAY_ROOT * DAY_ROOT
-    day = F.date_diff(_date(value), first).cast("long")
-    lowest, highest = F.date_diff(F.lit("0001-01-01").cast("date"), first).cast("long"), F.date_diff(F.lit("9999-12-31").cast("date"), first).cast("long")
-    begin = F.greatest(day - F.pmod(day, F.lit(span).cast("long")), lowest)
-    days = F.least(day - F.pmod(day, F.lit(span).cast("long")) + span, highest + 1) - begin
-    root = F.lit(DAY_ROOT).cast("long")
-    whole = days == span  # the spans at both ends of the calendar are shorter: their days turn by a keyed number
-    new = F.date_add(first, (begin + feistel(day - begin, F.when(whole, root).otherwise(F.lit(1).cast("long")), F.when(whole, root).otherwise(days), key, "date")).cast("int"))
-    part = F.split(value, "[-/.]")
-    pad = lambda x, old: F.when(F.length(old) > 1, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
-    year, month, dom = F.lpad(F.year(new).cast("string"), 4, "0"), F.month(new), F.dayofmonth(new)
-    sep = F.regexp_extract(value, "[-/.]", 0)
-    day_first = F.month(_date(value)) == part[1].cast("int")
-    return F.when(value.rlike(r"^\d{4}-"), F.concat_ws("-", year, F.lpad(month.cast("string"), 2, "0"), F.lpad(dom.cast("string"), 2, "0"))).when(
-        day_first, F.concat(pad(dom, part[0]), sep, pad(month, part[1]), sep, year)
-    ).otherwise(F.concat(pad(month, part[0]), sep, pad(dom, part[1]), sep, year))
+    first, size = F.lit(FIRST_DAY).cast("date"), F.lit(DAY_ROOT * DAY_ROOT).cast("long")
+    lowest, highest = (F.date_diff(F.lit(d).cast("date"), first).cast("long") for d in ("0001-01-01", "9999-12-31"))
+
+    def moved(day: Column) -> Column:
+        begin = F.greatest(day - F.pmod(day, size), lowest)
+        span = F.struct(begin.alias("begin"), (F.least(day - F.pmod(day, size) + size, highest + 1) - begin).alias("days"))
+        root = F.lit(DAY_ROOT).cast("long")
+        # the spans at both ends of the calendar are shorter: their days turn by a keyed number
+        halves = lambda z: F.struct(F.when(z["days"] == size, root).otherwise(F.lit(1).cast("long")).alias("a"), F.when(z["days"] == size, root).otherwise(z["days"]).alias("b"))
+        return let(span, lambda z: let(halves(z), lambda h: F.date_add(first, (z["begin"] + feistel(day - z["begin"], h["a"], h["b"], key, "date")).cast("int"))))
+
+    def written(z: Column) -> Column:
+        new, part = z["new"], z["part"]
+        pad = lambda x, old: F.when(F.length(old) > 1, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
+        year, month, dom = F.lpad(F.year(new).cast("string"), 4, "0"), F.month(new), F.dayofmonth(new)
+        sep = F.regexp_extract(value, "[-/.]", 0)
+        iso = F.concat_ws("-", year, F.lpad(month.cast("string"), 2, "0"), F.lpad(dom.cast("string"), 2, "0"))
+        day_first = F.concat(pad(dom, part[0]), sep, pad(month, part[1]), sep, year)
+        return F.when(value.rlike(r"^\d{4}-"), iso).when(z["month"] == part[1].cast("int"), day_first).otherwise(F.concat(pad(month, part[0]), sep, pad(dom, part[1]), sep, year))
+
+    known = lambda old: F.struct(let(F.date_diff(old, first).cast("long"), moved).alias("new"), F.month(old).alias("month"), F.split(value, "[-/.]").alias("part"))
+    return let(let(_date(value), known), written)
 
 
 def kind_of(value: Column) -> Column:
