@@ -74,10 +74,6 @@ def counted(records: DataFrame) -> DataFrame:
     return records.filter("in_file and relevant and duplicate_of is null")
 
 
-def empty_cells(grid: DataFrame, tier: str, least: int) -> DataFrame:
-    return grid.filter(F.col(tier) < least)
-
-
 def cycle_manifest(admits: DataFrame) -> DataFrame:
     """case_id, cycle and outcome of the last admission of each case."""
     last = admits.groupBy("case_id").agg(F.max_by(F.struct("cycle", "relevant"), "seq").alias("l"))
