@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.operators.search import matching
+
 Z95 = 1.959963984540054
 
 
@@ -113,3 +115,26 @@ def all_citations(citations: DataFrame, preference: dict[str, int]) -> DataFrame
     d = d.groupBy("case_id", "c").agg(F.min("rank").alias("rank"))
     return d.groupBy("case_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "c"))), lambda x: x["c"]).alias("cites"))
 
+
+
+def text_matches(records: DataFrame, cases: DataFrame, phrases: list[str]) -> DataFrame:
+    """case_id of the records whose opinion text holds any of the phrases as words."""
+    return matching(cases.join(records.select("case_id").distinct(), "case_id", "left_semi"), phrases).select("case_id")
+
+
+def case_rows(records: DataFrame, names: DataFrame, citations: DataFrame, quotes: DataFrame, reviewed: DataFrame, fields: list[str]) -> DataFrame:
+    """One row a record for people: case_name, court, citations (joined by '; ', else the record's own), year, era, jurisdiction, fields, quote and quote_page (the first verified), review_tier and case_id."""
+    first = quotes.filter("status = 'verified'").groupBy("case_id").agg(F.min(F.struct("ord", "text", "page")).alias("q"))
+    d = records.join(names.select("case_id", "name", "court"), "case_id", "left").join(citations.select("case_id", "cites"), "case_id", "left").join(first, "case_id", "left").join(reviewed.select("case_id", F.lit(True).alias("r")).distinct(), "case_id", "left")
+    text = lambda c: F.coalesce(c, F.lit(""))
+    listed = F.when(F.size(F.coalesce("cites", F.array().cast("array<string>"))) > 0, F.array_join("cites", "; ")).otherwise(text(F.col("cite")))
+    return d.select(
+        text(F.col("name")).alias("case_name"), text(F.col("court")).alias("court"), listed.alias("citations"), "year", "era", "jurisdiction", *fields, text(F.col("q.text")).alias("quote"), text(F.col("q.page")).alias("quote_page"),
+        F.when(F.col("r"), "human-reviewed").otherwise("machine-only").alias("review_tier"), "case_id",
+    )
+
+
+def answer(rows: DataFrame, groups: list[str]) -> dict[str, DataFrame]:
+    """The parts of an answer from its case rows: rows, summary (two-tier counts by each grouping) and earliest (each jurisdiction's first case)."""
+    counted = rows.withColumn("reviewed", F.col("review_tier") == "human-reviewed")
+    return {"rows": rows, "summary": two_tier_summary(counted, groups), "earliest": earliest_by_jurisdiction(rows)}

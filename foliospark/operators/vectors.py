@@ -121,3 +121,13 @@ def neighbours(edge_rows: DataFrame, seeds: DataFrame, direction: str) -> DataFr
     return out.select("case_id", F.col("b.t").alias("matched_text"))
 
 
+
+
+def embedding_cost(cases: DataFrame, size: int, overlap: int, sample: int, seed: str, price: float) -> DataFrame:
+    """One row: n_cases, sampled, tokens (of all chunks of a keyed sample, scaled up) and cost at a price a million tokens."""
+    n = cases.agg(F.count("*").alias("n_cases"))
+    some = cases.orderBy(F.md5(F.concat_ws("|", F.lit(seed), "case_id")), "case_id").limit(sample)
+    words = chunks(some, size, overlap).select("case_id", F.size(F.filter(F.split("text", " "), lambda x: x != "")).alias("k"))
+    counted = some.select(F.count("*").over(Window.partitionBy()).alias("sampled")).limit(1).crossJoin(words.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("k")))
+    tokens = F.round(F.col("k") * F.col("n_cases") / F.col("sampled")).cast("long")
+    return n.crossJoin(counted).select("n_cases", "sampled", tokens.alias("tokens"), (tokens * price / 1_000_000).alias("cost"))
