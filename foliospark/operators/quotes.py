@@ -89,7 +89,7 @@ def checked_quotes(quotes: DataFrame, cases: DataFrame) -> DataFrame:
     mapped = cases.join(needed, "case_id", "left_semi").select("case_id", "page_map", offset_map(F.col("raw_text")).alias("offsets"))
     d = d.select("case_id", "quote_id", "status", "place", "score", "n").join(mapped, "case_id", "left")
     end = F.least(F.col("place") + F.col("n"), F.size("offsets"))
-    d = d.withColumn("raw_start", F.get("offsets", F.least(F.col("place"), F.size("offsets") - 1)))
+    d = d.withColumn("raw_start", F.when(F.col("place").isNotNull(), F.get("offsets", F.least(F.col("place"), F.size("offsets") - 1))))
     d = d.withColumn("raw_end", F.when(F.col("status") == "verified", F.get("offsets", end - 1) + 1).otherwise(F.col("raw_start") + F.col("n")))
-    return d.select("case_id", "quote_id", "status", "place", "score", "raw_start", "raw_end", page_for_offset(F.col("page_map"), F.col("raw_start")).alias("page"))
+    return d.select("case_id", "quote_id", "status", "place", "score", "raw_start", "raw_end", F.when(F.col("raw_start").isNotNull(), page_for_offset(F.col("page_map"), F.col("raw_start"))).alias("page"))
 

