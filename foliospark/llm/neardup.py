@@ -1,11 +1,12 @@
 """Near-duplicate documents by a chosen-path set similarity join over minwise tokens.
 
 Documents are sets of word shingles. Rows with equal sets become one class, represented by its smallest doc_id. Several
-independent trees then branch the representatives: a node sends each of its members to the child of the minwise token
-that it has at a coordinate chosen by the node. Nodes of at most `limit` members are compared exhaustively; larger ones
-compare each member with a few pivots and branch on. Members whose links to a pivot are confirmed on the full shingle sets
-share a label; once all but a few members of a node bear one label, those few are compared with all of the node. Sketches only
-nominate pairs; every link is confirmed on the full shingle sets, and no pair is left out on the word of a sketch.
+independent trees then branch the representatives: a node sends each of its members to the children of the minwise tokens
+that it has at coordinates chosen by the node. Nodes of at most `limit` members are compared exhaustively. Members of larger ones
+are compared with a few pivots of their block first; what is linked, by links confirmed on the full shingle sets, is one
+component from then on. A node whose members are all of one component is done; where all but a few are, those few are compared
+with the whole component, once; any other node branches on. So sketches only nominate pairs, and the only pairs that are left out are those whose
+ends confirmed links have joined already.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.graph import connected_components
-from foliospark.llm.textbytes import Texts, mix, shingles, slices
+from foliospark.llm.textbytes import Texts, freed, mix, shingles, slices
 from foliospark.session import discard, table, written
 
 COORDINATES = 128
@@ -28,19 +29,23 @@ ROOTS_PER_TREE = 2
 _rng = np.random.Generator(np.random.PCG64(7))
 _MULTIPLIERS = _rng.integers(1, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _rng.integers(1, 2**63, 1024, dtype=np.uint64)
-ROWS = "node long, rep long, n long, sig binary, label long"
-PIVOTS = 6  # that the members of a large node are compared with
-PAIRS = "a long, b long, matches int"
-COORDINATES_OF_LEVEL = (1, 4, 8)  # that a child is chosen by, the last for all deeper levels
-EXPECTED_CHILDREN = 1.05  # in which a pair at the limit meets again, at least: above 1, so that it may meet at any depth
+PIVOTS = 8  # that the members of a block of a large node are compared with
+STARS = 3  # of so many large nodes a member nominates its likeliest pivot in one, by key: it is in many, and what has no label yet goes on
+BLOCK = 2048  # members of a large node that are compared in one place, about
+PAIRS = "a long, b long, ask boolean"
+FEW, MANY, CROWDED = range(3)  # kinds of nodes
+CHILDREN_OF_LEVEL = (5, 16)  # of a node, at most and the last for all deeper levels: the more, by the more coordinates a child is chosen, and the sooner pairs below the limit part
+EXPECTED_CHILDREN = 1.1  # in which a pair at the limit meets again, at least: above 1, so that it may meet at any depth
 RECALL = 0.99  # chance that the trees nominate a pair at the limit, whatever depth its nodes reach
 LEAST_TREES = 8
-DEEPEST = 12  # level of nodes whose members can't be told apart by branching: those are compared in full
+DEEPEST = 12  # level of nodes whose members can't be told apart by branching: those are compared in full, block by block
 
 
 def steps(percent: int) -> list[tuple[int, int]]:
     """(coordinates, children) of each level, the last for all deeper ones."""
-    return [(k, math.ceil(EXPECTED_CHILDREN / (percent / 100) ** k)) for k in COORDINATES_OF_LEVEL]
+    s = min(percent, 99) / 100
+    coordinates = [max(1, math.floor(math.log(c / EXPECTED_CHILDREN) / -math.log(s))) for c in CHILDREN_OF_LEVEL]
+    return [(k, math.ceil(EXPECTED_CHILDREN / s**k)) for k in coordinates]
 
 
 def meeting_chance(percent: int, depth: int = DEEPEST) -> float:
@@ -85,7 +90,7 @@ def _distinct_shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tup
 
 
 def sketches(docs: DataFrame, width: int, trees: int) -> DataFrame:
-    """doc_id, n_shingles, two 64-bit digests of the set, the root nodes of all trees and a signature of 16-bit minwise tokens."""
+    """doc_id, n_shingles, two 64-bit digests of the set, the root nodes of all trees and a signature of 8-bit minwise tokens."""
     roots = trees * ROOTS_PER_TREE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,150 +112,114 @@ def sketches(docs: DataFrame, width: int, trees: int) -> DataFrame:
                         h1[some] = np.add.reduceat(mix(values), at)
                         h2[some] = np.add.reduceat(mix(values ^ _ADDENDS[-1]), at)
                         least[:, :roots] = mix(least[:, :roots] + np.arange(1, roots + 1, dtype=np.uint64) * _MULTIPLIERS[-1])
-                tokens = (mix(least[:, roots:]) & np.uint64(0xFFFF)).astype("<u2")
+                tokens = (mix(least[:, roots:]) & np.uint64(0xFF)).astype(np.uint8)
                 nodes = pa.ListArray.from_arrays(np.arange(hi - lo + 1, dtype=np.int32) * roots, pa.array(least[:, :roots].astype(np.int64).ravel()))
-                sig = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(np.arange(hi - lo + 1, dtype=np.int32) * (2 * COORDINATES)), pa.py_buffer(tokens.tobytes())])
+                sig = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(np.arange(hi - lo + 1, dtype=np.int32) * COORDINATES), pa.py_buffer(tokens.tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id")[lo:hi], pa.array(sizes.astype(np.int64)), pa.array(h1.astype(np.int64)), pa.array(h2.astype(np.int64)), nodes, sig],
                     ["doc_id", "n_shingles", "h1", "h2", "nodes", "sig"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, nodes array<long>, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(freed(run), "doc_id long, n_shingles long, h1 long, h2 long, nodes array<long>, sig binary")
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     _, _, data = column.buffers()
-    first = column.offset * 2 * COORDINATES
-    return np.frombuffer(data, "<u2", count=len(column) * COORDINATES, offset=first).reshape(-1, COORDINATES)
+    return np.frombuffer(data, np.uint8, count=len(column) * COORDINATES, offset=column.offset * COORDINATES).reshape(-1, COORDINATES)
 
 
-def _near_enough(matches: np.ndarray, n1: np.ndarray, n2: np.ndarray, percent: int, least: int) -> np.ndarray:
-    return (matches >= least) & (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2))
+def _pairs(a: np.ndarray, b: np.ndarray, ask: bool) -> pa.RecordBatch:
+    """Pairs of documents, the smaller first, or (ask) a document and a component that it is to meet."""
+    a, b = (a, b) if ask else (np.minimum(a, b), np.maximum(a, b))
+    both = np.unique(np.stack([a, b], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(np.full(len(both), ask))], ["a", "b", "ask"])
 
 
-def _exhaustive(rows: DataFrame, percent: int, limit: int, least: int) -> DataFrame:
-    """Pairs of one node whose signatures agree at `least` coordinates. Rows of a node must be few (at most limit)."""
+class _Rows:
+    """Rows of nodes, in order of their blocks, with what can link two of them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
-        for batch in batches:
-            node, rep, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("node", "rep", "n"))
-            label = batch.column("label").fill_null(-1).to_numpy(zero_copy_only=False)
-            parts = [node, rep, n, label, _tokens(batch.column("sig"))]
-            if tail is not None:
-                parts = [np.concatenate(x) for x in zip(tail, parts, strict=True)]
-            node, rep, n, label, sig = parts
-            found = []
-            for d in range(1, limit):
-                i = np.flatnonzero(node[d:] == node[:-d])
-                j = i + d
-                fit = (rep[i] != rep[j]) & ((label[i] < 0) | (label[i] != label[j]))
-                i, j = i[fit], j[fit]
-                for k in range(0, len(i), 20000):
-                    a, b = i[k : k + 20000], j[k : k + 20000]
-                    matches = (sig[a] == sig[b]).sum(axis=1)
-                    good = _near_enough(matches, n[a], n[b], percent, least)
-                    found.append((rep[a[good]], rep[b[good]], matches[good]))
-            keep = slice(max(0, len(node) - limit), None)
-            tail = [x[keep].copy() for x in parts]
-            if found:
-                yield _pairs(*(np.concatenate(x) for x in zip(*found, strict=True)))
-
-    dealt = rows.repartition("node").sortWithinPartitions("node", "rep")
-    return dealt.mapInArrow(run, PAIRS)
-
-
-def _against(rows: DataFrame, percent: int, least: int) -> DataFrame:
-    """Pairs of a member and an outsider of its node (other, other_n, other_sig) whose signatures agree at `least` coordinates."""
+    NAMES = "node block kind place rep n label crowd sig".split()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rep, n, other, other_n = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "other", "other_n"))
-            matches = (_tokens(batch.column("sig")) == _tokens(batch.column("other_sig"))).sum(axis=1)
-            near = np.flatnonzero(_near_enough(matches, n, other_n, percent, least) & (rep != other))
-            yield _pairs(rep[near], other[near], matches[near])
+    def __init__(self, columns: list[np.ndarray], percent: int, least: int):
+        self.columns, self.percent, self.least = columns, percent, least
+        self.node, self.block, self.kind, self.place, self.rep, self.n, self.label, self.crowd, self.sig = columns
 
-    return rows.mapInArrow(run, PAIRS)
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, *limits: int) -> _Rows:
+        return cls([*(batch.column(k).to_numpy(zero_copy_only=False) for k in cls.NAMES[:-1]), _tokens(batch.column("sig"))], *limits)
 
+    def after(self, earlier: list[np.ndarray]) -> _Rows:
+        return _Rows([np.concatenate(x) for x in zip(earlier, self.columns, strict=True)], self.percent, self.least)
 
-def _pairs(a: np.ndarray, b: np.ndarray, matches: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(matches.astype(np.int32))], ["a", "b", "matches"])
+    def at(self, rows: np.ndarray | slice) -> list[np.ndarray]:
+        return [x[rows].copy() for x in self.columns]
 
+    def matches(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """At how many coordinates i and j agree; -1 where they can't be linked or are joined already."""
+        out = np.full(len(i), -1, np.int32)
+        a, b = self.n[i], self.n[j]
+        fit = np.flatnonzero((self.rep[i] != self.rep[j]) & (self.label[i] != self.label[j]) & (100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)))
+        for k in range(0, len(fit), 20000):
+            at = fit[k : k + 20000]
+            out[at] = (self.sig[i[at]] == self.sig[j[at]]).sum(axis=1)
+        out[out < self.least] = -1
+        return out
 
-def _compare(rows: DataFrame, percent: int, least: int, sure: int) -> DataFrame:
-    """Members of large nodes against their node's pivots.
 
-    hits: the pairs to confirm, with `likely` where the link may give a label. mask: the pivots that a member is joined to already, itself included.
-    """
+def _nominated(rows: DataFrame, percent: int, limit: int, least: int) -> DataFrame:
+    """(a, b, ask) of members of one node whose signatures agree at `least` coordinates and that have different labels.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rep, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("rep", "n"))
-            sig = _tokens(batch.column("sig"))
-            pivots = batch.column("pivots")
-            at, of = pivots.offsets.to_numpy(), np.repeat(np.arange(len(rep)), np.diff(pivots.offsets.to_numpy()))
-            flat = pivots.values.slice(at[0], at[-1] - at[0])
-            p_rep, p_n = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "n"))
-            label, p_label = (x.fill_null(-1).to_numpy(zero_copy_only=False) for x in (batch.column("label"), flat.field("label")))
-            order = np.arange(len(of)) - (at[:-1] - at[0])[of]
-            matches = np.concatenate([(sig[of[k : k + 20000]] == _tokens(flat.field("sig").slice(k, 20000))).sum(axis=1) for k in range(0, len(of), 20000)] or [np.zeros(0, int)])
-            near = _near_enough(matches, n[of], p_n, percent, least)
-            mask = np.zeros(len(rep), np.int64)
-            joined = (rep[of] == p_rep) | ((p_label >= 0) & (label[of] == p_label))
-            np.bitwise_or.at(mask, of, np.where(joined, np.int64(1) << order, 0))
-            pick = np.flatnonzero(near & ~joined)
-            counts = np.bincount(of[pick], minlength=len(rep))
-            hits = [p_rep[pick], matches[pick].astype(np.int32), order[pick].astype(np.int32), matches[pick] >= sure]
-            hits = pa.StructArray.from_arrays([pa.array(x) for x in hits], ["pivot", "matches", "place", "likely"])
-            hits = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), hits)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("node", "rep", "n", "sig", "label")), pa.array(mask), hits], ["node", "rep", "n", "sig", "label", "mask", "hits"])
-
-    return rows.mapInArrow(run, f"{ROWS}, mask long, hits array<struct<pivot:long,matches:int,place:int,likely:boolean>>")
-
-
-def _merged_labels(seen: DataFrame) -> DataFrame:
-    """node, by_pivot (the new label of each pivot) and by_label (old label -> new): pivots and labels that share a member are one.
-
-    A node has at most 2**PIVOTS masks and no more labels than levels, so a node's row is small whatever its members.
+    All pairs of a node of few members; a member and the likeliest of the first PIVOTS rows of its block in one of STARS larger nodes. In a crowded node
+    outsiders lead (negative place) each block: pairs of outsiders, and each outsider with the crowd's label, as what it is to meet. A task keeps a few rows at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        recent = leading = None
         for batch in batches:
-            pivots, labels = [], []
-            for seen_ in batch.column("seen").to_pylist():
-                root: dict = {}
-
-                def find(x, root=root):
-                    while root.setdefault(x, x) != x:
-                        x = root[x]
-                    return x
-
-                for s in seen_:
-                    linked = [("p", i) for i in range(PIVOTS) if s["mask"] >> i & 1] + ([("l", s["label"])] if s["label"] is not None else [])
-                    for x in linked:
-                        root[find(x)] = find(linked[0])
-                names: dict = {}
-                for s in seen_:  # a merged group is named by its smallest old or new name
-                    if s["label"] is not None:
-                        r = find(("l", s["label"]))
-                        names[r] = min(names.get(r, s["label"]), s["label"])
-                    for i in range(PIVOTS):
-                        if s["mask"] >> i & 1:
-                            r = find(("p", i))
-                            names[r] = min(names.get(r, s["least"]), s["least"])
-                pivots.append([names[find(("p", i))] if ("p", i) in root else None for i in range(PIVOTS)])
-                labels.append([(s["label"], names[find(("l", s["label"]))]) for s in seen_ if s["label"] is not None])
-            labels = [list(dict(x).items()) for x in labels]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(pivots, pa.list_(pa.int64())), pa.array(labels, pa.map_(pa.int64(), pa.int64()))], ["node", "by_pivot", "by_label"])
-
-    kinds = seen.filter("mask <> 0 or label is not null").groupBy("node", "mask", "label").agg(F.min("rep").alias("least"))
-    nodes = kinds.groupBy("node").agg(F.collect_list(F.struct("mask", "label", "least")).alias("seen"))
-    return nodes.mapInArrow(run, "node long, by_pivot array<long>, by_label map<long,long>")
+            rows_ = _Rows.of(batch, percent, least)
+            found, asked = [], []
+            few = rows_.at(rows_.kind == FEW)
+            if len(few[0]):
+                t = _Rows(few, percent, least) if recent is None else _Rows(few, percent, least).after(recent)
+                for d in range(1, limit):
+                    i = np.flatnonzero(t.node[d:] == t.node[:-d])
+                    near = i[t.matches(i, i + d) >= 0]
+                    found.append((t.rep[near], t.rep[near + d]))
+                recent = t.at(slice(max(0, len(t.node) - limit), None))
+            large = rows_.at(rows_.kind != FEW)
+            if len(large[0]):
+                t = _Rows(large, percent, least) if leading is None else _Rows(large, percent, least).after(leading)
+                new = np.r_[True, (t.node[1:] != t.node[:-1]) | (t.block[1:] != t.block[:-1])]
+                number = np.cumsum(new) - 1
+                first = np.flatnonzero(new)
+                order = np.arange(len(t.node)) - first[number]
+                leads = np.where(t.kind == CROWDED, t.place < 0, order < PIVOTS)
+                n_leads = np.bincount(number[leads], minlength=len(first))[number]
+                best, of = np.full(len(t.node), -1, np.int32), np.zeros(len(t.node), np.int64)
+                for p in range(int(n_leads.max(initial=0))):
+                    i = np.flatnonzero((n_leads > p) & (order != p))
+                    j = first[number[i]] + p
+                    m = t.matches(i, j)
+                    met = np.flatnonzero((m >= 0) & (t.kind[i] == CROWDED))
+                    inside = t.label[i[met]] == t.crowd[i[met]]
+                    asked.append((t.rep[j[met[inside]]], t.crowd[j[met[inside]]]))
+                    found.append((t.rep[i[met[~inside]]], t.rep[j[met[~inside]]]))
+                    more = (m > best[i]) & (t.kind[i] == MANY)
+                    best[i[more]], of[i[more]] = m[more], j[more]
+                one = np.flatnonzero((best >= 0) & (t.place % STARS == 0))
+                found.append((t.rep[one], t.rep[of[one]]))
+                leading = t.at(np.flatnonzero(leads & (number == number[-1])))
+            for ask, rows_of in ((False, found), (True, asked)):
+                if rows_of:
+                    yield _pairs(*(np.concatenate(x) for x in zip(*rows_of, strict=True)), ask)
+
+    dealt = rows.select(*_Rows.NAMES).repartition("node", "block").sortWithinPartitions("node", "block", "place", "rep")
+    return dealt.mapInArrow(freed(run), PAIRS).distinct()
 
 
 def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
-    """Members of large nodes at their children: a child is chosen by the tokens at `step` coordinates that the node selects."""
+    """(node, rep) of the children of rows (node, rep, sig): a child is chosen by the tokens at `step` coordinates that the node selects."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,95 +228,174 @@ def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
             each = np.arange(len(sig))
             with np.errstate(over="ignore"):
                 for child in range(children):
-                    node = mix(seed + _ADDENDS[10 + child])
+                    node = mix(seed + _MULTIPLIERS[5] * np.uint64(child + 1))
                     at = node
                     for _ in range(step):
                         at = mix(at + _ADDENDS[1])
                         coordinate = (at % np.uint64(COORDINATES)).astype(np.int64)
                         node = mix(node * _MULTIPLIERS[3] + sig[each, coordinate].astype(np.uint64))
-                    yield pa.RecordBatch.from_arrays([pa.array(node.astype(np.int64)), *(batch.column(k) for k in ("rep", "n", "sig", "label"))], ["node", "rep", "n", "sig", "label"])
-
-    return rows.select("node", "rep", "n", "sig", "label").mapInArrow(run, ROWS)
-
-
-def _confirmed_masks(seen: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """node, rep and mask: the pivots whose likely link to the member holds on the full sets. A failed pair gives no label."""
-    likely = seen.select("node", "rep", F.explode("hits").alias("h")).filter("h.likely")
-    likely = likely.select("node", "rep", F.least("rep", "h.pivot").alias("a"), F.greatest("rep", "h.pivot").alias("b"), "h.place")
-    links = confirmed_links(sets, likely.select("a", "b").distinct(), percent)
-    return likely.join(links.distinct(), ["a", "b"]).groupBy("node", "rep").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("linked"))
-
-
-def candidate_pairs(sk: DataFrame, chosen: DataFrame, docs: DataFrame, width: int, percent: int, limit: int) -> DataFrame:
-    """Distinct pairs (a, b, matches) that a tree nominates among the representatives (chosen: doc_id) with sketches sk of docs.
+                    yield pa.RecordBatch.from_arrays([pa.array(node.astype(np.int64)), batch.column("rep")], ["node", "rep"])
+
+    return rows.select("node", "rep", "sig").mapInArrow(run, "node long, rep long")
+
+
+def _labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """rows (node, rep) of nodes whose members have several labels, with the `label` of their component, `members` of the node, its most frequent label `crowd`, and `outside`: how many are of others."""
+    rows = rows.select("node", "rep")
+    if found is None:  # every representative is a component of its own
+        counts = rows.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1")
+        return rows.join(counts, "node").select("node", "rep", F.col("rep").alias("label"), "members", F.lit(-1).cast("long").alias("crowd"), (F.col("members") - 1).alias("outside"))
+    rows = rows.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("label"))
+    each = rows.groupBy("node", "label").agg(F.count("*").alias("n"))
+    crowds = each.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("crowd"))
+    crowds = crowds.select("node", "members", F.col("crowd.label").alias("crowd"), (F.col("members") - F.col("crowd.n")).alias("outside")).filter("outside > 0")
+    return rows.join(crowds, "node")
+
+
+def _kind(limit: int, level: int) -> F.Column:
+    crowded = (F.lit(level) > 0) & (F.col("outside") <= 2 * limit) | F.lit(level >= DEEPEST)
+    return F.when(F.col("members") <= limit, FEW).when(crowded, CROWDED).otherwise(MANY)
+
+
+def _dealt(rows: DataFrame, limit: int, level: int) -> DataFrame:
+    """rows with kind, block and place. Large nodes fall into blocks; in a crowded one, groups of outsiders lead copies of all blocks."""
+    parts = F.ceil(F.col("members") / BLOCK)
+    rows = rows.withColumn("kind", _kind(limit, level)).withColumn("place", F.pmod(F.xxhash64("rep", "node", F.lit(-level)), F.lit(1 << 30)))
+    rows = rows.withColumn("block", F.when(F.col("kind") == FEW, F.lit(0)).otherwise(F.pmod(F.xxhash64("rep", "node", F.lit(level)), parts)).cast("long"))
+    if level == 0:
+        return rows
+    crowded = rows.filter(F.col("kind") == CROWDED).withColumn("groups", F.ceil(F.col("outside") / (2 * limit))).withColumn("parts", parts)
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    members = crowded.withColumn("group", upto("groups"))
+    own = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("groups"))
+    leads = crowded.filter("label <> crowd").withColumn("group", own).withColumn("block", upto("parts")).withColumn("place", F.lit(-1).cast("long"))
+    both = members.unionByName(leads.select(members.columns)).withColumn("block", F.col("block") + F.col("group") * F.col("parts"))
+    return rows.filter(F.col("kind") != CROWDED).unionByName(both.select(rows.columns))
+
+
+LEADS = 256  # outsiders that meet a block of a component in one place, about
+
+
+class _Leads:
+    """Outsiders [rep, n, signature, set] of one place, met by one member after the other."""
+
+    def __init__(self, leads: list[tuple]):
+        self.reps, self.sizes, self.signs = np.array([x[0] for x in leads]), np.array([x[1] for x in leads]), np.array([x[2] for x in leads])
+        self.open = np.ones(len(leads), bool)
+        values, of = np.concatenate([x[3] for x in leads]), np.repeat(np.arange(len(leads)), [len(x[3]) for x in leads])
+        order = np.argsort(values, kind="stable")
+        self.values, self.of = values[order], of[order]
+
+    def linked(self, rep: int, n: int, sig: np.ndarray, raw: pa.Scalar, percent: int, least: int) -> list[int]:
+        """The outsiders without a link yet that are linked with this member, by their whole sets."""
+        near = self.open & (self.reps != rep) & ((self.signs == sig).sum(axis=1) >= least) & (100 * np.minimum(self.sizes, n) >= percent * np.maximum(self.sizes, n))
+        if not near.any():
+            return []
+        members = _members(raw.as_buffer())
+        lo, hi = np.searchsorted(self.values, members, "left"), np.searchsorted(self.values, members, "right")
+        some = hi > lo
+        lo, count = lo[some], (hi - lo)[some]
+        places = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        common = np.bincount(self.of[places], minlength=len(self.reps))
+        done = near & (common > 0) & (100 * common >= percent * (self.sizes + n - common))
+        self.open &= ~done
+        return self.reps[done].tolist()
+
+
+def _component_links(asks: DataFrame, found: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
+    """(a, b): for each outsider `rep` and component `target` of asks, a link to each block of the component that has one, found on the full sets.
+
+    The outsiders of a component, in groups, come before the members of each of its blocks; an outsider that has found its link needs no other there.
+    """
 
-    A pair that is nominated by no tree for having one label is joined by confirmed links of other pairs that are returned.
-    matches: at how many of the COORDINATES the two signatures agree.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, leads, index = None, [], None  # the place, its outsiders, and where their shingles stand
+        for batch in batches:
+            keys = zip(*(batch.column(k).to_pylist() for k in ("target", "group", "block")), strict=True)
+            n, sig = batch.column("n").to_numpy(zero_copy_only=False), _tokens(batch.column("sig"))
+            links = []
+            for i, (key, lead, rep, raw) in enumerate(zip(keys, batch.column("lead").to_pylist(), batch.column("rep").to_pylist(), batch.column("members"), strict=True)):
+                if key != at:
+                    at, leads, index = key, [], None
+                if lead:
+                    leads.append((rep, n[i], sig[i].copy(), _members(raw.as_buffer()).copy()))
+                elif leads:
+                    index = index or _Leads(leads)
+                    links += [(min(x, rep), max(x, rep)) for x in index.linked(rep, n[i], sig[i], raw, percent, least)]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    asked = asks.groupBy("target").agg(F.count("*").alias("asked"))
+    own = found.select(F.col("id").alias("rep"), F.col("component").alias("target")).unionByName(asked.select(F.col("target").alias("rep"), "target"))
+    sizes = own.groupBy("target").agg(F.count("*").alias("size")).join(asked, "target")
+    sizes = sizes.select("target", F.ceil(F.col("asked") / LEADS).alias("groups"), F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    dealt = lambda c: F.pmod(F.xxhash64("rep", "target"), F.col(c))
+    members = own.join(sizes, "target").select("rep", "target", F.lit(False).alias("lead"), upto("groups").alias("group"), dealt("blocks").alias("block"))
+    leads = asks.join(sizes, "target").select("rep", "target", F.lit(True).alias("lead"), dealt("groups").alias("group"), upto("blocks").alias("block"))
+    rows = members.unionByName(leads).join(sigs, "rep").join(sets.select(F.col("doc_id").alias("rep"), "members"), "rep")
+    rows = rows.repartition("target", "group", "block").sortWithinPartitions("target", "group", "block", F.desc("lead"), "rep")
+    with arrow_rows(asks.sparkSession, 500):
+        return written(rows.mapInArrow(freed(run), "a long, b long").distinct(), "near-links")
+
+
+RELABEL = 100  # new links are worth new labels on the way if there are more than one to so many labelled documents; this only saves comparisons
+
+
+def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int, limit: int) -> DataFrame:
+    """(id, component) of the representatives (rep, n, nodes, sig) of docs that have a link, as connected_components gives it.
+
+    Level by level: nodes nominate pairs, pairs are confirmed, and nodes that hold several components branch on.
     """
     spread = math.sqrt(COORDINATES * percent * (100 - percent)) / 100
     least = max(1, math.floor(COORDINATES * percent / 100 - 4 * spread))
-    sure = min(COORDINATES, math.ceil(COORDINATES * percent / 100))
-    roots = sk.filter("n_shingles > 0").select("doc_id", "nodes").join(chosen, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), F.explode("nodes").alias("node")).distinct()
-    shared = roots.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node")
-    rows = first = written(roots.join(shared, "node", "left_semi").select("node", "rep", F.lit(None).cast("long").alias("label")), "near-roots")
-    sigs = sk.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig").join(first.select("rep").distinct(), "rep", "left_semi")
-    sigs = written(sigs.groupBy("rep").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "near-signatures")
-    levels, links, level, sets = [], [], 0, None
+    sigs = reps.select("rep", "n", "sig")
+    now = written(_labelled(reps.select("rep", F.explode(F.array_distinct("nodes")).alias("node")), None), "near-nodes")
+    found, links, level, sets, tried, met = None, None, 0, None, None, None
     while True:
-        size = rows.count()
-        nodes = rows.groupBy("node", "label").agg(F.count("*").alias("n"))
-        nodes = nodes.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.when(F.col("label").isNotNull(), F.struct("n", "label"))).alias("crowd"))
-        nodes = nodes.withColumn("outside", F.col("members") - F.coalesce("crowd.n", F.lit(0))).filter("members > 1 and outside > 0")
-        kind = F.when(F.col("members") <= limit, "few").when((F.col("outside") <= 2 * limit) | F.lit(level >= DEEPEST), "crowded").otherwise("many")
-        nodes = nodes.select("node", kind.alias("kind"), F.col("crowd.label").alias("crowd"), "members")
-        tagged = rows.join(nodes, "node")
-        tagged = tagged.join(sigs, "rep") if level == 0 else tagged
-        tagged = written(tagged.select("node", "rep", "n", "sig", "label", "kind", "crowd", "members"), "near-levels", size)
-        levels.append(tagged)
-        many = tagged.filter("kind = 'many'")
-        # a keyed share of the members, unlabelled ones likelier, are tried as pivots; about PIVOTS of them stay
-        draw = F.pmod(F.xxhash64("rep", "node", F.lit(level)), F.lit(1 << 30)) / (1 << 30) * F.when(F.col("label").isNull(), 1.0).otherwise(4.0)
-        tried = many.withColumn("draw", draw).filter(F.col("draw") * F.col("members") < 3 * PIVOTS)
-        place = F.row_number().over(Window.partitionBy("node").orderBy("draw", "rep"))
-        pivots = tried.withColumn("place", place).filter(F.col("place") <= PIVOTS).groupBy("node").agg(F.collect_list(F.struct("rep", "n", "sig", "label")).alias("pivots"))
-        with arrow_rows(sk.sparkSession, 2000):
-            none = F.array().cast("array<struct<rep:bigint,n:bigint,sig:binary,label:bigint>>")
-            met = many.select("node", "rep", "n", "sig", "label").join(pivots, "node", "left").withColumn("pivots", F.coalesce("pivots", none))
-            seen = written(_compare(met, percent, least, sure), "near-pivots", size)
-        if level:
-            discard(rows)
-        if seen.isEmpty():
+        told = written(_nominated(_dealt(now, limit, level).join(sigs, "rep"), percent, limit, least), "near-pairs")
+        pairs = told.filter("not ask").select("a", "b")
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")  # a pair that failed stays out: its two sets won't change
+        many = now.filter(_kind(limit, level) == MANY)
+        if sets is None:  # members of later nodes come from the large ones here
+            ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(many.select(F.col("rep").alias("doc_id")))
+            with arrow_rows(docs.sparkSession, 500):
+                sets = written(_sets(_likely(docs.select("doc_id", "text"), ids), width), "near-sets")
+            new = confirmed_links(sets, pairs, percent)
+        else:
+            asks = told.filter("ask").select(F.col("a").alias("rep"), F.col("b").alias("target"))
+            asks = written(asks if met is None else asks.join(met, ["rep", "target"], "left_anti"), "near-asks")
+            new = confirmed_links(_likely(sets, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), pairs, percent)
+            if not asks.isEmpty():
+                new = new.unionByName(_component_links(asks, found, sigs, sets, percent, least))
+                met = asks if met is None else met.unionByName(asks)
+        tried = told.filter("not ask").select("a", "b") if tried is None else tried.unionByName(told.filter("not ask").select("a", "b"))
+        if found is None:
+            found = connected_components(new)
+            labelled = found.count()
+        else:
+            links = new if links is None else links.unionByName(new)
+            if RELABEL * new.count() > labelled:
+                found, links = _joined(found, links), None
+        if many.isEmpty():
+            break
+        # few outsiders meet all of their node next, others branch on
+        open_ = written(_labelled(many, found), "near-open")
+        n = open_.count()
+        if not n:
             break
-        hits = seen.select("rep", F.explode("hits").alias("h"))
-        links.append(hits.select(F.least("rep", "h.pivot").alias("a"), F.greatest("rep", "h.pivot").alias("b"), "h.matches"))
-        if sets is None:  # members of large nodes below come from the large ones here
-            with arrow_rows(sk.sparkSession, 500):
-                sets = written(_sets(_texts_of(docs, seen.select(F.col("rep").alias("doc_id")).distinct()), width), "near-node-sets")
-        linked = F.col("mask").bitwiseOR(F.coalesce("linked", F.lit(0)))
-        seen = written(seen.drop("hits").join(_confirmed_masks(seen, sets, percent), ["node", "rep"], "left").withColumn("mask", linked).drop("linked"), "near-labels", size)
-        # what pivots are linked to bears one label now, with all that earlier labels had joined to it
-        bit = F.length(F.regexp_extract(F.reverse(F.bin("mask")), "^0*", 0))
-        fresh = F.when(F.col("mask") != 0, F.get("by_pivot", bit)).otherwise(F.element_at("by_label", F.col("label")))
-        relabelled = seen.join(_merged_labels(seen), "node", "left").withColumn("label", F.coalesce(fresh, "label"))
-        step, children = steps(percent)[min(level, len(COORDINATES_OF_LEVEL) - 1)]
-        rows = written(_branch(relabelled, step, children), "near-branches", size * children)
-        level += 1
-    tagged = _union(levels)
-    # all but a few members of a crowded node bear one label: those few are compared with everyone in it
-    crowded = tagged.filter("kind = 'crowded'")
-    others = crowded.filter("label is null or label <> crowd").select("node", F.col("rep").alias("other"), F.col("n").alias("other_n"), F.col("sig").alias("other_sig"))
-    found = [_exhaustive(tagged.filter("kind = 'few'").select("node", "rep", "n", "sig", "label"), percent, limit, least)]
-    found.append(_against(crowded.select("node", "rep", "n", "sig").join(others, "node").drop("node"), percent, least))
-    pairs = written(_union([*found, *links]).groupBy("a", "b").agg(F.max("matches").alias("matches")), "near-pairs")
-    discard(*levels, first, *([sets] if sets is not None else []))
-    return pairs
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
-    return out
+        step, children = steps(percent)[min(level, len(CHILDREN_OF_LEVEL) - 1)]
+        crowded = F.col("outside") <= 2 * limit
+        below = written(_branch(open_.filter(~crowded).join(sigs, "rep"), step, children), "near-children", n * children)
+        rows = written(_labelled(below, found).unionByName(open_.filter(crowded).select(now.columns)), "near-nodes", n * children)
+        discard(now, open_, below)
+        now, level = rows, level + 1
+    return found if links is None else _joined(found, links)
+
+
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """found (id, component) with the components that links (a, b) join made one."""
+    return connected_components(links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -361,7 +409,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 sets = [upper[a:b].tobytes() + lower[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], pa.array(sets, pa.binary())], ["doc_id", "members"])
 
-    return docs.mapInArrow(run, "doc_id long, members binary")
+    return docs.mapInArrow(freed(run), "doc_id long, members binary")
 
 
 def _members(raw: pa.Buffer) -> np.ndarray:
@@ -369,18 +417,25 @@ def _members(raw: pa.Buffer) -> np.ndarray:
     return (np.frombuffer(raw, "<u4", n).astype(np.uint64) << np.uint64(16)) | np.frombuffer(raw, "<u2", n, 4 * n)
 
 
-FILTER_BITS = 26  # of the filter that keeps texts without a candidate pair from being shuffled: 8 MB whatever the table
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return bool(common) and 100 * common >= percent * (len(x) + len(y) - common)
+
 
+FILTER_BITS = 26  # of the filter that keeps rows nobody asks for from being shuffled or written: 8 MB whatever the table
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in ids. A bitmap of hashed ids, of fixed size, goes to all tasks first and holds back most other texts."""
+
+def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is in ids, and a few others: a bitmap of hashed ids, of fixed size, goes to all tasks and holds back most."""
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
     bitmap = ids.select(place("doc_id").alias("x")).groupBy(F.bitmap_bucket_number("x").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits"))
-    x = docs.select("doc_id", "text").withColumn("x", place("doc_id"))
+    x = rows.withColumn("x", place("doc_id"))
     x = x.withColumn("bucket", F.bitmap_bucket_number("x")).join(F.broadcast(bitmap), "bucket").withColumn("at", F.bitmap_bit_position("x"))
     byte = F.conv(F.hex(F.substr("bits", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     x = x.filter(F.expr("1") == F.floor(byte / F.pow(F.lit(2), F.col("at") % 8)) % 2)
-    return x.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    return x.select(rows.columns)
 
 
 def confirmed_links(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -390,49 +445,13 @@ def confirmed_links(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFram
         for batch in batches:
             good = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = _members(x.as_buffer()), _members(y.as_buffer())
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                good.append(bool(common) and 100 * common >= percent * (len(x) + len(y) - common))
+                good.append(_linked(_members(x.as_buffer()), _members(y.as_buffer()), percent))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    joined = pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x")), "a")
-    joined = joined.join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
+    side = lambda k, name: sets.select(F.col("doc_id").alias(k), F.col("members").alias(name))
+    joined = pairs.select("a", "b").join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
     with arrow_rows(pairs.sparkSession, 100):
-        return written(joined.mapInArrow(run, "a long, b long"), "near-links")
-
-
-def linked_components(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, component) of the graph of the confirmed pairs (a, b, matches), as connected_components gives it.
-
-    Likelier pairs are confirmed first, two of each document, then all others; a pair whose ends are joined already can't change
-    anything and isn't looked at. No other pair is left out.
-    """
-    spark = docs.sparkSession
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    with arrow_rows(spark, 500):
-        sets = written(_sets(_texts_of(docs, ids), width), "near-sets")
-    links, found, todo, n_pairs = None, None, pairs, pairs.count()
-    for first in (2, None):
-        if found is not None:
-            ends = [found.select(F.col("id").alias(k), F.col("component").alias(f"{k}_in")) for k in "ab"]
-            todo = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
-            todo = todo.filter(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b", "matches")
-        if first is not None:
-            sides = todo.select(F.col("a").alias("id"), "a", "b", "matches").unionByName(todo.select(F.col("b").alias("id"), "a", "b", "matches"))
-            best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("matches"), "a", "b"))
-            todo = sides.withColumn("place", best).filter(F.col("place") <= first).select("a", "b").distinct()
-        todo = written(todo.select("a", "b"), "near-round", n_pairs)
-        if todo.isEmpty():
-            break
-        new = confirmed_links(sets, todo, percent)
-        links = new if links is None else links.unionByName(new)
-        found = connected_components(links, n_pairs)
-        # a pair that failed stays out: its two sets won't change
-        pairs = pairs.join(todo, ["a", "b"], "left_anti")
-    discard(sets)
-    return found if found is not None else connected_components(pairs)
+        return written(joined.mapInArrow(freed(run), "a long, b long").distinct(), "near-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int | None = None, limit: int = 16) -> DataFrame:
@@ -442,20 +461,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
     `width` words; with fewer words the whole sequence is its only member; without words (or with a null text) the set is
     empty and linked with nothing. Documents with 100 * intersection >= percent * union are linked; component_id is the
     smallest doc_id reachable, kept is doc_id = component_id. Repeated rows stay repeated and count as one document.
-    Rows with a null doc_id are linked with nothing. An empty table gives no rows. Shingles are told
+    Rows with a null doc_id are linked with nothing and kept. An empty table gives no rows. Shingles are told
     apart by hashes of 64 bits, in confirmed pairs of 48. trees: as many as needed_trees(percent) if not given.
     """
     trees = needed_trees(percent) if trees is None else trees
     sk = written(sketches(docs, width, trees), "near-sketches")
-    classes = sk.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    members = written(sk.select("doc_id", "n_shingles", "h1", "h2").join(classes, ["h1", "h2", "n_shingles"], "left").select("doc_id", "n_shingles", "rep"), "near-members")
-    chosen = members.filter("doc_id = rep").select("doc_id").distinct()
-    pairs = candidate_pairs(sk, chosen, docs, width, percent, limit)
-    discard(sk)
-    found = linked_components(docs, pairs, width, percent)
+    classes = sk.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by("nodes", "doc_id").alias("nodes"), F.min_by("sig", "doc_id").alias("sig"))
+    reps = written(classes.withColumnRenamed("n_shingles", "n"), "near-classes")
+    members = written(sk.select("doc_id", "n_shingles", "h1", "h2").join(reps.select("rep", "h1", "h2", F.col("n").alias("n_shingles")), ["h1", "h2", "n_shingles"], "left").select("doc_id", "n_shingles", "rep"), "near-members")
+    found = linked_components(reps, docs, width, percent, limit)
+    discard(sk, reps)
     out = members.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     out = out.withColumn("component_id", F.coalesce("component", "rep", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def op2_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
