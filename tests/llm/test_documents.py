@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 
@@ -55,8 +56,10 @@ def test_quality_counts(spark, small, odd, none, labels):
                 (twice if x in seen else seen).add(x)
             marked = {j for i, x in enumerate(runs) if x in twice for j in range(i, i + 8)}
             lines = [x for x in texts[r.doc_id].split("\n") if WORD.search(x)]
+            assert r.n_symbols == sum(c in "#*$%&|<>" for c in texts[r.doc_id])
             assert (r.n_words, r.word_chars, r.n_repeat_words, r.n_dup_lines) == (len(words), sum(map(len, words)), len(marked), len(lines) - len(set(lines)))
-    assert quality.quality_verdicts(odd, labels).count() == len(ODD)
+    verdicts = quality.quality_verdicts(odd, labels).collect()
+    assert len(verdicts) == len(ODD) and all(r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) and (r.kept <= (not r.base_failed)) for r in verdicts)
     assert quality.quality_verdicts(none, labels.limit(0)).count() == 0
 
 
@@ -65,6 +68,43 @@ def test_quality_bound():
     assert quality.binomial_tail(2, 10, 0.3) == pytest.approx(sum(b * 0.3**k * 0.7 ** (10 - k) for k, b in ((0, 1), (1, 10), (2, 45))))
 
 
+def test_quality_query_against_a_plain_version(spark):
+    """op1's kept on sf0.01: per stratum and rule the strictest cutoff of the grid whose tail probability holds, in fixed order."""
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: (r.text or "", r.lang or "") for r in table(spark, sf, "documents").collect()}
+    good = {r.doc_id for r in table(spark, sf, "labels").collect() if r.quality == 1}
+    stats = {}
+    for i, (t, lang) in texts.items():
+        w = WORD.findall(t)
+        runs = [tuple(w[k : k + 8]) for k in range(len(w) - 7)]
+        count: dict = {}
+        for x in runs:
+            count[x] = count.get(x, 0) + 1
+        repeat = len({j for k, x in enumerate(runs) if count[x] > 1 for j in range(k, k + 8)})
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        chars = sum(map(len, w))
+        share = lambda a, b: 1000 * a // b if b else 0
+        stats[i] = (lang, len(w) < 20 or 100 * repeat > 30 * len(w), {
+            "symbols": share(sum(c in "#*$%&|<>" for c in t), len(w)), "repeats": share(repeat, len(w)), "adjacent": share(sum(a == b for a, b in zip(w, w[1:], strict=False)), len(w)),
+            "upper": share(sum("A" <= c <= "Z" for c in t), chars), "bangs": share(t.count("!"), len(w)), "dup_lines": share(len(lines) - len(set(lines)), len(lines)),
+        })
+    held = [stats[i] for i in sorted(good & set(stats)) if not stats[i][1]]
+    tail = lambda k, n, p: sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+    p, rules = 0.1 / 6, list(quality.RULES)
+    groups = sorted((-sum(s[0] == g for s in held), g) for g in {s[0] for s in held})
+    tested = max((i for i, (n, _) in enumerate(groups, 1) if tail(0, -n, p) <= 0.1 / (i * 6)), default=0)
+    cutoffs = {}
+    for n, g in groups[:tested]:
+        for rule in rules:
+            for c in quality.GRID:
+                if tail(sum(s[0] == g and s[2][rule] > c for s in held), -n, p) > 0.1 / (tested * 6):
+                    break
+                cutoffs[g, rule] = c
+    want = {i: not base and all(r[k] <= cutoffs.get((g, k), 10**9) for k in rules) for i, (g, base, r) in stats.items()}
+    rows = quality.op1_quality_rules(spark, sf).collect()
+    assert {r.doc_id: r.kept for r in rows} == want and {r.doc_id: r.base_failed for r in rows} == {i: s[1] for i, s in stats.items()}
+
+
 def brute_components(texts, width, percent):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}
@@ -166,7 +206,7 @@ def test_byte_bpe(spark, small, odd, none):
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    more = [(1, "  a  \n b  \n\n c\t\td  "), (2, "x" * 3000), (3, "\x1c a \x85　b  c"), (4, "don't I'LL  !!! ###"), (5, "  foo  \n bar"), (6, "<|endoftext|>")]
+    more = [(1, "  a  \n b  \n\n c\t\td  "), (2, "x" * 3000), (3, "\x1c a \x85　b  c"), (4, "don't I'LL  !!! ###"), (5, "  foo  \n bar"), (6, "<|endoftext|>"), (7, "".join(chr(97 + i * i % 26) for i in range(20000))), (8, "ab" * 5000 + "é" * 700)]
     for df in (table(spark, small, "documents"), odd, none, spark.createDataFrame(more, "doc_id long, text string")):
         texts = {r.doc_id: r.text or "" for r in df.collect()}
         rows = bpe.token_digests(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
@@ -186,7 +226,7 @@ def test_mixing(spark, odd, none):
     assert len(out) == 600 and sorted(map(tuple, out), key=repr) == sorted(map(tuple, mixing.mix_sources(sized).collect()), key=repr)
     by = {}
     for r in out:
-        assert r.taken == r.repeats * r.size <= 3 * r.size and len(r.shards) == r.repeats
+        assert r.taken == r.repeats * r.size <= 3 * r.size and len(r.draws) == r.repeats == len({d["pass"] for d in r.draws})
         by.setdefault(r.source, []).append(r)
     sizes = {s: sum(r.size for r in x) for s, x in by.items()}
     order = sorted(by, key=lambda s: (s is None, s))
@@ -202,14 +242,50 @@ def test_mixing(spark, odd, none):
     for s, x in by.items():
         assert x[0].target == pytest.approx(share[s])
         assert abs(sum(r.taken for r in x) - x[0].target) <= 50
-    assert mixing.mix_sources(mixing.sized_documents(odd)).count() == len(ODD)
+    places: dict = {}
+    for r in out:
+        for d in r.draws:
+            places.setdefault(d.shard, []).append((d.position, r.doc_id))
+    assert all(sorted(p for p, _ in x) == list(range(1, len(x) + 1)) for x in places.values()) and len(places) == mixing.LEAST_SHARDS
+    assert all([i for _, i in sorted(x)] != sorted(i for _, i in x) for x in places.values() if len(x) > 9)  # shuffled
+    # a block is drawn whole, by one shard in each pass
+    blocks: dict = {}
+    for r in out:
+        for d in r.draws:
+            blocks.setdefault((r.source, r.block, d["pass"]), set()).add(d.shard)
+    assert all(len(x) == 1 for x in blocks.values())
+    # nothing that is left out still fits
+    for s, x in by.items():
+        rest = x[0].target - sum(r.taken for r in x)
+        most = max(r.repeats for r in x)
+        assert rest >= 0
+        cut = {r.block for r in x if r.repeats == most} & {r.block for r in x if r.repeats < most and r.size}
+        assert all(r.size > rest for r in x if r.block in cut and r.repeats < most)
+    odd_mix = mixing.mix_sources(mixing.sized_documents(odd)).collect()
+    assert len(odd_mix) == len(ODD) and sorted((r.doc_id, r.size) for r in odd_mix) == sorted((i, len(WORD.findall(t or ""))) for i, t, *_ in ODD)
     assert mixing.mix_sources(mixing.sized_documents(none)).count() == 0
 
 
-def test_splitting_tree():
-    parts = mixing.split_quotas({0: 50, 1: 31, 2: 1000}, 7, 3)
-    assert {k: sum(p[k] for p in parts) for k in (0, 1, 2)} == {0: 50, 1: 31, 2: 1000}
-    assert max(sum(p.values()) for p in parts) - min(sum(p.values()) for p in parts) <= 2
+def test_splitting_tree(spark):
+    quotas = {(0, 0): 50, (1, 0): 31, (2, 1): 1000}
+    frame = spark.createDataFrame([(*k, n) for k, n in quotas.items()], "rank int, pass int, n long")
+    parts = mixing.split_quotas(frame, 8, 3).collect()
+    assert {k: sum(p.n for p in parts if (p["rank"], p["pass"]) == k) for k in quotas} == quotas
+    shards = [sum(p.n for p in parts if p.shard == i) for i in range(8)]
+    assert max(shards) - min(shards) <= 2
+    assert sorted(map(tuple, parts)) == sorted(map(tuple, mixing.split_quotas(frame, 8, 3).collect()))
+    # the draw of the root: without replacement, in proportion
+    left = [mixing.split_node(np.array([30, 10]), 0, 2, seed)[0] for seed in range(400)]
+    assert all(x.sum() == 20 and (x <= [30, 10]).all() for x in left) and abs(np.mean([x[0] for x in left]) - 15) < 0.4
+
+
+def test_mixed_stage_is_in_shard_order(spark, small):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = table(spark, small, "documents")
+    mixed = corpus_pipeline.mix(spark, docs, small)
+    sized = mixing.mix_sources(mixing.sized_documents(docs)).collect()
+    places = sorted((d.shard, d.position, r.doc_id) for r in sized for d in r.draws)
+    assert [r.doc_id for r in mixed.select("doc_id").collect()] == [i for *_, i in places]
 
 
 def test_pii(spark, odd, none):
@@ -233,6 +309,23 @@ def test_pii(spark, odd, none):
     assert sorted((r.doc_id, r.text) for r in same if r.text) == sorted((r[0], r[1]) for r in ODD if r[1]) and pii.pseudonymise(none, "k").count() == 0
 
 
+def test_pseudonyms_keep_to_their_formats(spark):
+    key = "k"
+    texts = ["born 1899-12-31", "1/2/2020 or 12/31/2020 or 31.12.2020", "gb29nwbk60161331926819", "GB29 NWBK 6016 1331 9268 19", "0001-01-01 9999-12-31", "899-99-9999 665-01-0001"]
+    out = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("__found0", F.lit(1)), key).orderBy("doc_id").collect()
+    new = [[m.new for m in r.private] for r in out]
+    assert [[m.old for m in r.private] for r in out] == [["1899-12-31"], ["1/2/2020", "12/31/2020", "31.12.2020"], ["gb29nwbk60161331926819"], ["GB29 NWBK 6016 1331 9268 19"], ["0001-01-01", "9999-12-31"], ["899-99-9999", "665-01-0001"]]
+    assert all(old not in r.text for r in out for old in [m.old for m in r.private]) and out[0]["__found0"] == 1
+    assert re.fullmatch(r"\d{1,2}/\d{1,2}/\d{4}", new[1][0]) and re.fullmatch(r"\d{2}/\d{2}/\d{4}", new[1][1]) and re.fullmatch(r"\d{2}\.\d{2}\.\d{4}", new[1][2])
+    assert new[2][0].upper() == new[3][0].replace(" ", "") and new[2][0] == new[2][0].lower() and "nwbk" not in new[2][0]
+    ssn = spark.range(0, 5000).select((F.col("id") % 800 * 1).alias("a"), F.col("id")).filter("a not in (0, 666)")
+    ssn = ssn.select(F.concat_ws("-", F.lpad(F.col("a").cast("string"), 3, "0"), F.lpad((F.col("id") % 99 + 1).cast("string"), 2, "0"), F.lpad((F.col("id") + 1).cast("string"), 4, "0")).alias("text"))
+    moved = [r.private[0].new for r in pii.pseudonymise(ssn, key).collect()]
+    assert len(set(moved)) == len(moved) == ssn.count() and not any(re.match(r"^(?:000|666|9)|^...-00|.*0000$", x) for x in moved)
+    with pytest.raises(ValueError):
+        pii.pseudonymise(ssn, "")
+
+
 def test_feistel_is_a_permutation(spark):
     a, b = (F.lit(x).cast("long") for x in (30, 7))
     d = spark.range(210).select("id", pii.feistel(F.col("id"), a, b, "k", "t").alias("y"))
@@ -245,4 +338,12 @@ def test_licences(spark, odd, none):
     rows = [(1, "Copyright (c) 2020 Someone\nreleased   under the MIT Licence"), (2, "Text\nLicensed under CC BY-NC 4.0.\nAll rights reserved."), (3, "licensed to nobody")]
     out = {r.doc_id: r for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()}
     assert out[1].licence == "MIT" and out[2].line_licences == ["CC-BY-NC-4.0", "reserved"] and out[2].n_lines == 2 and out[3].n_lines == 0
+    mine = licences.known_digests(spark, (("own", "Do what you want."), ("two", "First part.\n\nSecond part of it.")))
+    mit = next(t for k, t in licences.TEXTS if k == "MIT").split()
+    wrapped = "Intro\n\n" + "\n".join(" ".join(mit[i : i + 9]) for i in range(0, len(mit), 9)) + "\n\nEnd"
+    rows = [(1, "a\nDo WHAT you want\nb"), (2, wrapped), (3, "x\n\nfirst part\n\nsecond part\nof it\n\ny"), (None, "Do what you want.")]
+    more = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_lines) for r in licences.scan_licences(more.filter("doc_id is not null"), mine).collect()) == [(1, 1), (2, 0), (3, 1)]
+    assert {r.doc_id: r.line_licences for r in licences.scan_licences(more, known).collect()}[2] == ["MIT"]
+    assert [r.licence for r in licences.scan_licences(more.filter("doc_id is null"), mine).collect()] == ["own"]
     assert licences.scan_licences(odd, known).count() == len(ODD) and licences.scan_licences(none, known).count() == 0
