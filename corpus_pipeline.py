@@ -17,34 +17,43 @@ TOXIC_FROM = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without those that score as toxic; the scorer learns from the labels of docs that aren't held out."""
+    """docs without those that score as toxic; the scorer learns from the labels of docs that aren't held out.
+
+    Null and empty texts have no terms and stay, as do rows without a doc_id; repeated rows share their text's score. An empty table, and one without labels, gives all its rows.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.toxicity_scores(docs, model).filter(F.col("score") < TOXIC_FROM).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: shingles of 5 words, similarity of 0.8 or more. Rows with a null doc_id are linked with nothing and stay."""
+    """One document of each group of near-duplicates: shingles of 5 words, similarity of 0.8 or more.
+
+    Rows with a null doc_id, and documents without words, are linked with nothing and stay; rows that repeat a kept doc_id all stay. An empty table gives none.
+    """
     kept = neardup.near_duplicates(docs, width=5, percent=80).filter("kept").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
     return named.unionByName(docs.filter("doc_id is null"))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs with pseudonyms for personal data; n_chars follows the text."""
-    return pii.pseudonymise(docs, key="foliospark").withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """docs with pseudonyms for personal data; n_chars follows the text. Null and empty texts stay as they are. The key is pii.pseudonym_key's."""
+    return pii.pseudonymise(docs, key=pii.pseudonym_key(spark)).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix of sources takes it. Rows with a null doc_id are told apart by a hash of source and text."""
+    """Each document as many times as the mix of sources takes it, in the order of shards and of positions in them.
+
+    Rows with a null doc_id are told apart by a hash of source and text; rows that repeat a document are one document here.
+    """
     keyed = docs.withColumn("__id", F.coalesce("doc_id", F.xxhash64(F.lit("no id"), "source", "text")))
-    sized = written(mixing.sized_documents(keyed.withColumn("doc_id", F.col("__id"))), "mix-sizes")
-    taken = mixing.mix_sources(sized).filter("repeats > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("repeats").alias("__repeats"))
-    rows = keyed.join(taken, "__id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats"))))
-    return rows.select(docs.columns)
+    sized = written(mixing.sized_documents(keyed.dropDuplicates(["__id"]).withColumn("doc_id", F.col("__id"))), "mix-sizes")
+    draws = mixing.mix_sources(sized).select(F.col("doc_id").alias("__id"), F.explode("draws").alias("__draw")).select("__id", "__draw.shard", "__draw.position")
+    rows = keyed.dropDuplicates(["__id"]).join(draws, "__id")
+    return rows.repartitionByRange("shard", "position").sortWithinPartitions("shard", "position").select(docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, repeated ones too; a null text is empty."""
     return bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
