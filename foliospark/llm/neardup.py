@@ -266,14 +266,14 @@ def _dealt(rows: DataFrame, limit: int, level: int) -> DataFrame:
         return rows
     crowded = rows.filter(F.col("kind") == CROWDED).withColumn("groups", F.ceil(F.col("outside") / (2 * limit))).withColumn("parts", parts)
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    members = crowded.withColumn("group", upto("groups"))
+    members = crowded.withColumn("group", upto("groups") if level >= DEEPEST else F.lit(0).cast("long"))  # above, outsiders are few
     own = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("groups"))
     leads = crowded.filter("label <> crowd").withColumn("group", own).withColumn("block", upto("parts")).withColumn("place", F.lit(-1).cast("long"))
     both = members.unionByName(leads.select(members.columns)).withColumn("block", F.col("block") + F.col("group") * F.col("parts"))
     return rows.filter(F.col("kind") != CROWDED).unionByName(both.select(rows.columns))
 
 
-LEADS = 256  # outsiders that meet a block of a component in one place, about
+LEADS, MET = 1 << 22, 1 << 20  # shingles of the outsiders and of the members of a component that meet in one place, about
 
 
 class _Leads:
@@ -325,15 +325,16 @@ def _component_links(asks: DataFrame, found: DataFrame, sigs: DataFrame, sets: D
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    asked = asks.groupBy("target").agg(F.count("*").alias("asked"))
-    own = found.select(F.col("id").alias("rep"), F.col("component").alias("target")).unionByName(asked.select(F.col("target").alias("rep"), "target"))
-    sizes = own.groupBy("target").agg(F.count("*").alias("size")).join(asked, "target")
-    sizes = sizes.select("target", F.ceil(F.col("asked") / LEADS).alias("groups"), F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    asks = asks.join(sigs, "rep")
+    asked = asks.groupBy("target").agg(F.sum("n").alias("asked"))
+    own = found.select(F.col("id").alias("rep"), F.col("component").alias("target")).join(asked.select("target"), "target", "left_semi").unionByName(asked.select(F.col("target").alias("rep"), "target")).join(sigs, "rep")
+    sizes = own.groupBy("target").agg(F.sum("n").alias("size")).join(asked, "target")
+    sizes = sizes.select("target", F.ceil(F.col("asked") / LEADS).alias("groups"), F.ceil(F.col("size") / MET).alias("blocks"))
     upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     dealt = lambda c: F.pmod(F.xxhash64("rep", "target"), F.col(c))
-    members = own.join(sizes, "target").select("rep", "target", F.lit(False).alias("lead"), upto("groups").alias("group"), dealt("blocks").alias("block"))
-    leads = asks.join(sizes, "target").select("rep", "target", F.lit(True).alias("lead"), dealt("groups").alias("group"), upto("blocks").alias("block"))
-    rows = members.unionByName(leads).join(sigs, "rep").join(sets.select(F.col("doc_id").alias("rep"), "members"), "rep")
+    members = own.join(sizes, "target").select("rep", "n", "sig", "target", F.lit(False).alias("lead"), upto("groups").alias("group"), dealt("blocks").alias("block"))
+    leads = asks.join(sizes, "target").select("rep", "n", "sig", "target", F.lit(True).alias("lead"), dealt("groups").alias("group"), upto("blocks").alias("block"))
+    rows = members.unionByName(leads).join(sets.select(F.col("doc_id").alias("rep"), "members"), "rep")
     rows = rows.repartition("target", "group", "block").sortWithinPartitions("target", "group", "block", F.desc("lead"), "rep")
     with arrow_rows(asks.sparkSession, 500):
         return written(rows.mapInArrow(freed(run), "a long, b long").distinct(), "near-links")
