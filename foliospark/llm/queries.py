@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from foliospark.llm import licences, oracles
+from foliospark.llm import hardneg, licences, oracles
 from foliospark.llm.ann import op10_ann_prefix_forest
 from foliospark.llm.bpe import op5_byte_bpe
+from foliospark.llm.hardneg import op13_hard_negatives
 from foliospark.llm.licences import op9_licence_scan
 from foliospark.llm.mixing import op6_mix_sources
 from foliospark.llm.neardup import op2_minhash_near_dedup
@@ -25,8 +26,10 @@ QUERIES = {
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_licence_scan": op9_licence_scan,
     "op10_ann_prefix_forest": op10_ann_prefix_forest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op2_minhash_near_dedup": oracles.NEAR_DUPLICATES,
     "op9_licence_scan": licences.ORACLE,
+    "op13_hard_negatives": hardneg.ORACLE,
 }
