@@ -9,6 +9,7 @@ from foliospark.llm.hardneg import op13_hard_negatives
 from foliospark.llm.licences import op9_licence_scan
 from foliospark.llm.mixing import op6_mix_sources
 from foliospark.llm.neardup import op2_minhash_near_dedup
+from foliospark.llm.packing import op11_best_fit_packing
 from foliospark.llm.pii import op8_pii_pseudonyms
 from foliospark.llm.quality import op1_quality_rules
 from foliospark.llm.quotes import op7_quote_threads
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_licence_scan": op9_licence_scan,
     "op10_ann_prefix_forest": op10_ann_prefix_forest,
+    "op11_best_fit_packing": op11_best_fit_packing,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
