@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foliospark.operators.evidence import kappa, wilson
 from foliospark.operators.numbering import running_sums
-from foliospark.operators.search import cell_counts, matching, rate_per_thousand
+from foliospark.operators.search import rate_per_thousand
 from foliospark.operators.selection import average_precision
 
 # Runs and manifests
@@ -175,17 +175,22 @@ def _term(term: str) -> str:
     return rf"(?i)\b{words}" + ("" if term.endswith("*") else r"\b")
 
 
-def concordance_answer(cases: DataFrame, terms: dict[str, list[str]]) -> DataFrame:
-    """label, era, jurisdiction, docs, matches and rate of each term; one scan of the cases for each term's matches."""
-    cells = cell_counts(cases).withColumnRenamed("n", "docs")
-    parts = []
-    for label, phrases in terms.items():
-        hits = cell_counts(matching(cases, phrases)).withColumnRenamed("n", "matches")
-        parts.append(cells.join(hits, ["era", "jurisdiction"], "left").withColumn("label", F.lit(label)))
-    out = reduce(lambda a, b: a.unionByName(b), parts).fillna(0, ["matches"])
+def concordance_answer(cases: DataFrame, hits: DataFrame, labels: list[str]) -> DataFrame:
+    """label, era, jurisdiction, docs, matches and rate of each term for every cell of cases; hits: label, case_id. One scan of the cases, without their texts."""
+    d = cases.select("case_id", "era", "jurisdiction").join(hits.groupBy("case_id").agg(F.collect_set("label").alias("found")), "case_id", "left")
+    counts = d.groupBy("era", "jurisdiction").agg(F.count("*").alias("docs"), *(F.count_if(F.array_contains("found", k)).alias(f"n{i}") for i, k in enumerate(labels)))
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("label"), F.col(f"n{i}").alias("matches")) for i, k in enumerate(labels))))
+    out = counts.select("era", "jurisdiction", "docs", each.alias("t")).select("t.label", "era", "jurisdiction", "docs", "t.matches")
     return out.withColumn("rate", rate_per_thousand(F.col("matches"), F.col("docs")))
 
 
+def concordance_earliest(cases: DataFrame, hits: DataFrame, n: int = 5) -> DataFrame:
+    """label, rank, case_id, year, jurisdiction and cite: the n earliest dated hits of each term, by year and case_id."""
+    d = cases.select("case_id", "year", "jurisdiction", "cite").filter("year is not null").join(hits, "case_id")
+    d = d.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("year", "case_id"))).filter(F.col("rank") <= n)
+    return d.select("label", "rank", "case_id", "year", "jurisdiction", "cite")
+
+
 def spend(calls: DataFrame) -> DataFrame:
     """One row: cost, tokens and how many calls have no price."""
     return calls.agg(F.sum("cost").alias("cost"), F.sum("tokens").alias("tokens"), F.count_if(F.col("cost").isNull()).alias("unpriced"))

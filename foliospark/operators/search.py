@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.functions import text as T
-from foliospark.functions.stem import porter, stemmed
+from foliospark.functions.fold import folded, folded_word
 
 #: Words that collocations leave out.
 STOPWORDS = (
@@ -18,65 +17,28 @@ STOPWORDS = (
 ).split()
 
 
-def postings(cases: DataFrame) -> DataFrame:
-    """(case_id, token, pos) of every token, positions from 0."""
-    return cases.select("case_id", F.posexplode(T.tokens(F.col("norm_text"))).alias("pos", "token"))
-
-
-def stemmed_postings(cases: DataFrame) -> DataFrame:
-    """postings with the Porter stem as token; each distinct token is stemmed once."""
-    rows = postings(cases)
-    stems = rows.select("token").distinct().select("token", stemmed(F.col("token")).alias("stem"))
-    return rows.join(stems, "token").select("case_id", F.col("stem").alias("token"), "pos")
-
-
 def phrase_pattern(phrase: str) -> str:
     """A regular expression for the phrase's tokens in order, anything but letters and digits between them; a final '*' lets the last token go on."""
-    words = re.findall(r"[^\W_]+", phrase.lower())
+    words = re.findall(r"[^\W_]+", folded_word(phrase.lower()))
     end = r"[\p{L}\p{N}]*" if phrase.rstrip().endswith("*") else ""
     return r"(?<![\p{L}\p{N}])" + r"[^\p{L}\p{N}]+".join(words) + end + r"(?![\p{L}\p{N}])"
 
 
 def has_phrase(text: Column, phrase: str) -> Column:
-    return text.rlike(phrase_pattern(phrase))
+    """Whether the text, without its accents, holds the phrase. The first token's plain containment is tested before the pattern, as it is cheap."""
+    plain = folded(text)
+    return F.contains(plain, F.lit(re.findall(r"[^\W_]+", folded_word(phrase.lower()))[0])) & plain.rlike(phrase_pattern(phrase))
 
 
 def matching(cases: DataFrame, phrases: list[str]) -> DataFrame:
-    """Cases that hold any of the phrases. The first token's plain containment is tested before the pattern, as it is cheap."""
-    tests = [F.contains("norm_text", F.lit(re.findall(r"[^\W_]+", p.lower())[0])) & has_phrase(F.col("norm_text"), p) for p in phrases]
-    return cases.filter(reduce(lambda a, b: a | b, tests))
-
-
-def stemmed_matches(cases: DataFrame, words: list[str]) -> DataFrame:
-    """case_id of the cases that hold all words by stem."""
-    stems = sorted({porter(w.lower()) for w in words})
-    hits = stemmed_postings(cases).filter(F.col("token").isin(stems)).select("case_id", "token").distinct()
-    return hits.groupBy("case_id").agg(F.count("*").alias("n")).filter(F.col("n") == len(stems)).select("case_id")
-
-
-def phrase_spans(cases: DataFrame, phrase: str) -> DataFrame:
-    """(case_id, first, last) token positions of each occurrence of the phrase, from postings filtered to its tokens before any join."""
-    words = re.findall(r"[^\W_]+", phrase.lower())
-    prefix = phrase.rstrip().endswith("*")
-    rows = postings(matching(cases, [phrase]))
-    test = lambda i, w: F.startswith("token", F.lit(w)) if prefix and i == len(words) - 1 else F.col("token") == w
-    places = [rows.filter(test(i, w)).select("case_id", (F.col("pos") - i).alias("first")) for i, w in enumerate(words)]
-    spans = reduce(lambda a, b: a.join(b, ["case_id", "first"]), places)
-    return spans.select("case_id", "first", (F.col("first") + len(words) - 1).alias("last")).distinct()
-
-
-def near(cases: DataFrame, a: str, b: str, distance: int) -> DataFrame:
-    """case_id of the cases in which at most `distance` tokens stand between an occurrence of one phrase and one of the other, in either order."""
-    both = matching(matching(cases, [a]), [b])
-    x, y = phrase_spans(both, a), phrase_spans(both, b).toDF("case_id", "y_first", "y_last")
-    gap = F.greatest(F.col("y_first") - F.col("last"), F.col("first") - F.col("y_last")) - 1
-    return x.join(y, "case_id").filter((gap >= 0) & (gap <= distance)).select("case_id").distinct()
+    """Cases that hold any of the phrases, by a scan of their texts: for few cases, or where there is no index (operators.positions)."""
+    return cases.filter(reduce(lambda a, b: a | b, (has_phrase(F.col("norm_text"), p) for p in phrases)))
 
 
-def phrase_evidence(cases: DataFrame, phrases: list[str], width: int = 200) -> DataFrame:
-    """case_id, span_start, span_end (from 0) and matched_text: the first phrase (in the given order) found as text, with `width` characters around it; else the first 2 * width characters and span (0, 0)."""
+def phrase_evidence(hits: DataFrame, phrases: list[str], width: int = 200) -> DataFrame:
+    """For matching cases (hits, with their texts): case_id, span_start, span_end (from 0) and matched_text: the first phrase (in the given order) found as text, with `width` characters around it; else the first 2 * width characters and span (0, 0)."""
     at = F.coalesce(*(F.when(F.locate(p.lower(), F.col("norm_text")) > 0, F.struct(F.locate(p.lower(), F.col("norm_text")).alias("i"), F.lit(len(p)).alias("n"))) for p in phrases))
-    d = matching(cases, phrases).withColumn("at", at)
+    d = hits.withColumn("at", at)
     first = F.greatest(F.col("at.i") - width, F.lit(1))
     text = F.when(F.col("at").isNotNull(), F.substr("norm_text", first, F.col("at.i") + F.col("at.n") + width - first)).otherwise(F.substring("norm_text", 1, 2 * width))
     zero = F.lit(0)
@@ -99,10 +61,10 @@ def rate_per_thousand(matches: Column, docs: Column) -> Column:
     return F.when(docs > 0, F.round(1000 * matches / docs, 3))
 
 
-def concordance(cases: DataFrame, phrases: list[str]) -> DataFrame:
-    """era, jurisdiction, docs, matches and rate per 1,000 for every cell of cases."""
-    hits = cell_counts(matching(cases, phrases)).withColumnRenamed("n", "matches")
-    out = cell_counts(cases).withColumnRenamed("n", "docs").join(hits, ["era", "jurisdiction"], "left").withColumn("matches", F.coalesce("matches", F.lit(0)))
+def concordance(cases: DataFrame, hits: DataFrame) -> DataFrame:
+    """era, jurisdiction, docs, matches and rate per 1,000 for every cell of cases, in one pass; hits: case_id, each once. No text is read."""
+    d = cases.select("case_id", "era", "jurisdiction").join(hits.select("case_id", F.lit(True).alias("hit")), "case_id", "left")
+    out = d.groupBy("era", "jurisdiction").agg(F.count("*").alias("docs"), F.count("hit").alias("matches"))
     return out.withColumn("rate", rate_per_thousand(F.col("matches"), F.col("docs")))
 
 
@@ -150,10 +112,10 @@ def collocates(cases: DataFrame, term: str, n: int, width: int = 80, docs: int |
     return words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(n)
 
 
-def frequency_pivot(cases: DataFrame, phrases: list[str], eras: list[str]) -> DataFrame:
-    """Matches of each jurisdiction by era, one column an era."""
-    hits = matching(cases, phrases).groupBy("jurisdiction").pivot("era", eras).agg(F.count("case_id"))
-    return hits.fillna(0)
+def frequency_pivot(cases: DataFrame, hits: DataFrame, eras: list[str]) -> DataFrame:
+    """Matches of each jurisdiction by era, one column an era; hits: case_id."""
+    d = cases.select("case_id", "era", "jurisdiction").join(hits, "case_id", "left_semi")
+    return d.groupBy("jurisdiction").pivot("era", eras).agg(F.count("case_id")).fillna(0)
 
 
 def first_per_case(rows: DataFrame, *order: Column) -> DataFrame:

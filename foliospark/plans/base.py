@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
-from foliospark.session import table
+from foliospark.operators.postings import add_cases
+from foliospark.session import exists, shared_dir, table
 
 ERAS = [("early", 1994), ("middle", 1996), ("late", 1999)]
 
@@ -33,6 +36,14 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def index(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the positional index over cases, written by the first query that asks for it and read by all others."""
+    root = f"{shared_dir(spark)}/index-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+    if not exists(spark, f"{root}/commits"):
+        add_cases(cases(spark, sf_dir).select("case_id", "norm_text"), root)
+    return root
+
+
 def norm_sql(c: str) -> str:
     joined = f"regexp_replace(regexp_replace({c}, '([a-z])-\\s+([a-z])', '\\1\\2', 'g'), '([a-z])-\\s+([a-z])', '\\1\\2', 'g')"
     olds = "".join(T.CONFUSABLES) + T.JUNK
@@ -55,4 +66,4 @@ CASES = f"""cases AS MATERIALIZED (
 )"""
 
 #: token rows of a case, for the SQL of the full-text operators
-TOKENS = "tok AS MATERIALIZED (SELECT case_id, regexp_extract_all(lower(norm_text), '[\\p{L}\\p{N}]+') AS w FROM cases)"
+TOKENS = "tok AS MATERIALIZED (SELECT case_id, regexp_extract_all(lower(strip_accents(norm_text)), '[\\p{L}\\p{N}]+') AS w FROM cases)"

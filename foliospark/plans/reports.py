@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foliospark.operators import positions as P
 from foliospark.operators import reports as R
-from foliospark.plans.base import CASES, cases
+from foliospark.plans.base import CASES, cases, index
 from foliospark.plans.search import ANY, PHRASES, _match
 from foliospark.session import table
 
 GOLD = "g AS (SELECT o_orderstatus AS tier, o_custkey AS case_id FROM orders)"
 
+TERMS = {"one": P.any_of(PHRASES), "two": P.Phrase("with"), "three": P.All((P.Phrase("of"), P.Phrase("and th*")))}
+TERMS_SQL = f"l AS (SELECT 'one' AS label, *, {ANY} AS hit FROM cases UNION ALL SELECT 'two', *, {_match('with')} FROM cases UNION ALL SELECT 'three', *, {_match('of')} AND {_match('and th*')} FROM cases)"
+
 
 def _orders(s, d, *columns):
     return table(s, d, "orders").selectExpr(*columns)
@@ -83,8 +87,12 @@ QUERIES = {
     ),
     "m3_quote_matches": (lambda s, d: R.quote_matches(table(s, d, "part").selectExpr("p_partkey as case_id", "array(p_name, p_type) as quotes"), ["promo*", "small brass"]).select("case_id"), "SELECT p_partkey AS case_id FROM part WHERE regexp_matches(p_name || ' | ' || p_type, '(?i)\\b(promo|small\\s+brass\\b)')"),
     "m9_concordance_answer": (
-        lambda s, d: R.concordance_answer(cases(s, d), {"one": PHRASES, "two": ["with"]}),
-        f"WITH {CASES}, t AS (SELECT 'one' AS label, era, jurisdiction, count(*) AS docs, count(*) FILTER (WHERE {ANY}) AS matches FROM cases GROUP BY ALL UNION ALL SELECT 'two', era, jurisdiction, count(*), count(*) FILTER (WHERE {_match('with')}) FROM cases GROUP BY ALL) SELECT *, round(1000 * matches / docs::DOUBLE, 3) AS rate FROM t",
+        lambda s, d: R.concordance_answer(cases(s, d), P.matching_labels(s, index(s, d), TERMS), [*TERMS]),
+        f"WITH {CASES}, {TERMS_SQL}, t AS (SELECT label, era, jurisdiction, count(*) AS docs, count(*) FILTER (WHERE hit) AS matches FROM l GROUP BY ALL) SELECT *, round(1000 * matches / docs::DOUBLE, 3) AS rate FROM t",
+    ),
+    "m9_concordance_earliest": (
+        lambda s, d: R.concordance_earliest(cases(s, d), P.matching_labels(s, index(s, d), TERMS)),
+        f"WITH {CASES}, {TERMS_SQL} SELECT label, row_number() OVER (PARTITION BY label ORDER BY year, case_id)::INT AS rank, case_id, year, jurisdiction, cite FROM l WHERE hit AND year IS NOT NULL QUALIFY row_number() OVER (PARTITION BY label ORDER BY year, case_id) <= 5",
     ),
     "i15_spend": (lambda s, d: R.spend(_orders(s, d, "if(o_custkey % 7 = 0, null, round(o_totalprice)) as cost", "o_custkey as tokens")), "SELECT sum(CASE WHEN o_custkey % 7 <> 0 THEN round(o_totalprice) END) AS cost, sum(o_custkey)::BIGINT AS tokens, count(*) FILTER (WHERE o_custkey % 7 = 0) AS unpriced FROM orders"),
     "i16_vocabulary": (lambda s, d: R.outside_vocabulary(_orders(s, d, "o_orderkey as case_id", "o_orderstatus as polarity"), {"polarity": ["F", "O"]}), "SELECT o_orderkey AS case_id, 'polarity' AS field, o_orderstatus AS value FROM orders WHERE o_orderstatus NOT IN ('F', 'O')"),

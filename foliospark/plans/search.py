@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from foliospark.functions.stem import porter
+from pyspark.sql import functions as F
+
+from foliospark.operators import positions as P
 from foliospark.operators import search as S
-from foliospark.plans.base import CASES, ERAS, TOKENS, cases
+from foliospark.operators.postings import all_postings
+from foliospark.plans.base import CASES, ERAS, TOKENS, cases, index
 
 WORD, PHRASES, OTHER = "thing", ["of the", "tion*"], "and"
 LABELS = [n for n, _ in ERAS] + ["unknown"]
@@ -14,18 +17,22 @@ WHOLE = r"(^|[^\p{L}\p{N}])"
 def _match(phrase: str) -> str:
     words = "[^\\p{L}\\p{N}]+".join(phrase.rstrip("*").split())
     end = "" if phrase.endswith("*") else "($|[^\\p{L}\\p{N}])"
-    return f"regexp_matches(norm_text, '{WHOLE}{words}{end}')"
+    return f"regexp_matches(strip_accents(norm_text), '{WHOLE}{words}{end}')"
 
 
 ANY = " OR ".join(map(_match, PHRASES))
 NEXT = "list_contains(list_transform(range(1, len(w)), lambda i: w[i] = 'of' AND w[i + 1] = 'the'), true)"
 
 
+def hits(spark, d, *phrases):
+    return P.matching_ids(spark, index(spark, d), P.any_of([*phrases]))
+
+
 def flagship(spark, d):
-    return S.concordance(cases(spark, d), PHRASES)
+    return S.concordance(cases(spark, d), hits(spark, d, *PHRASES))
 
 
-STEM = porter("nations")
+NEARS = P.Any((P.Near(P.Phrase("of the"), P.Phrase("with"), 5), P.Near(P.Phrase("and"), P.Phrase("tion*"), 1), P.Without(P.All((P.Phrase("in the"), P.Phrase("th*"))), P.Phrase("of"))))
 
 QUERIES = {
     "c7_c9_concordance": (
@@ -34,28 +41,42 @@ QUERIES = {
         round(1000 * count(*) FILTER (WHERE {ANY}) / count(*)::DOUBLE, 3) AS rate FROM cases GROUP BY era, jurisdiction""",
     ),
     "c1_postings": (
-        lambda s, d: S.postings(cases(s, d)).groupBy("token").agg({"*": "count", "pos": "sum"}).withColumnRenamed("count(1)", "n").withColumnRenamed("sum(pos)", "places"),
+        lambda s, d: all_postings(s, index(s, d)).groupBy("token").agg({"*": "count", "pos": "sum"}).withColumnRenamed("count(1)", "n").withColumnRenamed("sum(pos)", "places"),
         f"""WITH {CASES}, {TOKENS}, p AS (SELECT unnest(w) AS token, generate_subscripts(w, 1) - 1 AS pos FROM tok)
         SELECT token, count(*) AS n, sum(pos)::BIGINT AS places FROM p GROUP BY token""",
     ),
-    "c1_stemmed_matches": (lambda s, d: S.stemmed_matches(cases(s, d), ["the", "and"]), None),
+    "c1_stemmed_matches": (lambda s, d: P.matching_ids(s, index(s, d), P.All((P.Phrase("the", stem=True), P.Phrase("and", stem=True)))), None),
     "c3_phrase_match": (
-        lambda s, d: S.matching(cases(s, d), ["of the", "with*"]).select("case_id"),
+        lambda s, d: hits(s, d, "of the", "with*"),
         f"WITH {CASES} SELECT case_id FROM cases WHERE {_match('of the')} OR {_match('with*')}",
     ),
     "c3_phrase_spans": (
-        lambda s, d: S.phrase_spans(cases(s, d), "of the"),
+        lambda s, d: P.phrase_spans(s, index(s, d), P.Phrase("of the")),
         f"""WITH {CASES}, {TOKENS}, p AS (SELECT case_id, w, unnest(range(0, len(w) - 1)) AS first FROM tok)
         SELECT case_id, first, first + 1 AS last FROM p WHERE w[first + 1] = 'of' AND w[first + 2] = 'the'""",
     ),
     "c4_near": (
-        lambda s, d: S.near(cases(s, d), "of the", "with", 5),
+        lambda s, d: P.matching_ids(s, index(s, d), P.Near(P.Phrase("of the"), P.Phrase("with"), 5)),
         f"""WITH {CASES}, {TOKENS}, p AS (SELECT case_id, w, unnest(range(0, len(w))) AS i FROM tok),
         a AS (SELECT case_id, i AS f, i + 1 AS l FROM p WHERE w[i + 1] = 'of' AND w[i + 2] = 'the'), b AS (SELECT case_id, i FROM p WHERE w[i + 1] = 'with')
         SELECT DISTINCT a.case_id FROM a JOIN b ON a.case_id = b.case_id AND (b.i - a.l - 1 BETWEEN 0 AND 5 OR a.f - b.i - 1 BETWEEN 0 AND 5)""",
     ),
+    "c4_any_of_nears": (
+        lambda s, d: P.matching_ids(s, index(s, d), NEARS),
+        f"""WITH {CASES}, {TOKENS}, p AS (SELECT case_id, w, unnest(range(0, len(w))) AS i FROM tok),
+        a AS (SELECT case_id, i AS f, i + 1 AS l FROM p WHERE w[i + 1] = 'of' AND w[i + 2] = 'the'), b AS (SELECT case_id, i FROM p WHERE w[i + 1] = 'with'),
+        c AS (SELECT case_id, i FROM p WHERE w[i + 1] = 'and'), e AS (SELECT case_id, i FROM p WHERE w[i + 1] LIKE 'tion%'),
+        x AS (SELECT case_id FROM p WHERE w[i + 1] = 'in' AND w[i + 2] = 'the'), y AS (SELECT case_id FROM p WHERE w[i + 1] LIKE 'th%'), z AS (SELECT case_id FROM p WHERE w[i + 1] = 'of')
+        SELECT a.case_id FROM a JOIN b ON a.case_id = b.case_id AND (b.i - a.l - 1 BETWEEN 0 AND 5 OR a.f - b.i - 1 BETWEEN 0 AND 5)
+        UNION SELECT c.case_id FROM c JOIN e ON c.case_id = e.case_id AND abs(c.i - e.i) - 1 BETWEEN 0 AND 1
+        UNION SELECT case_id FROM tok WHERE case_id IN (FROM x) AND case_id IN (FROM y) AND case_id NOT IN (FROM z)""",
+    ),
+    "c3_raw_spans": (
+        lambda s, d: P.character_spans(cases(s, d), P.phrase_spans(s, index(s, d), P.Phrase("in the"))).join(cases(s, d).select("case_id", "raw_text"), "case_id").select("case_id", "first", F.lower(F.regexp_replace(F.expr("substr(raw_text, start + 1, end - start)"), r"\W+", " ")).alias("found")),
+        f"WITH {CASES}, {TOKENS}, p AS (SELECT case_id, w, unnest(range(0, len(w) - 1)) AS first FROM tok) SELECT case_id, first, 'in the' AS found FROM p WHERE w[first + 1] = 'in' AND w[first + 2] = 'the'",
+    ),
     "c5_phrase_evidence": (
-        lambda s, d: S.phrase_evidence(cases(s, d), ["of the", "with"]),
+        lambda s, d: S.phrase_evidence(cases(s, d).join(hits(s, d, "of the", "with"), "case_id", "left_semi"), ["of the", "with"]),
         f"""WITH {CASES}, m AS (SELECT *, strpos(norm_text, 'of the') AS a, strpos(norm_text, 'with') AS b FROM cases WHERE {_match("of the")} OR {_match("with")}),
         x AS (SELECT *, CASE WHEN a > 0 THEN a ELSE b END AS i, CASE WHEN a > 0 THEN 6 ELSE 4 END AS n FROM m)
         SELECT case_id, CASE WHEN i > 0 THEN i - 1 ELSE 0 END AS span_start, CASE WHEN i > 0 THEN i - 1 + n ELSE 0 END AS span_end,
@@ -95,7 +116,7 @@ QUERIES = {
         SELECT word, count(*) AS n FROM w WHERE length(word) > 2 AND word <> 'with' AND word NOT IN ({", ".join(repr(x) for x in S.STOPWORDS)}) GROUP BY word ORDER BY n DESC, word LIMIT 40""",
     ),
     "c14_frequency_pivot": (
-        lambda s, d: S.frequency_pivot(cases(s, d), PHRASES, LABELS),
+        lambda s, d: S.frequency_pivot(cases(s, d), hits(s, d, *PHRASES), LABELS),
         f"WITH {CASES} SELECT jurisdiction, " + ", ".join(f"count(*) FILTER (WHERE era = '{e}') AS \"{e}\"" for e in LABELS) + f" FROM cases WHERE {ANY} GROUP BY jurisdiction",
     ),
 }

@@ -75,17 +75,28 @@ def written(df: DataFrame, label: str, rows: int | None = None, **options: str)
     return out
 
 
-def _delete(spark: SparkSession, where: str) -> None:
+def _found(spark: SparkSession, where: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(where)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, where: str) -> bool:
+    """Whether there is a file or folder of that name, in whatever store it names."""
+    fs, path = _found(spark, where)
+    return fs.exists(path)
+
+
+def remove(spark: SparkSession, where: str) -> None:
+    fs, path = _found(spark, where)
+    fs.delete(path, True)
 
 
 def discard(*frames: DataFrame) -> None:
     """Removes tables that written() made and nothing reads any more."""
     for df in frames:
-        _delete(df.sparkSession, df._written_at)
+        remove(df.sparkSession, df._written_at)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Removes all that this application has written into the shared folder; call it once its results are saved elsewhere."""
-    _delete(spark, shared_dir(spark))
+    remove(spark, shared_dir(spark))
