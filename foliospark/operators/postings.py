@@ -1,7 +1,7 @@
 """A positional index of cases' tokens, written once and read by term.
 
 A segment is a range-sorted table of (token, case_id, pos) in `buckets` ranges, each a folder of its own, beside the first and last
-token of every range, the distinct tokens with their stems and counts, and the case ids. A query reads the ranges that can hold
+token of every range, the counts of distinct tokens, and the case ids. A query reads the ranges that can hold
 its tokens, of which Parquet's own minima leave out more. New cases become new segments, deletions a table of ids that holds for
 the segments before it, and a merge makes one segment of all. sources.versions says which parts count.
 """
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from foliospark.functions.fold import folded
 from foliospark.functions.stem import stemmed
 from foliospark.functions.text import tokens
-from foliospark.session import exists
 from foliospark.sources.versions import commit, live_parts, next_number
 
 BUCKETS = 16
@@ -35,10 +34,10 @@ def _write_segment(rows: DataFrame, ids: DataFrame, root: str, number: int, buck
     cut = rows.repartitionByRange(buckets, "token", "case_id", "pos").withColumn("bucket", F.spark_partition_id())
     cut.sortWithinPartitions("bucket", "token", "case_id", "pos").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows")
     ids.write.mode("overwrite").parquet(f"{path}/cases")
-    seen = spark.read.schema(_ROW + ", bucket int").parquet(f"{path}/rows") if exists(spark, f"{path}/rows/_SUCCESS") else rows.withColumn("bucket", F.lit(0))
-    words = seen.groupBy("bucket", "token").agg(F.count("*").alias("n"))
+    words = spark.read.schema(_ROW + ", bucket int").parquet(f"{path}/rows").groupBy("bucket", "token").agg(F.count("*").alias("n"))
+    words.write.mode("overwrite").parquet(f"{path}/counts")
+    words = spark.read.parquet(f"{path}/counts")
     words.groupBy("bucket").agg(F.min("token").alias("first"), F.max("token").alias("last"), F.sum("n").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{path}/ranges")
-    words.groupBy("token").agg(F.sum("n").alias("n")).withColumn("stem", stemmed(F.col("token"))).write.mode("overwrite").parquet(f"{path}/words")
     return part
 
 
@@ -133,12 +132,13 @@ def term_postings(spark: SparkSession, root: str, terms: list[Term]) -> DataFram
 
 
 def words_of_stem(spark: SparkSession, root: str, stem: str) -> list[str]:
-    """The indexed words of one stem. The stemmer takes endings of a fixed list away, so there are some hundreds of them at most, whatever the corpus."""
-    found = [spark.read.parquet(f"{root}/{p}/words").filter(F.col("stem") == stem).select("token") for _, p, segment in _parts(spark, root) if segment]
-    return sorted({r["token"] for r in reduce(DataFrame.unionByName, found).distinct().collect()}) if found else []
+    """The indexed words of one stem. The stemmer changes the last three letters of a stem at most, so only words with its beginning are stemmed; it takes endings of a fixed list away, so there are some hundreds of words at most, whatever the corpus."""
+    near = word_counts(spark, root).filter(F.startswith("token", F.lit(stem[: max(1, len(stem) - 3)])))
+    return sorted(r["token"] for r in near.filter(stemmed(F.col("token")) == stem).select("token").collect())
 
 
 def word_counts(spark: SparkSession, root: str) -> DataFrame:
-    """token, stem and n of the whole index, from its segments' word tables; deletions since a merge are not taken off."""
-    found = [spark.read.parquet(f"{root}/{p}/words") for _, p, segment in _parts(spark, root) if segment]
-    return reduce(DataFrame.unionByName, found).groupBy("token", "stem").agg(F.sum("n").alias("n"))
+    """token and n of the whole index, from its segments' counts; deletions since a merge are not taken off."""
+    found = [spark.read.parquet(f"{root}/{p}/counts").select("token", "n") for _, p, segment in _parts(spark, root) if segment]
+    rows = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "token string, n long")
+    return rows.groupBy("token").agg(F.sum("n").alias("n"))

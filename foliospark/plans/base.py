@@ -9,23 +9,36 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
 from foliospark.operators.postings import add_cases
-from foliospark.session import exists, shared_dir, table
+from foliospark.session import exists, shared_dir, spread, table
 
 ERAS = [("early", 1994), ("middle", 1996), ("late", 1999)]
 
 
+def _stored(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The folder in which this application keeps what it has derived from one set of input tables."""
+    return f"{shared_dir(spark)}/{name}-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+
+
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cases as loaded: normalised once, by the first query that asks for them, and read by all others, which then read only the columns they need."""
+    path = _stored(spark, sf_dir, "cases")
+    if not exists(spark, f"{path}/_SUCCESS"):
+        normalised_cases(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def normalised_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """case_id, jurisdiction, court, name, cite, reporter, decision_date, year, era, raw_text and norm_text of each document."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     dates = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.to_date("o_orderdate").alias("d"))
     out = docs.join(dates, "doc_id", "left").withColumn("norm_text", T.normalise(F.col("text")))
-    words = F.slice(T.plain_words(F.col("norm_text")), 1, 4)
+    words = F.regexp_extract("norm_text", r"^[^a-z0-9]*([a-z0-9]+(?:[^a-z0-9]+[a-z0-9]+){0,3})", 1)
     reporter = F.concat(F.lit("rep"), F.pmod("doc_id", F.lit(3)).cast("string"))
     return out.select(
         F.col("doc_id").alias("case_id"),
         F.col("source").alias("jurisdiction"),
         F.col("lang").alias("court"),
-        F.array_join(words, " ").alias("name"),
+        F.regexp_replace(words, "[^a-z0-9]+", " ").alias("name"),
         F.concat_ws(" ", F.col("doc_id").cast("string"), reporter, F.expr("cast(n_chars as string)")).alias("cite"),
         reporter.alias("reporter"),
         F.date_format("d", "yyyy-MM-dd").alias("decision_date"),
@@ -38,7 +51,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index(spark: SparkSession, sf_dir: str) -> str:
     """The folder of the positional index over cases, written by the first query that asks for it and read by all others."""
-    root = f"{shared_dir(spark)}/index-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+    root = _stored(spark, sf_dir, "index")
     if not exists(spark, f"{root}/commits"):
         add_cases(cases(spark, sf_dir).select("case_id", "norm_text"), root)
     return root

@@ -37,6 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores: a file of one row group is else one task's work, however costly its texts are. Large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+
+
 _local: dict[str, str] = {}  # application -> folder of a session in one process
 
 
