@@ -1,8 +1,9 @@
 """Licence scan by canonical digests.
 
 A text is canonical once its copyright lines are gone, equivalent spellings are one, and only lower-case words remain. Texts
-with the same canonical SHA-256 are the same licence. Whole documents, each of their lines and short runs of their paragraphs
-(lines between blank ones) are looked up by one hash join with the digests of known licence texts and notices.
+with the same canonical SHA-256 are the same licence. Whole documents and each of their lines are looked up by one hash join with
+the digests of known licence texts and notices. So is, wherever the first words of a known text stand in a document, the run of words of its
+length that begins there, whatever the lines around it: a licence inside other text is found wherever it stands.
 """
 
 from __future__ import annotations
@@ -12,27 +13,41 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.session import table
+from foliospark.session import spread, table
 
-#: Spellings that count as equal, (pattern, replacement), applied in this order to lower-case words with single spaces.
+#: Spellings that count as equal, (pattern, replacement), applied in this order to lower-case words with a space before and after each.
 SPELLINGS = (
     ("licence", "license"),
     ("authoris", "authoriz"),
     ("organis", "organiz"),
     ("acknowledgement", "acknowledgment"),
-    ("copyright holder", "copyright owner"),
-    ("sub license", "sublicense"),
-    ("non infringement", "noninfringement"),
-    ("per cent", "percent"),
+    (" copyright holder", " copyright owner"),
+    (" sub license", " sublicense"),
+    (" non infringement", " noninfringement"),
+    (" per cent ", " percent "),
     ("merchantibility", "merchantability"),
-    ("version 3 0", "version 3"),
-    ("version 2 0", "version 2"),
-    ("by nc", "bync"),
-    ("http ", "https "),
+    (" version 3 0 ", " version 3 "),
+    (" version 2 0 ", " version 2 "),
+    (" by nc ", " bync "),
+    (" http ", " https "),
 )
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A '
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+    "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 #: Short licence texts, (identifier, text).
 TEXTS = (
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + _BSD_3 + _BSD_END),
     ("reserved", "All rights reserved."),
     (
         "MIT",
@@ -71,6 +86,22 @@ TEXTS = (
         "software. 3. This notice may not be removed or altered from any source distribution.",
     ),
 )
+#: Longer licence texts by digest, (identifier, first words, characters, SHA-256), all of the canonical text as published.
+DIGESTS = (
+    ("Apache-2.0", "apache license version 2 january 2004 https www", 9918, "d96b1c6abc4537758bc436c48bafba5e878c63d6f2dee31d22bb444ce2bcc13f"),
+    ("Artistic-1.0-Perl", "the artistic license preamble the intent of this", 5823, "bc4d0c00d493021b9f3b1041689fa28b4bf980cf2e37601f7cb475a7265e3b93"),
+    ("CC0-1.0", "creative commons legal code cc0 1 0 universal", 6691, "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e"),
+    ("GFDL-1.2", "gnu free documentation license version 1 2 november", 19577, "dc0a69dd77c36ecefaab939fe6f1fe20d430b27b4bba90820623760aadc9d0be"),
+    ("GFDL-1.3", "gnu free documentation license version 1 3 3", 22007, "f63115b17c1c179670bd2984927f637d14545c9ad5ef5b33ab30f5073f67a635"),
+    ("GPL-1.0", "gnu general public license version 1 february 1989", 11762, "37f380f152339f34a15db620545eb53f0b5c7d9e6a9542aa09ed0d22f186920f"),
+    ("GPL-2.0", "gnu general public license version 2 june 1991", 17113, "ae2be2aaa68f5e52ef402874fc8c7c691879b445cb12e49d84f88168cc2d7dd6"),
+    ("GPL-3.0", "gnu general public license version 3 29 june", 33398, "42de4913c0ec220db6e274a84efcdc7a52715762d22943334032232048072bc1"),
+    ("LGPL-2.0", "gnu library general public license version 2 june", 24126, "bea988245c65edbddad6f43ff12ca2472c232324e916d42648b90eac944d833e"),
+    ("LGPL-2.1", "gnu lesser general public license version 2 1", 25213, "ed875dac9045cba09a17867210991f3a4a82f80b82096b054560a3a8dae9d692"),
+    ("LGPL-3.0", "gnu lesser general public license version 3 29", 7104, "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "mozilla public license version 1 1 1 definitions", 22468, "3f0343dd4f3b064be36e0c6584737c9b7bb5c322721694563f9009e088ce96d1"),
+    ("MPL-2.0", "mozilla public license version 2 1 definitions 1", 14336, "ccb2452a3828a0c9f754214e184af2652be8efce4805cb9838cd64e558fcb9ef"),
+)
 #: Names by which notices call licences, by identifier.
 NAMES = {
     "MIT": ("MIT License", "MIT"),
@@ -92,9 +123,9 @@ NAMES = {
 }
 #: How notices name a licence.
 NOTICES = ("Licensed under the {}.", "Licensed under {}.", "Released under the {}.", "Released under {}.", "Distributed under the {}.", "This work is licensed under the {}.", "This work is licensed under {}.", "This project is licensed under the {}.", "This software is licensed under the {}.", "SPDX-License-Identifier: {}", "License: {}")
-#: A line that is only a copyright statement.
-COPYRIGHT_LINE = r"(?im)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*\n?"
-PARAGRAPHS = 4  # in a row that may be one licence text
+#: A line that is a copyright statement: the word or a sign of it, and a sign, a year, a colon or "by" after the word. Other lines that begin with the word are text.
+COPYRIGHT_LINE = r"(?im)^[ \t]*(?:copyright[ \t]*(?:\(c\)|©|:|[0-9]{4}|by[ \t])|\(c\)[ \t]*(?:copyright|[0-9]{4})|©)[^\n]*\n?"
+ANCHOR = 8  # words with which a longer known text begins, and by which its places are found; shorter ones are looked up as whole lines
 NOT_WORD = r"[^a-z0-9\n]+"
 #: The texts and every notice of every name.
 KNOWN = (*TEXTS, *((k, n.format(name)) for k, names in NAMES.items() for name in names for n in NOTICES))
@@ -108,7 +139,8 @@ def words_of(text: Column) -> Column:
 
 def spelled(words: Column) -> Column:
     """Words in a row with equal spellings made one."""
-    return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, F.trim(F.regexp_replace(words, "\n+", " ")))
+    padded = F.concat(F.lit(" "), F.regexp_replace(words, "\n+", " "), F.lit(" "))
+    return F.trim(reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, padded))
 
 
 def canonical(text: Column) -> Column:
@@ -116,31 +148,43 @@ def canonical(text: Column) -> Column:
     return spelled(words_of(text))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(digest, licence) of the known texts: one row a digest, however often it is listed."""
-    rows = spark.createDataFrame(list(known), "licence string, text string")
-    digests = rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "licence")
-    return digests.groupBy("digest").agg(F.min("licence").alias("licence"))
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str, str, int, str], ...] = DIGESTS) -> DataFrame:
+    """(digest, licence, anchor, n_chars) of the known texts: one row a digest, however often it is listed. anchor: the first ANCHOR words of a text that has more, else null; n_chars: of the canonical text."""
+    rows = spark.createDataFrame(list(known), "licence string, text string").withColumn("c", canonical(F.col("text")))
+    words = F.split("c", " ")
+    anchor = F.when(F.size(words) > ANCHOR, F.array_join(F.slice(words, 1, ANCHOR), " "))
+    own = rows.select(F.sha2("c", 256).alias("digest"), "licence", anchor.alias("anchor"), F.length("c").cast("long").alias("n_chars"))
+    if digests:
+        own = own.unionByName(spark.createDataFrame([(d, k, a, n) for k, a, n, d in digests], own.schema))
+    return own.groupBy("digest").agg(F.min("licence").alias("licence"), F.min("anchor").alias("anchor"), F.min("n_chars").alias("n_chars"))
 
 
 def scan_licences(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, digest (of the whole canonical text), licence (of the whole text, or null), line_licences (sorted, distinct) and n_lines for every row.
 
-    known: (digest, licence), any number of rows. The whole text, each of its lines and each run of up to PARAGRAPHS paragraphs that has several lines are
-    hash-joined with it by their digests; n_lines counts the lines and runs found. A null text has a null digest and no licences; a text without
-    ASCII words has the digest of the empty string and matches nothing. Rows that repeat a doc_id share their lines. A null
-    doc_id has no lines. Other columns of docs are ignored. Texts never travel: only ids and digests are shuffled.
+    known: (digest, licence, anchor, n_chars), one row a digest. The whole text and each line are hash-joined with it by their digests, and so is
+    each run of words that begins with the anchor of a known text and has its length; n_lines counts the lines and runs found, a line that is a whole longer text once. A
+    null text has a null digest and no licences; a text without ASCII words has the digest of the empty string and matches nothing. Rows that repeat a
+    doc_id share what they hold. A null doc_id has no lines. Other columns of docs are ignored. Texts never travel: only ids and digests are
+    shuffled. The driver sees the anchors of the known texts, not of documents.
     """
     known = known.filter(F.col("digest") != F.sha2(F.lit(""), 256))
-    words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    whole = words.select("doc_id", F.sha2(spelled(F.col("words")), 256).alias("digest")).join(known, "digest", "left")
-    lines = F.filter(F.split("words", "\n"), lambda x: x != "")
-    split = F.split("words", "\n\n+")
-    runs = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(PARAGRAPHS), F.size(split) - i + 1)), lambda k: F.array_join(F.slice(split, i, k), "\n"))
-    passages = F.filter(F.flatten(F.transform(F.sequence(F.lit(1), F.size(split)), runs)), lambda x: F.contains(x, F.lit("\n")))
-    parts = F.when(F.contains("words", F.lit("\n")), F.concat(lines, passages)).otherwise(lines)
-    pieces = words.filter("doc_id is not null").select("doc_id", F.explode(F.transform(parts, lambda x: F.sha2(spelled(x), 256))).alias("digest"))
-    hits = pieces.join(known, "digest").groupBy("doc_id").agg(F.array_sort(F.collect_set("licence")).alias("line_licences"), F.count("*").alias("n_lines"))
+    anchors = sorted((r["anchor"], r["n_chars"]) for r in known.filter("anchor is not null").select("anchor", "n_chars").distinct().collect())
+    words = docs.select("doc_id", words_of(F.col("text")).alias("words")).withColumn("canon", spelled(F.col("words")))
+    whole = words.select("doc_id", F.sha2("canon", 256).alias("digest")).join(known.select("digest", "licence"), "digest", "left")
+    named = words.filter("doc_id is not null")
+    lines = named.select("doc_id", F.explode(F.filter(F.split("words", "\n"), lambda x: x != "")).alias("x")).select("doc_id", F.sha2(spelled(F.col("x")), 256).alias("digest"), F.lit(True).alias("line"))
+    pieces = lines
+    if anchors:
+        starts = F.array(*(F.struct(F.lit(a).alias("anchor"), F.lit(n).alias("n")) for a, n in anchors))
+        padded = F.concat(F.lit(" "), "canon", F.lit(" "))
+        near = named.select("doc_id", padded.alias("canon")).select("doc_id", "canon", F.explode(F.filter(starts, lambda k: F.contains("canon", F.concat(F.lit(" "), k["anchor"], F.lit(" "))))).alias("k"))
+        gaps = F.split("canon", F.concat(F.lit(" "), F.col("k.anchor"), F.lit("(?= )")))
+        place = F.aggregate("gaps", F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all")), lambda acc, g: F.struct((acc["at"] + F.length(g) + 1 + F.length("k.anchor")).alias("at"), F.concat(acc["all"], F.array(acc["at"] + F.length(g) + 1)).alias("all")))
+        at = near.withColumn("gaps", gaps).withColumn("at", F.explode(F.slice(place["all"], 1, F.size("gaps") - 1)))
+        ends = F.substr("canon", F.col("at") + F.col("k.n").cast("int"), F.lit(1)) == " "
+        pieces = lines.unionByName(at.filter(ends).select("doc_id", F.sha2(F.substr("canon", F.col("at"), F.col("k.n").cast("int")), 256).alias("digest"), F.lit(False).alias("line")))
+    hits = pieces.join(known.select("digest", "licence", F.col("anchor").isNull().alias("short")), "digest").filter("line = short").groupBy("doc_id").agg(F.array_sort(F.collect_set("licence")).alias("line_licences"), F.count("*").alias("n_lines"))
     none = F.array().cast("array<string>")
     out = whole.join(hits, "doc_id", "left")
     return out.select("doc_id", "digest", "licence", F.coalesce("line_licences", none).alias("line_licences"), F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
@@ -153,20 +197,26 @@ def _oracle() -> str:
         return f"trim(regexp_replace(regexp_replace(lower(regexp_replace({c}, {quoted(COPYRIGHT_LINE)}, '', 'g')), {quoted(NOT_WORD)}, ' ', 'g'), ' *\n *', chr(10), 'g'))"
 
     def spelt(c: str) -> str:
-        out = f"trim(regexp_replace({c}, '\n+', ' ', 'g'))"
+        out = f"' ' || regexp_replace({c}, '\n+', ' ', 'g') || ' '"
         for old, new in SPELLINGS:
             out = f"replace({out}, {quoted(old)}, {quoted(new)})"
-        return out
+        return f"trim({out})"
 
     values = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in KNOWN)
+    more = ", ".join(f"({quoted(d)}, {quoted(k)}, {quoted(a)}, {n})" for k, a, n, d in DIGESTS)
     return f"""
-WITH known AS (SELECT sha256({spelt(words("t"))}) AS digest, min(n) AS licence FROM (VALUES {values}) v(n, t) GROUP BY 1),
-w AS (SELECT doc_id, {words("text")} AS w FROM documents),
-whole AS (SELECT doc_id, sha256({spelt("w")}) AS digest FROM w),
-pieces AS (SELECT doc_id, unnest(string_split(w, chr(10))) AS p FROM w UNION ALL SELECT doc_id, p FROM (SELECT doc_id, unnest(flatten(list_transform(range(1, len(s) + 1), lambda i: list_transform(range(1, least({PARAGRAPHS}, len(s) - i + 1) + 1), lambda k: array_to_string(list_slice(s, i, i + k - 1), chr(10)))))) AS p FROM (SELECT doc_id, regexp_split_to_array(w, '\n\n+') AS s FROM w)) WHERE p LIKE '%' || chr(10) || '%'),
+WITH texts AS MATERIALIZED (SELECT n, {spelt(words("t"))} AS c FROM (VALUES {values}) v(n, t)),
+known AS MATERIALIZED (SELECT digest, min(licence) AS licence, min(anchor) AS anchor, min(n_chars) AS n_chars FROM (
+  SELECT sha256(c) AS digest, n AS licence, CASE WHEN len(string_split(c, ' ')) > {ANCHOR} THEN array_to_string(list_slice(string_split(c, ' '), 1, {ANCHOR}), ' ') END AS anchor, length(c) AS n_chars FROM texts UNION ALL SELECT * FROM (VALUES {more})) GROUP BY digest),
+w AS MATERIALIZED (SELECT doc_id, w, {spelt("w")} AS c FROM (SELECT doc_id, {words("text")} AS w FROM documents)),
+whole AS (SELECT doc_id, sha256(c) AS digest FROM w),
+lines AS (SELECT doc_id, sha256({spelt("p")}) AS digest FROM (SELECT doc_id, unnest(string_split(w, chr(10))) AS p FROM w) WHERE p <> ''),
+near AS (SELECT doc_id, string_split(c, ' ') AS s, anchor, n_chars FROM w JOIN (SELECT DISTINCT anchor, n_chars FROM known WHERE anchor IS NOT NULL) k ON contains(' ' || c || ' ', ' ' || anchor || ' ')),
+runs AS (SELECT doc_id, array_to_string(list_slice(s, i, len(s)), ' ') || ' ' AS r, n_chars FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM near) WHERE array_to_string(list_slice(s, i, i + {ANCHOR - 1}), ' ') = anchor),
 hits AS (
-  SELECT doc_id, string_agg(DISTINCT k.licence, ',' ORDER BY k.licence) AS line_licences, count(*) AS n_lines
-  FROM (SELECT doc_id, sha256({spelt("p")}) AS digest FROM pieces WHERE p <> '') x JOIN known k USING (digest) GROUP BY doc_id
+  SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS line_licences, count(*) AS n_lines FROM (
+    SELECT doc_id, licence FROM lines JOIN known USING (digest) WHERE anchor IS NULL
+    UNION ALL SELECT doc_id, licence FROM (SELECT doc_id, sha256(left(r, n_chars)) AS digest FROM runs WHERE substr(r, n_chars + 1, 1) = ' ') JOIN known USING (digest) WHERE anchor IS NOT NULL) GROUP BY doc_id
 )
 SELECT w.doc_id, w.digest, k.licence, coalesce(h.line_licences, '') AS line_licences, coalesce(h.n_lines, 0) AS n_lines
 FROM whole w LEFT JOIN known k USING (digest) LEFT JOIN hits h ON w.doc_id = h.doc_id
@@ -177,5 +227,5 @@ ORACLE = _oracle()
 
 
 def op9_licence_scan(spark, sf_dir: str) -> DataFrame:
-    found = scan_licences(table(spark, sf_dir, "documents"), known_digests(spark))
+    found = scan_licences(spread(table(spark, sf_dir, "documents")), known_digests(spark))
     return found.select("doc_id", "digest", "licence", F.concat_ws(",", "line_licences").alias("line_licences"), F.col("n_lines").cast("long").alias("n_lines"))

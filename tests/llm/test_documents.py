@@ -341,9 +341,58 @@ def test_licences(spark, odd, none):
     mine = licences.known_digests(spark, (("own", "Do what you want."), ("two", "First part.\n\nSecond part of it.")))
     mit = next(t for k, t in licences.TEXTS if k == "MIT").split()
     wrapped = "Intro\n\n" + "\n".join(" ".join(mit[i : i + 9]) for i in range(0, len(mit), 9)) + "\n\nEnd"
-    rows = [(1, "a\nDo WHAT you want\nb"), (2, wrapped), (3, "x\n\nfirst part\n\nsecond part\nof it\n\ny"), (None, "Do what you want.")]
+    rows = [(1, "a\nDo WHAT you want\nb"), (2, wrapped), (3, "x\nfirst part, second part of it\ny"), (None, "Do what you want.")]
     more = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r.doc_id, r.n_lines) for r in licences.scan_licences(more.filter("doc_id is not null"), mine).collect()) == [(1, 1), (2, 0), (3, 1)]
     assert {r.doc_id: r.line_licences for r in licences.scan_licences(more, known).collect()}[2] == ["MIT"]
     assert [r.licence for r in licences.scan_licences(more.filter("doc_id is null"), mine).collect()] == ["own"]
     assert licences.scan_licences(odd, known).count() == len(ODD) and licences.scan_licences(none, known).count() == 0
+
+
+def test_licence_texts_are_found_wherever_they_stand(spark):
+    """Every long text at every line width, between adjoining lines or in paragraphs, with copyright lines in it, and not when a word is missing."""
+    import textwrap
+
+    known = licences.known_digests(spark)
+    long_ = [(k, t) for k, t in licences.TEXTS if len(t.split()) > 20]
+    rows, want = [], {}
+
+    def put(text, *found):
+        want[len(rows)] = sorted(found)
+        rows.append((len(rows), text))
+
+    for k, t in long_:
+        for width in range(30, 121):
+            put("intro\n" + textwrap.fill(t, width) + "\nend", k)
+        words = t.split()
+        put("some words before " + t.upper() + " and after", k)
+        put("\n\n".join(" ".join(words[i : i + 20]) for i in range(0, len(words), 20)), k)
+        put("\n".join([*words[:30], "Copyright (c) 2020 A. Person", *words[30:]]), k)
+        put(" ".join(words[:40] + words[41:]))
+        put(t + " " + t, k)
+    put(long_[0][1] + " " + long_[-1][1], long_[0][0], long_[-1][0])
+    put("Copyright notice of nobody\ncopyright holders\n(c) You must retain", )
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in licences.scan_licences(docs, known).collect()}
+    assert {i: r.line_licences for i, r in found.items()} == want
+    twice = [r for r in found.values() if r.n_lines == 2]
+    assert len(twice) == len(long_) + 1
+    mine = licences.known_digests(spark, (("x", " ".join(f"w{i}" for i in range(12))), ("y", " ".join(f"w{i}" for i in range(20)))), ())
+    text = " ".join(f"w{i}" for i in range(20))
+    got = licences.scan_licences(spark.createDataFrame([(1, f"{text} {text} w0 w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w110")], "doc_id long, text string"), mine).collect()[0]
+    assert (got.line_licences, got.n_lines) == (["x", "y"], 4)
+
+
+def test_published_licences_by_digest(spark):
+    """Where the system has the published texts, the digests find them inside other text."""
+    import os
+
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    there = [(k, f"/usr/share/common-licenses/{f}") for k, f in names.items() if os.path.exists(f"/usr/share/common-licenses/{f}")]
+    rows = []
+    for i, (_, path) in enumerate(there):
+        with open(path) as f:
+            rows.append((i, "before\n" + f.read() + "\nafter"))
+    if rows:
+        found = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), licences.known_digests(spark)).collect()
+        assert {there[r.doc_id][0] for r in found if there[r.doc_id][0] in r.line_licences} == {k for k, _ in there}
