@@ -15,17 +15,32 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.session import table
+from foliospark.session import exists, shared_dir, spread, table
 
 KINDS = ("secret", "iban", "email", "card", "ssn", "phone", "ip", "date")
+#: How many characters account numbers have by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _account(length: int, countries: str) -> str:
+    """The pattern of one length: groups of four with a space before each, or none, so that no word after the number is taken for a group."""
+    whole, rest = divmod(length - 4, 4)
+    return rf"(?:{'|'.join(countries.split())})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{whole}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+#: Any other country's number is known without spaces only.
+_IBAN = rf"(?i:\b(?:{'|'.join(_account(n, c) for n, c in IBAN_LENGTHS.items())}|(?!(?:{'|'.join(' '.join(IBAN_LENGTHS.values()).split())}))[A-Z]{{2}}\d{{2}}[A-Z0-9]{{11,30}})\b)"
 #: What each kind looks like; the first kind that matches at a place has it.
 PATTERNS = {
     "secret": r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}+|\bsk-[A-Za-z0-9]{20,}+|(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)\"? ?[=:] ?\"?[^\s\"',;]{6,}+\"?",
-    "iban": r"\b[A-Za-z]{2}\d{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,3})?\b",
-    "email": r"(?<![\w.+%-])[\w.+%-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}+",
+    "iban": _IBAN,
+    "email": r"(?<![\p{L}\p{N}_.+%-])[\p{L}\p{N}_.+%-]++@(?:[\p{L}\p{N}-]++\.)++\p{L}{2,}+",
     "card": r"(?<![\d.+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{4}(?![\d.-]\d|\d)|\+\d{10,14}(?!\d)",
+    "phone": r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{4}(?![\d.-]\d|\d)|\+\d{8,17}(?!\d)",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)",
     "date": r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])",
 }
@@ -42,11 +57,11 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def _digest(key: str, kind: str, value: Column, length: int) -> Column:
+def _digest(key: Column, kind: str, value: Column, length: int) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), value), 256), 1, length)
 
 
-def feistel(x: Column, a: Column, b: Column, key: str, kind: str, inverse: bool = False) -> Column:
+def feistel(x: Column, a: Column, b: Column, key: Column | str, kind: str, inverse: bool = False) -> Column:
     """The image of x in [0, a * b) under the keyed permutation of that range (or its inverse). All are longs; a * b < 2**62."""
 
     def noise(round_: Column, half: Column, size: Column) -> Column:
@@ -73,7 +88,7 @@ def _power(n: Column) -> Column:
     return F.pow(F.lit(10), n).cast("long")
 
 
-def permuted_digits(digits: Column, key: str, kind: str) -> Column:
+def permuted_digits(digits: Column, key: Column, kind: str) -> Column:
     """A string of 1 to 18 digits permuted among all strings of as many digits."""
 
     def moved(d: Column) -> Column:
@@ -85,7 +100,7 @@ def permuted_digits(digits: Column, key: str, kind: str) -> Column:
     return let(digits, moved)
 
 
-def permuted_letters(letters: Column, key: str, kind: str) -> Column:
+def permuted_letters(letters: Column, key: Column, kind: str) -> Column:
     """A string of up to 11 capital letters permuted among all strings of as many."""
     power = lambda k: F.round(F.pow(F.lit(26), k)).cast("long")
 
@@ -135,7 +150,7 @@ def luhn_sum(digits: Column, doubled: int) -> Column:
     return F.aggregate(values, F.lit(0), lambda acc, v: acc + v)
 
 
-def _card(value: Column, key: str) -> Column:
+def _card(value: Column, key: Column) -> Column:
     body = lambda d: F.concat(F.left(d, F.lit(1)), permuted_digits(F.substr(d, F.lit(2), F.length(d) - 2), key, "card"))
     whole = lambda x: F.concat(x, F.pmod(10 - luhn_sum(x, 0) % 10, F.lit(10)).cast("string"))
     return let(let(let(_digits(value), body), whole), lambda new: _laid_out(value, new))
@@ -148,7 +163,7 @@ def mod97(account: Column) -> Column:
     return F.aggregate(places, F.lit(0), lambda acc, c: F.when(c.between("0", "9"), (acc * 10 + number(c)) % 97).otherwise((acc * 100 + number(c)) % 97))
 
 
-def _iban(value: Column, key: str) -> Column:
+def _iban(value: Column, key: Column) -> Column:
     """Digits and letters of the account are permuted apart, in parts, and the check digits follow; spaces and small letters stay where they are."""
     digit = lambda c: c.between("0", "9")
 
@@ -181,7 +196,7 @@ def _iban(value: Column, key: str) -> Column:
     return let(F.upper(F.replace(value, F.lit(" "), F.lit(""))), whole)
 
 
-def _ssn(value: Column, key: str) -> Column:
+def _ssn(value: Column, key: Column) -> Column:
     """Permuted among the valid numbers: areas 001 to 899 but 666, groups 01 to 99, serials 0001 to 9999."""
     area, group, serial = (F.substring(value, a, n).cast("long") for a, n in ((1, 3), (5, 2), (8, 4)))
     place = area - 1 - (area > 666).cast("long")
@@ -197,7 +212,7 @@ def _octets(value: Column) -> Column:
     return F.transform(F.split(value, r"\."), lambda x: x.cast("long"))
 
 
-def _ip(value: Column, key: str) -> Column:
+def _ip(value: Column, key: Column) -> Column:
     x = F.aggregate(_octets(value), F.expr("0L"), lambda acc, o: acc * 256 + o)
     y = feistel(x, F.lit(65536).cast("long"), F.lit(65536).cast("long"), key, "ip")
     octets = lambda v: F.transform(F.array(*map(F.lit, (24, 16, 8, 0))), lambda s: F.expr("cast(1 as long)") * F.floor(v / F.pow(F.lit(2), s)).cast("long") % 256)
@@ -211,7 +226,7 @@ def _date(value: Column) -> Column:
     return F.when(value.rlike(r"^\d{4}-"), write(part[0], part[1], part[2])).otherwise(F.coalesce(write(part[2], part[1], part[0]), write(part[2], part[0], part[1])))
 
 
-def _moved_date(value: Column, key: str) -> Column:
+def _moved_date(value: Column, key: Column) -> Column:
     """Another date of the same span of days, written as the first is: order of day and month, separators, and zeros before single digits.
 
     A month-first date is known by a day above 12; its pseudonym keeps that order, and may look like a day-first one.
@@ -258,7 +273,7 @@ def kind_of(value: Column) -> Column:
     )
 
 
-def pseudonym(kind: Column, value: Column, key: str) -> Column:
+def pseudonym(kind: Column, value: Column, key: Column) -> Column:
     """The pseudonym of a validated match, or the match itself where kind is null."""
     word = F.regexp_extract(value, r"^(?i)((?:password|passwd|pwd|secret|token|api[_-]?key)\"? ?[=:] ?\"?)", 1)
     digits = _digits(value)
@@ -277,33 +292,46 @@ def pseudonym(kind: Column, value: Column, key: str) -> Column:
     )
 
 
-def pseudonym_key(spark: SparkSession) -> str:
-    """The key that the session's setting KEY_SETTING holds; without it a random one, so that pseudonyms of different runs have nothing in common and nobody can undo them."""
-    return spark.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+def pseudonym_key(spark: SparkSession) -> DataFrame:
+    """One row with the key of pseudonyms: the session's setting KEY_SETTING, or else the one kept beside the applications' folders, drawn by the first run that needs it.
+
+    So runs that share spark.checkpoint.dir agree, and their documents stay linked; who may read that folder can undo the numbers. The key is a column of a
+    table, so it stands in no plan, event log or page of the UI.
+    """
+    said = spark.conf.get(KEY_SETTING, None)
+    if said:
+        return spark.createDataFrame([(said,)], "value string")
+    kept = shared_dir(spark).rpartition("/")[0] + "/foliospark-pseudonym-key"
+    if not exists(spark, f"{kept}/_SUCCESS"):
+        spark.createDataFrame([(secrets.token_hex(32),)], "value string").coalesce(1).write.mode("overwrite").text(kept)
+    return spark.read.text(kept)
 
 
-def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str | DataFrame) -> DataFrame:
     """docs with the personal data in `text` replaced, and an array column `private` of (kind, old, new) in text order.
 
     Every other column stays as it is (a column named `private` is replaced). A null text stays null and an empty one empty, with
-    no matches. Texts are handled whole, whatever their length; repeated rows get equal results. key: a secret; who has it can undo the numbers.
+    no matches. Texts are handled whole, whatever their length; repeated rows get equal results. key: a secret, or a table of one row that holds it; who has it can undo the numbers.
     """
-    if not key:
-        raise ValueError("pseudonyms need a key")
+    if isinstance(key, str):
+        if not key:
+            raise ValueError("pseudonyms need a key")
+        key = docs.sparkSession.createDataFrame([(key,)], "value string")
     text = F.col("text")
     found = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
-    one, two, three = (next(f"__{k}{i}" for i in range(99) if f"__{k}{i}" not in docs.columns) for k in ("found", "kinds", "all"))
+    one, two, three, own = (next(f"__{k}{i}" for i in range(99) if f"__{k}{i}" not in docs.columns) for k in ("found", "kinds", "all", "key"))
+    docs = docs.join(F.broadcast(key.agg(F.min("value").alias(own))), F.lit(True))  # one row
     kinds = F.transform(one, lambda m: F.struct(kind_of(m).alias("kind"), m.alias("old")))
-    news = F.transform(two, lambda m: F.struct(m["kind"].alias("kind"), m["old"].alias("old"), pseudonym(m["kind"], m["old"], key).alias("new")))
+    news = F.transform(two, lambda m: F.struct(m["kind"].alias("kind"), m["old"].alias("old"), pseudonym(m["kind"], m["old"], F.col(own)).alias("new")))
     ends = F.concat(F.transform(three, lambda m: m["new"]), F.array(F.lit("")))
     parts = F.zip_with(F.split(text, ANY, -1), ends, lambda gap, new: F.concat(gap, new))
     out = docs.withColumn(one, found).withColumn(two, kinds).withColumn(three, news)
     changed = F.exists(three, lambda m: m["kind"].isNotNull())
     out = out.withColumn("private", F.filter(three, lambda m: m["kind"].isNotNull()))
-    return out.withColumn("text", F.when(changed, F.array_join(parts, "")).otherwise(text)).drop(one, two, three)
+    return out.withColumn("text", F.when(changed, F.array_join(parts, "")).otherwise(text)).drop(one, two, three, own)
 
 
 def op8_pii_pseudonyms(spark, sf_dir: str) -> DataFrame:
-    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonym_key(spark))
+    out = pseudonymise(spread(table(spark, sf_dir, "documents")).select("doc_id", "text"), pseudonym_key(spark))
     count = lambda k: F.size(F.filter("private", lambda m: m["kind"] == k)).cast("long").alias(f"n_{k}")
     return out.select("doc_id", "text", *map(count, KINDS))
