@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from foliospark.llm.textbytes import Texts, freed, slices
 from foliospark.llm.units import UnitCache, words_with_space
-from foliospark.session import table
+from foliospark.session import spread, table
 
 BUCKETS = (4, 6, 8, 12, 16, 24, 32, 48, 64)  # then powers of two, up to LONGEST
 DECODED_AT_ONCE = 1 << 18  # ids
@@ -276,4 +276,4 @@ def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def op5_byte_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_digests(spread(table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

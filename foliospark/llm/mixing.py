@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.operators.numbering import numbered
-from foliospark.session import table, written
+from foliospark.session import spread, table, written
 
 #: The weights that sources in code-point order take in turn.
 WEIGHTS = (5, 2, 1)
@@ -166,7 +166,7 @@ def sized_documents(docs: DataFrame) -> DataFrame:
 
 
 def op6_mix_sources(spark, sf_dir: str) -> DataFrame:
-    sized = written(sized_documents(table(spark, sf_dir, "documents")), "mix-sizes")
+    sized = written(sized_documents(spread(table(spark, sf_dir, "documents"))), "mix-sizes")
     out = mix_sources(sized)
     listed = lambda k: F.array_join(F.transform("draws", lambda x: x[k].cast("string")), ",").alias(f"{k}s")
     return out.select("doc_id", "source", "size", "source_size", "target", "taken", "repeats", "block", listed("shard"), listed("position"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from foliospark.llm.graph import connected_components
 from foliospark.llm.textbytes import Texts, freed, mix, shingles, slices
-from foliospark.session import discard, table, written
+from foliospark.session import discard, spread, table, written
 
 COORDINATES = 128
 ROOTS_PER_TREE = 2
@@ -478,4 +478,4 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
 
 
 def op2_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    return near_duplicates(spread(table(spark, sf_dir, "documents")), width=3, percent=85)

@@ -26,7 +26,7 @@ from foliospark.llm.bpe import OTHER_SPACE
 from foliospark.llm.textbytes import IS_SEPARATOR, Texts, freed, slices
 from foliospark.llm.tokenstore import IS_MARK, _is_letter
 from foliospark.llm.units import UnitCache, words_with_space
-from foliospark.session import table, written
+from foliospark.session import spread, table, written
 
 
 class ByteLevelEncoder:
@@ -326,5 +326,5 @@ def sequences(pieces: DataFrame) -> DataFrame:
 def op11_best_fit_packing(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    pieces = packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    pieces = packed(spread(table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

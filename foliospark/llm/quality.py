@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.textbytes import IS_SEPARATOR, Texts, freed, slices, windows
-from foliospark.session import table, written
+from foliospark.session import spread, table, written
 
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -175,5 +175,5 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, alpha: float = 0.1, del
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
-    out = quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    out = quality_verdicts(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.concat_ws(",", "failed").alias("failed"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from foliospark.llm.textbytes import Texts, freed, mix, slices, windows
 from foliospark.llm.units import UnitCache
-from foliospark.session import shared_dir, table
+from foliospark.session import shared_dir, spread, table
 
 DIGEST = 16  # bytes of a chunk's BLAKE2b digest
 LEAST, MEAN_BITS, MOST = 64, 8, 1024  # ids in a chunk: the least, 2**bits between cuts, the most
@@ -365,5 +365,5 @@ def op4_token_store(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     folder = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
-    write_store(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    write_store(spread(table(spark, sf_dir, "documents")), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return read_store(spark, folder)

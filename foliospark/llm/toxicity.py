@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.textbytes import freed
-from foliospark.session import table, written
+from foliospark.session import spread, table, written
 
 WORD = re.compile(r"[^\W\d_]+")
 QUOTED = re.compile(r"“[^“”]+”|«[^«»]+»|„[^„“”]+[“”]|\"[^\"\n]+\"|^[ \t]*>.*$", re.MULTILINE)
@@ -365,7 +365,7 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     scored = toxicity_scores(docs.select("doc_id", "text"), train(docs, table(spark, sf_dir, "labels")))
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
