@@ -40,7 +40,7 @@ PATTERNS = {
     "email": r"(?<![\p{L}\p{N}_.+%-])[\p{L}\p{N}_.+%-]++@(?:[\p{L}\p{N}-]++\.)++\p{L}{2,}+",
     "card": r"(?<![\d.+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{4}(?![\d.-]\d|\d)|\+\d{8,17}(?!\d)",
+    "phone": r"(?<![\w+.-])\+\d{1,3}[ .-](?:\(\d{1,4}\) ?|\d{1,4}[ .-])\d{2,4}(?:[ .-]\d{2,4}){1,3}(?!\d)|(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3,4}[ .-]\d{4}(?![\d.-]\d|\d)|\+\d{8,17}(?!\d)",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)",
     "date": r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])",
 }
