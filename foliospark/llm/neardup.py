@@ -240,16 +240,21 @@ def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
 
 
 def _labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
-    """rows (node, rep) of nodes whose members have several labels, with the `label` of their component, `members` of the node, its most frequent label `crowd`, and `outside`: how many are of others."""
+    """rows (node, rep) of nodes whose members have several labels, with the `label` of their component, `members` of the node, its most frequent label `crowd`, and `outside`: how many are of others; written.
+
+    Nodes of one member, which most children are, go before anything is looked up for them.
+    """
     rows = rows.select("node", "rep")
+    rows = rows.join(rows.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1"), "node")
     if found is None:  # every representative is a component of its own
-        counts = rows.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1")
-        return rows.join(counts, "node").select("node", "rep", F.col("rep").alias("label"), "members", F.lit(-1).cast("long").alias("crowd"), (F.col("members") - 1).alias("outside"))
-    rows = rows.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("label"))
-    each = rows.groupBy("node", "label").agg(F.count("*").alias("n"))
-    crowds = each.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("crowd"))
-    crowds = crowds.select("node", "members", F.col("crowd.label").alias("crowd"), (F.col("members") - F.col("crowd.n")).alias("outside")).filter("outside > 0")
-    return rows.join(crowds, "node")
+        return written(rows.select("node", "rep", F.col("rep").alias("label"), "members", F.lit(-1).cast("long").alias("crowd"), (F.col("members") - 1).alias("outside")), "near-nodes")
+    rows = written(rows.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("label"), "members"), "near-labels")
+    each = rows.groupBy("node", "label").agg(F.count("*").alias("n"), F.max("members").alias("members"))
+    crowds = each.groupBy("node").agg(F.max("members").alias("members"), F.max(F.struct("n", "label")).alias("crowd"))
+    crowds = crowds.select("node", F.col("crowd.label").alias("crowd"), (F.col("members") - F.col("crowd.n")).alias("outside")).filter("outside > 0")
+    out = written(rows.join(crowds, "node").select("node", "rep", "label", "members", "crowd", "outside"), "near-nodes")
+    discard(rows)
+    return out
 
 
 def _kind(limit: int, level: int) -> F.Column:
@@ -334,7 +339,9 @@ def _component_links(asks: DataFrame, found: DataFrame, sigs: DataFrame, sets: D
     dealt = lambda c: F.pmod(F.xxhash64("rep", "target"), F.col(c))
     members = own.join(sizes, "target").select("rep", "n", "sig", "target", F.lit(False).alias("lead"), upto("groups").alias("group"), dealt("blocks").alias("block"))
     leads = asks.join(sizes, "target").select("rep", "n", "sig", "target", F.lit(True).alias("lead"), dealt("groups").alias("group"), upto("blocks").alias("block"))
-    rows = members.unionByName(leads).join(sets.select(F.col("doc_id").alias("rep"), "members"), "rep")
+    both = members.unionByName(leads)
+    sets = _likely(sets, both.select(F.col("rep").alias("doc_id")))
+    rows = both.join(sets.select(F.col("doc_id").alias("rep"), "members"), "rep")
     rows = rows.repartition("target", "group", "block").sortWithinPartitions("target", "group", "block", F.desc("lead"), "rep")
     with arrow_rows(asks.sparkSession, 500):
         return written(rows.mapInArrow(freed(run), "a long, b long").distinct(), "near-links")
@@ -351,7 +358,7 @@ def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int
     spread = math.sqrt(COORDINATES * percent * (100 - percent)) / 100
     least = max(1, math.floor(COORDINATES * percent / 100 - 4 * spread))
     sigs = reps.select("rep", "n", "sig")
-    now = written(_labelled(reps.select("rep", F.explode(F.array_distinct("nodes")).alias("node")), None), "near-nodes")
+    now = _labelled(reps.select("rep", F.explode(F.array_distinct("nodes")).alias("node")), None)
     found, links, level, sets, tried, met = None, None, 0, None, None, None
     while True:
         told = written(_nominated(_dealt(now, limit, level).join(sigs, "rep"), percent, limit, least), "near-pairs")
@@ -362,7 +369,7 @@ def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int
             ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(many.select(F.col("rep").alias("doc_id")))
             with arrow_rows(docs.sparkSession, 500):
                 sets = written(_sets(_likely(docs.select("doc_id", "text"), ids), width), "near-sets")
-            new = confirmed_links(sets, pairs, percent)
+            new = confirmed_links(_likely(sets, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), pairs, percent)
         else:
             asks = told.filter("ask").select(F.col("a").alias("rep"), F.col("b").alias("target"))
             asks = written(asks if met is None else asks.join(met, ["rep", "target"], "left_anti"), "near-asks")
@@ -381,15 +388,16 @@ def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int
         if many.isEmpty():
             break
         # few outsiders meet all of their node next, others branch on
-        open_ = written(_labelled(many, found), "near-open")
+        open_ = _labelled(many, found)
         n = open_.count()
         if not n:
             break
         step, children = steps(percent)[min(level, len(CHILDREN_OF_LEVEL) - 1)]
         crowded = F.col("outside") <= 2 * limit
         below = written(_branch(open_.filter(~crowded).join(sigs, "rep"), step, children), "near-children", n * children)
-        rows = written(_labelled(below, found).unionByName(open_.filter(crowded).select(now.columns)), "near-nodes", n * children)
-        discard(now, open_, below)
+        inner = _labelled(below, found)
+        rows = written(inner.unionByName(open_.filter(crowded).select(now.columns)), "near-nodes")
+        discard(now, open_, below, inner)
         now, level = rows, level + 1
     return found if links is None else _joined(found, links)
 
@@ -439,20 +447,38 @@ def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return x.select(rows.columns)
 
 
+NEIGHBOURS = 64  # pairs of one document that are compared in one place, about
+
+
 def confirmed_links(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets (doc_id, members) have 100 * intersection >= percent * union."""
+    """The pairs (a, b) whose full sets (doc_id, members) have 100 * intersection >= percent * union.
+
+    Of a pair the document with more pairs is its hub. A hub's pairs are dealt over places, and its set goes once to each: one document that very many
+    others are compared with is neither copied for each of them nor one task's.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, hub = None, None
         for batch in batches:
             good = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                good.append(_linked(_members(x.as_buffer()), _members(y.as_buffer()), percent))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    side = lambda k, name: sets.select(F.col("doc_id").alias(k), F.col("members").alias(name))
-    joined = pairs.select("a", "b").join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
+            for h, p, rep, raw in zip(*(batch.column(c).to_pylist() for c in ("hub", "place", "rep")), batch.column("members"), strict=True):
+                if rep == h:  # first of its place
+                    at, hub = (h, p), _members(raw.as_buffer()).copy()
+                elif at == (h, p) and _linked(hub, _members(raw.as_buffer()), percent):
+                    good.append((min(h, rep), max(h, rep)))
+            if good:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in good], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    pairs = pairs.select("a", "b").distinct()
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count("*").alias("n"))
+    d = pairs.join(degree.select(F.col("x").alias("a"), F.col("n").alias("na")), "a").join(degree.select(F.col("x").alias("b"), F.col("n").alias("nb")), "b")
+    larger = F.col("na") >= F.col("nb")
+    d = d.select(F.when(larger, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("rep"), F.greatest("na", "nb").alias("n"))
+    others = d.select("hub", F.pmod(F.xxhash64("rep", "hub"), F.ceil(F.col("n") / NEIGHBOURS)).alias("place"), "rep")
+    rows = others.unionByName(others.select("hub", "place", F.col("hub").alias("rep")).distinct()).join(sets.select(F.col("doc_id").alias("rep"), "members"), "rep")
+    dealt = rows.select("hub", "place", "rep", "members").repartition("hub", "place").sortWithinPartitions("hub", "place", F.col("rep") != F.col("hub"), "rep")
     with arrow_rows(pairs.sparkSession, 100):
-        return written(joined.mapInArrow(freed(run), "a long, b long").distinct(), "near-links")
+        return written(dealt.mapInArrow(freed(run), "a long, b long").distinct(), "near-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int | None = None, limit: int = 16) -> DataFrame:
