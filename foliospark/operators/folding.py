@@ -151,8 +151,10 @@ def fold(log: DataFrame, protect_from: int) -> Folded:
     lives = written(quote_lives(patches), "fold-quotes")
     tries = written(histories(attempts(patches, cascades(patches, lives)), protect_from), "fold-fields")
     opened = patches.filter("op = 'admit'").groupBy("case_id").agg(
-        F.max("seq").alias("opened"), F.first("first_cycle").alias("cycle"), F.first("admit_seq").alias("admit_seq"), F.max_by(F.get_json_object("new", "$.relevant"), "seq").alias("relevant"), F.max_by("new", "seq").alias("body")
+        F.max("seq").alias("opened"), F.first("first_cycle").alias("cycle"), F.first("admit_seq").alias("admit_seq"), F.max_by("new", "seq").alias("body")
     )
+    # whether a record is in the file is settled by its last admission, after what a person has said has been put back into the admitted body
+    settled = tries.filter("field = 'relevant' and applied").join(opened.select("case_id", "opened"), "case_id").filter("seq <= opened").groupBy("case_id").agg(F.max(F.struct("seq", "value"))["value"].alias("relevant"))
     last = F.max(F.when(F.col("applied"), F.struct("seq", "value")))
     ends = tries.groupBy("case_id", "field").agg(
         last.alias("last"),
@@ -174,7 +176,7 @@ def fold(log: DataFrame, protect_from: int) -> Folded:
     emptied = emptied.groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("seq", "field"))).alias("n"))
     raised = conflicts.filter("not historical").join(opened.select("case_id", "opened"), "case_id").filter("seq >= opened").groupBy("case_id").agg(F.array_sort(F.collect_set(F.concat(F.lit(FLAG), "field"))).alias("raised"))
     more = patches.filter("op = 'append' and field = 'review.flags'").join(opened.select("case_id", "opened"), "case_id").filter("seq > opened").groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("seq", "new"))).alias("m"))
-    d = opened.join(by_case, "case_id", "left").join(quotes, "case_id", "left").join(emptied, "case_id", "left").join(raised, "case_id", "left").join(more, "case_id", "left")
+    d = opened.join(settled, "case_id", "left").join(by_case, "case_id", "left").join(quotes, "case_id", "left").join(emptied, "case_id", "left").join(raised, "case_id", "left").join(more, "case_id", "left")
     texts = lambda c: F.coalesce(c, F.array().cast("array<string>"))
     flags = F.array_distinct(F.concat(texts(F.from_json("flags", "array<string>")), texts(F.transform("m", lambda x: F.get_json_object(F.concat(F.lit('{"t":'), x["new"], F.lit("}")), "$.t"))), texts(F.col("raised"))))
     records = d.select(

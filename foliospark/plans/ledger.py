@@ -11,14 +11,16 @@ from foliospark.operators import review as RV
 from foliospark.plans.base import CASES, cases, norm_sql
 from foliospark.session import table
 
-FIELD = "CASE k % 3 WHEN 0 THEN 'polarity' WHEN 1 THEN 'characterization' ELSE 'restriction_nature' END"
+FIELD = "CASE WHEN k % 11 = 7 THEN 'relevant' ELSE CASE k % 3 WHEN 0 THEN 'polarity' WHEN 1 THEN 'characterization' ELSE 'restriction_nature' END END"
+YES = "CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END"
 
 
 def _log(s, d):
     e = table(s, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     value = F.concat(F.lit('"v'), F.col("k") % 4, F.lit('"'))
     quote = F.concat(F.lit('{"text": "q'), F.col("k") % 5, F.lit('", "supports": ["polarity"]}'))
-    body = F.concat(F.lit('{"relevant": true, "polarity": '), value, F.lit(', "quotes": [{"text": "q1", "supports": "polarity"}]}'))
+    said = F.expr(f"CASE WHEN {FIELD} = 'relevant' THEN {YES} END")
+    body = F.concat(F.lit('{"relevant": '), F.expr(YES), F.lit(', "polarity": '), value, F.lit(', "quotes": [{"text": "q1", "supports": "polarity"}]}'))
     op = F.when(F.col("event_type") == "signup", "admit").when(F.col("event_type") == "purchase", "append").when(F.col("event_type") == "error", "drop_quote").otherwise("set")
     return e.select(
         (F.col("event_id") + 1).alias("seq"),
@@ -26,7 +28,7 @@ def _log(s, d):
         F.lit("c1").alias("cycle"),
         op.alias("op"),
         F.when(op == "append", "quotes").when(op == "set", F.expr(FIELD)).alias("field"),
-        F.when(op == "admit", body).when(op == "append", quote).when(op == "drop_quote", F.concat(F.lit('"q'), F.col("k") % 5, F.lit('"'))).otherwise(value).alias("new"),
+        F.when(op == "admit", body).when(op == "append", quote).when(op == "drop_quote", F.concat(F.lit('"q'), F.col("k") % 5, F.lit('"'))).otherwise(F.coalesce(said, value)).alias("new"),
         F.when(F.col("event_id") % 7 == 0, "ann").alias("reviewer"),
         F.when(F.col("event_id") % 7 != 0, "m").alias("model"),
         F.lit("mapper-v3").alias("prompt_version"),
@@ -36,7 +38,7 @@ def _log(s, d):
 
 
 LOG = f"""lg AS (SELECT event_id + 1 AS seq, user_id AS case_id, event_id, event_type, k, CASE WHEN event_id % 7 = 0 THEN 'ann' END AS reviewer,
-  CASE event_type WHEN 'signup' THEN 'admit' WHEN 'purchase' THEN 'append' WHEN 'error' THEN 'drop_quote' ELSE 'set' END AS op, {FIELD} AS f, '"v' || k % 4 || '"' AS v
+  CASE event_type WHEN 'signup' THEN 'admit' WHEN 'purchase' THEN 'append' WHEN 'error' THEN 'drop_quote' ELSE 'set' END AS op, {FIELD} AS f, {YES} AS yes, CASE WHEN event_type NOT IN ('signup', 'purchase', 'error') AND {FIELD} = 'relevant' THEN {YES} ELSE '"v' || k % 4 || '"' END AS v
   FROM (SELECT *, (props::JSON ->> '$.k')::INT AS k FROM events))"""
 
 
@@ -57,7 +59,7 @@ FOLD_SQL = f"""{LOG}, cs AS (SELECT case_id, min(seq) AS admit_seq, max(seq) AS
 quote AS (SELECT case_id, seq AS added, 'q1' AS t, '{{"supports":"polarity","text":"q1"}}' AS q FROM p WHERE op = 'admit' UNION ALL SELECT case_id, seq, 'q' || k % 5, '{{"text": "q' || k % 5 || '", "supports": ["polarity"]}}' FROM p WHERE op = 'append'),
 lives AS (SELECT x.*, (SELECT min(seq) FROM p WHERE p.case_id = x.case_id AND seq > added AND (op = 'admit' OR (op = 'drop_quote' AND 'q' || k % 5 = t))) AS removed FROM quote x),
 casc AS (SELECT p.case_id, f.field, p.seq FROM p, (VALUES {SIX}) f(field) WHERE op = 'drop_quote' AND NOT (f.field = 'polarity' AND EXISTS (SELECT 1 FROM lives l WHERE l.case_id = p.case_id AND added <= p.seq AND (removed IS NULL OR removed > p.seq)))),
-tries AS (SELECT case_id, f AS field, seq, 'write' AS how, v AS value, reviewer IS NOT NULL AS human FROM p WHERE op = 'set' UNION ALL SELECT case_id, 'polarity', seq, 'write', v, reviewer IS NOT NULL FROM p WHERE op = 'admit'
+tries AS (SELECT case_id, f AS field, seq, 'write' AS how, v AS value, reviewer IS NOT NULL AS human FROM p WHERE op = 'set' UNION ALL SELECT case_id, 'polarity', seq, 'write', v, reviewer IS NOT NULL FROM p WHERE op = 'admit' UNION ALL SELECT case_id, 'relevant', seq, 'write', yes, reviewer IS NOT NULL FROM p WHERE op = 'admit'
   UNION ALL SELECT case_id, g.field, seq, 'replace', NULL, reviewer IS NOT NULL FROM p JOIN cs USING (case_id), (VALUES ('characterization'), ('restriction_nature')) g(field) WHERE op = 'admit' AND seq > admit_seq UNION ALL SELECT case_id, field, seq, 'cascade', NULL, false FROM casc),
 d1 AS (SELECT *, coalesce(bool_or(human AND how = 'write') OVER (PARTITION BY case_id, field ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS decided FROM tries),
 d2 AS (SELECT *, how = 'cascade' OR human OR NOT decided OR seq <= {PROTECT} AS applied FROM d1),
@@ -118,7 +120,7 @@ QUERIES = {
     "j4_fold": (
         lambda s, d: _folded(s, d).records.select("case_id", "cycle", "admit_seq", "in_file", *(F.try_element_at("fields", F.lit(f)).alias(f) for f in ("polarity", "characterization", "restriction_nature")), F.array_join("quotes", "|").alias("quotes"), F.array_join("nulled_fields", ",").alias("nulled"), F.array_join("flags", ",").alias("flags"), F.try_element_at("provenance", F.lit("polarity")).alias("polarity_by")),
         f"""WITH {FOLD_SQL}
-        SELECT c.case_id, 'c1' AS cycle, c.admit_seq, true AS in_file, max(value) FILTER (WHERE field = 'polarity') AS polarity, max(value) FILTER (WHERE field = 'characterization') AS characterization, max(value) FILTER (WHERE field = 'restriction_nature') AS restriction_nature,
+        SELECT c.case_id, 'c1' AS cycle, c.admit_seq, coalesce((SELECT arg_max(value, seq) FROM d2 WHERE d2.case_id = c.case_id AND field = 'relevant' AND applied AND seq <= c.opened), '') = 'true' AS in_file, max(value) FILTER (WHERE field = 'polarity') AS polarity, max(value) FILTER (WHERE field = 'characterization') AS characterization, max(value) FILTER (WHERE field = 'restriction_nature') AS restriction_nature,
           coalesce((SELECT string_agg(q, '|' ORDER BY added) FROM lives l WHERE l.case_id = c.case_id AND removed IS NULL), '') AS quotes,
           coalesce((SELECT string_agg(field, ',' ORDER BY seq, field) FROM hist2 h WHERE h.case_id = c.case_id AND how = 'cascade' AND standing IS NOT NULL AND seq > c.opened), '') AS nulled,
           coalesce((SELECT string_agg(DISTINCT 'needs-review:' || field, ',' ORDER BY 'needs-review:' || field) FROM conf f WHERE f.case_id = c.case_id AND seq > {PROTECT} AND seq >= c.opened), '') AS flags,
@@ -126,7 +128,7 @@ QUERIES = {
         FROM cs c LEFT JOIN ends e USING (case_id) GROUP BY c.case_id, c.admit_seq, c.opened""",
     ),
     "j7_provenance": (
-        lambda s, d: _folded(s, d).records.select("case_id", F.explode("provenance").alias("field", "who")).filter("field <> 'relevant'"),
+        lambda s, d: _folded(s, d).records.select("case_id", F.explode("provenance").alias("field", "who")),
         f"WITH {FOLD_SQL} SELECT case_id, field, CASE WHEN by_human THEN 'human' ELSE 'reader' END AS who FROM ends WHERE written",
     ),
     "j9_cascades": (
@@ -139,7 +141,7 @@ QUERIES = {
         lambda s, d: L.protection_applies(_log(s, d)),
         f"WITH {LOG} SELECT DISTINCT x.case_id, x.f AS field FROM lg x WHERE op = 'set' AND reviewer IS NULL AND EXISTS (SELECT 1 FROM lg y WHERE y.op = 'set' AND y.case_id = x.case_id AND y.f = x.f AND y.seq < x.seq AND y.reviewer IS NOT NULL)",
     ),
-    "j10_conflicts": (lambda s, d: L.conflict_rows(_folded(s, d).conflicts).filter("field <> 'relevant'").drop("historical"), f"WITH {FOLD_SQL} SELECT case_id, field, value AS attempted, standing, seq FROM conf WHERE seq > {PROTECT}"),
+    "j10_conflicts": (lambda s, d: L.conflict_rows(_folded(s, d).conflicts).drop("historical"), f"WITH {FOLD_SQL} SELECT case_id, field, value AS attempted, standing, seq FROM conf WHERE seq > {PROTECT}"),
     "j4_errors": (lambda s, d: _folded(s, d).errors.groupBy("error").agg(F.count("*").alias("n")), f"WITH {LOG}, o AS (SELECT case_id, min(seq) FILTER (WHERE op = 'admit') AS a FROM lg GROUP BY 1) SELECT 'unknown case' AS error, count(*) AS n FROM lg JOIN o USING (case_id) WHERE a IS NULL OR seq < a HAVING count(*) > 0"),
     "j11_reviewed_ids": (lambda s, d: L.reviewed_ids(_log(s, d)), f"WITH {LOG} SELECT DISTINCT case_id FROM lg WHERE op = 'set' AND reviewer IS NOT NULL"),
     "j15_tally": (

@@ -70,6 +70,16 @@ def test_fold_of_a_second_admission(spark):
     assert [c[1] for c in conflicts] == ["polarity"] and [e[1] for e in errors] == [4]
 
 
+def test_in_file_follows_what_a_person_said_before_a_second_admission(spark):
+    body = {"relevant": True, "polarity": "x"}
+    log = [patch(1, "admit", new=body), patch(2, "set", "relevant", False, reviewer="ann"), patch(3, "admit", new=body)]
+    for end, want in ((2, True), (3, False)):  # a later set doesn't move the file, a later admission does
+        records, *_ = folded(spark, *log[:end])
+        assert records[1].in_file is want and records[1].fields["relevant"] == "false"
+    assert folded(spark, *log, protect_from=10)[0][1].in_file is True
+    assert folded(spark, log[0], log[1], patch(3, "admit", new={"polarity": "x"}))[0][1].in_file is False
+
+
 def test_fold_of_nothing(spark):
     assert folded(spark, patch(1, "admit", new={}, case=7))[0][7].fields == {}
     empty = folding.fold(spark.createDataFrame([], LOG), 0)
