@@ -22,7 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no terms and stay, as do rows without a doc_id; repeated rows share their text's score. An empty table, and one without labels, gives all its rows.
     """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.toxicity_scores(docs, model).filter(F.col("score") < TOXIC_FROM).select(docs.columns)
+    whole = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))  # a column of the caller's named score stays what it is
+    return toxicity.toxicity_scores(whole, model).filter(F.col("score") < TOXIC_FROM).select("__row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,19 +38,28 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs with pseudonyms for personal data; n_chars follows the text. Null and empty texts stay as they are. The key is pii.pseudonym_key's."""
-    return pii.pseudonymise(docs, key=pii.pseudonym_key(spark)).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    rest = [c for c in docs.columns if c != "text"]
+    whole = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in rest)).alias("__row"))  # a column of the caller's named private stays what it is
+    own = {"text": F.col("text"), "n_chars": F.length("text").cast("long").alias("n_chars")}
+    return pii.pseudonymise(whole, key=pii.pseudonym_key(spark)).select(*(own.get(c, F.col(f"__row.`{c}`")) for c in docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix of sources takes it, in the order of shards and of positions in them.
 
-    Rows with a null doc_id are told apart by a hash of source and text; rows that repeat a document are one document here.
+    Rows with a null doc_id are told apart by a hash of source and text; rows that repeat a doc_id are one document here, the one whose columns
+    have the smallest hash, so reruns choose alike.
     """
-    keyed = docs.withColumn("__id", F.coalesce("doc_id", F.xxhash64(F.lit("no id"), "source", "text")))
-    sized = written(mixing.sized_documents(keyed.dropDuplicates(["__id"]).withColumn("doc_id", F.col("__id"))), "mix-sizes")
-    draws = mixing.mix_sources(sized).select(F.col("doc_id").alias("__id"), F.explode("draws").alias("__draw")).select("__id", "__draw.shard", "__draw.position")
-    rows = keyed.dropDuplicates(["__id"]).join(draws, "__id")
-    return rows.repartitionByRange("shard", "position").sortWithinPartitions("shard", "position").select(docs.columns)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row")
+    keyed = docs.select(F.coalesce("doc_id", F.xxhash64(F.lit("no id"), "source", "text")).alias("__id"), F.col("source").alias("__source"), F.col("text").alias("__text"), whole)
+    several = written(keyed.groupBy("__id").agg(F.count("*").alias("__n")).filter("__n > 1").select("__id"), "mix-repeated")
+    if not several.isEmpty():
+        first = keyed.join(several, "__id").withColumn("__hash", F.xxhash64(F.to_json("__row"))).groupBy("__id").agg(F.min_by(F.struct("__source", "__text", "__row"), F.struct("__hash", F.to_json("__row"))).alias("__first"))
+        keyed = keyed.join(several, "__id", "left_anti").unionByName(first.select("__id", "__first.*"))
+    sized = written(mixing.sized_documents(keyed.select(F.col("__id").alias("doc_id"), F.col("__source").alias("source"), F.col("__text").alias("text"))), "mix-sizes")
+    draws = mixing.mix_sources(sized).select(F.col("doc_id").alias("__id"), F.explode("draws").alias("__draw")).select("__id", F.col("__draw.shard").alias("__shard"), F.col("__draw.position").alias("__position"))
+    rows = keyed.select("__id", "__row").join(draws, "__id")
+    return rows.repartitionByRange("__shard", "__position").sortWithinPartitions("__shard", "__position").select("__row.*")
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
