@@ -139,3 +139,16 @@ def test_pipeline_against_a_plain_version(spark, small):
         ids = enc.encode_ordinary(texts[i] or "")
         want += [(i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((texts[i] or "").encode()).hexdigest())] * n
     assert out == sorted(want)
+
+
+def test_stages_keep_clashing_columns_and_choose_repeated_ids_alike(spark, small):
+    cp = pytest.importorskip("corpus_pipeline")
+    rows = [(i, f"plain text number {i} of some words " * (1 + i % 3), "en", f"s{i % 3}", 9, 7.0, "p", 5, 6, "r") for i in range(20)]
+    rows += [(3, "another text under the same id", "en", "s0", 9, 8.0, "p", 5, 6, "r"), (3, "a third one under it", None, None, None, None, None, None, None, None), (40, "long " * 200_000, "en", "s1", 9, 7.0, "p", 5, 6, "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, private string, __id long, __draw long, shard string")
+    out = cp.drop_toxic(spark, docs, small)
+    assert out.columns == docs.columns and sorted(map(repr, out.collect())) == sorted(map(repr, docs.collect()))
+    assert cp.drop_near_duplicates(spark, docs, small).columns == docs.columns
+    assert {r.private for r in cp.pseudonymise(spark, docs, small).collect()} == {"p", None}
+    mixes = [sorted(map(repr, cp.mix(spark, docs.repartition(n), small).collect())) for n in (1, 3, 4)]
+    assert mixes[0] == mixes[1] == mixes[2] and len({m for m in mixes[0] if "doc_id=3," in m}) <= 1 and cp.mix(spark, docs, small).columns == docs.columns
