@@ -219,7 +219,7 @@ def _nominated(rows: DataFrame, percent: int, limit: int, least: int) -> DataFra
 
 
 def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
-    """(node, rep) of the children of rows (node, rep, sig): a child is chosen by the tokens at `step` coordinates that the node selects."""
+    """(node, rep, label) of the children of rows (node, rep, label, sig): a child is chosen by the tokens at `step` coordinates that the node selects. Members keep the labels that they have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,21 +234,23 @@ def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
                         at = mix(at + _ADDENDS[1])
                         coordinate = (at % np.uint64(COORDINATES)).astype(np.int64)
                         node = mix(node * _MULTIPLIERS[3] + sig[each, coordinate].astype(np.uint64))
-                    yield pa.RecordBatch.from_arrays([pa.array(node.astype(np.int64)), batch.column("rep")], ["node", "rep"])
+                    yield pa.RecordBatch.from_arrays([pa.array(node.astype(np.int64)), batch.column("rep"), batch.column("label")], ["node", "rep", "label"])
 
-    return rows.select("node", "rep", "sig").mapInArrow(run, "node long, rep long")
+    return rows.select("node", "rep", "label", "sig").mapInArrow(run, "node long, rep long, label long")
 
 
 def _labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
     """rows (node, rep) of nodes whose members have several labels, with the `label` of their component, `members` of the node, its most frequent label `crowd`, and `outside`: how many are of others; written.
 
-    Nodes of one member, which most children are, go before anything is looked up for them.
+    Nodes of one member, which most children are, go first. rows may have labels already (children have their parents', under the same components); else found gives them.
     """
-    rows = rows.select("node", "rep")
+    rows = rows.select("node", "rep", *(["label"] if found is None and "label" in rows.columns else []))
     rows = rows.join(rows.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1"), "node")
-    if found is None:  # every representative is a component of its own
+    if found is None and "label" not in rows.columns:  # every representative is a component of its own
         return written(rows.select("node", "rep", F.col("rep").alias("label"), "members", F.lit(-1).cast("long").alias("crowd"), (F.col("members") - 1).alias("outside")), "near-nodes")
-    rows = written(rows.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("label"), "members"), "near-labels")
+    if found is not None:
+        rows = rows.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("label", F.coalesce("component", "rep"))
+    rows = written(rows.select("node", "rep", "label", "members"), "near-labels")
     each = rows.groupBy("node", "label").agg(F.count("*").alias("n"), F.max("members").alias("members"))
     crowds = each.groupBy("node").agg(F.max("members").alias("members"), F.max(F.struct("n", "label")).alias("crowd"))
     crowds = crowds.select("node", F.col("crowd.label").alias("crowd"), (F.col("members") - F.col("crowd.n")).alias("outside")).filter("outside > 0")
@@ -307,7 +309,7 @@ class _Leads:
         return self.reps[done].tolist()
 
 
-def _component_links(asks: DataFrame, found: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
+def _component_links(asks: DataFrame, found: DataFrame, here: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
     """(a, b): for each outsider `rep` and component `target` of asks, a link to each block of the component that has one, found on the full sets.
 
     The outsiders of a component, in groups, come before the members of each of its blocks; an outsider that has found its link needs no other there.
@@ -330,9 +332,10 @@ def _component_links(asks: DataFrame, found: DataFrame, sigs: DataFrame, sets: D
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    asks = asks.join(sigs, "rep")
+    asks = asks.join(here, "rep")
     asked = asks.groupBy("target").agg(F.sum("n").alias("asked"))
-    own = found.select(F.col("id").alias("rep"), F.col("component").alias("target")).join(asked.select("target"), "target", "left_semi").unionByName(asked.select(F.col("target").alias("rep"), "target")).join(sigs, "rep")
+    own = found.select(F.col("id").alias("rep"), F.col("component").alias("target")).join(asked.select("target"), "target", "left_semi").unionByName(asked.select(F.col("target").alias("rep"), "target"))
+    own = own.join(_likely(sigs, own.select("rep"), "rep"), "rep")
     sizes = own.groupBy("target").agg(F.sum("n").alias("size")).join(asked, "target")
     sizes = sizes.select("target", F.ceil(F.col("asked") / LEADS).alias("groups"), F.ceil(F.col("size") / MET).alias("blocks"))
     upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
@@ -361,7 +364,8 @@ def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int
     now = _labelled(reps.select("rep", F.explode(F.array_distinct("nodes")).alias("node")), None)
     found, links, level, sets, tried, met = None, None, 0, None, None, None
     while True:
-        told = written(_nominated(_dealt(now, limit, level).join(sigs, "rep"), percent, limit, least), "near-pairs")
+        here = sigs if level == 0 else written(_likely(sigs, now.select("rep"), "rep"), "near-signatures")  # of the documents that this level still looks at
+        told = written(_nominated(_dealt(now, limit, level).join(here, "rep"), percent, limit, least), "near-pairs")
         pairs = told.filter("not ask").select("a", "b")
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")  # a pair that failed stays out: its two sets won't change
         many = now.filter(_kind(limit, level) == MANY)
@@ -375,7 +379,7 @@ def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int
             asks = written(asks if met is None else asks.join(met, ["rep", "target"], "left_anti"), "near-asks")
             new = confirmed_links(_likely(sets, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), pairs, percent)
             if not asks.isEmpty():
-                new = new.unionByName(_component_links(asks, found, sigs, sets, percent, least))
+                new = new.unionByName(_component_links(asks, found, here, sigs, sets, percent, least))
                 met = asks if met is None else met.unionByName(asks)
         tried = told.filter("not ask").select("a", "b") if tried is None else tried.unionByName(told.filter("not ask").select("a", "b"))
         if found is None:
@@ -394,8 +398,8 @@ def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int
             break
         step, children = steps(percent)[min(level, len(CHILDREN_OF_LEVEL) - 1)]
         crowded = F.col("outside") <= 2 * limit
-        below = written(_branch(open_.filter(~crowded).join(sigs, "rep"), step, children), "near-children", n * children)
-        inner = _labelled(below, found)
+        below = written(_branch(open_.filter(~crowded).join(here, "rep"), step, children), "near-children", n * children)
+        inner = _labelled(below, None)
         rows = written(inner.unionByName(open_.filter(crowded).select(now.columns)), "near-nodes")
         discard(now, open_, below, inner)
         now, level = rows, level + 1
@@ -436,11 +440,11 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 FILTER_BITS = 26  # of the filter that keeps rows nobody asks for from being shuffled or written: 8 MB whatever the table
 
 
-def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose doc_id is in ids, and a few others: a bitmap of hashed ids, of fixed size, goes to all tasks and holds back most."""
+def _likely(rows: DataFrame, ids: DataFrame, by: str = "doc_id") -> DataFrame:
+    """The rows whose `by` is in ids (of the same column), and a few others: a bitmap of hashed ids, of fixed size, goes to all tasks and holds back most."""
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
-    bitmap = ids.select(place("doc_id").alias("x")).groupBy(F.bitmap_bucket_number("x").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits"))
-    x = rows.withColumn("x", place("doc_id"))
+    bitmap = ids.select(place(by).alias("x")).groupBy(F.bitmap_bucket_number("x").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits"))
+    x = rows.withColumn("x", place(by))
     x = x.withColumn("bucket", F.bitmap_bucket_number("x")).join(F.broadcast(bitmap), "bucket").withColumn("at", F.bitmap_bit_position("x"))
     byte = F.conv(F.hex(F.substr("bits", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     x = x.filter(F.expr("1") == F.floor(byte / F.pow(F.lit(2), F.col("at") % 8)) % 2)
