@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
@@ -50,7 +50,12 @@ def scored_pairs(members: DataFrame) -> DataFrame:
     array of them is shuffled and no group is gathered in one task.
     """
     words = members.select("case_id", "winner", T.plain_words(F.col("norm_text")).alias("w"))
-    runs = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.struct(F.lit(n).alias("width"), F.xxhash64(F.slice("w", i, n)).alias("h"))))
+
+    def runs(n: int) -> Column:
+        """Hashes of every n words in a row, straight from the words' places, without an array for each."""
+        words = lambda i: F.xxhash64(*(F.get("w", i + k) for k in range(n)))
+        return F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.struct(F.lit(n).alias("width"), words(i).alias("h"))))
+
     empty = F.array().cast("array<struct<width:int,h:bigint>>")
     rows = words.select("case_id", "winner", F.explode(F.concat(F.coalesce(runs(3), empty), F.coalesce(runs(5), empty))).alias("s")).select("case_id", "winner", "s.width", "s.h").distinct()
     won = rows.filter("case_id = winner").select("winner", "width", "h", F.lit(1).alias("hit"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,48 @@ def quantised(v: Column) -> Column:
     return let(unit, whole)
 
 
+def packed_codes(q: Column) -> Column:
+    """Whole numbers of -128 to 127 as one byte each: how quantised vectors are stored."""
+    return F.unhex(F.array_join(F.transform(q, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(255))), 2, "0")), ""))
+
+
+def _byte_rows(column: pa.Array, dim: int) -> np.ndarray:
+    """A binary column of dim bytes a row as a matrix, without a copy."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.int8)[offsets[0] : offsets[-1]].reshape(len(column), dim)
+
+
+def scored_codes(vectors: DataFrame, queries: dict[str, list[float]], whole: bool = False) -> DataFrame:
+    """vectors (id columns, `code`: one byte a number, `scale`) with a column sim_<name> for each query: (code . query) * scale, all queries in one pass.
+
+    Codes go from Arrow's buffer into matrices, in blocks of rows, and never become Python lists. whole: queries are quantised, too, and products are
+    whole numbers of 32 bits, times both scales. A null code, or one of another length, gives null.
+    """
+    names = sorted(queries)
+    q = np.array([queries[k] for k in names], float)
+    dim = q.shape[1]
+    q_scale = np.ones(len(names))
+    if whole:
+        q_scale = np.where(np.abs(q).max(axis=1) > 0, np.abs(q).max(axis=1) / 127, 1.0)
+        q = np.rint(q / q_scale[:, None]).astype(np.int32)  # dim * 127 * 127 fits 32 bits up to 133,000 numbers
+
+    def run(batches):
+        for batch in batches:
+            code, scale = batch.column("code"), batch.column("scale").to_numpy(zero_copy_only=False)
+            good = np.flatnonzero(pc.fill_null(pc.equal(pc.binary_length(code), dim), False).to_numpy(zero_copy_only=False))
+            sims = np.full((len(code), len(names)), np.nan)
+            for k in range(0, len(good), 4096):
+                at = good[k : k + 4096]
+                m = _byte_rows(code.take(pa.array(at)), dim)
+                products = m.astype(np.int32) @ q.T if whole else m.astype(float) @ q.T
+                sims[at] = products * scale[at, None] * q_scale
+            kept = [c for c in batch.schema.names if c not in ("code", "scale")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(sims[:, i], mask=np.isnan(sims[:, i])) for i in range(len(names)))], [*kept, *(f"sim_{k}" for k in names)])
+
+    keep = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in vectors.schema.fields if f.name not in ("code", "scale"))
+    return vectors.mapInArrow(run, keep + ", ".join(f"sim_{k} double" for k in names))
+
+
 def scored(vectors: DataFrame, queries: dict[str, list[float]]) -> DataFrame:
     """vectors (id columns and `v` array<double>) with a column sim_<name> for each query: all queries in one pass of matrix products over Arrow batches."""
     names = sorted(queries)
@@ -86,10 +130,20 @@ def one_run(chunk_rows: DataFrame) -> DataFrame:
     return chunk_rows.join(F.broadcast(n), F.lit(True)).withColumn("run", F.when(F.col("__n") <= 1, F.col("run")).otherwise(bad)).drop("__n")
 
 
-def to_embed(cases: DataFrame, chunk_rows: DataFrame, run: str) -> DataFrame:
-    """Canonical cases with a text and without chunks of this run."""
+def to_embed(cases: DataFrame, chunk_rows: DataFrame, run: str, cells: list[tuple[str, str]] | None = None, quota: int | None = None, limit: int | None = None) -> DataFrame:
+    """Canonical cases with a text and without chunks of this run, by lowest id.
+
+    cells: (era, jurisdiction) pairs that are embedded at all; quota: cases of one cell at most; limit: cases in all.
+    """
     done = chunk_rows.filter(F.col("run") == run).select("case_id").distinct()
-    return cases.filter("is_duplicate_of is null and norm_text <> ''").join(done, "case_id", "left_anti")
+    d = cases.filter("is_duplicate_of is null and norm_text <> ''")
+    if cells is not None:
+        d = d.filter(F.struct("era", "jurisdiction").isin([F.struct(F.lit(e), F.lit(j)) for e, j in cells]) if cells else F.lit(False))
+    d = d.join(done, "case_id", "left_anti")
+    if quota is not None:
+        place = F.row_number().over(Window.partitionBy("era", "jurisdiction").orderBy("case_id"))  # tasks keep a cell's first rows before the shuffle
+        d = d.withColumn("__place", place).filter(F.col("__place") <= quota).drop("__place")
+    return d.orderBy("case_id").limit(limit) if limit else d
 
 
 def consistency(a: DataFrame, b: DataFrame, bar: float) -> DataFrame:

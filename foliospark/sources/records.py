@@ -31,6 +31,20 @@ def pool_batches(spark: SparkSession, path: str) -> DataFrame:
     return d.filter(~F.col("batch_id").contains("retry"))
 
 
+def batch_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(batches with `file` and `kind`, broken files with their `file`) of all JSON files under path, however many and small: Spark packs them into tasks by size.
+
+    A file is told by the part of its path that names a batch: batch-*.json is of the pool, one with "retry" in its name a retry, any other kind isn't read. A
+    file that isn't JSON, or has no batch_id or cases, is broken and stops nothing.
+    """
+    named = r"(batch-[^/]*\.json)"
+    read = spark.read.schema(BATCH + ", _bad string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").option("recursiveFileLookup", True)
+    d = read.json(path).withColumn("file", F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), named, 1)).filter("file <> ''")
+    d = written(d.withColumn("kind", F.when(F.contains("file", F.lit("retry")), "retry").otherwise("pool")), "batch-files")
+    bad = F.col("_bad").isNotNull() | F.col("batch_id").isNull() | F.col("cases").isNull()
+    return d.filter(~bad).drop("_bad"), d.filter(bad).select("file").distinct()
+
+
 def write_csv(rows: DataFrame, columns: list[str], path: str) -> None:
     """The columns in their order, with a header; nulls are empty."""
     rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns)).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
