@@ -13,7 +13,7 @@ from foliospark.plans import registry  # noqa: E402
 from foliospark.session import session  # noqa: E402
 
 HEADLINE = ("c7_c9_concordance", "c4_near", "b3_b7_scored_pairs", "d4_query_scores", "d5_top_cases", "f13_packed", "g7_average_precision", "j4_fold", "j15_tally")
-LLM = ("op1_quality_rules", "op2_minhash_near_dedup", "op5_byte_bpe", "op6_mix_sources", "op8_pii_pseudonyms", "op9_licence_scan", "op10_ann_prefix_forest")
+LLM = ("op1_quality_rules", "op2_minhash_near_dedup", "op5_byte_bpe", "op6_mix_sources", "op8_pii_pseudonyms", "op9_licence_scan", "op10_ann_prefix_forest", "op11_best_fit_packing", "op12_conversation_trie", "op13_hard_negatives")
 
 
 def main() -> None:

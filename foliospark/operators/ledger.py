@@ -74,6 +74,13 @@ def tally(records: DataFrame, reviewed: DataFrame, by: list[str]) -> DataFrame:
     return d.groupBy(*by).agg(F.count_if(F.col("h")).alias("human_reviewed"), F.count_if(F.col("h").isNull()).alias("machine_only"))
 
 
+def tally_with_total(records: DataFrame, reviewed: DataFrame, by: list[str]) -> DataFrame:
+    """tally and, from the same pass, a row of all counted records: is_total tells it from a group whose fields are null."""
+    d = records.join(reviewed.select("case_id", F.lit(True).alias("h")), "case_id", "left")
+    counts = [F.count_if(F.col("h")).alias("human_reviewed"), F.count_if(F.col("h").isNull()).alias("machine_only")]
+    return d.groupingSets([[F.col(c) for c in by], []], *(F.col(c) for c in by)).agg((F.grouping(by[0]) == 1).alias("is_total"), *counts)
+
+
 def grid(records: DataFrame, reviewed: DataFrame, dims: dict[str, list[str]]) -> DataFrame:
     """tally over the full grid of the dims' values, zero-filled; records with values outside it keep rows of their own."""
     counts = tally(records, reviewed, list(dims))

@@ -168,18 +168,20 @@ def phrase_spans(spark: SparkSession, root: str, phrase: Phrase) -> DataFrame:
     return rows.select("case_id", F.explode(starts(phrase, at)).alias("first")).select("case_id", "first", (F.col("first") + len(phrase.words) - 1).alias("last"))
 
 
-def character_spans(cases: DataFrame, spans: DataFrame) -> DataFrame:
-    """spans (case_id, first, last) with start and end (from 0, exclusive) in the raw text: token -> folded -> normalised -> raw places.
+def character_spans(cases: DataFrame, spans: DataFrame, raw: bool = True) -> DataFrame:
+    """spans (case_id, first, last) with start and end (from 0, exclusive) in the raw text: token -> folded -> normalised -> raw places; raw false: in the normalised text.
 
-    cases: case_id, raw_text, norm_text. Only cases with a span are looked at, each text once for all its spans.
+    cases: case_id, raw_text (for raw), norm_text. Only cases with a span are looked at, each text once for all its spans.
     """
     wanted = spans.groupBy("case_id").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    d = cases.select("case_id", "raw_text", "norm_text").join(wanted, "case_id")
+    d = cases.select("case_id", *(["raw_text"] if raw else []), "norm_text").join(wanted, "case_id")
     text = folded(F.col("norm_text"))
-    d = d.select("case_id", "spans", F.split(text, r"[\p{L}\p{N}]+").alias("gaps"), tokens(text).alias("words"), fold_places(F.col("norm_text")).alias("kept"), offset_map(F.col("raw_text")).alias("places"))
+    places = offset_map(F.col("raw_text")) if raw else F.lit(None)
+    d = d.select("case_id", "spans", F.split(text, r"[\p{L}\p{N}]+").alias("gaps"), tokens(text).alias("words"), fold_places(F.col("norm_text")).alias("kept"), places.alias("places"))
     d = d.select("case_id", F.explode("spans").alias("s"), "gaps", "words", "kept", "places")
     length = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + F.length(x))
     begin = lambda p: length(F.slice("gaps", 1, p + 1)) + length(F.slice("words", 1, p))
     start, last = begin(F.col("s.first")), begin(F.col("s.last")) + F.length(F.get("words", F.col("s.last"))) - 1
-    raw = lambda i: F.get("places", F.coalesce(F.get("kept", i), i))
-    return d.select("case_id", "s.first", "s.last", raw(start).alias("start"), (raw(last) + 1).alias("end"))
+    plain = lambda i: F.coalesce(F.get("kept", i), i)
+    place = lambda i: F.get("places", plain(i)) if raw else plain(i)
+    return d.select("case_id", "s.first", "s.last", place(start).alias("start"), (place(last) + 1).alias("end"))

@@ -81,14 +81,23 @@ def parsed_responses(responses: DataFrame, required: list[str]) -> DataFrame:
     return responses.select("unit_id", "part", "case_ids", "text").mapInPandas(run, "unit_id string, part string, parsed boolean, records array<string>")
 
 
-def unit_records(units: DataFrame, parsed: DataFrame) -> DataFrame:
-    """unit_id, case_id, record (JSON text, null if missing) and note of every case of units: from the unit's response, else from its halves (the first with one more case). The last record of a case wins; repeats are noted."""
+#: Fixed value: what a record says when its case came more than once.
+REPEATED = "duplicate records for this case_id in the response; the last one was kept"
+
+
+def unit_records(units: DataFrame, parsed: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """unit_id, case_id, record (JSON text, null if missing) and note of every case of units: from the unit's response, else from its halves (the first with one more case). The last record of a case wins; repeats are noted.
+
+    texts: the cases (case_id) whose texts there are, where that isn't all: a record of another case can't be checked and counts as missing.
+    """
     whole = parsed.filter("part = '' and parsed").select("unit_id").distinct()
     used = parsed.filter("parsed").join(whole.withColumn("whole", F.lit(True)), "unit_id", "left").filter("(part = '') = coalesce(whole, false)")
     rows = used.select("unit_id", "part", F.posexplode("records").alias("at", "record")).withColumn("case_id", F.expr("try_cast(trim(get_json_object(record, '$.case_id')) as bigint)"))
     last = rows.groupBy("unit_id", "case_id").agg(F.max_by("record", F.struct("part", "at")).alias("record"), F.count("*").alias("n"))
     asked = units.select("unit_id", F.explode("case_ids").alias("case_id"))
-    note = F.when(F.col("record").isNull(), "missing from response").when(F.col("n") > 1, "duplicate record in response")
+    if texts is not None:
+        last = last.join(texts.select("case_id").distinct(), "case_id", "left_semi")
+    note = F.when(F.col("record").isNull(), "missing from response").when(F.col("n") > 1, REPEATED)
     return asked.join(last, ["unit_id", "case_id"], "left").select("unit_id", "case_id", "record", note.alias("note"))
 
 

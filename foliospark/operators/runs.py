@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,7 +138,7 @@ def train(rows: DataFrame, names: list[str], held_out: DataFrame, grid: tuple[fl
     balance = F.when(F.col("label") == 1, n / (2 * max(1, positive))).otherwise(n / (2 * max(1, n - positive)))
     d = rows.select("case_id", F.col("label").cast("double").alias("label"), (F.col("weight") * balance).alias("w"), F.pmod(F.xxhash64("case_id", F.lit(seed)), F.lit(folds)).alias("fold"), *(((q(x) - m) / s).alias(f"f{i}") for i, (x, m, s) in enumerate(zip(names, mean, scale, strict=True))))
     d = VectorAssembler(inputCols=[f"f{i}" for i in range(len(names))], outputCol="features").transform(d).select("case_id", "label", "w", "fold", "features").cache()
-    probability = F.udf(lambda v: float(v[1]), "double")
+    probability = lambda c: vector_to_array(c)[1]
 
     def fitted(c: float, df: DataFrame) -> object:
         total = df.agg(F.sum("w")).first()[0]

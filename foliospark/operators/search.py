@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions.fold import folded, folded_word
+from foliospark.operators.positions import character_spans
 
 #: Words that collocations leave out.
 STOPWORDS = (
@@ -95,6 +96,18 @@ def kwic(cases: DataFrame, term: str, n: int, width: int = 60) -> DataFrame:
     return d.select("case_id", F.substr("norm_text", first, F.col("i") - first).alias("left"), F.lit(term).alias("term"), F.substr("norm_text", F.col("i") + len(term), F.lit(width)).alias("right"))
 
 
+def kwic_of_hits(cases: DataFrame, spans: DataFrame, n: int, width: int = 60, eras: list[str] | None = None, jurisdictions: list[str] | None = None) -> DataFrame:
+    """kwic of token hits (spans: case_id, first, last): the first span of each of the first n cases (by case_id) of the given eras and jurisdictions. Texts are read for those n only."""
+    wanted = cases.select("case_id", "era", "jurisdiction")
+    for column, values in (("era", eras), ("jurisdiction", jurisdictions)):
+        wanted = wanted.filter(F.col(column).isin(values)) if values is not None else wanted
+    first = spans.groupBy("case_id").agg(F.min(F.struct("first", "last")).alias("s")).join(wanted, "case_id", "left_semi").orderBy("case_id").limit(n)
+    at = character_spans(cases, first.select("case_id", "s.first", "s.last"), raw=False)
+    d = cases.select("case_id", "norm_text").join(F.broadcast(at), "case_id")  # n rows
+    begin = F.greatest(F.col("start") - width, F.lit(0))
+    return d.select("case_id", F.substr("norm_text", begin + 1, F.col("start") - begin).alias("left"), F.substr("norm_text", F.col("start") + 1, F.col("end") - F.col("start")).alias("term"), F.substr("norm_text", F.col("end") + 1, F.lit(width)).alias("right"))
+
+
 def collocates(cases: DataFrame, term: str, n: int, width: int = 80, docs: int | None = None) -> DataFrame:
     """word and n: the n commonest words of more than two letters a-z within `width` characters of any occurrence of the term.
 

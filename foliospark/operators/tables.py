@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 #: Elements that end with a line end.
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 blockquote section article aside div tr".split())
+#: Elements without content, and those whose beginning ends an open one: paragraphs end where a block begins, items and cells where the next does.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+ENDS_PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote section article aside div ul ol dl table pre form fieldset hr address center".split())
+ENDS_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+HOLDS = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 
 def admitted(rows: DataFrame, jurisdictions: list[str], slugs: list[str]) -> DataFrame:
@@ -18,7 +23,7 @@ def admitted(rows: DataFrame, jurisdictions: list[str], slugs: list[str]) -> Dat
 
 
 class _Text(HTMLParser):
-    """Text in document order with line ends after blocks; page-label anchors give (offset, label) instead of text."""
+    """Text in document order with line ends where blocks end, closed by their tags or by what follows; page-label anchors give (offset, label) instead of text."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -26,29 +31,54 @@ class _Text(HTMLParser):
         self.length = 0
         self.pages: list[tuple[int, str]] = []
         self.label: list[str] | None = None
+        self.open: list[str] = []
 
     def emit(self, s: str) -> None:
         self.out.append(s)
         self.length += len(s)
 
+    def end(self, n: int) -> None:
+        """Closes open elements until n are left, the inner first."""
+        while len(self.open) > n:
+            if self.open.pop() in BLOCKS:
+                self.emit("\n")
+
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
         if tag == "a" and "page-label" in (a.get("class") or ""):
             self.pages.append((self.length, a.get("data-label") or ""))
             self.label = []
+            return
+        if tag in ENDS_PARAGRAPH and "p" in self.open:
+            self.end(len(self.open) - 1 - self.open[::-1].index("p"))
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i] in HOLDS.get(tag, ()):
+                break
+            if self.open[i] in ENDS_LIKE.get(tag, ()):
+                self.end(i)
+        if tag not in VOID:
+            self.open.append(tag)
 
     def handle_startendtag(self, tag, attrs):
-        if tag in BLOCKS:
-            self.emit("\n")
+        if tag in VOID or tag not in BLOCKS:
+            return
+        self.handle_starttag(tag, attrs)
+        self.end(len(self.open) - 1)
 
     def handle_endtag(self, tag):
         if tag == "a" and self.label is not None:
             at, label = self.pages[-1]
             self.pages[-1] = (at, label or "".join(self.label).strip("*"))
             self.label = None
-        elif tag in BLOCKS:
+        elif tag in self.open:
+            self.end(len(self.open) - 1 - self.open[::-1].index(tag))
+        elif tag == "p":  # stands for an empty paragraph
             self.emit("\n")
 
+    def close(self) -> None:
+        super().close()
+        self.end(0)
+
     def handle_data(self, data):
         if self.label is not None:
             self.label.append(data)

@@ -144,6 +144,10 @@ QUERIES = {
     "j10_conflicts": (lambda s, d: L.conflict_rows(_folded(s, d).conflicts).drop("historical"), f"WITH {FOLD_SQL} SELECT case_id, field, value AS attempted, standing, seq FROM conf WHERE seq > {PROTECT}"),
     "j4_errors": (lambda s, d: _folded(s, d).errors.groupBy("error").agg(F.count("*").alias("n")), f"WITH {LOG}, o AS (SELECT case_id, min(seq) FILTER (WHERE op = 'admit') AS a FROM lg GROUP BY 1) SELECT 'unknown case' AS error, count(*) AS n FROM lg JOIN o USING (case_id) WHERE a IS NULL OR seq < a HAVING count(*) > 0"),
     "j11_reviewed_ids": (lambda s, d: L.reviewed_ids(_log(s, d)), f"WITH {LOG} SELECT DISTINCT case_id FROM lg WHERE op = 'set' AND reviewer IS NOT NULL"),
+    "j15_tally_with_total": (
+        lambda s, d: L.tally_with_total(_records(s, d).filter("quality = 1").withColumn("court", F.expr("if(court = 'fr', null, court)")), L.reviewed_ids(_log(s, d)), ["court", "era"]),
+        f"WITH {RECORDS}, {LOG}, h AS (SELECT DISTINCT case_id FROM lg WHERE op = 'set' AND reviewer IS NOT NULL), x AS (SELECT nullif(court, 'fr') AS court, era, h.case_id AS r FROM rec LEFT JOIN h USING (case_id) WHERE quality = 1) SELECT court, era, grouping(court) = 1 AS is_total, count(r) AS human_reviewed, count(*) - count(r) AS machine_only FROM x GROUP BY GROUPING SETS ((court, era), ())",
+    ),
     "j15_tally": (
         lambda s, d: L.tally(_records(s, d).filter("quality = 1"), L.reviewed_ids(_log(s, d)), ["jurisdiction", "era"]),
         f"WITH {RECORDS}, {LOG}, h AS (SELECT DISTINCT case_id FROM lg WHERE op = 'set' AND reviewer IS NOT NULL) SELECT jurisdiction, era, count(h.case_id) AS human_reviewed, count(*) - count(h.case_id) AS machine_only FROM rec LEFT JOIN h USING (case_id) WHERE quality = 1 GROUP BY ALL",

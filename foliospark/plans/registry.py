@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("search", "duplicates", "corpus", "selection", "ledger", "reports", "measures", "reading", "patches", "runs", "composed")
+MODULES: tuple[str, ...] = ("search", "duplicates", "corpus", "selection", "ledger", "reports", "measures", "reading", "patches", "runs", "composed", "evaluation")
 
 Query = Callable[[SparkSession, str], DataFrame]
 

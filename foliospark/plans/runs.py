@@ -45,6 +45,13 @@ def _features(s, d):
     return R.case_features(c, sig, ch, ["s0@v1", "s1@v1"], ["s2@v1"], ["F", "O"], ["1-URGENT"], 3)
 
 
+def _trained(s, d):
+    """The coefficients of a model of which orders are open, from their price, customer and day."""
+    rows = _orders(s, d, "o_orderkey AS case_id", "int(o_orderstatus = 'O') AS label", "1.0D AS weight", "o_totalprice AS price", "double(o_custkey) AS customer", "double(datediff(o_orderdate, date'1992-01-01')) AS day")
+    model = R.train(rows.filter("case_id % 10 > 0"), ["price", "customer", "day"], rows.filter("case_id % 10 = 0").select("case_id"), (0.1, 1.0), 3)
+    return s.createDataFrame([(n, round(c, 4), model["C"]) for n, c in zip(model["names"], model["coef"])], "name string, coef double, C double")
+
+
 def _documents_raw(s, d):
     c = table(s, d, "documents")
     body = F.to_json(F.struct(
@@ -149,6 +156,7 @@ QUERIES = {
         round(coalesce(x.s_acctbal, f.v, 0), 6)::DOUBLE AS vec_0, CASE WHEN x.s_suppkey IS NOT NULL OR f.case_id IS NOT NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS vec_1, 0.0::DOUBLE AS vec_2
         FROM orders LEFT JOIN s ON s.case_id = o_orderkey LEFT JOIN supplier x ON x.s_suppkey = best LEFT JOIN f ON f.case_id = o_orderkey""",
     ),
+    "g6_trained_model": (_trained, None),
     "g10_ranking_delta": (
         lambda s, d: R.ranking_delta(_orders(s, d, "o_orderstatus AS view", "o_totalprice").groupBy("view").agg((F.avg("o_totalprice") / 1e6).alias("ap")), _orders(s, d, "o_orderstatus AS view", "o_totalprice").groupBy("view").agg((F.max("o_totalprice") / 1e6).alias("ap"))).select("view", F.round("delta", 8).alias("delta"), "ships", "reaches_bar"),
         "WITH d AS (SELECT o_orderstatus AS view, max(o_totalprice) / 1e6 - avg(o_totalprice) / 1e6 AS delta FROM orders GROUP BY 1) SELECT view, round(delta, 8) AS delta, min(delta) OVER () > 0 AS ships, min(delta) OVER () >= 0.05 AS reaches_bar FROM d",

@@ -53,3 +53,14 @@ def test_average_precision(spark):
     rows = spark.createDataFrame([("g", 0.9, 1, 1.0, 0), ("g", 0.8, 0, 1.0, 1), ("g", 0.7, 1, 1.0, 2), ("h", 0.5, 0, 1.0, 0)], "v string, score double, label int, weight double, idx long")
     got = {r.v: r.ap for r in S.average_precision(rows, ["v"]).collect()}
     assert got["h"] == 0.0 and abs(got["g"] - (1 + 2 / 3) / 2) < 1e-12
+
+
+def test_blocks_end_without_their_tags():
+    text = lambda h: L.html_text(h)[0]
+    assert text("<p>a<p>b") == "a\nb\n"
+    assert text("<div><p>a<div>b</div>c</div>d") == "a\nb\nc\nd"
+    assert text("<table><tr><td>a<td>b<tr><td>c</table>") == "ab\nc\n"
+    assert text("<ul><li>a<li>b</ul>") == "ab"
+    assert text("<blockquote><p>a</blockquote>b") == "a\n\nb"
+    assert text("<p>a<br>b</p></p>c</div>") == "ab\n\nc"
+    assert text("<p/>x<section>y") == "\nxy\n"
