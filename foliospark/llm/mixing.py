@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.operators.numbering import numbered
-from foliospark.session import spread, table, written
+from foliospark.session import discard, spread, table, written
 
 #: The weights that sources in code-point order take in turn.
 WEIGHTS = (5, 2, 1)
@@ -87,7 +87,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 def drawn_blocks(units: DataFrame, shards: int, seed: int) -> DataFrame:
     """(rank, pass, block, shard): every block of units (rank, pass, block), each once, at the shard that draws it. Its size is sources * blocks * passes."""
     by_pass = units.groupBy("rank", "pass").agg(F.count("*").alias("n"))
-    dealt = written(split_quotas(by_pass, shards, seed), "mix-quotas", 10_000)
+    dealt = written(split_quotas(by_pass, shards, seed), "mix-quotas")
     upto = F.sum("n").over(Window.partitionBy("rank", "pass").orderBy("shard"))  # one row a shard
     places = dealt.withColumn("upto", upto).select("rank", "pass", "shard", F.explode(F.sequence(F.col("upto") - F.col("n") + 1, F.col("upto"))).alias("place"))
     order = Window.partitionBy("rank", "pass").orderBy(unit_key(seed + 1, F.col("rank"), F.col("pass"), F.col("block")), "block")  # 2**BLOCK_BITS rows at most
@@ -108,7 +108,8 @@ def fitted(edge: DataFrame) -> DataFrame:
         upto = now.withColumn("upto", F.sum(F.when(may, F.col("size")).otherwise(0)).over(inside))
         new = upto.withColumn("new", may & (F.col("upto") <= F.col("left")))
         new = new.withColumn("left", F.col("left") - F.coalesce(F.sum(F.when(F.col("new"), F.col("size"))).over(block), F.lit(0)))
-        now = written(new.withColumn("fits", F.col("fits") | F.col("new")).drop("upto", "new"), "mix-edge")
+        done, now = now, written(new.withColumn("fits", F.col("fits") | F.col("new")).drop("upto", "new"), "mix-edge")
+        discard(done)
     return now
 
 
@@ -139,8 +140,8 @@ def mix_sources(sized: DataFrame, seed: int = 17, shards: int | None = None) ->
     blocks = written(blocks.select("rank", "block", "words", "passes", "left"), "mix-blocks")
     times = F.col("passes") + (F.col("left") > 0).cast("int")
     units = blocks.filter(times > 0).select("rank", "block", F.explode(F.sequence(F.lit(0), times - 1)).alias("pass"))
-    draws = drawn_blocks(written(units, "mix-units", 10_000), shards, seed).groupBy("rank", "block").agg(F.collect_list(F.struct("pass", "shard")).alias("drawn"))
-    draws = written(draws, "mix-draws", 10_000)
+    draws = drawn_blocks(written(units, "mix-units"), shards, seed).groupBy("rank", "block").agg(F.collect_list(F.struct("pass", "shard")).alias("drawn"))
+    draws = written(draws, "mix-draws")
     cut = (F.col("left") > 0) & (F.col("words") > F.col("left"))
     ends = blocks.filter(cut).select("rank", "block", "passes", "left")
     edge = fitted(keyed.select("rank", "block", "key", "doc_id", "size").join(ends.select("rank", "block", "left"), ["rank", "block"])).filter("not fits")
