@@ -111,7 +111,7 @@ QUERIES = {
     ),
     "j33_projected_counts": (
         lambda s, d: P.projected_counts(_log(s, d).filter("seq % 2 = 0"), _log(s, d).filter("seq % 2 = 1"), 10**9, "polarity").filter("n_after > 0").select("value", "n_after"),
-        f"WITH {FOLD_SQL.replace(f'seq <= {PROTECT}', 'true')}, v AS (SELECT c.case_id, max(value) FILTER (WHERE field = 'polarity') AS value FROM cs c LEFT JOIN ends USING (case_id) GROUP BY 1) SELECT value, count(*) AS n_after FROM v GROUP BY 1",
+        f"WITH {FOLD_SQL.replace(f'seq <= {PROTECT}', 'true')}, inf AS (SELECT case_id FROM d2 JOIN cs USING (case_id) WHERE field = 'relevant' AND applied AND seq <= opened GROUP BY case_id HAVING arg_max(value, seq) = 'true'), v AS (SELECT c.case_id, max(value) FILTER (WHERE field = 'polarity') AS value FROM cs c LEFT JOIN ends USING (case_id) WHERE c.case_id IN (FROM inf) GROUP BY 1) SELECT value, count(*) AS n_after FROM v GROUP BY 1",
     ),
     "j17_empty_cells": (
         lambda s, d: table(s, d, "orders").groupBy(F.col("o_orderstatus").alias("era"), F.col("o_orderpriority").alias("jurisdiction")).agg(F.count("*").alias("human_reviewed")).transform(lambda g: RV.empty_cells(g, "human_reviewed", 100)),
