@@ -32,7 +32,7 @@ _ADDENDS = _rng.integers(1, 2**63, 1024, dtype=np.uint64)
 PIVOTS = 8  # that the members of a block of a large node are compared with
 STARS = 3  # of so many large nodes a member nominates its likeliest pivot in one, by key: it is in many, and what has no label yet goes on
 BLOCK = 2048  # members of a large node that are compared in one place, about
-PAIRS = "a long, b long, ask boolean"
+PAIRS = "a long, b long, ask boolean, hub boolean"
 FEW, MANY, CROWDED = range(3)  # kinds of nodes
 CHILDREN_OF_LEVEL = (5, 16)  # of a node, at most and the last for all deeper levels: the more, by the more coordinates a child is chosen, and the sooner pairs below the limit part
 EXPECTED_CHILDREN = 1.1  # in which a pair at the limit meets again, at least: above 1, so that it may meet at any depth
@@ -130,10 +130,11 @@ def _tokens(column: pa.Array) -> np.ndarray:
 
 
 def _pairs(a: np.ndarray, b: np.ndarray, ask: bool) -> pa.RecordBatch:
-    """Pairs of documents, the smaller first, or (ask) a document and a component that it is to meet."""
+    """Pairs of documents, the smaller first, or (ask) a document and a component that it is to meet. hub: whether the smaller one came second, as what many others are compared with."""
+    hub = (b < a) & (not ask)
     a, b = (a, b) if ask else (np.minimum(a, b), np.maximum(a, b))
-    both = np.unique(np.stack([a, b], axis=1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(np.full(len(both), ask))], ["a", "b", "ask"])
+    both = np.unique(np.stack([a, b, hub.astype(np.int64)], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(np.full(len(both), ask)), pa.array(both[:, 2] > 0)], ["a", "b", "ask", "hub"])
 
 
 class _Rows:
@@ -215,7 +216,7 @@ def _nominated(rows: DataFrame, percent: int, limit: int, least: int) -> DataFra
                     yield _pairs(*(np.concatenate(x) for x in zip(*rows_of, strict=True)), ask)
 
     dealt = rows.select(*_Rows.NAMES).repartition("node", "block").sortWithinPartitions("node", "block", "place", "rep")
-    return dealt.mapInArrow(freed(run), PAIRS).distinct()
+    return dealt.mapInArrow(freed(run), PAIRS).groupBy("a", "b", "ask").agg(F.max("hub").alias("hub"))
 
 
 def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
@@ -280,7 +281,7 @@ def _dealt(rows: DataFrame, limit: int, level: int) -> DataFrame:
     return rows.filter(F.col("kind") != CROWDED).unionByName(both.select(rows.columns))
 
 
-LEADS, MET = 1 << 22, 1 << 20  # shingles of the outsiders and of the members of a component that meet in one place, about
+LEADS, MET = 1 << 21, 1 << 20  # shingles of the outsiders and of the members of a component that meet in one place, about
 
 
 class _Leads:
@@ -366,7 +367,7 @@ def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int
     while True:
         here = sigs if level == 0 else written(_likely(sigs, now.select("rep"), "rep"), "near-signatures")  # of the documents that this level still looks at
         told = written(_nominated(_dealt(now, limit, level).join(here, "rep"), percent, limit, least), "near-pairs")
-        pairs = told.filter("not ask").select("a", "b")
+        pairs = told.filter("not ask").select("a", "b", "hub")
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")  # a pair that failed stays out: its two sets won't change
         many = now.filter(_kind(limit, level) == MANY)
         if sets is None:  # members of later nodes come from the large ones here
@@ -451,14 +452,13 @@ def _likely(rows: DataFrame, ids: DataFrame, by: str = "doc_id") -> DataFrame:
     return x.select(rows.columns)
 
 
-NEIGHBOURS = 64  # pairs of one document that are compared in one place, about
+PLACES = 8  # that the pairs of one document fall into; a pivot has those of its blocks, so their number doesn't grow with the table
 
 
 def confirmed_links(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets (doc_id, members) have 100 * intersection >= percent * union.
+    """The pairs (a, b, each once; hub: a is what others are compared with, else b) whose full sets (doc_id, members) have 100 * intersection >= percent * union.
 
-    Of a pair the document with more pairs is its hub. A hub's pairs are dealt over places, and its set goes once to each: one document that very many
-    others are compared with is neither copied for each of them nor one task's.
+    A hub's set goes once to each of its places, and meets the sets of the others there: it isn't copied for each of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -473,12 +473,9 @@ def confirmed_links(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFram
             if good:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in good], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    pairs = pairs.select("a", "b").distinct()
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count("*").alias("n"))
-    d = pairs.join(degree.select(F.col("x").alias("a"), F.col("n").alias("na")), "a").join(degree.select(F.col("x").alias("b"), F.col("n").alias("nb")), "b")
-    larger = F.col("na") >= F.col("nb")
-    d = d.select(F.when(larger, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("rep"), F.greatest("na", "nb").alias("n"))
-    others = d.select("hub", F.pmod(F.xxhash64("rep", "hub"), F.ceil(F.col("n") / NEIGHBOURS)).alias("place"), "rep")
+    hub, rep = (F.when(F.col("hub"), x).otherwise(y) for x, y in ((F.col("a"), F.col("b")), (F.col("b"), F.col("a"))))
+    d = pairs.select(hub.alias("hub"), rep.alias("rep"))
+    others = d.select("hub", F.pmod(F.xxhash64("rep", "hub"), F.lit(PLACES)).alias("place"), "rep")
     rows = others.unionByName(others.select("hub", "place", F.col("hub").alias("rep")).distinct()).join(sets.select(F.col("doc_id").alias("rep"), "members"), "rep")
     dealt = rows.select("hub", "place", "rep", "members").repartition("hub", "place").sortWithinPartitions("hub", "place", F.col("rep") != F.col("hub"), "rep")
     with arrow_rows(pairs.sparkSession, 100):
