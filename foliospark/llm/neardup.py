@@ -243,20 +243,23 @@ def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
 def _labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
     """rows (node, rep) of nodes whose members have several labels, with the `label` of their component, `members` of the node, its most frequent label `crowd`, and `outside`: how many are of others; written.
 
-    Nodes of one member, which most children are, go first. rows may have labels already (children have their parents', under the same components); else found gives them.
+    rows may have labels already (children have their parents', under the same components); else found gives them, or every representative is a component of its own.
     """
-    rows = rows.select("node", "rep", *(["label"] if found is None and "label" in rows.columns else []))
-    rows = rows.join(rows.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1"), "node")
-    if found is None and "label" not in rows.columns:  # every representative is a component of its own
-        return written(rows.select("node", "rep", F.col("rep").alias("label"), "members", F.lit(-1).cast("long").alias("crowd"), (F.col("members") - 1).alias("outside")), "near-nodes")
+    if found is None and "label" not in rows.columns:
+        rows = rows.select("node", "rep")
+        counts = rows.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1")
+        alone = rows.join(counts, "node").select("node", "rep", F.col("rep").alias("label"), "members", F.lit(-1).cast("long").alias("crowd"), (F.col("members") - 1).alias("outside"))
+        return written(alone, "near-nodes")
+    own = None
     if found is not None:
-        rows = rows.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("label", F.coalesce("component", "rep"))
-    rows = written(rows.select("node", "rep", "label", "members"), "near-labels")
-    each = rows.groupBy("node", "label").agg(F.count("*").alias("n"), F.max("members").alias("members"))
-    crowds = each.groupBy("node").agg(F.max("members").alias("members"), F.max(F.struct("n", "label")).alias("crowd"))
-    crowds = crowds.select("node", F.col("crowd.label").alias("crowd"), (F.col("members") - F.col("crowd.n")).alias("outside")).filter("outside > 0")
-    out = written(rows.join(crowds, "node").select("node", "rep", "label", "members", "crowd", "outside"), "near-nodes")
-    discard(rows)
+        labels = rows.select("node", "rep").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
+        rows = own = written(labels.select("node", "rep", F.coalesce("component", "rep").alias("label")), "near-labels")
+    each = rows.groupBy("node", "label").agg(F.count("*").alias("n"))
+    crowds = each.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("crowd"))
+    crowds = crowds.select("node", "members", F.col("crowd.label").alias("crowd"), (F.col("members") - F.col("crowd.n")).alias("outside")).filter("outside > 0")  # a node of one member has none
+    out = written(rows.select("node", "rep", "label").join(crowds, "node").select("node", "rep", "label", "members", "crowd", "outside"), "near-nodes")
+    if own is not None:
+        discard(own)
     return out
 
 
