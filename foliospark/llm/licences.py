@@ -9,11 +9,13 @@ length that begins there, whatever the lines around it: a licence inside other t
 from __future__ import annotations
 
 from functools import reduce
+from itertools import groupby
+from math import prod
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.session import spread, table
+from foliospark.session import spread, table, written
 
 #: Spellings that count as equal, (pattern, replacement), applied in this order to lower-case words with a space before and after each.
 SPELLINGS = (
@@ -127,13 +129,16 @@ NOTICES = ("Licensed under the {}.", "Licensed under {}.", "Released under the {
 COPYRIGHT_LINE = r"(?im)^[ \t]*(?:copyright[ \t]*(?:\(c\)|©|:|[0-9]{4}|by[ \t])|\(c\)[ \t]*(?:copyright|[0-9]{4})|©)[^\n]*\n?"
 ANCHOR = 8  # words with which a longer known text begins, and by which its places are found; shorter ones are looked up as whole lines
 NOT_WORD = r"[^a-z0-9\n]+"
+NOT_WORD_JAVA = r"[\x00-\x09\x0b-/:-`{-\x{10ffff}]+"  # the same characters: Java takes six times as long over a negated class with a line end in it
+#: No text gets shorter by SPELLINGS than this share of itself, with a space at either end: each of them in turn shortens by its own share at most.
+SHORTEST = prod(min(1.0, len(new) / len(old)) for old, new in SPELLINGS)
 #: The texts and every notice of every name.
 KNOWN = (*TEXTS, *((k, n.format(name)) for k, names in NAMES.items() for name in names for n in NOTICES))
 
 
 def words_of(text: Column) -> Column:
     """The text's lines without copyright lines, each of lower-case ASCII words and digits with single spaces between them and none at the ends."""
-    words = F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINE, "")), NOT_WORD, " ")
+    words = F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINE, "")), NOT_WORD_JAVA, " ")
     return F.trim(F.regexp_replace(words, " *\n *", "\n"))
 
 
@@ -159,31 +164,49 @@ def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOW
     return own.groupBy("digest").agg(F.min("licence").alias("licence"), F.min("anchor").alias("anchor"), F.min("n_chars").alias("n_chars"))
 
 
+def _any_of(phrases: list[list[str]]) -> str:
+    """A pattern of any of the phrases, all of as many words; what begins alike is tried once."""
+    heads = groupby(sorted(phrases), key=lambda p: p[0])
+    return "(?:" + "|".join(w + (" " + _any_of([p[1:] for p in rest]) if len(phrases[0]) > 1 else "") for w, rest in heads) + ")"
+
+
+def _standing(padded: Column, anchors: list[str]) -> Column:
+    """The anchors that stand in a canonical text with a space before and after, each once. Anchors of as many words can't begin at the same place."""
+    split = sorted((a.split(" ") for a in set(anchors)), key=len)
+    found = [F.regexp_extract_all(padded, F.lit(f" (?=({_any_of([*same])}) )"), F.lit(1)) for _, same in groupby(split, key=len)]
+    return F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>")
+
+
 def scan_licences(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, digest (of the whole canonical text), licence (of the whole text, or null), line_licences (sorted, distinct) and n_lines for every row.
 
     known: (digest, licence, anchor, n_chars), one row a digest. The whole text and each line are hash-joined with it by their digests, and so is
     each run of words that begins with the anchor of a known text and has its length; n_lines counts the lines and runs found, a line that is a whole longer text once. A
     null text has a null digest and no licences; a text without ASCII words has the digest of the empty string and matches nothing. Rows that repeat a
-    doc_id share what they hold. A null doc_id has no lines. Other columns of docs are ignored. Texts never travel: only ids and digests are
-    shuffled. The driver sees the anchors of the known texts, not of documents.
+    doc_id share what they hold. A null doc_id has no lines. Other columns of docs are ignored. Texts are read and made canonical once, into a table of ids and digests,
+    of lines that can be a known one by their length; only texts in which an anchor stands are kept there, and ids and digests alone are shuffled. The driver sees the anchors and lengths of the known texts, not of documents.
     """
     known = known.filter(F.col("digest") != F.sha2(F.lit(""), 256))
-    anchors = sorted((r["anchor"], r["n_chars"]) for r in known.filter("anchor is not null").select("anchor", "n_chars").distinct().collect())
-    words = docs.select("doc_id", words_of(F.col("text")).alias("words")).withColumn("canon", spelled(F.col("words")))
-    whole = words.select("doc_id", F.sha2("canon", 256).alias("digest")).join(known.select("digest", "licence"), "digest", "left")
-    named = words.filter("doc_id is not null")
-    lines = named.select("doc_id", F.explode(F.filter(F.split("words", "\n"), lambda x: x != "")).alias("x")).select("doc_id", F.sha2(spelled(F.col("x")), 256).alias("digest"), F.lit(True).alias("line"))
-    pieces = lines
-    if anchors:
-        starts = F.array(*(F.struct(F.lit(a).alias("anchor"), F.lit(n).alias("n")) for a, n in anchors))
-        padded = F.concat(F.lit(" "), "canon", F.lit(" "))
-        near = named.select("doc_id", padded.alias("canon")).select("doc_id", "canon", F.explode(F.filter(starts, lambda k: F.contains("canon", F.concat(F.lit(" "), k["anchor"], F.lit(" "))))).alias("k"))
-        gaps = F.split("canon", F.concat(F.lit(" "), F.col("k.anchor"), F.lit("(?= )")))
-        place = F.aggregate("gaps", F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all")), lambda acc, g: F.struct((acc["at"] + F.length(g) + 1 + F.length("k.anchor")).alias("at"), F.concat(acc["all"], F.array(acc["at"] + F.length(g) + 1)).alias("all")))
-        at = near.withColumn("gaps", gaps).withColumn("at", F.explode(F.slice(place["all"], 1, F.size("gaps") - 1)))
-        ends = F.substr("canon", F.col("at") + F.col("k.n").cast("int"), F.lit(1)) == " "
-        pieces = lines.unionByName(at.filter(ends).select("doc_id", F.sha2(F.substr("canon", F.col("at"), F.col("k.n").cast("int")), 256).alias("digest"), F.lit(False).alias("line")))
+    lengths = known.select("anchor", "n_chars").distinct().collect()
+    longest = max((r["n_chars"] for r in lengths if r["anchor"] is None), default=-2)
+    most = int((longest + 2) / SHORTEST) - 2  # characters of a line before its spellings
+    size = F.octet_length  # all is ASCII
+    lines = F.filter(F.split("words", "\n"), lambda x: (size(x) > 0) & (size(x) <= most))
+    words = docs.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", spelled(F.col("words")).alias("canon"), lines.alias("lines"))
+    padded = F.concat(F.lit(" "), "canon", F.lit(" "))
+    seen = words.select("doc_id", "canon", "lines", _standing(padded, [r["anchor"] for r in lengths if r["anchor"] is not None]).alias("anchors"))
+    digests = F.transform("lines", lambda x: F.sha2(spelled(x), 256))
+    texts = written(seen.select("doc_id", F.sha2("canon", 256).alias("digest"), digests.alias("lines"), "anchors", F.when(F.size("anchors") > 0, padded).alias("canon")), "licence-texts")
+    whole = texts.select("doc_id", "digest").join(known.select("digest", "licence"), "digest", "left")
+    named = texts.filter("doc_id is not null")
+    pieces = named.select("doc_id", F.explode("lines").alias("digest"), F.lit(True).alias("line"))
+    starts = F.broadcast(known.filter("anchor is not null").select("anchor", F.col("n_chars").cast("int").alias("n")).distinct())
+    near = named.filter("canon is not null").select("doc_id", "canon", F.explode("anchors").alias("anchor"))
+    gaps = F.split("canon", F.concat(F.lit(" "), F.col("anchor"), F.lit("(?= )")))
+    place = F.aggregate("gaps", F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all")), lambda acc, g: F.struct((acc["at"] + F.length(g) + 1 + F.length("anchor")).alias("at"), F.concat(acc["all"], F.array(acc["at"] + F.length(g) + 1)).alias("all")))
+    at = near.withColumn("gaps", gaps).withColumn("at", F.explode(F.slice(place["all"], 1, F.size("gaps") - 1))).join(starts, "anchor")
+    ends = F.substr("canon", F.col("at") + F.col("n"), F.lit(1)) == " "
+    pieces = pieces.unionByName(at.filter(ends).select("doc_id", F.sha2(F.substr("canon", "at", "n"), 256).alias("digest"), F.lit(False).alias("line")))
     hits = pieces.join(known.select("digest", "licence", F.col("anchor").isNull().alias("short")), "digest").filter("line = short").groupBy("doc_id").agg(F.array_sort(F.collect_set("licence")).alias("line_licences"), F.count("*").alias("n_lines"))
     none = F.array().cast("array<string>")
     out = whole.join(hits, "doc_id", "left")

@@ -383,6 +383,26 @@ def test_licence_texts_are_found_wherever_they_stand(spark):
     assert (got.line_licences, got.n_lines) == (["x", "y"], 4)
 
 
+def test_texts_are_made_canonical_once(spark, tmp_path):
+    known = licences.known_digests(spark, (("a", "w0 w1 w2 w3 w4 w5 w6 w7 w8"), ("b", "w1 w2 w3 w4 w5 w6 w7 w8 w9"), ("short", "x per cent")), ())
+    rows = [(1, "w0 w1 w2 w3 w4 w5 w6 w7 w8 w9"), (2, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w0 w1 w2 w3 w4 w5 w6 w7\nx percent"), (3, "xw0 w1 w2 w3 w4 w5 w6 w7 w8")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/texts")
+    out = licences.scan_licences(spark.read.parquet(f"{tmp_path}/texts"), known)
+    assert not any("/texts/" in f for f in out.inputFiles())
+    assert {r.doc_id: (r.line_licences, r.n_lines) for r in out.collect()} == {1: (["a", "b"], 2), 2: (["b", "short"], 2), 3: ([], 0)}
+
+
+def test_long_spellings_of_short_notices_and_all_separators(spark):
+    worst = [" ".join(x.strip() for x, _ in licences.SPELLINGS), "version 3 0 version 2 0 by nc per cent sub license non infringement copyright holder acknowledgement", "by nc by nc", "version 3 0 0 0"]
+    for raw, spelt in spark.createDataFrame([(w,) for w in worst], "w string").select("w", licences.spelled(F.col("w"))).collect():
+        assert len(spelt) + 2 >= licences.SHORTEST * (len(raw) + 2)
+    known = licences.known_digests(spark, (("own", worst[1][:38]),), ())
+    assert licences.scan_licences(spark.createDataFrame([(1, f"Text.\n{worst[1][:38].upper()}!\n")], "doc_id long, text string"), known).first().n_lines == 1
+    every = "".join(map(chr, [*range(0x3000), *range(0xE000, 0x10000), 0x10000, 0x1F600, 0x10FFFF]))
+    got = spark.createDataFrame([(every,)], "x string").select(*(F.regexp_replace("x", p, "\x00") for p in (licences.NOT_WORD, licences.NOT_WORD_JAVA))).first()
+    assert got[0] == got[1]
+
+
 def test_published_licences_by_digest(spark):
     """Where the system has the published texts, the digests find them inside other text."""
     import os
