@@ -22,8 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no terms and stay, as do rows without a doc_id; repeated rows share their text's score. An empty table, and one without labels, gives all its rows.
     """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    whole = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))  # a column of the caller's named score stays what it is
-    return toxicity.toxicity_scores(whole, model).filter(F.col("score") < TOXIC_FROM).select("__row.*")
+    rest = [c for c in docs.columns if c != "text"]
+    whole = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in rest)).alias("__row"))  # a column of the caller's named score stays what it is; texts travel once
+    return toxicity.toxicity_scores(whole, model).filter(F.col("score") < TOXIC_FROM).select(*("text" if c == "text" else F.col(f"__row.`{c}`") for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

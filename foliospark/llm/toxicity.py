@@ -26,6 +26,7 @@ QUOTED = re.compile(r"“[^“”]+”|«[^«»]+»|„[^„“”]+[“”]|\"[
 BEGINNINGS = range(4, 9)
 SAMPLE = 20_000  # labelled documents that the model is fitted on, at most (about: a keyed share of the labels is taken)
 LEAST_DOCUMENTS = 3  # toxic sample documents that a term stands in: fewer can't reach the least precision
+COUNTED = 100_000  # terms that a task counts, about, before it hands their counts on; results don't depend on it
 WORDS_KEPT, STATES_KEPT = 100_000, 20_000  # of an automaton, before it starts anew; results don't depend on them
 Z, LEAST_PRECISION = 3.0, 0.35  # a term's toxic share, at the lower Wilson bound
 STRONG = 0.45  # bound from which a term's misspellings are looked for
@@ -249,17 +250,19 @@ def _counted(sample: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folds: dict[int, Counter] = {0: Counter(), 2: Counter()}
-        emit = lambda: [(t, f, n) for f, c in folds.items() for t, n in c.items()]
-        schema = pa.schema([("term", pa.string()), ("fold", pa.int32()), ("n", pa.int64())])
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for fold, c in folds.items():
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array([fold] * len(c), pa.int32()), pa.array(list(c.values()), pa.int64())], ["term", "fold", "n"])
+                c.clear()
+
         for batch in batches:
             for text, fold in zip(_texts(batch), batch.column("fold").to_pylist(), strict=True):
                 found = features_of(text)
                 folds[fold].update(found & wanted if wanted is not None else found)
-                if sum(map(len, folds.values())) > 500_000:
-                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in emit()], schema)
-                    for c in folds.values():
-                        c.clear()
-        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in emit()], schema)
+                if sum(map(len, folds.values())) > COUNTED:
+                    yield from counted()
+        yield from counted()
 
     return sample.select("text", "fold").mapInArrow(freed(run), "term string, fold int, n long").groupBy("term", "fold").agg(F.sum("n").alias("n"))
 

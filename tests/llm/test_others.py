@@ -1,9 +1,12 @@
 """Conversations, vectors and the pipeline."""
 
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from foliospark.llm import ann, quotes
+from foliospark.llm import ann, quotes, toxicity
 from foliospark.session import table
 
 
@@ -152,3 +155,29 @@ def test_stages_keep_clashing_columns_and_choose_repeated_ids_alike(spark, small
     assert {r.private for r in cp.pseudonymise(spark, docs, small).collect()} == {"p", None}
     mixes = [sorted(map(repr, cp.mix(spark, docs.repartition(n), small).collect())) for n in (1, 3, 4)]
     assert mixes[0] == mixes[1] == mixes[2] and len({m for m in mixes[0] if "doc_id=3," in m}) <= 1 and cp.mix(spark, docs, small).columns == docs.columns
+
+
+def test_texts_travel_once_and_counts_in_pieces(spark, monkeypatch):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.createDataFrame([(1, "plain words", "en", "a", 11), (2, None, "en", "b", 0)], "doc_id long, text string, lang string, score string, n_chars long")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    seen, scores = [], corpus_pipeline.toxicity.toxicity_scores
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: labels)
+    monkeypatch.setattr(corpus_pipeline.toxicity, "toxicity_scores", lambda d, m: seen.append(d) or scores(d, m))
+    out = corpus_pipeline.drop_toxic(spark, docs, "")
+    assert seen[0].columns == ["text", "__row"] and "text" not in seen[0].schema["__row"].dataType.names
+    assert out.columns == docs.columns and sorted(out.collect()) == sorted(docs.collect())
+    runs = []
+    monkeypatch.setattr(toxicity, "freed", lambda f: runs.append(f) or f)
+    toxicity._counted(docs.selectExpr("text", "0 AS fold"), None)
+    letters = np.array(list("abcdefghij"))
+    words = ["".join(letters[[int(c) for c in f"{i:06d}"]]) for i in range(120_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(words[k::40]) for k in range(40)] + [words[0]]), pa.array([0] * 40 + [2], pa.int32())], ["text", "fold"])
+    got = list(runs[0](iter([batch])))
+    assert len(got) > 2 and max(b.num_rows for b in got) < 120_000
+    total = {(r["term"], r["fold"]): 0 for b in got for r in b.to_pylist()}
+    for b in got:
+        for r in b.to_pylist():
+            total[r["term"], r["fold"]] += r["n"]
+    want = Counter((t, f) for x, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for t in toxicity.features_of(x))
+    assert total == dict(want)
