@@ -2,10 +2,11 @@
 
 Documents are sets of word shingles. Rows with equal sets become one class, represented by its smallest doc_id. Several
 independent trees then branch the representatives: a node sends each of its members to the children of the minwise tokens
-that it has at coordinates chosen by the node. Nodes of at most `limit` members are compared exhaustively. Members of larger ones
+that it has at coordinates chosen by the node. A pair at the limit shares nearly all roots, so a representative that meets others in too few
+of them has no partner and goes no further. Nodes of at most `limit` members are compared exhaustively, one of those with the same members. Members of larger ones
 are compared with a few pivots of their block first; what is linked, by links confirmed on the full shingle sets, is one
-component from then on. A node whose members are all of one component is done; where all but a few are, those few are compared
-with the whole component, once; any other node branches on. So sketches only nominate pairs, and the only pairs that are left out are those whose
+component from then on. A node whose members are all of one component is done; where at most CROWD are of others, those are compared
+with each other and with the whole component, once; any other node branches on. So sketches only nominate pairs, and the only pairs that are left out are those whose
 ends confirmed links have joined already.
 """
 
@@ -32,12 +33,15 @@ _ADDENDS = _rng.integers(1, 2**63, 1024, dtype=np.uint64)
 PIVOTS = 8  # that the members of a block of a large node are compared with
 STARS = 3  # of so many large nodes a member nominates its likeliest pivot in one, by key: it is in many, and what has no label yet goes on
 BLOCK = 2048  # members of a large node that are compared in one place, about
+CROWD = 1024  # outsiders of a node that are compared with all of its members: branching would part them, but makes many rows of each member
 PAIRS = "a long, b long, ask boolean, hub boolean"
 FEW, MANY, CROWDED = range(3)  # kinds of nodes
+FIRST, AGAIN = -1, -2  # places of outsiders in the first block of their group, where they meet each other, and in its others
 CHILDREN_OF_LEVEL = (5, 16)  # of a node, at most and the last for all deeper levels: the more, by the more coordinates a child is chosen, and the sooner pairs below the limit part
 EXPECTED_CHILDREN = 1.1  # in which a pair at the limit meets again, at least: above 1, so that it may meet at any depth
 RECALL = 0.99  # chance that the trees nominate a pair at the limit, whatever depth its nodes reach
 LEAST_TREES = 8
+ALONE = 1e-4  # chance, at most, that a pair at the limit shares too few root nodes to be looked at: small beside what RECALL allows
 DEEPEST = 12  # level of nodes whose members can't be told apart by branching: those are compared in full, block by block
 
 
@@ -64,6 +68,16 @@ def needed_trees(percent: int) -> int:
     return max(LEAST_TREES, -(-roots // ROOTS_PER_TREE))
 
 
+def least_shared(percent: int, roots: int) -> int:
+    """Root nodes of `roots` that the two of a pair at the limit share, but for a chance of ALONE: each of them with the pair's similarity."""
+    s, missed = percent / 100, 0.0
+    for k in range(roots):
+        missed += math.comb(roots, k) * s**k * (1 - s) ** (roots - k)
+        if missed > ALONE:
+            return k
+    return roots
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Smaller Arrow batches for the jobs inside, whose rows are large."""
@@ -137,21 +151,39 @@ def _pairs(a: np.ndarray, b: np.ndarray, ask: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(np.full(len(both), ask)), pa.array(both[:, 2] > 0)], ["a", "b", "ask", "hub"])
 
 
+NONE = np.iinfo(np.int64).min  # pads lists of nodes
+
+
+def _padded(column: pa.Array) -> np.ndarray:
+    """Lists of nodes as rows of one width."""
+    counts = np.diff(column.offsets.to_numpy())
+    out = np.full((len(column), counts.max(initial=0)), NONE)
+    out[np.arange(out.shape[1]) < counts[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def _below(parts: tuple[np.ndarray, ...]) -> np.ndarray:
+    if parts[0].ndim == 2:
+        width = max(x.shape[1] for x in parts)
+        parts = tuple(np.pad(x, ((0, 0), (0, width - x.shape[1])), constant_values=NONE) if x.shape[1] < width else x for x in parts)
+    return np.concatenate(parts)
+
+
 class _Rows:
-    """Rows of nodes, in order of their blocks, with what can link two of them."""
+    """Rows of nodes, in order of their blocks, with what can link two of them; full: all nodes of the row's member that compare all of their pairs, in order."""
 
-    NAMES = "node block kind place rep n label crowd sig".split()
+    NAMES = "node block kind place rep n label crowd sig full".split()
 
     def __init__(self, columns: list[np.ndarray], percent: int, least: int):
         self.columns, self.percent, self.least = columns, percent, least
-        self.node, self.block, self.kind, self.place, self.rep, self.n, self.label, self.crowd, self.sig = columns
+        self.node, self.block, self.kind, self.place, self.rep, self.n, self.label, self.crowd, self.sig, self.full = columns
 
     @classmethod
     def of(cls, batch: pa.RecordBatch, *limits: int) -> _Rows:
-        return cls([*(batch.column(k).to_numpy(zero_copy_only=False) for k in cls.NAMES[:-1]), _tokens(batch.column("sig"))], *limits)
+        return cls([*(batch.column(k).to_numpy(zero_copy_only=False) for k in cls.NAMES[:-2]), _tokens(batch.column("sig")), _padded(batch.column("full"))], *limits)
 
     def after(self, earlier: list[np.ndarray]) -> _Rows:
-        return _Rows([np.concatenate(x) for x in zip(earlier, self.columns, strict=True)], self.percent, self.least)
+        return _Rows([_below(x) for x in zip(earlier, self.columns, strict=True)], self.percent, self.least)
 
     def at(self, rows: np.ndarray | slice) -> list[np.ndarray]:
         return [x[rows].copy() for x in self.columns]
@@ -167,12 +199,29 @@ class _Rows:
         out[out < self.least] = -1
         return out
 
+    def here(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether no node before this one compares i and j as well: a pair that meets in many nodes is nominated in one."""
+        out = np.ones(len(i), bool)
+        for k in range(0, len(i), 20000):
+            at = np.arange(k, min(k + 20000, len(i)))
+            for c in range(self.full.shape[1]):
+                node = self.full[i[at], c]
+                at, node = at[node < self.node[i[at]]], node[node < self.node[i[at]]]
+                at, node = at[node != NONE], node[node != NONE]
+                met = (self.full[j[at]] == node[:, None]).any(axis=1)
+                out[at[met]] = False
+                at = at[~met]
+                if not len(at):
+                    break
+        return out
+
 
 def _nominated(rows: DataFrame, percent: int, limit: int, least: int) -> DataFrame:
     """(a, b, ask) of members of one node whose signatures agree at `least` coordinates and that have different labels.
 
     All pairs of a node of few members; a member and the likeliest of the first PIVOTS rows of its block in one of STARS larger nodes. In a crowded node
-    outsiders lead (negative place) each block: pairs of outsiders, and each outsider with the crowd's label, as what it is to meet. A task keeps a few rows at a time.
+    outsiders lead (negative place) each block: pairs of outsiders, once, and each outsider with the crowd's label, as what it is to meet. What meets in several small or crowded
+    nodes is nominated in the first of them. A task keeps a few rows at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,6 +235,7 @@ def _nominated(rows: DataFrame, percent: int, limit: int, least: int) -> DataFra
                 for d in range(1, limit):
                     i = np.flatnonzero(t.node[d:] == t.node[:-d])
                     near = i[t.matches(i, i + d) >= 0]
+                    near = near[t.here(near, near + d)]
                     found.append((t.rep[near], t.rep[near + d]))
                 recent = t.at(slice(max(0, len(t.node) - limit), None))
             large = rows_.at(rows_.kind != FEW)
@@ -199,10 +249,11 @@ def _nominated(rows: DataFrame, percent: int, limit: int, least: int) -> DataFra
                 n_leads = np.bincount(number[leads], minlength=len(first))[number]
                 best, of = np.full(len(t.node), -1, np.int32), np.zeros(len(t.node), np.int64)
                 for p in range(int(n_leads.max(initial=0))):
-                    i = np.flatnonzero((n_leads > p) & (order != p))
+                    i = np.flatnonzero((n_leads > p) & np.where(t.kind == CROWDED, (order > p) & (t.place != AGAIN), order != p))
                     j = first[number[i]] + p
                     m = t.matches(i, j)
                     met = np.flatnonzero((m >= 0) & (t.kind[i] == CROWDED))
+                    met = met[t.here(i[met], j[met])]
                     inside = t.label[i[met]] == t.crowd[i[met]]
                     asked.append((t.rep[j[met[inside]]], t.crowd[j[met[inside]]]))
                     found.append((t.rep[i[met[~inside]]], t.rep[j[met[~inside]]]))
@@ -240,16 +291,28 @@ def _branch(rows: DataFrame, step: int, children: int) -> DataFrame:
     return rows.select("node", "rep", "label", "sig").mapInArrow(run, "node long, rep long, label long")
 
 
+def _roots(reps: DataFrame, percent: int, roots: int, limit: int) -> DataFrame:
+    """The root nodes (node, rep, label, members, crowd, outside) of reps (rep, nodes), every representative a component of its own; written.
+
+    A pair at the limit shares least_shared of its roots, so what meets anyone in fewer is left out. Of nodes with the same few members, which are compared alike, one stays.
+    """
+    rows = reps.select("rep", F.explode(F.array_distinct("nodes")).alias("node"))
+    met = rows.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1").select("node")
+    shared = rows.join(met, "node").select("node", "rep", F.count("*").over(Window.partitionBy("rep")).alias("shared"))
+    some = written(shared.filter(F.col("shared") >= least_shared(percent, roots)).select("node", "rep"), "near-roots")
+    who = (F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"who{k}") for k in (0, 1))
+    counts = some.groupBy("node").agg(F.count("*").alias("members"), *who).filter("members > 1")
+    one = counts.groupBy("members", "who0", "who1", F.when(F.col("members") > limit, F.col("node")).alias("large")).agg(F.min("node").alias("node")).select("node", "members")
+    out = written(some.join(one, "node").select("node", "rep", F.col("rep").alias("label"), "members", F.lit(-1).cast("long").alias("crowd"), (F.col("members") - 1).alias("outside")), "near-nodes")
+    discard(some)
+    return out
+
+
 def _labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
     """rows (node, rep) of nodes whose members have several labels, with the `label` of their component, `members` of the node, its most frequent label `crowd`, and `outside`: how many are of others; written.
 
-    rows may have labels already (children have their parents', under the same components); else found gives them, or every representative is a component of its own.
+    rows may have labels already (children have their parents', under the same components); else found gives them.
     """
-    if found is None and "label" not in rows.columns:
-        rows = rows.select("node", "rep")
-        counts = rows.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1")
-        alone = rows.join(counts, "node").select("node", "rep", F.col("rep").alias("label"), "members", F.lit(-1).cast("long").alias("crowd"), (F.col("members") - 1).alias("outside"))
-        return written(alone, "near-nodes")
     own = None
     if found is not None:
         labels = rows.select("node", "rep").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
@@ -264,10 +327,18 @@ def _labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
 
 
 def _kind(limit: int, level: int) -> F.Column:
-    crowded = (F.lit(level) > 0) & (F.col("outside") <= 2 * limit) | F.lit(level >= DEEPEST)
+    crowded = (F.lit(level) > 0) & (F.col("outside") <= CROWD) | F.lit(level >= DEEPEST)
     return F.when(F.col("members") <= limit, FEW).when(crowded, CROWDED).otherwise(MANY)
 
 
+def _full(rows: DataFrame, limit: int, level: int) -> DataFrame:
+    """rows with `full`: in order, their member's nodes that compare all pairs. None at the roots, where of small nodes with the same members one has stayed."""
+    if level == 0:
+        return rows.withColumn("full", F.array().cast("array<long>"))
+    whole = rows.filter(_kind(limit, level) != MANY)
+    return rows.join(whole.groupBy("rep").agg(F.sort_array(F.collect_list("node")).alias("full")), "rep", "left").withColumn("full", F.coalesce("full", F.array().cast("array<long>")))
+
+
 def _dealt(rows: DataFrame, limit: int, level: int) -> DataFrame:
     """rows with kind, block and place. Large nodes fall into blocks; in a crowded one, groups of outsiders lead copies of all blocks."""
     parts = F.ceil(F.col("members") / BLOCK)
@@ -275,11 +346,11 @@ def _dealt(rows: DataFrame, limit: int, level: int) -> DataFrame:
     rows = rows.withColumn("block", F.when(F.col("kind") == FEW, F.lit(0)).otherwise(F.pmod(F.xxhash64("rep", "node", F.lit(level)), parts)).cast("long"))
     if level == 0:
         return rows
-    crowded = rows.filter(F.col("kind") == CROWDED).withColumn("groups", F.ceil(F.col("outside") / (2 * limit))).withColumn("parts", parts)
+    crowded = rows.filter(F.col("kind") == CROWDED).withColumn("groups", F.ceil(F.col("outside") / CROWD)).withColumn("parts", parts)
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    members = crowded.withColumn("group", upto("groups") if level >= DEEPEST else F.lit(0).cast("long"))  # above, outsiders are few
+    members = crowded.filter("label = crowd or groups > 1").withColumn("group", upto("groups") if level >= DEEPEST else F.lit(0).cast("long"))  # above, outsiders are few; those of one group meet each other as its leads
     own = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("groups"))
-    leads = crowded.filter("label <> crowd").withColumn("group", own).withColumn("block", upto("parts")).withColumn("place", F.lit(-1).cast("long"))
+    leads = crowded.filter("label <> crowd").withColumn("group", own).withColumn("block", upto("parts")).withColumn("place", F.when(F.col("block") == 0, FIRST).otherwise(AGAIN).cast("long"))
     both = members.unionByName(leads.select(members.columns)).withColumn("block", F.col("block") + F.col("group") * F.col("parts"))
     return rows.filter(F.col("kind") != CROWDED).unionByName(both.select(rows.columns))
 
@@ -357,19 +428,19 @@ def _component_links(asks: DataFrame, found: DataFrame, here: DataFrame, sigs: D
 RELABEL = 100  # new links are worth new labels on the way if there are more than one to so many labelled documents; this only saves comparisons
 
 
-def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int, limit: int) -> DataFrame:
-    """(id, component) of the representatives (rep, n, nodes, sig) of docs that have a link, as connected_components gives it.
+def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int, roots: int, limit: int) -> DataFrame:
+    """(id, component) of the representatives (rep, n, nodes, sig) of docs that have a link, as connected_components gives it. nodes: `roots` of each.
 
     Level by level: nodes nominate pairs, pairs are confirmed, and nodes that hold several components branch on.
     """
     spread = math.sqrt(COORDINATES * percent * (100 - percent)) / 100
     least = max(1, math.floor(COORDINATES * percent / 100 - 4 * spread))
     sigs = reps.select("rep", "n", "sig")
-    now = _labelled(reps.select("rep", F.explode(F.array_distinct("nodes")).alias("node")), None)
+    now = _roots(reps, percent, roots, limit)
     found, links, level, sets, tried, met = None, None, 0, None, None, None
     while True:
         here = sigs if level == 0 else written(_likely(sigs, now.select("rep"), "rep"), "near-signatures")  # of the documents that this level still looks at
-        told = written(_nominated(_dealt(now, limit, level).join(here, "rep"), percent, limit, least), "near-pairs")
+        told = written(_nominated(_dealt(_full(now, limit, level), limit, level).join(here, "rep"), percent, limit, least), "near-pairs")
         pairs = told.filter("not ask").select("a", "b", "hub")
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")  # a pair that failed stays out: its two sets won't change
         many = now.filter(_kind(limit, level) == MANY)
@@ -401,7 +472,7 @@ def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int
         if not n:
             break
         step, children = steps(percent)[min(level, len(CHILDREN_OF_LEVEL) - 1)]
-        crowded = F.col("outside") <= 2 * limit
+        crowded = F.col("outside") <= CROWD
         below = written(_branch(open_.filter(~crowded).join(here, "rep"), step, children), "near-children", n * children)
         inner = _labelled(below, None)
         rows = written(inner.unionByName(open_.filter(crowded).select(now.columns)), "near-nodes")
@@ -500,7 +571,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: i
     classes = sk.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by("nodes", "doc_id").alias("nodes"), F.min_by("sig", "doc_id").alias("sig"))
     reps = written(classes.withColumnRenamed("n_shingles", "n"), "near-classes")
     members = written(sk.select("doc_id", "n_shingles", "h1", "h2").join(reps.select("rep", "h1", "h2", F.col("n").alias("n_shingles")), ["h1", "h2", "n_shingles"], "left").select("doc_id", "n_shingles", "rep"), "near-members")
-    found = linked_components(reps, docs, width, percent, limit)
+    found = linked_components(reps, docs, width, percent, trees * ROOTS_PER_TREE, limit)
     discard(sk, reps)
     out = members.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     out = out.withColumn("component_id", F.coalesce("component", "rep", "doc_id"))

@@ -1,7 +1,9 @@
 """Cases in which an operator once did less than the whole job."""
 
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +135,50 @@ def test_a_changed_recipe_is_refused(spark, tmp_path):
             spark.read.parquet(f"{whole}/{part}").write.parquet(f"{folder}/{part}")
         with pytest.raises(ValueError):
             tokenstore.read_store(spark, folder).collect()
+
+
+def test_roots_that_pairs_share():
+    for percent, roots in ((80, 18), (85, 18), (50, 28)):
+        least, s = neardup.least_shared(percent, roots), percent / 100
+        missed = [sum(math.comb(roots, k) * s**k * (1 - s) ** (roots - k) for k in range(below)) for below in (least, least + 1)]
+        assert missed[0] <= neardup.ALONE < missed[1]
+
+
+def test_common_passage_and_copies_at_the_roots(spark):
+    """Of a passage in all texts, no root node is left; near copies alone have one."""
+    passage = [f"p{k}" for k in range(30)]
+    texts = [" ".join(passage + [f"o{i}_{k}" for k in range(90)]) for i in range(60)]
+    texts += [f"{t} end{i}" for i, t in enumerate(texts[:10])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    roots = neardup.needed_trees(85) * neardup.ROOTS_PER_TREE
+    reps = neardup.sketches(docs, 3, neardup.needed_trees(85)).withColumnRenamed("doc_id", "rep")
+    rows = neardup._roots(reps, 85, roots, 16).collect()
+    of = {}
+    for r in rows:
+        of.setdefault(r.node, set()).add(r.rep)
+    assert {(i, 60 + i) for i in range(10)} <= {tuple(sorted(x)) for x in of.values()}
+    few = [tuple(sorted(x)) for x in of.values() if len(x) <= 16]
+    assert len(few) == len(set(few)) and {r.rep for r in rows} <= {*range(10), *range(60, 70)}
+
+
+def test_families_are_not_branched_and_pairs_nominated_once(spark, monkeypatch):
+    """A template with many changes in each text: below the limit, in all roots. Before, every text made children in every root."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(600)]
+    texts = []
+    for i in range(150):
+        words = list(base)
+        for k in rng.sample(range(3, 597), 14):
+            words[k] = f"x{i}_{k}"
+        texts.append(" ".join(words))
+    linked, want = components(texts, 3, 85)
+    made, branch = [], neardup._branch
+    monkeypatch.setattr(neardup, "_branch", lambda *a: made.append((out := branch(*a)).count()) or out)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 3, 85).collect()}
+    assert got == want and sum(made) <= len(texts)
+    sig = np.zeros((4, neardup.COORDINATES), np.uint8)
+    column = lambda *x: np.array(x)
+    full = np.array([[3, 5, neardup.NONE], [3, 5, 8], [3, 5, neardup.NONE], [5, 8, neardup.NONE]])
+    rows = neardup._Rows([column(5, 5, 3, 5), column(0, 0, 0, 0), column(0, 0, 0, 0), column(1, 2, 3, 4), column(1, 2, 1, 4), column(9, 9, 9, 9), column(1, 2, 1, 4), column(0, 0, 0, 0), sig, full], 85, 92)
+    assert rows.here(column(0, 0, 1), column(1, 3, 3)).tolist() == [False, True, True]
