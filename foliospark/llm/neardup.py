@@ -6,7 +6,7 @@ that it has at coordinates chosen by the node. A pair at the limit shares nearly
 of them has no partner and goes no further. Nodes of at most `limit` members are compared exhaustively, one of those with the same members. Members of larger ones
 are compared with a few pivots of their block first; what is linked, by links confirmed on the full shingle sets, is one
 component from then on. A node whose members are all of one component is done; where at most CROWD are of others, those are compared
-with each other and with the whole component, once; any other node branches on. So sketches only nominate pairs, and the only pairs that are left out are those whose
+with each other and with the whole component, once, whose members needn't come to the node for that; any other node branches on. So sketches only nominate pairs, and the only pairs that are left out are those whose
 ends confirmed links have joined already.
 """
 
@@ -31,8 +31,8 @@ _rng = np.random.Generator(np.random.PCG64(7))
 _MULTIPLIERS = _rng.integers(1, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _rng.integers(1, 2**63, 1024, dtype=np.uint64)
 PIVOTS = 8  # that the members of a block of a large node are compared with
-STARS = 3  # of so many large nodes a member nominates its likeliest pivot in one, by key: it is in many, and what has no label yet goes on
-BLOCK = 2048  # members of a large node that are compared in one place, about
+STARS = 3  # of so many large nodes a member comes to one, by key, to nominate its likeliest pivot: it is in many, and what has no label yet goes on
+BLOCK = 2048  # members of a large node for each place where they are compared, about; of these, those come that nominate
 CROWD = 1024  # outsiders of a node that are compared with all of its members: branching would part them, but makes many rows of each member
 PAIRS = "a long, b long, ask boolean, hub boolean"
 FEW, MANY, CROWDED = range(3)  # kinds of nodes
@@ -219,8 +219,8 @@ class _Rows:
 def _nominated(rows: DataFrame, percent: int, limit: int, least: int) -> DataFrame:
     """(a, b, ask) of members of one node whose signatures agree at `least` coordinates and that have different labels.
 
-    All pairs of a node of few members; a member and the likeliest of the first PIVOTS rows of its block in one of STARS larger nodes. In a crowded node
-    outsiders lead (negative place) each block: pairs of outsiders, once, and each outsider with the crowd's label, as what it is to meet. What meets in several small or crowded
+    All pairs of a node of few members; a row of a larger one and the likeliest of the first PIVOTS rows of its block. In a crowded node
+    outsiders lead (negative place) each block: pairs of outsiders, once, and each outsider with the label of those of the crowd that are there, as what it is to meet. What meets in several small or crowded
     nodes is nominated in the first of them. A task keeps a few rows at a time.
     """
 
@@ -259,7 +259,7 @@ def _nominated(rows: DataFrame, percent: int, limit: int, least: int) -> DataFra
                     found.append((t.rep[i[met[~inside]]], t.rep[j[met[~inside]]]))
                     more = (m > best[i]) & (t.kind[i] == MANY)
                     best[i[more]], of[i[more]] = m[more], j[more]
-                one = np.flatnonzero((best >= 0) & (t.place % STARS == 0))
+                one = np.flatnonzero(best >= 0)
                 found.append((t.rep[one], t.rep[of[one]]))
                 leading = t.at(np.flatnonzero(leads & (number == number[-1])))
             for ask, rows_of in ((False, found), (True, asked)):
@@ -331,6 +331,11 @@ def _kind(limit: int, level: int) -> F.Column:
     return F.when(F.col("members") <= limit, FEW).when(crowded, CROWDED).otherwise(MANY)
 
 
+def _by_name() -> F.Column:
+    """Whether a crowded node has more members of its crowd than outsiders: these ask for the crowd by its label then, and its members, which are in many such nodes, stay away."""
+    return F.col("members") > 2 * F.col("outside")
+
+
 def _full(rows: DataFrame, limit: int, level: int) -> DataFrame:
     """rows with `full`: in order, their member's nodes that compare all pairs. None at the roots, where of small nodes with the same members one has stayed."""
     if level == 0:
@@ -340,15 +345,19 @@ def _full(rows: DataFrame, limit: int, level: int) -> DataFrame:
 
 
 def _dealt(rows: DataFrame, limit: int, level: int) -> DataFrame:
-    """rows with kind, block and place. Large nodes fall into blocks; in a crowded one, groups of outsiders lead copies of all blocks."""
-    parts = F.ceil(F.col("members") / BLOCK)
+    """rows with kind, block and place. Large nodes fall into blocks, where of STARS rows one stays; in a crowded one, groups of outsiders lead copies of all blocks.
+
+    Its crowd is left out where outsiders ask for it by name.
+    """
     rows = rows.withColumn("kind", _kind(limit, level)).withColumn("place", F.pmod(F.xxhash64("rep", "node", F.lit(-level)), F.lit(1 << 30)))
+    rows = rows.filter((F.col("kind") != MANY) | (F.col("place") % STARS == 0))
+    parts = F.ceil(F.when((F.col("kind") == CROWDED) & _by_name(), F.col("outside")).otherwise(F.col("members")) / BLOCK)
     rows = rows.withColumn("block", F.when(F.col("kind") == FEW, F.lit(0)).otherwise(F.pmod(F.xxhash64("rep", "node", F.lit(level)), parts)).cast("long"))
     if level == 0:
         return rows
     crowded = rows.filter(F.col("kind") == CROWDED).withColumn("groups", F.ceil(F.col("outside") / CROWD)).withColumn("parts", parts)
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    members = crowded.filter("label = crowd or groups > 1").withColumn("group", upto("groups") if level >= DEEPEST else F.lit(0).cast("long"))  # above, outsiders are few; those of one group meet each other as its leads
+    members = crowded.filter(F.when(F.col("label") == F.col("crowd"), ~_by_name()).otherwise(F.col("groups") > 1)).withColumn("group", upto("groups") if level >= DEEPEST else F.lit(0).cast("long"))  # above, outsiders are few; those of one group meet each other as its leads
     own = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("groups"))
     leads = crowded.filter("label <> crowd").withColumn("group", own).withColumn("block", upto("parts")).withColumn("place", F.when(F.col("block") == 0, FIRST).otherwise(AGAIN).cast("long"))
     both = members.unionByName(leads.select(members.columns)).withColumn("block", F.col("block") + F.col("group") * F.col("parts"))
@@ -451,6 +460,8 @@ def linked_components(reps: DataFrame, docs: DataFrame, width: int, percent: int
             new = confirmed_links(_likely(sets, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), pairs, percent)
         else:
             asks = told.filter("ask").select(F.col("a").alias("rep"), F.col("b").alias("target"))
+            named = now.filter((_kind(limit, level) == CROWDED) & _by_name() & (F.col("label") != F.col("crowd")))
+            asks = asks.unionByName(named.select("rep", F.col("crowd").alias("target"))).distinct()
             asks = written(asks if met is None else asks.join(met, ["rep", "target"], "left_anti"), "near-asks")
             new = confirmed_links(_likely(sets, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), pairs, percent)
             if not asks.isEmpty():

@@ -182,3 +182,26 @@ def test_families_are_not_branched_and_pairs_nominated_once(spark, monkeypatch):
     full = np.array([[3, 5, neardup.NONE], [3, 5, 8], [3, 5, neardup.NONE], [5, 8, neardup.NONE]])
     rows = neardup._Rows([column(5, 5, 3, 5), column(0, 0, 0, 0), column(0, 0, 0, 0), column(1, 2, 3, 4), column(1, 2, 1, 4), column(9, 9, 9, 9), column(1, 2, 1, 4), column(0, 0, 0, 0), sig, full], 85, 92)
     assert rows.here(column(0, 0, 1), column(1, 3, 3)).tolist() == [False, True, True]
+
+
+def test_outsiders_ask_for_a_crowd_by_name(spark, monkeypatch):
+    """150 texts close to each other and 20 that are linked with few of them. Before, all of them came with their signatures to every root node, twice."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(600)]
+
+    def changed(words, k, name):
+        words = list(words)
+        for place in rng.sample(range(3, 597), k):
+            words[place] = f"{name}_{place}"
+        return words
+
+    crowd = [changed(base, 3, f"x{i}") for i in range(150)]
+    texts = [" ".join(x) for x in crowd + [changed(crowd[i], 12, f"y{i}") for i in range(20)]]
+    linked, want = components(texts, 3, 85)
+    assert sum(i >= 150 for i, _ in linked) < 150 and len(set(want.values())) == 1
+    dealt, nominated = [], neardup._nominated
+    monkeypatch.setattr(neardup, "_nominated", lambda rows, *a: dealt.append(rows.count()) or nominated(rows, *a))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 3, 85).collect()}
+    roots = neardup.needed_trees(85) * neardup.ROOTS_PER_TREE
+    assert got == want and len(dealt) > 1 and sum(dealt) < roots * len(texts) / 2, (dealt, roots)
