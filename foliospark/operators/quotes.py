@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from foliospark.functions import text as T
-from foliospark.functions.offsets import offset_map
+from foliospark.functions.offsets import normalised_places
 
 FUZZY = 92.0  # least score of a quote that isn't verbatim
 
@@ -19,77 +22,130 @@ def page_for_offset(page_map: Column, offset: Column) -> Column:
     return F.coalesce(F.try_element_at(before, F.lit(-1))["label"], F.try_element_at(page_map, F.lit(1))["label"])
 
 
-def _common(masks: dict[str, int], n: int, other: str) -> int:
-    """Length of the longest common subsequence of a text, given as the bits of its letters' places, and another; one addition a letter."""
+def _commons(masks: dict[str, int], n: int, other: str) -> list[int]:
+    """Lengths of the longest common subsequences of a text, given as the bits of its letters' places, and each beginning of another; one addition a letter."""
     full = (1 << n) - 1
     state = full
+    out = []
     for c in other:
         hit = state & masks.get(c, 0)
         state = ((state + hit) | (state - hit)) & full
-    return n - state.bit_count()
+        out.append(n - state.bit_count())
+    return out
 
 
-def similarity(quote: str, window: str) -> float:
-    """100 * the best indel similarity of the shorter text with a part of its length of the longer, or a shorter part at its ends."""
-    short, long = sorted((quote, window), key=len)
-    n = len(short)
-    if not n:
-        return 0.0
+def _masks(text: str) -> dict[str, int]:
     masks: dict[str, int] = {}
-    for i, c in enumerate(short):
+    for i, c in enumerate(text):
         masks[c] = masks.get(c, 0) | 1 << i
-    parts = [long[i : i + n] for i in range(len(long) - n + 1)] + [long[:k] for k in range(n - 1, 0, -1)] + [long[-k:] for k in range(n - 1, 0, -1)]
-    best = 0.0
-    for part in parts:
-        if 200.0 * len(part) > best * (n + len(part)):
-            best = max(best, 200.0 * _common(masks, n, part) / (n + len(part)))
+    return masks
+
+
+def similarity(quote: str, window: str, least: float = 0.0) -> float:
+    """100 * the best indel similarity of the shorter text with a part of its length of the longer, or a shorter part at its ends; where that isn't above `least`, `least`.
+
+    From one part of full length to the next the common subsequence grows by one at most, so parts that can't be better are passed over.
+    A shorter part at an end has no more in common than the full one there.
+    """
+    short, long = sorted((quote, window), key=len)
+    n, best = len(short), least
+    if not n:
+        return best
+    masks, full = _masks(short), len(long) - n
+    i, first, last = 0, n, n
+    while i <= full:
+        common = _commons(masks, n, long[i : i + n])[-1]
+        first, last = common if i == 0 else first, min(n, common + full - i)
+        best = max(best, 100.0 * common / n)
+        i += max(1, int(best * n / 100) - common)
+    for most, ends, text in ((first, masks, long), (last, None, long[::-1])):
+        if 200.0 * most / (n + most) > best:
+            for k, common in enumerate(_commons(ends or _masks(short[::-1]), n, text[: n - 1]), 1):
+                best = max(best, 200.0 * common / (n + k))
     return best
 
 
-@F.pandas_udf(DoubleType())
-def _similarity(quote: pd.Series, window: pd.Series) -> pd.Series:
-    return pd.Series([similarity(q, w) for q, w in zip(quote, window, strict=True)], dtype="float64")
+def _spoiled(n: int) -> int:
+    """How many runs of three letters of a text of n letters can be missing from one that reaches FUZZY with it.
+
+    a letters lost spoil three each, b <= a added two each, where a + b is at most 1 - FUZZY / 100 of the letters of both.
+    """
+    share = 1 - FUZZY / 100
+    lost = range(int(2 * n * share / (1 + share) + 1e-9) + 1)
+    return max((3 * a + 2 * min(a, int((2 * n * share - (1 + share) * a) / (1 - share) + 1e-9)) for a in lost), default=0)
 
 
-def _trigrams(text: Column) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 2, F.lit(1))), lambda i: F.substr(text, i, F.lit(3))))
+_KINDS = 1 << 16
 
 
-def fuzzy_windows(rest: DataFrame) -> DataFrame:
-    """case_id, quote_id, at (from 0) and score of the first best window of each of rest (case_id, quote_id, q, norm_text).
+def _runs(text: str) -> np.ndarray:
+    """A number below _KINDS for each three letters in a row: equal runs have equal ones."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    return (((c[:-2] << 42 | c[1:-1] << 21 | c[2:]) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)
 
-    Windows begin every quarter of the quote (20 characters at least) and are a step longer than it. One that shares too few runs of three letters for a
-    score of FUZZY isn't scored: 8 % of letters lost and as many added spoil at most three kinds of runs each.
+
+def best_window(quote: str, text: str, runs: np.ndarray) -> tuple[int, float] | None:
+    """Place (from 0) and score of the first best window that reaches FUZZY, if any does. runs: those of the text.
+
+    Windows begin every quarter of the quote (20 characters at least) and are a step longer than it. One that holds too few of the quote's
+    runs of three letters for FUZZY isn't scored; of a text shorter than the quote, its own runs are looked for in the quote.
     """
-    step = F.greatest(F.lit(20), F.floor(F.length("q") / 4).cast("int"))
-    last = F.greatest(F.lit(0), F.length("norm_text") - F.length("q"))
-    d = rest.filter("q <> '' and norm_text <> ''").withColumn("step", step).withColumn("own", _trigrams(F.col("q")))
-    d = d.select("case_id", "quote_id", "q", "own", F.explode(F.transform(F.sequence(F.lit(0), last, F.col("step")), lambda i: F.struct(i.alias("at"), F.substr("norm_text", i + 1, F.length("q") + F.col("step")).alias("window")))).alias("w"))
-    least = F.size("own") - 6 * F.ceil(F.length("q") * ((100 - FUZZY) / 100) + 1)
-    may = d.filter((least <= 0) | (F.size(F.array_intersect("own", _trigrams(F.col("w.window")))) >= least))
-    scored = may.select("case_id", "quote_id", F.col("w.at").alias("at"), _similarity("q", "w.window").alias("score"))
-    return scored.groupBy("case_id", "quote_id").agg(F.max(F.struct("score", -F.col("at"))).alias("b")).select("case_id", "quote_id", (-F.col("b.col2")).alias("at"), F.col("b.score").alias("score"))
+    n, step = len(quote), max(20, len(quote) // 4)
+    starts = np.arange(0, max(0, len(text) - n) + 1, step)
+    short = min(n, len(text))
+    need = short - 2 - _spoiled(short)
+    if need > 0:
+        own = np.zeros(_KINDS, bool)
+        own[_runs(quote)] = True
+        held = np.concatenate(([0], np.cumsum(own[runs])))
+        ends = np.minimum(starts + n + step - 2, len(runs))
+        starts = starts[held[ends] - held[starts] >= need]
+    found, best = None, math.nextafter(FUZZY, 0)
+    for at in starts.tolist():
+        score = similarity(quote, text[at : at + n + step], best)
+        if score > best:
+            found, best = (at, score), score
+            if score == 100:
+                break
+    return found
+
+
+@F.pandas_udf(StructType([StructField("at", IntegerType()), StructField("score", DoubleType())]))
+def _best_windows(quote: pd.Series, text: pd.Series) -> pd.DataFrame:
+    out, last, runs = [], None, None
+    for q, t in zip(quote, text, strict=True):
+        if t and q and t != last:  # a case's quotes come one after another
+            last, runs = t, _runs(t) if len(t) > 2 else np.zeros(0, np.int64)
+        out.append((t and q and best_window(q, t, runs)) or (None, None))
+    return pd.DataFrame(out, columns=["at", "score"]).astype({"at": "Int32", "score": "float64"})
+
+
+@F.pandas_udf(StructType([StructField("raw_start", IntegerType()), StructField("raw_end", IntegerType())]))
+def _raw_spans(raw: pd.Series, place: pd.Series, length: pd.Series, verbatim: pd.Series) -> pd.DataFrame:
+    out, last, places = [], None, None
+    for text, at, n, exact in zip(raw, place, length, verbatim, strict=True):
+        if text is not None and text != last:
+            last, places = text, normalised_places(text)
+        if text is None or not len(places):
+            out.append((None, None))
+            continue
+        start = int(places[min(int(at), len(places) - 1)])
+        out.append((start, int(places[min(int(at + n), len(places)) - 1]) + 1 if exact else start + int(n)))
+    return pd.DataFrame(out, columns=["raw_start", "raw_end"]).astype("Int32")
 
 
 def checked_quotes(quotes: DataFrame, cases: DataFrame) -> DataFrame:
     """quotes (case_id, quote_id, text) with status (verified, verified-fuzzy, failed), place (from 0, in the normalised text), score, raw_start, raw_end and page.
 
     cases: case_id, raw_text, norm_text and page_map (array of offset and label). The span of a verbatim quote ends with its last character, that of a fuzzy one after
-    as many characters as the quote has. Only quotes that aren't verbatim are looked for in windows, and only texts of verified quotes get their offsets.
+    as many characters as the quote has. Texts meet their quotes in one join; only quotes that aren't verbatim are looked for in windows, and only texts of verified quotes get their offsets.
     """
-    texts = cases.select("case_id", "norm_text")
-    d = quotes.select("case_id", "quote_id", F.coalesce(T.normalise(F.col("text")), F.lit("")).alias("q")).join(texts, "case_id", "left")
+    d = quotes.select("case_id", "quote_id", F.coalesce(T.normalise(F.col("text")), F.lit("")).alias("q")).join(cases.select("case_id", "norm_text", "raw_text", "page_map"), "case_id", "left")
     d = d.withColumn("place", F.when(F.col("q") != "", F.coalesce(F.expr("locate(q, norm_text)"), F.lit(0))).otherwise(0) - 1)
-    fuzzy = fuzzy_windows(d.filter("place < 0")).filter(F.col("score") >= FUZZY)
-    d = d.drop("norm_text").join(fuzzy, ["case_id", "quote_id"], "left")
-    status = F.when(F.col("place") >= 0, "verified").when(F.col("score").isNotNull(), "verified-fuzzy").otherwise("failed")
-    d = d.withColumn("status", status).withColumn("score", F.when(F.col("status") == "verified", 100.0).otherwise(F.col("score")))
-    d = d.withColumn("place", F.when(F.col("status") == "verified", F.col("place")).otherwise(F.col("at")).cast("int")).withColumn("n", F.length("q"))
-    needed = d.filter("status <> 'failed'").select("case_id").distinct()
-    mapped = cases.join(needed, "case_id", "left_semi").select("case_id", "page_map", offset_map(F.col("raw_text")).alias("offsets"))
-    d = d.select("case_id", "quote_id", "status", "place", "score", "n").join(mapped, "case_id", "left")
-    end = F.least(F.col("place") + F.col("n"), F.size("offsets"))
-    d = d.withColumn("raw_start", F.when(F.col("place").isNotNull(), F.get("offsets", F.least(F.col("place"), F.size("offsets") - 1))))
-    d = d.withColumn("raw_end", F.when(F.col("status") == "verified", F.get("offsets", end - 1) + 1).otherwise(F.col("raw_start") + F.col("n")))
-    return d.select("case_id", "quote_id", "status", "place", "score", "raw_start", "raw_end", F.when(F.col("raw_start").isNotNull(), page_for_offset(F.col("page_map"), F.col("raw_start"))).alias("page"))
-
+    verbatim = F.col("place") >= 0
+    d = d.withColumn("best", _best_windows("q", F.when(~verbatim & (F.col("q") != ""), F.col("norm_text")))).drop("norm_text")
+    d = d.withColumn("status", F.when(verbatim, "verified").when(F.col("best.score").isNotNull(), "verified-fuzzy").otherwise("failed"))
+    d = d.withColumn("score", F.when(verbatim, 100.0).otherwise(F.col("best.score"))).withColumn("place", F.when(verbatim, F.col("place")).otherwise(F.col("best.at")))
+    d = d.withColumn("span", _raw_spans(F.when(F.col("place").isNotNull(), F.col("raw_text")), F.coalesce("place", F.lit(0)), F.length("q"), F.col("status") == "verified"))
+    start = F.col("span.raw_start")
+    return d.select("case_id", "quote_id", "status", "place", "score", start.alias("raw_start"), F.col("span.raw_end").alias("raw_end"), F.when(start.isNotNull(), page_for_offset(F.col("page_map"), start)).alias("page"))

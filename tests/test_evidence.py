@@ -1,7 +1,9 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
+from foliospark.functions import offsets
 from foliospark.operators import evidence as E
 from foliospark.operators import folding, patches, quotes
 
@@ -36,6 +38,31 @@ def test_quotes_with_spans_and_pages(spark):
     assert out[2].page is None and out[2].raw_start is None
 
 
+def test_a_text_shorter_than_its_quote_is_looked_for_in_the_quote(spark):
+    text = "held the house for a year"
+    case = spark.createDataFrame([(1, text, text, [(0, "1")])], "case_id long, raw_text string, norm_text string, page_map array<struct<offset:int,label:string>>")
+    q = spark.createDataFrame([(1, 1, "the tenant, who paid rent weekly, " + text + " and then left the town for good, as he said"), (2, 1, "of no case")], "case_id long, quote_id long, text string")
+    assert [(r.status, r.place, r.score, r.raw_start, r.page) for r in quotes.checked_quotes(q, case).orderBy("case_id").collect()] == [("verified-fuzzy", 0, 100.0, 0, "1"), ("failed", None, None, None, None)]
+
+
+def test_windows_are_scored_only_where_they_can_reach_the_limit(monkeypatch):
+    text = "no man shall keep an inn, or such a house as this, anywhere in the said town; the words of the act are plain at all points. " * 20
+    quote, scored = "no such words anywhere at all", []
+    exact = quotes.similarity
+    monkeypatch.setattr(quotes, "similarity", lambda *a: scored.append(a) or exact(*a))
+    assert quotes.best_window(quote, text, quotes._runs(text)) is None and len(scored) < 5
+    damaged = text[:700] + " no such wrds anywhere, at all " + text[700:]
+    got = quotes.best_window(quote, damaged, quotes._runs(damaged))
+    assert got == max(((at, exact(quote, damaged[at : at + 49])) for at in range(0, len(damaged) - 28, 20)), key=lambda x: (x[1], -x[0]))
+
+
+def test_places_of_a_whole_text_are_those_of_its_letters():
+    rng = random.Random(5)
+    for _ in range(500):
+        raw = "".join(rng.choice("ab-  \n\t’“—ſﬁ■İA é.-") for _ in range(rng.randint(0, 25)))
+        assert offsets.normalised_places(raw).tolist() == offsets.normalised_offsets(raw)[1]
+
+
 def test_wilson_and_kappa(spark):
     row = spark.createDataFrame([(10, 20)], "k long, n long").select(E.wilson(F.col("k"), F.col("n")).alias("w")).first().w
     assert round(row.lo, 4) == 0.2993 and round(row.hi, 4) == 0.7007
