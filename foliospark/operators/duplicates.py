@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
+from foliospark.session import written
 
 GROUP_KEYS = ("jurisdiction", "court", "year", "name_key")
+#: Members of a group that meet one copy of its winner, rows of a partition in which they meet, and most groups that are broadcast (about 100 bytes each).
+PIECE, PARTITION, BROADCAST = 256, 20_000, 500_000
 LEAST_NAME, LEAST_SHINGLES, SIZE_RATIO = 6, 50, (0.5, 2.0)
 
 
@@ -34,47 +37,52 @@ def citation_duplicates(citations: DataFrame, official: DataFrame) -> DataFrame:
 
 
 def candidate_groups(cases: DataFrame) -> DataFrame:
-    """Members of groups that share jurisdiction, court, year and name (6 characters at least) and have more than one reporter."""
+    """Members of groups that share jurisdiction, court, year and name (6 characters at least) and have more than one reporter, with their group's winner and the number of its members (`n_members`).
+
+    The groups are written first and their number is known then: up to BROADCAST of them go to all executors, and no case moves to find its group.
+    """
     d = cases.withColumn("name_key", T.group_name(F.col("name"))).filter(F.length("name_key") >= LEAST_NAME)
     d = d.withColumns({k: F.coalesce(k, F.lit("")) for k in ("jurisdiction", "court")}).withColumn("year_key", F.coalesce("year", F.lit(-1)))
     keys = ["jurisdiction", "court", "year_key", "name_key"]
-    groups = d.groupBy(*keys).agg(F.min("reporter").alias("r1"), F.max("reporter").alias("r2"), F.min(F.struct(~F.col("official"), "case_id")).alias("w"))
-    several = groups.filter(~F.col("r1").eqNullSafe(F.col("r2"))).select(*keys, F.col("w.case_id").alias("winner"))
-    return d.join(several, keys).drop("year_key")
+    groups = d.groupBy(*keys).agg(F.min("reporter").alias("r1"), F.max("reporter").alias("r2"), F.min(F.struct(~F.col("official"), "case_id")).alias("w"), F.count("*").alias("n_members"))
+    several = written(groups.filter(~F.col("r1").eqNullSafe(F.col("r2"))).select(*keys, F.col("w.case_id").alias("winner"), "n_members"), "groups")
+    return d.join(F.broadcast(several) if several.count() <= BROADCAST else several, keys).drop("year_key")
+
+
+def _shingles(words: Column, n: int) -> Column:
+    """Hashes of the kinds of n words in a row, straight from the words' places, without an array for each."""
+    run = lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(n)))
+    runs = F.when(F.size(words) >= n, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(words) - n), run)))
+    return F.coalesce(runs, F.array().cast("array<bigint>"))
 
 
 def scored_pairs(members: DataFrame) -> DataFrame:
     """Each member against its group's winner: containment of 3- and 5-word shingles (4 places) and the guards.
 
-    The winner is the official case of lowest id, else the lowest id. Shingles are compared as 64-bit hashes, one row each, so no
-    array of them is shuffled and no group is gathered in one task.
+    The winner is the official case of lowest id, else the lowest id. Shingles are compared as 64-bit hashes. Only texts of members move, each once: at most
+    about PIECE of a group meet a copy of their winner's shingles, so no group is gathered in one task. The pairs are written once.
     """
-    words = members.select("case_id", "winner", T.plain_words(F.col("norm_text")).alias("w"))
-
-    def runs(n: int) -> Column:
-        """Hashes of every n words in a row, straight from the words' places, without an array for each."""
-        words = lambda i: F.xxhash64(*(F.get("w", i + k) for k in range(n)))
-        return F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.struct(F.lit(n).alias("width"), words(i).alias("h"))))
-
-    empty = F.array().cast("array<struct<width:int,h:bigint>>")
-    rows = words.select("case_id", "winner", F.explode(F.concat(F.coalesce(runs(3), empty), F.coalesce(runs(5), empty))).alias("s")).select("case_id", "winner", "s.width", "s.h").distinct()
-    won = rows.filter("case_id = winner").select("winner", "width", "h", F.lit(1).alias("hit"))
-    hits = rows.join(won, ["winner", "width", "h"], "left").groupBy("case_id").agg(
-        *(F.sum(F.when(F.col("width") == n, F.col("hit"))).alias(f"both{n}") for n in (3, 5)), *(F.count_if(F.col("width") == n).alias(f"n{n}") for n in (3, 5))
-    )
-    d = members.select("case_id", "winner", "decision_date").join(hits, "case_id", "left").fillna(0, ["both3", "both5", "n3", "n5"])
-    first = d.filter("case_id = winner").select("winner", F.col("decision_date").alias("wd"), F.col("n3").alias("w3"), F.col("n5").alias("w5"))
-    both = d.filter("case_id <> winner").join(first, "winner")
-    contained = lambda n: F.bround(F.when(F.least(f"n{n}", f"w{n}") > 0, F.col(f"both{n}") / F.least(f"n{n}", f"w{n}")).otherwise(0.0), 4).alias(f"c{n}")
-    n, m = F.col("w5"), F.col("n5")
-    return both.select(
-        "winner",
-        F.col("case_id").alias("loser"),
-        contained(3),
-        contained(5),
-        T.dates_compatible(F.col("wd"), F.col("decision_date")).alias("date_ok"),
-        ((n > 0) & (m > 0) & (n >= SIZE_RATIO[0] * m) & (n <= SIZE_RATIO[1] * m)).alias("size_ok"),
-        (F.least(n, m) >= LEAST_SHINGLES).alias("long_enough"),
+    pieces = F.ceil(F.col("n_members") / PIECE).cast("int")
+    parts = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), members.count() // PARTITION + 1)
+    d = members.withColumn("w", T.plain_words(F.col("norm_text")))
+    first = d.filter("case_id = winner").select("winner", F.col("decision_date").alias("wd"), _shingles(F.col("w"), 3).alias("w3"), _shingles(F.col("w"), 5).alias("w5"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"))
+    others = members.filter("case_id <> winner").select("case_id", "winner", "decision_date", "norm_text", F.pmod(F.xxhash64("case_id"), pieces).cast("int").alias("piece"))
+    both = others.repartition(parts, "winner", "piece").join(first.repartition(parts, "winner", "piece"), ["winner", "piece"])
+    both = both.withColumn("w", T.plain_words(F.col("norm_text"))).select("winner", "case_id", "decision_date", "wd", "w3", "w5", _shingles(F.col("w"), 3).alias("s3"), _shingles(F.col("w"), 5).alias("s5"))
+    both = both.select("winner", "case_id", "decision_date", "wd", *(F.size(f"{x}{n}").alias(f"{y}{n}") for x, y in (("w", "m"), ("s", "n")) for n in (3, 5)), *(F.size(F.array_intersect(f"s{n}", f"w{n}")).alias(f"both{n}") for n in (3, 5)))
+    contained = lambda n: F.bround(F.when(F.least(f"n{n}", f"m{n}") > 0, F.col(f"both{n}") / F.least(f"n{n}", f"m{n}")).otherwise(0.0), 4).alias(f"c{n}")
+    n, m = F.col("m5"), F.col("n5")
+    return written(
+        both.select(
+            "winner",
+            F.col("case_id").alias("loser"),
+            contained(3),
+            contained(5),
+            T.dates_compatible(F.col("wd"), F.col("decision_date")).alias("date_ok"),
+            ((n > 0) & (m > 0) & (n >= SIZE_RATIO[0] * m) & (n <= SIZE_RATIO[1] * m)).alias("size_ok"),
+            (F.least(n, m) >= LEAST_SHINGLES).alias("long_enough"),
+        ),
+        "pairs",
     )
 
 

@@ -48,8 +48,16 @@ def _labelled(s, d):
     return _pairs(s, d).withColumn("label", F.expr(LABEL))
 
 
+def _marked(pairs):
+    return pairs.filter("c5 >= 0.5").select("loser", "winner", F.expr("case when loser % 2 = 0 then 'even' else 'odd' end").alias("method"))
+
+
 def _marks(s, d):
-    return _pairs(s, d).filter("c5 >= 0.5").select("loser", "winner", F.expr("case when loser % 2 = 0 then 'even' else 'odd' end").alias("method"))
+    return _marked(_pairs(s, d))
+
+
+def _applied(pairs):
+    return D.apply_merges(pairs.filter("c3 >= 0.3"), _marked(pairs).filter("method = 'even'"))
 
 
 def _ledger(s, d):
@@ -96,7 +104,7 @@ QUERIES = {
         SELECT measure, min(x) AS bound, count(*) AS merged FROM m JOIN w USING (measure) WHERE worst IS NULL OR x > worst GROUP BY measure ORDER BY merged DESC, measure DESC LIMIT 1""",
     ),
     "b12_apply_merges": (
-        lambda s, d: D.apply_merges(_pairs(s, d).filter("c3 >= 0.3"), _marks(s, d).filter("method = 'even'")),
+        lambda s, d: _applied(_pairs(s, d)),
         f"""WITH {PAIRS}, {MARKS}, m AS (SELECT * FROM marks WHERE method = 'even'), p AS (SELECT DISTINCT loser, winner FROM pairs WHERE c3 >= 0.3), t AS (SELECT winner FROM p UNION SELECT winner FROM m)
         SELECT p.loser, p.winner, CASE WHEN m.winner = p.winner THEN 'recorded' WHEN m.winner IS NOT NULL OR p.winner IN (SELECT loser FROM m) THEN 'stale'
           WHEN p.loser IN (SELECT winner FROM t) THEN 'target' ELSE 'merged' END AS outcome FROM p LEFT JOIN m ON m.loser = p.loser""",

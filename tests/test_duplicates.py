@@ -1,3 +1,5 @@
+import random
+
 from foliospark.operators import duplicates as D
 
 
@@ -14,3 +16,28 @@ def test_merge_then_undo(spark):
     rows = spark.createDataFrame([(1,), (2,)], "case_id long")
     got = sorted(((r.case_id, r.merged_from) for r in D.redirect(rows, marks).collect()), key=str)
     assert got == [(1, 2), (1, None)]
+
+
+def records_shuffled(spark):
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_pairs_of_a_large_group_move_texts_not_shingles(spark):
+    rng = random.Random(2)
+    n, words = 2 * D.PIECE + 88, ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(40)]
+    base = [rng.choice(words) for _ in range(120)]
+    texts = [" ".join(rng.choice(words) if rng.random() < i / n else w for w in base) for i in range(n)] + ["", "two words", None]
+    rows = [(i, "case of a name", "en", None, "all", f"rep{i % 3}", i % 5 == 3, ("1900", "1900-01", None)[i % 3], t) for i, t in enumerate(texts)]
+    rows += [(1000, "one reporter", "en", None, "all", "rep1", True, None, "x"), (1001, "one reporter", "en", None, "all", "rep1", True, None, "x")]
+    c = spark.createDataFrame(rows, "case_id long, name string, court string, year int, jurisdiction string, reporter string, official boolean, decision_date string, norm_text string")
+    before = records_shuffled(spark)
+    got = {r.loser: r for r in D.scored_pairs(D.candidate_groups(c)).collect()}
+    assert records_shuffled(spark) - before < 10 * len(rows)
+    kinds = lambda t, k: {tuple((t or "").split()[i : i + k]) for i in range(len((t or "").split()) - k + 1)}
+    assert sorted(got) == [i for i in range(len(texts)) if i != 3] and {r.winner for r in got.values()} == {3}
+    for i, r in got.items():
+        for k, x in ((3, r.c3), (5, r.c5)):
+            a, b = kinds(texts[i], k), kinds(texts[3], k)
+            assert abs(x - (len(a & b) / min(len(a), len(b)) if a and b else 0)) <= 0.5e-4 + 1e-9
+        assert r.date_ok == (i % 3 < 2)
