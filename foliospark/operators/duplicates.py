@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
-from foliospark.session import written
+from foliospark.session import shuffles_removed, written
 
 GROUP_KEYS = ("jurisdiction", "court", "year", "name_key")
 #: Members of a group that meet one copy of its winner, rows of a partition in which they meet, and most groups that are broadcast (about 100 bytes each).
@@ -45,7 +45,9 @@ def candidate_groups(cases: DataFrame) -> DataFrame:
     d = d.withColumns({k: F.coalesce(k, F.lit("")) for k in ("jurisdiction", "court")}).withColumn("year_key", F.coalesce("year", F.lit(-1)))
     keys = ["jurisdiction", "court", "year_key", "name_key"]
     groups = d.groupBy(*keys).agg(F.min("reporter").alias("r1"), F.max("reporter").alias("r2"), F.min(F.struct(~F.col("official"), "case_id")).alias("w"), F.count("*").alias("n_members"))
-    several = written(groups.filter(~F.col("r1").eqNullSafe(F.col("r2"))).select(*keys, F.col("w.case_id").alias("winner"), "n_members"), "groups")
+    several = groups.filter(~F.col("r1").eqNullSafe(F.col("r2"))).select(*keys, F.col("w.case_id").alias("winner"), "n_members")
+    with shuffles_removed(cases.sparkSession):
+        several = written(several, "groups")
     return d.join(F.broadcast(several) if several.count() <= BROADCAST else several, keys).drop("year_key")
 
 
@@ -72,18 +74,17 @@ def scored_pairs(members: DataFrame) -> DataFrame:
     both = both.select("winner", "case_id", "decision_date", "wd", *(F.size(f"{x}{n}").alias(f"{y}{n}") for x, y in (("w", "m"), ("s", "n")) for n in (3, 5)), *(F.size(F.array_intersect(f"s{n}", f"w{n}")).alias(f"both{n}") for n in (3, 5)))
     contained = lambda n: F.bround(F.when(F.least(f"n{n}", f"m{n}") > 0, F.col(f"both{n}") / F.least(f"n{n}", f"m{n}")).otherwise(0.0), 4).alias(f"c{n}")
     n, m = F.col("m5"), F.col("n5")
-    return written(
-        both.select(
-            "winner",
-            F.col("case_id").alias("loser"),
-            contained(3),
-            contained(5),
-            T.dates_compatible(F.col("wd"), F.col("decision_date")).alias("date_ok"),
-            ((n > 0) & (m > 0) & (n >= SIZE_RATIO[0] * m) & (n <= SIZE_RATIO[1] * m)).alias("size_ok"),
-            (F.least(n, m) >= LEAST_SHINGLES).alias("long_enough"),
-        ),
-        "pairs",
+    pairs = both.select(
+        "winner",
+        F.col("case_id").alias("loser"),
+        contained(3),
+        contained(5),
+        T.dates_compatible(F.col("wd"), F.col("decision_date")).alias("date_ok"),
+        ((n > 0) & (m > 0) & (n >= SIZE_RATIO[0] * m) & (n <= SIZE_RATIO[1] * m)).alias("size_ok"),
+        (F.least(n, m) >= LEAST_SHINGLES).alias("long_enough"),
     )
+    with shuffles_removed(members.sparkSession):
+        return written(pairs, "pairs")
 
 
 def guarded(pairs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
 from foliospark.operators.postings import add_cases
-from foliospark.session import exists, shared_dir, spread, table
+from foliospark.session import exists, shared_dir, shuffles_removed, spread, table
 
 ERAS = [("early", 1994), ("middle", 1996), ("late", 1999)]
 
@@ -23,7 +23,8 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cases as loaded: normalised once, by the first query that asks for them, and read by all others, which then read only the columns they need."""
     path = _stored(spark, sf_dir, "cases")
     if not exists(spark, f"{path}/_SUCCESS"):
-        normalised_cases(spark, sf_dir).write.mode("overwrite").parquet(path)
+        with shuffles_removed(spark):
+            normalised_cases(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +64,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/foliospark-{name}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Removes the shuffle files of each write inside as soon as it ends, where else they stay until the driver happens to collect garbage. For tables of which a text is moved."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 ROWS_A_FILE = 50_000
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 from foliospark.operators import duplicates as D
 
@@ -41,3 +42,20 @@ def test_pairs_of_a_large_group_move_texts_not_shingles(spark):
             a, b = kinds(texts[i], k), kinds(texts[3], k)
             assert abs(x - (len(a & b) / min(len(a), len(b)) if a and b else 0)) <= 0.5e-4 + 1e-9
         assert r.date_ok == (i % 3 < 2)
+
+
+def shuffle_bytes(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [blocks.apply(i) for i in range(blocks.size())]
+    return sum(f.length() for f in files if f.getName().startswith("shuffle_"))
+
+
+def test_texts_that_were_moved_leave_the_disk_once_pairs_are_written(spark):
+    words = [f"{random.Random(i).getrandbits(64):x}" for i in range(4000)]
+    rows = [(i, "case of a name", "en", None, "all", f"rep{i % 3}", i == 0, None, " ".join(words[i * 10 : i * 10 + 300])) for i in range(300)]
+    c = spark.createDataFrame(rows, "case_id long, name string, court string, year int, jurisdiction string, reporter string, official boolean, decision_date string, norm_text string")
+    before, end = shuffle_bytes(spark), time.time() + 20
+    pairs = D.scored_pairs(D.candidate_groups(c))
+    while shuffle_bytes(spark) - before > 20_000 and time.time() < end:
+        time.sleep(0.5)
+    assert shuffle_bytes(spark) - before <= 20_000 and pairs.count() == 299
