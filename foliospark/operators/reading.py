@@ -126,9 +126,10 @@ def screen_remainder(ranked: DataFrame, attempted: DataFrame) -> DataFrame:
 
 
 def rebatched(hits: DataFrame, prefix: str, size: int = UNIT) -> DataFrame:
-    """case_id, batch_id and place: hits (cell, case_id) in order of id in new batches of their cell."""
+    """case_id, batch_id and place: hits (cell, case_id) in order of id in new batches of their cell, numbered with three digits or, beyond 999, as many as there are."""
     d = numbered(hits.select("cell", "case_id"), ["cell"], [F.col("case_id")], "rn")
-    return d.select("case_id", F.concat(F.lit(prefix), F.lit("-"), "cell", F.lit("-"), F.lpad((F.floor((F.col("rn") - 1) / size) + 1).cast("string"), 3, "0")).alias("batch_id"), ((F.col("rn") - 1) % size).cast("int").alias("place"))
+    number = (F.floor((F.col("rn") - 1) / size) + 1).cast("string")
+    return d.select("case_id", F.concat(F.lit(prefix), F.lit("-"), "cell", F.lit("-"), F.lpad(number, F.greatest(F.length(number), F.lit(3)), F.lit("0"))).alias("batch_id"), ((F.col("rn") - 1) % size).cast("int").alias("place"))
 
 
 def reread_plan(cases: DataFrame, run: str, size: int = UNIT) -> DataFrame:
