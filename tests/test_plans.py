@@ -22,3 +22,13 @@ def test_more_than_999_batches_of_a_cell(spark, tmp_path):
     ids = reading.rebatched(spark.read.parquet(f"{tmp_path}/orders.parquet").selectExpr("o_orderpriority as cell", "o_orderkey as case_id"), "screen")
     assert ids.groupBy("batch_id").count().filter("count > 18").isEmpty()
     assert {r.batch_id for r in ids.filter("case_id in (0, 1, 18599)").collect()} == {"screen-2-B-001", "screen-1-A-001", "screen-1-A-1008"}
+
+
+#: prices of which 1,000 parts end in a 5 that is less in binary: 0.284 and 0.285 are both 0.28 in SQL
+PRICES = "select i as o_orderkey, 'F' as o_orderstatus, '1-A' as o_orderpriority, 2 * i + 1 as o_custkey, (289 - i)::double as o_totalprice from range(9) t(i)"
+
+
+def test_scores_of_capped_cells_are_rounded_as_in_sql(spark, tmp_path):
+    orders = f"select * replace (case o_orderkey when 3 then 286 when 4 then 284 when 5 then 285 else o_totalprice end::double as o_totalprice) from ({PRICES})"
+    got, want = rows_and_sql(spark, tmp_path, "h2_capped_cells", orders)
+    assert got == want and len(got) == 9
