@@ -32,3 +32,9 @@ def test_scores_of_capped_cells_are_rounded_as_in_sql(spark, tmp_path):
     orders = f"select * replace (case o_orderkey when 3 then 286 when 4 then 284 when 5 then 285 else o_totalprice end::double as o_totalprice) from ({PRICES})"
     got, want = rows_and_sql(spark, tmp_path, "h2_capped_cells", orders)
     assert got == want and len(got) == 9
+
+
+def test_scores_of_the_walk_are_rounded_as_in_sql(spark, tmp_path):
+    orders = f"select * replace (case o_orderkey when 3 then 286 when 4 then 284 when 5 then 285 else o_totalprice end::double as o_totalprice) from ({PRICES})"
+    got, want = rows_and_sql(spark, tmp_path, "h4_h6_walk_order", orders)
+    assert got == want and len(got) == 9
