@@ -1,8 +1,9 @@
 """Registered queries against their SQL on made-up tables that the smallest ones don't stand for."""
 
 import duckdb
+import pytest
 
-from foliospark.operators import reading
+from foliospark.operators import duplicates, reading
 from foliospark.plans import registry
 
 
@@ -38,3 +39,8 @@ def test_scores_of_the_walk_are_rounded_as_in_sql(spark, tmp_path):
     orders = f"select * replace (case o_orderkey when 3 then 286 when 4 then 284 when 5 then 285 else o_totalprice end::double as o_totalprice) from ({PRICES})"
     got, want = rows_and_sql(spark, tmp_path, "h4_h6_walk_order", orders)
     assert got == want and len(got) == 9
+
+
+def test_undone_marks_read_the_written_pairs_only(spark, small):
+    plan = registry.queries()["b13_undo_merges"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "norm_text" not in plan
