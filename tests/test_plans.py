@@ -44,3 +44,9 @@ def test_scores_of_the_walk_are_rounded_as_in_sql(spark, tmp_path):
 def test_undone_marks_read_the_written_pairs_only(spark, small):
     plan = registry.queries()["b13_undo_merges"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "norm_text" not in plan
+
+
+def test_guarded_pairs_read_the_written_pairs_only(spark, small):
+    df = registry.queries()["b6_guarded_pairs"](spark, small)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "norm_text" not in plan and df.filter("not size_ok or not long_enough").isEmpty()
