@@ -50,3 +50,12 @@ def test_guarded_pairs_read_the_written_pairs_only(spark, small):
     df = registry.queries()["b6_guarded_pairs"](spark, small)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "norm_text" not in plan and df.filter("not size_ok or not long_enough").isEmpty()
+
+
+def test_scored_pairs_are_the_same_however_groups_meet_their_members(spark, small, monkeypatch):
+    pairs = lambda: sorted(map(tuple, registry.queries()["b3_b7_scored_pairs"](spark, small).collect()))
+    want = pairs()
+    monkeypatch.setattr(duplicates, "BROADCAST", 0)
+    monkeypatch.setattr(duplicates, "PIECE", 2)
+    monkeypatch.setattr(duplicates, "PARTITION", 5)
+    assert pairs() == want and len(want) > 10
