@@ -59,3 +59,8 @@ def test_scored_pairs_are_the_same_however_groups_meet_their_members(spark, smal
     monkeypatch.setattr(duplicates, "PIECE", 2)
     monkeypatch.setattr(duplicates, "PARTITION", 5)
     assert pairs() == want and len(want) > 10
+
+
+def test_duplicate_ids_move_no_text(spark, small):
+    plan = registry.queries()["b15_duplicate_ids"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "norm_text" not in plan and "Generate" not in plan
